@@ -39,7 +39,7 @@ RULES = (
     Rule("mean_word_length", "word_chars", "n_words", 200, 1400),
     Rule("symbols_per_word", "n_symbols", "n_words", None, 10),
     Rule("stop_words", "n_stop_words", "n_words", 2, None),
-    Rule("duplicate_lines", "n_dup_lines", "n_lines", None, 30),
+    Rule("duplicate_lines", "n_dup_lines", "n_lines", None, 50),
     Rule("ellipsis_lines", "n_ellipsis_lines", "n_lines", None, 30),
     Rule("bullet_lines", "n_bullet_lines", "n_lines", None, 90),
     Rule("words_with_letters", "n_letter_words", "n_words", 80, None),

@@ -146,6 +146,6 @@ def shingle_sets(words: np.ndarray, first: np.ndarray, k: int):
             np.not_equal(x[1:], x[:-1], out=keep[1:])
             yield x[keep]
         elif b > a:
-            yield mix(np.array([int((words[a:b] * weights[: b - a]).sum(dtype=np.uint64)) + (b - a) & (2**64 - 1)], np.uint64))
+            yield mix((words[a:b] * weights[: b - a]).sum(dtype=np.uint64, keepdims=True) + _U(b - a))
         else:
             yield np.zeros(0, np.uint64)
