@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docfold.llm import mixing, neardup, quality
+from docfold.llm import mixing, neardup, quality, repeats
 
 TABLES = ("documents", "embeddings", "pages")
 
@@ -17,6 +17,10 @@ def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"), k=3, threshold=85)
 
 
+def op6_remove_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove_repeats(table(spark, sf_dir, "documents")).drop("kept_bytes")
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judged(table(spark, sf_dir, "documents"))
 
@@ -25,4 +29,4 @@ def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed_sizes(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
-QUERIES = {f.__name__: f for f in (op1_near_dedup, op7_quality_rules, op9_mix_sources)}
+QUERIES = {f.__name__: f for f in (op1_near_dedup, op6_remove_repeats, op7_quality_rules, op9_mix_sources)}
