@@ -38,3 +38,16 @@ def uniform(key: Column, seed: str) -> Column:
     """A number in [0, 1) that depends on ``key`` and ``seed`` only: 52 bits of an MD5."""
     digest = F.substring(F.md5(F.concat(F.lit(seed + ":"), F.coalesce(key.cast("string"), F.lit("null")))), 1, 13)
     return F.conv(digest, 16, 10).cast("long") / F.lit(float(1 << 52))
+
+
+def id_hash(id_col: str, modulus: int) -> Column:
+    """crc32 of the id as text, modulo ``modulus``; a missing id has none."""
+    return F.crc32(F.col(id_col).cast("string").cast("binary")) % modulus
+
+
+def row_key(docs: DataFrame, id_col: str, text_col: str) -> Column:
+    """A long that tells rows apart: the id where ids are unique, else a hash of id and text (equal rows share it)."""
+    ids = docs.select(F.col(id_col).cast("long").alias("id"))
+    if ids.groupBy("id").count().where("count > 1 or id is null").isEmpty():
+        return F.col(id_col).cast("long")
+    return F.xxhash64(id_col, text_col)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docfold.llm import mixing, neardup, quality, repeats
+from docfold.llm import langid, lattice, mixing, neardup, quality, repeats, vptree
 
 TABLES = ("documents", "embeddings", "pages")
 
@@ -17,6 +17,10 @@ def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"), k=3, threshold=85)
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.held_out_languages(table(spark, sf_dir, "documents"))
+
+
 def op6_remove_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.remove_repeats(table(spark, sf_dir, "documents")).drop("kept_bytes")
 
@@ -25,8 +29,16 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judged(table(spark, sf_dir, "documents"))
 
 
+def op8_lattice_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lattice.score_texts(table(spark, sf_dir, "documents"))
+
+
 def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed_sizes(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
-QUERIES = {f.__name__: f for f in (op1_near_dedup, op6_remove_repeats, op7_quality_rules, op9_mix_sources)}
+def op10_vantage_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vptree.nearest(table(spark, sf_dir, "embeddings"), lambda i: i % 50 == 0)
+
+
+QUERIES = {f.__name__: f for f in (op1_near_dedup, op2_language_id, op6_remove_repeats, op7_quality_rules, op8_lattice_scores, op9_mix_sources, op10_vantage_search)}

@@ -29,6 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from docfold.llm.columns import row_key
 from docfold.llm.words import _U, _table, mix, text_bytes
 from docfold.scratch import Scratch
 
@@ -281,12 +282,7 @@ def cut_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: id, n_bytes, n_removed, n_spans, kept_sha256, kept_bytes (the text that stays, perhaps cut within a character)."""
     spark, scratch = docs.sparkSession, Scratch(docs.sparkSession, "repeats")
-    ids = docs.select(F.col(id_col).cast("long").alias("id"))
-    if ids.groupBy("id").count().where("count > 1 or id is null").isEmpty():
-        key = F.col(id_col).cast("long")
-    else:
-        key = F.xxhash64(id_col, text_col)
-    texts = docs.select(key.alias("id"), F.col(text_col).cast("string").alias("text"), F.col(id_col).alias("doc"))
+    texts = docs.select(row_key(docs, id_col, text_col).alias("id"), F.col(text_col).cast("string").alias("text"), F.col(id_col).alias("doc"))
 
     phrases = scratch.write(texts.select("id", "text").mapInArrow(parse_batches, "h long, c long, twice boolean, inner boolean, id long, s long, e long"), "phrases")
     same, shared = Window.partitionBy("h", "c"), Window.partitionBy("h")
