@@ -1,5 +1,6 @@
 """DuckDB SQL for the operators that SQL can express."""
 
+from docfold.llm.templates import DOCUMENTS, LEAD, SHARE, WIDE
 from docfold.llm.quality import MAX_REPEAT, MIN_WORDS, RULES, STOP_WORDS
 
 _RULES = " AND ".join(
@@ -53,4 +54,31 @@ SELECT doc_id, size, source_size, target,
 FROM d JOIN r ON d.source IS NOT DISTINCT FROM r.source
 """
 
-ORACLE = {"op7_quality_rules": OP7, "op9_mix_sources": OP9}
+OP3 = rf"""
+WITH d AS (
+  SELECT doc_id, list_transform(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_extract_all(x, '[^\x20\x09-\x0D]+')) AS w FROM documents),
+m AS (
+  SELECT doc_id, list_transform(w, lambda x: list_transform(x, lambda y: CASE WHEN regexp_matches(y, '[0-9]') THEN '<*>' ELSE y END)) AS w FROM d),
+one AS (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS pos FROM m),
+l AS (
+  SELECT doc_id, pos, w[pos] AS t, len(w[pos]) AS n, nullif(coalesce(w[pos - 1], []), []) AS before, nullif(coalesce(w[pos + 1], []), []) AS after
+  FROM one WHERE len(w[pos]) > 0),
+k AS (
+  SELECT doc_id, pos, before, after, {LEAD} || '|' || n || '|' || array_to_string(t, ' ') AS template FROM l WHERE n < {WIDE}
+  UNION ALL
+  SELECT doc_id, pos, before, after, r || '|' || n || '|' || array_to_string(list_transform(range(1, n + 1), lambda i: CASE WHEN i <= {LEAD} OR (i - 1) % 2 = r THEN t[i] ELSE '' END), ' ')
+  FROM l, (VALUES (0), (1)) AS h(r) WHERE n >= {WIDE}),
+c AS (SELECT template, before, after, count(*) AS n, min(doc_id) AS doc_id FROM k GROUP BY 1, 2, 3),
+f AS (SELECT template, doc_id, sum(n) AS n FROM c GROUP BY 1, 2),
+r AS (SELECT template FROM f GROUP BY 1 HAVING count(*) >= {DOCUMENTS} AND {SHARE} * count(*) >= sum(n)),
+g AS (SELECT DISTINCT doc_id, pos FROM k SEMI JOIN r USING (template)),
+kept AS (
+  SELECT doc_id, string_agg(x, chr(10) ORDER BY pos) AS kept_text
+  FROM (SELECT doc_id, s[pos] AS x, pos FROM (SELECT doc_id, s, unnest(range(1, len(s) + 1)) AS pos FROM (SELECT doc_id, string_split(text, chr(10)) AS s FROM documents)))
+  ANTI JOIN g USING (doc_id, pos) GROUP BY 1)
+SELECT d.doc_id, len(list_filter(d.w, lambda x: len(x) > 0))::BIGINT AS n_lines, (SELECT count(*) FROM g WHERE g.doc_id = d.doc_id)::BIGINT AS n_dropped,
+       CASE WHEN documents.text IS NOT NULL THEN md5(coalesce(kept_text, '')) END AS kept_md5
+FROM d JOIN documents USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
+
+ORACLE = {"op3_line_templates": OP3, "op7_quality_rules": OP7, "op9_mix_sources": OP9}

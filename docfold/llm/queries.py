@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from docfold.llm import langid, lattice, mixing, neardup, quality, repeats, vptree
+from docfold.llm import extraction, langid, lattice, mixing, neardup, packing, quality, repeats, templates, vptree
 
 TABLES = ("documents", "embeddings", "pages")
 
@@ -21,6 +22,19 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.held_out_languages(table(spark, sf_dir, "documents"))
 
 
+def op3_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = templates.without_templates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_lines", "n_dropped", F.md5("kept_text").alias("kept_md5"))
+
+
+def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
+def op5_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extraction.extract(table(spark, sf_dir, "pages"))
+
+
 def op6_remove_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.remove_repeats(table(spark, sf_dir, "documents")).drop("kept_bytes")
 
@@ -41,4 +55,4 @@ def op10_vantage_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vptree.nearest(table(spark, sf_dir, "embeddings"), lambda i: i % 50 == 0)
 
 
-QUERIES = {f.__name__: f for f in (op1_near_dedup, op2_language_id, op6_remove_repeats, op7_quality_rules, op8_lattice_scores, op9_mix_sources, op10_vantage_search)}
+QUERIES = {f.__name__: f for f in (op1_near_dedup, op2_language_id, op3_line_templates, op4_best_fit_packing, op5_main_text, op6_remove_repeats, op7_quality_rules, op8_lattice_scores, op9_mix_sources, op10_vantage_search)}
