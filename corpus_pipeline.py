@@ -1,27 +1,55 @@
-"""Documents to packed training sequences."""
+"""From raw documents to packed training sequences.
+
+Each stage takes the documents that the one before it left and returns them with the same columns; the last returns the
+pieces of documents with their bins.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docfold.llm import mixing, quality
+from docfold.llm import mixing, neardup, packing, quality, templates
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the rules reject go."""
+    """Documents that the threshold table rejects go."""
     return quality.keep_good(docs)
 
 
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Lines of templates that recur across documents go; a document goes only if nothing is left of it."""
+    return templates.drop_templates(docs)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near copies (five-word shingles, similarity 0.8) the document with the smallest id stays."""
+    return neardup.keep_one_of_each(docs)
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix takes it."""
+    """Each document comes as often as the mix takes it."""
     return mixing.mixed(docs)
 
 
-STAGES = [("quality rules", quality_rules), ("mixing", mix_sources)]
+def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document's pieces with their places in sequences of permitted lengths."""
+    return packing.pack(docs)
+
+
+STAGES = [
+    ("quality_rules", quality_rules),
+    ("line_dedup", line_dedup),
+    ("near_dedup", near_dedup),
+    ("mix_sources", mix_sources),
+    ("best_fit_packing", best_fit_packing),
+]
+
+#: SQL expresses neither the chosen-path join nor best-fit packing.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over the table documents."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for _, stage in STAGES:
         docs = stage(spark, docs, sf_dir)
