@@ -149,7 +149,7 @@ def _table_rows(page: str) -> list[dict]:
 
 
 def _list_tree(page: str) -> list[dict]:
-    """Folders and leaves of nested lists: depth, path of titles, url; a row with a list below it is a folder F, others R."""
+    """Folders and leaves of nested lists: depth, path of titles, href; a row with a list below it is a folder F, others R."""
     out: list[dict] = []
 
     def visit(ul: Node, path: list[str]) -> None:
@@ -158,7 +158,7 @@ def _list_tree(page: str) -> list[dict]:
             below = [c for c in li.children if isinstance(c, Node) and c.name in ("ul", "ol")]
             title = own.text() if own else " ".join(" ".join(c for c in li.children if isinstance(c, str)).split())
             here = [*path, title]
-            out.append({"path": here, "depth": len(here) - 1, "row_type": "F" if below else "R", "url": own.attrs.get("href", "") if own else ""})
+            out.append({"path": here, "depth": len(here) - 1, "row_type": "F" if below else "R", "href": own.attrs.get("href", "") if own else ""})
             for b in below:
                 visit(b, here)
 
@@ -243,13 +243,15 @@ def _points(n: Node, what: str) -> float | None:
 
 def _item(page: str) -> str:
     """The content of list items with block paragraphs unwrapped."""
-    return "\n".join(t for t in (" ".join(c.text() if isinstance(c, Node) else c for c in li.children if not (isinstance(c, Node) and c.name in ("ul", "ol"))).strip() for li in parse(page).find("li")) if t)
+    own = lambda li: (c for c in li.children if not (isinstance(c, Node) and c.name in ("ul", "ol")))
+    items = (" ".join(" ".join(c.text() if isinstance(c, Node) else c for c in own(li)).split()) for li in parse(page).find("li"))
+    return "\n".join(t for t in items if t)
 
 
 _LINK = "array<struct<title:string,url:string>>"
 _ROWS = {
     "table_rows": (_table_rows, f"table_no int, row_no int, header boolean, cells array<string>, links {_LINK}"),
-    "list_tree": (_list_tree, "path array<string>, depth int, row_type string, url string"),
+    "list_tree": (_list_tree, "path array<string>, depth int, row_type string, href string"),
     "anchors": (_anchors, "name string, section_html string, section_text string"),
     "accordion": (_accordion, "title string, text string, hash string"),
 }

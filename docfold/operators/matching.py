@@ -32,7 +32,8 @@ class Provider(Protocol):
 def shingles(text: Column, k: int = 3) -> Column:
     """Hashes of the distinct k-word shingles of a text in lower case."""
     w = F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), lambda x: x != "")
-    return F.array_distinct(F.transform(w, lambda _, i: F.xxhash64(F.array_join(F.slice(w, i + 1, k), " "))) if k > 1 else F.transform(w, lambda x: F.xxhash64(x)))
+    starts = F.slice(w, 1, F.greatest(F.size(w) - k + 1, F.lit(1)))  # a shorter text is one shingle
+    return F.array_distinct(F.transform(starts, lambda _, i: F.xxhash64(F.array_join(F.slice(w, i + 1, k), " "))))
 
 
 def containment(items: DataFrame, item_id: str, texts: DataFrame, text_id: str, text: str = "text", k: int = 3) -> DataFrame:

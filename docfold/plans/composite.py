@@ -57,7 +57,7 @@ def title_substring_match(t: Tables) -> DataFrame:
     return a.join(b, X.titles_match(F.col("a"), F.col("b"))).select("item_id", "s_suppkey")
 
 
-_SHINGLES = r"(SELECT DISTINCT {id}, list_slice(w, i, i + 2) AS g FROM (SELECT {id}, w, unnest(range(1, len(w) + 1)) AS i FROM (SELECT {id}, list_filter(regexp_split_to_array(lower(text), '[^\p{{L}}\p{{N}}]+'), lambda x: x <> '') AS w FROM {table})))"
+_SHINGLES = r"(SELECT DISTINCT {id}, list_slice(w, i, i + 2) AS g FROM (SELECT {id}, w, unnest(range(1, CASE WHEN len(w) = 0 THEN 1 ELSE greatest(len(w) - 1, 2) END)) AS i FROM (SELECT {id}, list_filter(regexp_split_to_array(lower(text), '[^\p{{L}}\p{{N}}]+'), lambda x: x <> '') AS w FROM {table})))"
 _BENCH, _DOCS = _SHINGLES.format(id="item_id", table="benchmark"), _SHINGLES.format(id="doc_id", table="documents")
 
 

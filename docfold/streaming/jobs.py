@@ -35,14 +35,19 @@ def version_stream(docs: DataFrame, root: str, checkpoint: str, at: Column | str
     return docs.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
+def _marked(events: DataFrame, late: str) -> DataFrame:
+    """A stream with a watermark, which asks for a timestamp with a zone; a table as it is."""
+    return events.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", late) if events.isStreaming else events
+
+
 def event_counts(events: DataFrame, every: str = "6 hours", late: str = "1 day") -> DataFrame:
     """Events per type and window; works on streams and tables."""
-    e = events.withWatermark("ts", late) if events.isStreaming else events
+    e = _marked(events, late)
     return e.groupBy(F.window("ts", every), "event_type").agg(F.count("*").alias("n"))
 
 
 def event_sessions(events: DataFrame, gap: str = "30 minutes", late: str = "1 day") -> DataFrame:
-    e = events.withWatermark("ts", late) if events.isStreaming else events
+    e = _marked(events, late)
     return e.groupBy("user_id", F.session_window("ts", gap)).agg(F.count("*").alias("n"))
 
 
