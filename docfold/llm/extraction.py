@@ -100,6 +100,7 @@ LABELLED = [
     90 35 9 0 0 0 0 0 1
     0 80 0 0 0 0 0 0 1
     0 25 0 0 0 0 0 0 1
+    0 14 0 0 0 0 0 0 1
     3 110 2 100 5 100 0 0 1
     4 7 50 100 0 0 0 1 1
     60 5 70 0 0 0 0 1 1
