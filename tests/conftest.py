@@ -11,7 +11,7 @@ def spark():
     from pyspark.sql import SparkSession
 
     session = (
-        SparkSession.builder.master("local[*]")
+        SparkSession.builder.master(os.environ.get("TEST_MASTER", "local[*]"))
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", "8")
