@@ -63,6 +63,25 @@ def titles_match(a: Column, b: Column) -> Column:
     return (F.length(a) > 0) & (F.length(b) > 0) & (F.contains(a, b) | F.contains(b, a))
 
 
+def title_pairs(left: DataFrame, left_id: str, right: DataFrame, right_id: str, title: str = "title") -> DataFrame:
+    """(left_id, right_id) of titles within one another, by an equi-join: the first three characters of the shorter occur in the longer."""
+    clean = F.lower(F.trim(F.col(title)))
+    a = left.select(left_id, clean.alias("a")).where(F.length("a") > 0)
+    b = right.select(right_id, clean.alias("b")).where(F.length("b") > 0)
+
+    def heads(df: DataFrame, t: str) -> DataFrame:
+        return df.withColumn("g", F.substring(t, 1, 3))
+
+    def grams(df: DataFrame, t: str) -> DataFrame:
+        at = F.sequence(F.lit(1), F.length(t))
+        pieces = F.flatten(F.transform(at, lambda i: F.transform(F.array(F.lit(1), F.lit(2), F.lit(3)), lambda n: F.substr(F.col(t), i, n))))
+        return df.withColumn("g", F.explode(F.array_distinct(pieces)))
+
+    inner = heads(a, "a").join(grams(b, "b"), "g").where(F.contains("b", "a"))
+    outer = grams(a, "a").join(heads(b, "b"), "g").where(F.contains("a", "b"))
+    return inner.select(left_id, right_id).unionByName(outer.select(left_id, right_id)).distinct()
+
+
 def new_links(found: DataFrame, linked: DataFrame, keys: list[str]) -> DataFrame:
     return found.select(*keys).distinct().join(linked.select(*keys), keys, "left_anti")
 

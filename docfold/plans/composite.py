@@ -51,10 +51,9 @@ def gap_enrich(t: Tables) -> DataFrame:
 @query("D16", """SELECT b.item_id, s.s_suppkey FROM (SELECT item_id, left(text, 3) AS title FROM benchmark) b JOIN (SELECT s_suppkey, right(s_name, 3) || ' ' || left(t, 60) AS title FROM supplier JOIN (SELECT doc_id, text AS t FROM documents) ON doc_id = s_suppkey) s
   ON contains(lower(trim(b.title)), lower(trim(s.title))) OR contains(lower(trim(s.title)), lower(trim(b.title)))""")
 def title_substring_match(t: Tables) -> DataFrame:
-    """Titles of one small library against those of another; both are libraries, whose size does not follow the corpus."""
-    a = t.benchmark.select("item_id", F.substring("text", 1, 3).alias("a"))
-    b = t.supplier.join(t.documents, F.col("doc_id") == F.col("s_suppkey")).select("s_suppkey", F.concat_ws(" ", F.expr("right(s_name, 3)"), F.substring("text", 1, 60)).alias("b"))
-    return a.join(b, X.titles_match(F.col("a"), F.col("b"))).select("item_id", "s_suppkey")
+    a = t.benchmark.select("item_id", F.substring("text", 1, 3).alias("title"))
+    b = t.supplier.join(t.documents, F.col("doc_id") == F.col("s_suppkey")).select("s_suppkey", F.concat_ws(" ", F.expr("right(s_name, 3)"), F.substring("text", 1, 60)).alias("title"))
+    return X.title_pairs(a, "item_id", b, "s_suppkey")
 
 
 _SHINGLES = r"(SELECT DISTINCT {id}, list_slice(w, i, i + 2) AS g FROM (SELECT {id}, w, unnest(range(1, CASE WHEN len(w) = 0 THEN 1 ELSE greatest(len(w) - 1, 2) END)) AS i FROM (SELECT {id}, list_filter(regexp_split_to_array(lower(text), '[^\p{{L}}\p{{N}}]+'), lambda x: x <> '') AS w FROM {table})))"

@@ -273,12 +273,10 @@ def first_row_marker(t: Tables) -> DataFrame:
     return t.lineitem.select("l_orderkey", *order, F.when(first, F.concat(F.lit("summary of "), "l_orderkey")).alias("summary"))
 
 
-@query("F5", """SELECT event_id, user_id, last_value(CASE WHEN event_type = (SELECT min(event_type) FROM events) THEN event_id END IGNORE NULLS)
+@query("F5", """SELECT event_id, user_id, last_value(CASE WHEN event_type = 'signup' THEN event_id END IGNORE NULLS)
   OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS header_id FROM events""")
 def carry_forward(t: Tables) -> DataFrame:
-    head = t.events.agg(F.min("event_type").alias("head"))
-    e = t.events.crossJoin(F.broadcast(head))  # one row
-    return e.select("event_id", "user_id", R.carry_forward(F.col("event_id"), F.col("event_type") == F.col("head"), ["user_id"], F.col("ts"), F.col("event_id")).alias("header_id"))
+    return t.events.select("event_id", "user_id", R.carry_forward(F.col("event_id"), F.col("event_type") == "signup", ["user_id"], F.col("ts"), F.col("event_id")).alias("header_id"))
 
 
 @query("F6", """SELECT event_id, user_id, sum(new) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING)::BIGINT AS session_no FROM (

@@ -64,6 +64,9 @@ def test_fallback_mapping(spark):
 def test_titles_and_links(spark):
     df = spark.createDataFrame([("Access Control", "access"), ("", "x"), ("a", "b")], "a string, b string")
     assert [r.m for r in df.select(matching.titles_match(F.col("a"), F.col("b")).alias("m")).collect()] == [True, False, False]
+    a = spark.createDataFrame([(1, "Access"), (2, "ab"), (3, "")], "i int, title string")
+    b = spark.createDataFrame([(7, "user access control"), (8, "B"), (9, "zz")], "j int, title string")
+    assert values(matching.title_pairs(a, "i", b, "j")) == [(1, 7), (2, 8)]
     found = spark.createDataFrame([(1, 5, "new"), (1, 6, "fully_matched"), (2, 6, "fully_matched")], "r int, c int, match_status string")
     linked = spark.createDataFrame([(1, 6)], "r int, c int")
     assert values(matching.link_outcome(found, linked, ["r", "c"]).select("r", "c", "outcome")) == [(1, 5, "new_item"), (1, 6, "already_linked"), (2, 6, "new_link")]
