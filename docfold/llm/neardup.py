@@ -3,17 +3,20 @@
 Method.  A document is the set of its distinct word shingles.  Documents of one set are one class, found by a strong
 hash; only one of a class goes on.  Each set is embedded by minwise hashing into ``COORDINATES`` tokens (coordinate,
 smallest hash).  A node of a tree holds the sets that share a path of such tokens.  ``TREES`` independent trees start
-with one token each; a node with more than ``LEAF`` sets is branched: every coordinate is chosen by a hash of the node
-with a probability that makes ``BRANCHES`` children of a set in the mean, so that a pair at the threshold is expected to
-share more than one of them.  Small nodes are compared exhaustively.  A pair at similarity 0.85 shares a leaf of some
-tree with a probability over 0.9999 if all nodes are small, and over 0.999 after three branchings.
-
-Comparing without all pairs of a group.  First every set is compared with one pivot, the smallest id of a node, the one
-met in most trees.  Confirmed links are contracted to components.  Then, in each node, only sets outside the node's main
-component are compared with the others of other components, so a node of n near copies costs about n comparisons and
-loses no connection between different texts.  A node that stays large after ``LEVELS`` branchings is treated just so:
-nothing is capped.  Candidates are screened by their sketch (4.5 standard deviations below the threshold) and every
-link is confirmed on full sets.
+with a path of two tokens each, as nodes of one token are never small.  Nodes of at most ``BLOCK`` sets, or of at most
+``LEAF`` outside their main component (below), are small and are compared exhaustively.  A larger node is branched: every coordinate is
+chosen by a hash of the node with a probability that makes ``BRANCHES`` children of a set in the mean, so that a pair at
+the threshold is expected to share more than one of them.  A pair at similarity 0.85 shares a first node with a probability
+over 1 - 1e-8, a node after one branching over 0.999999, after two over 0.99999.
+
+Comparing without all pairs of a group.  Within a node sets are compared by their sketches, in blocks of bounded size, and
+a set is proposed only to sets of other components.  First come ``ROUNDS`` rounds of hooking: nodes are dealt into random
+blocks, each set proposes the one most like it, proposals are confirmed, and confirmed links are contracted to components.
+So a group of n near copies becomes one component for about n comparisons on full sets a round, and a node of one component is
+done.  Then, by small nodes, all that is left between different components is proposed: nothing is capped, and no
+connection between different texts is lost.  A node that stays large after ``LEVELS`` branchings is treated as small ones are.
+Proposals are pairs whose sketches agree up to 4.5 standard deviations below the threshold; every link is confirmed on
+full sets.
 
 Definitions.  Rows of one id are one document, that of its smallest set hash.  A null or empty text, or one without
 words, has an empty set and is linked with nothing.  A text with fewer words than a shingle has one shingle, all of its
@@ -35,7 +38,8 @@ from docfold.llm.components import components
 from docfold.llm.words import WordHasher, _table, mix, shingle_sets, text_bytes
 from docfold.scratch import Scratch
 
-TREES, COORDINATES, LEAF, LEVELS, BRANCHES = 12, 64, 32, 5, 2.0
+TREES, COORDINATES, LEVELS, BRANCHES = 16, 64, 4, 2.0
+BLOCK, LEAF, ROUNDS = 512, 64, 2
 SHINGLE, THRESHOLD = 5, 80
 
 _SKETCH = "id long, n long, k1 long, k2 long, roots array<long>, sketch binary"
@@ -70,7 +74,7 @@ def sketch_batches(k: int):
                 n.append(len(x))
                 keys.append(np.frombuffer(hashlib.blake2b(x.tobytes(), digest_size=16).digest(), np.int64))
                 s = _sketches(x, seeds)
-                roots.append(mix(s[:TREES].astype(np.uint64) ^ tree).view(np.int64) if len(x) else np.zeros(0, np.int64))
+                roots.append(mix((s[:TREES].astype(np.uint64) << np.uint64(32) | s[TREES : 2 * TREES]) ^ tree).view(np.int64) if len(x) else np.zeros(0, np.int64))
                 sketches.append(s.tobytes() if len(x) else None)
             keys = np.array(keys, np.int64).reshape(-1, 2)
             yield pa.RecordBatch.from_arrays(
@@ -85,10 +89,10 @@ def branch_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
     for batch in batches:
         if not batch.num_rows:
             continue
-        sketch = np.frombuffer(b"".join(batch.column(3).to_pylist()), np.uint32).reshape(-1, COORDINATES)
+        sketch = np.frombuffer(b"".join(batch.column(4).to_pylist()), np.uint32).reshape(-1, COORDINATES)
         for at in range(0, batch.num_rows, 2048):
             row, child = _children(batch.column(0).to_numpy()[at : at + 2048].view(np.uint64), sketch[at : at + 2048], BRANCHES)
-            yield pa.RecordBatch.from_arrays([pa.array(child.view(np.int64)), batch.column(1).take(pa.array(row + at)), batch.column(2).take(pa.array(row + at))], ["node", "id", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array(child.view(np.int64)), *(batch.column(i).take(pa.array(row + at)) for i in (1, 2, 3))], ["node", "id", "n", "c"])
 
 
 def set_batches(k: int):
@@ -102,14 +106,57 @@ def set_batches(k: int):
     return run
 
 
-def screen_batches(least: float):
-    """Pairs whose sketches agree in enough coordinates."""
+#: Roles of the rows of a block: compared with all, asked about, or held against those that ask.
+BOTH, ASKS, HELD = 0, 1, 2
+_LAID = ["node", "part", "role", "id", "n", "c", "sketch"]
+
+
+def _proposals(t: pa.Table, least: float, threshold: int, best: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(asker, other, agreement) of the rows of one block: of each asker the best other, or all."""
+    role, ids, n, c = (t.column(i).to_numpy() for i in (2, 3, 4, 5))
+    sketch = np.frombuffer(b"".join(t.column(6).to_pylist()), np.uint32).reshape(-1, COORDINATES)
+    asks, held = np.flatnonzero(role != HELD), np.flatnonzero(role != ASKS)
+    out = []
+    for lo in range(0, len(asks), 32):
+        x = asks[lo : lo + 32]
+        fit = (c[x, None] != c[None, held]) & (100 * np.minimum(n[x, None], n[None, held]) >= threshold * np.maximum(n[x, None], n[None, held]))
+        agree = np.zeros(fit.shape)
+        some = np.flatnonzero(fit.any(axis=0))
+        agree[:, some] = (sketch[x, None] == sketch[None, held[some]]).mean(axis=2)
+        agree[~fit] = 0
+        if best:
+            ranked = np.lexsort((np.broadcast_to(ids[held], agree.shape), -agree), axis=1)[:, 0]
+            top = agree[np.arange(len(x)), ranked]
+            hit = top >= least
+            out.append((ids[x[hit]], ids[held[ranked[hit]]], top[hit]))
+        else:
+            i, j = np.nonzero(agree >= least)
+            out.append((ids[x[i]], ids[held[j]], agree[i, j]))
+    return tuple(np.concatenate(x) for x in zip(*out, strict=True))
+
+
+def propose_batches(least: float, threshold: int, best: bool):
+    """Input is sorted by block; a block is gathered whole, as it has a bounded size."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def settle(t: pa.Table) -> pa.RecordBatch:
+            u, v, agree = _proposals(t, least, threshold, best)
+            return pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64()), pa.array(agree, pa.float64())], ["u", "v", "agree"])
+
+        held: pa.Table | None = None
         for batch in batches:
-            if batch.num_rows:
-                x, y = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint32).reshape(-1, COORDINATES) for i in (2, 3))
-                yield batch.select([0, 1]).filter(pa.array((x == y).mean(axis=1) >= least))
+            t = pa.Table.from_batches([batch])
+            t = pa.concat_tables([held, t]).combine_chunks() if held is not None else t
+            if not len(t):
+                continue
+            node, part = t.column(0).to_numpy(), t.column(1).to_numpy()
+            cut = np.flatnonzero((node[1:] != node[:-1]) | (part[1:] != part[:-1])) + 1
+            found = [settle(t.slice(a, b - a)) for a, b in zip([0, *cut[:-1]], cut, strict=False)]
+            if found:
+                yield from pa.Table.from_batches(found).combine_chunks().to_batches()
+            held = t.slice(cut[-1] if len(cut) else 0)
+        if held is not None and len(held):
+            yield settle(held)
 
     return run
 
@@ -139,44 +186,80 @@ class ChosenPathJoin:
         self.scratch = Scratch(self.spark, "neardup")
         self.docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
 
-    def sizes_fit(self, a: str, b: str):
-        return 100 * F.least(a, b) >= self.threshold * F.greatest(a, b)
-
-    def leaves(self, reps: DataFrame) -> DataFrame:
-        """(node, id, n, m, pivot, pivot_n): the members of all nodes of two or more sets that are not branched further."""
-        rows = reps.select(F.explode("roots").alias("node"), "id", "n")
-        out = []
-        for level in range(LEVELS):
-            known = rows.groupBy("node").agg(F.count("*").alias("m"), F.min(F.struct("id", "n")).alias("p")).where("m > 1")
-            rows = self.scratch.write(rows.join(known, "node").select("node", "id", "n", "m", F.col("p.id").alias("pivot"), F.col("p.n").alias("pivot_n")), f"level{level}")
-            last = level == LEVELS - 1
-            out.append(rows if last else rows.where(F.col("m") <= LEAF))
-            if last or rows.where(F.col("m") > LEAF).isEmpty():
-                break
-            large = rows.where(F.col("m") > LEAF).select("node", "id", "n").join(reps.select("id", "sketch"), "id")
-            rows = large.select("node", "id", "n", "sketch").mapInArrow(branch_batches, "node long, id long, n long")
-        whole = out[0]
-        for x in out[1:]:
-            whole = whole.unionByName(x)
-        return whole
+    def shared(self, rows: DataFrame) -> DataFrame:
+        """Rows (node, id, n, c) of nodes of several components, with the size m of the node and rest, those outside its main one."""
+        parts = rows.groupBy("node", "c").agg(F.count("*").alias("m")).groupBy("node")
+        known = parts.agg(F.max(F.struct("m", "c")).alias("main"), F.sum("m").alias("m"), F.count("*").alias("parts")).where("parts > 1")
+        return rows.join(known.select("node", "m", F.col("main.c").alias("main"), (F.col("m") - F.col("main.m")).alias("rest")), "node")
 
-    def confirmed(self, pairs: DataFrame, reps: DataFrame) -> DataFrame:
-        """The pairs (u, v) that are links."""
+    def proposed(self, laid: DataFrame, best: bool) -> DataFrame:
+        """Pairs (u, v, agree) of the blocks (node, part, role, id, n, c)."""
         s = self.threshold / 100
-        least = max(0.0, s - 4.5 * (s * (1 - s) / COORDINATES) ** 0.5)
-        side = lambda name, what, source: source.select(F.col("id").alias(name), F.col(what).alias(f"{name}_{what}"))
-        screened = pairs.join(side("u", "sketch", reps), "u").join(side("v", "sketch", reps), "v").select("u", "v", "u_sketch", "v_sketch")
-        screened = self.scratch.write(screened.mapInArrow(screen_batches(least), "u long, v long"), "screened")
-        ids = screened.select(F.explode(F.array("u", "v")).alias("id")).distinct()
+        least = max(1 / COORDINATES, s - 4.5 * (s * (1 - s) / COORDINATES) ** 0.5)
+        sorted_ = laid.join(self.reps.select("id", "sketch"), "id").select(_LAID).repartition("node", "part").sortWithinPartitions("node", "part")
+        return sorted_.mapInArrow(propose_batches(least, self.threshold, best), "u long, v long, agree double")
+
+    def hooks(self, rows: DataFrame, turn: int) -> DataFrame:
+        """Of each set the pair (u, v) with the one most like it in a random block of a node."""
+        block = F.pmod(F.xxhash64("id", F.lit(turn)), F.ceil(F.col("m") / BLOCK)).alias("part")
+        laid = self.shared(rows).select("node", block, F.lit(BOTH).alias("role"), "id", "n", "c")
+        best = self.proposed(laid, True).groupBy("u").agg(F.max(F.struct("agree", (-F.col("v")).alias("less")))["less"].alias("less"))
+        return best.select(F.greatest("u", -F.col("less")).alias("u"), F.least("u", -F.col("less")).alias("v")).distinct()
+
+    def rest_pairs(self, rows: DataFrame) -> DataFrame:
+        """All pairs (u, v) still to be confirmed, of all small nodes; larger nodes are branched."""
+        found = []
+        for level in range(LEVELS + 1):
+            rows = self.scratch.write(self.shared(rows), f"level{level}")
+            small = F.lit(True) if level == LEVELS else (F.col("m") <= BLOCK) | (F.col("rest") <= LEAF)
+            whole = rows.where(F.col("m") <= BLOCK).select("node", F.lit(0).cast("long").alias("part"), F.lit(BOTH).alias("role"), "id", "n", "c")
+            wide = rows.where((F.col("m") > BLOCK) & small)
+            blocks, asking = F.ceil(F.col("m") / BLOCK), F.ceil(F.col("rest") / BLOCK)
+            mine = lambda n: F.pmod(F.xxhash64("id"), n)
+            each = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), n - 1))
+            part = (F.col("r") * (1 << 24) + F.col("j")).alias("part")
+            held = wide.select("node", each(asking).alias("r"), mine(blocks).alias("j"), F.lit(HELD).alias("role"), "id", "n", "c")
+            asks = wide.where("c <> main").select("node", mine(asking).alias("r"), each(blocks).alias("j"), F.lit(ASKS).alias("role"), "id", "n", "c")
+            laid = whole.unionByName(held.unionByName(asks).select("node", part, "role", "id", "n", "c"))
+            found.append(self.scratch.write(self.proposed(laid, False), f"pairs{level}"))
+            large = rows.where(~small)
+            if level == LEVELS or large.isEmpty():
+                break
+            large = large.select("node", "id", "n", "c").join(self.reps.select("id", "sketch"), "id").select("node", "id", "n", "c", "sketch")
+            rows = self.scratch.write(large.mapInArrow(branch_batches, "node long, id long, n long, c long"), f"branch{level}")
+        whole = found[0]
+        for x in found[1:]:
+            whole = whole.unionByName(x)
+        return whole.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
+
+    def confirmed(self, pairs: DataFrame) -> DataFrame:
+        """The pairs (u, v) that are links; sets made for earlier pairs are used again."""
+        pairs = self.scratch.write(pairs, "pairs")
+        ids = pairs.select(F.explode(F.array("u", "v")).alias("id")).distinct()
+        for known in self.sets:
+            ids = ids.join(known.select("id"), "id", "left_anti")
+        ids = self.scratch.write(ids, "ids")
         sets = self.docs.join(ids, "id", "left_semi").dropDuplicates(["id"]).mapInArrow(set_batches(self.k), "id long, items binary")
-        sets = self.scratch.write(sets, "sets")
-        full = screened.join(side("u", "items", sets), "u").join(side("v", "items", sets), "v").select("u", "v", "u_items", "v_items")
-        links = self.scratch.write(full.mapInArrow(confirm_batches(self.threshold), "u long, v long"), "links")
-        self.scratch.drop(sets, screened)
-        return links
+        self.sets.append(self.scratch.write(sets, "sets"))
+        every = self.sets[0]
+        for x in self.sets[1:]:
+            every = every.unionByName(x)
+        side = lambda name: every.select(F.col("id").alias(name), F.col("items").alias(f"{name}_items"))
+        full = pairs.join(side("u"), "u").join(side("v"), "v").select("u", "v", "u_items", "v_items")
+        return full.mapInArrow(confirm_batches(self.threshold), "u long, v long")
+
+    def contracted(self, pairs: DataFrame, now: DataFrame) -> DataFrame:
+        """(id, c) after the links among ``pairs`` are added to the components ``now`` (id, c)."""
+        of = lambda name: now.select(F.col("id").alias(name), F.col("c").alias(f"{name}_c"))
+        links = self.confirmed(pairs)
+        between = links.join(of("u"), "u", "left").join(of("v"), "v", "left").select(F.coalesce("u_c", "u").alias("u"), F.coalesce("v_c", "v").alias("v"))
+        step = self.scratch.write(components(between, self.scratch), "step").select("id", F.col("component").alias("further"))
+        moved = now.join(step.withColumnRenamed("id", "c"), "c", "left").select("id", F.coalesce("further", "c").alias("c"))
+        new = step.join(now.select("id"), "id", "left_anti").select("id", F.col("further").alias("c"))
+        return self.scratch.write(moved.unionByName(new), "components")
 
     def run(self) -> DataFrame:
-        """(id, n, rep, component, n_links) of every id."""
+        """(id, n, rep, component) of every id."""
         all_ = self.scratch.write(self.docs.mapInArrow(sketch_batches(self.k), _SKETCH), "sketches")
         known = all_.where("id is not null").groupBy("id").agg(F.min(F.struct("k1", "k2", "n")).alias("x")).select("id", "x.k1", "x.k2", "x.n")
         classes = known.where("n > 0").groupBy("k1", "k2").agg(F.min("id").alias("rep"))
@@ -184,24 +267,16 @@ class ChosenPathJoin:
         reps = all_.join(members.where("n > 0 and id = rep").select("id", "k1", "k2"), ["id", "k1", "k2"], "left_semi").dropDuplicates(["id"])
         reps = self.scratch.write(reps.select("id", "n", "roots", "sketch"), "reps")
         self.scratch.drop(all_)
-        leaves = self.leaves(reps)
-
-        met = leaves.where("id <> pivot").where(self.sizes_fit("n", "pivot_n")).groupBy("id", "pivot").agg(F.count("*").alias("times"))
-        best = met.groupBy("id").agg(F.max(F.struct("times", (-F.col("pivot")).alias("less"))).alias("b"))
-        links = self.confirmed(best.select(F.col("id").alias("u"), (-F.col("b.less")).alias("v")), reps)
-        first = self.scratch.write(components(links, self.scratch), "components")
-
-        placed = leaves.select("node", "id", "n").join(first, "id", "left").select("node", "id", "n", F.coalesce("component", "id").alias("c"))
-        main = placed.groupBy("node", "c").agg(F.count("*").alias("m")).groupBy("node").agg(F.max(F.struct("m", "c"))["c"].alias("main"), F.count("*").alias("parts")).where("parts > 1").select("node", "main")
-        mixed = self.scratch.write(placed.join(main, "node"), "mixed")
-        rest = mixed.where("c <> main").select("node", F.col("id").alias("x"), F.col("n").alias("xn"), F.col("c").alias("xc"), "main")
-        others = mixed.select("node", F.col("id").alias("y"), F.col("n").alias("yn"), F.col("c").alias("yc"))
-        pairs = rest.join(others, "node").where((F.col("xc") != F.col("yc")) & ((F.col("yc") == F.col("main")) | (F.col("x") > F.col("y")))).where(self.sizes_fit("xn", "yn"))
-        pairs = pairs.select(F.greatest("x", "y").alias("u"), F.least("x", "y").alias("v")).distinct()
-        more = self.confirmed(pairs, reps)
-        whole = links.unionByName(more)
-        found = components(whole, self.scratch).withColumnRenamed("id", "rep")
-        return members.select("id", "n", "rep").join(found, "rep", "left").select("id", "n", "rep", F.coalesce("component", "rep").alias("component"))
+        self.reps, self.sets = reps, []
+        top = reps.select(F.explode("roots").alias("node"), "id", "n")
+        top = self.scratch.write(top.join(top.groupBy("node").count().where("count > 1").select("node"), "node", "left_semi"), "top")
+        now = self.scratch.write(self.spark.createDataFrame([], "id long, c long"), "components")
+        placed = lambda: top.join(now, "id", "left").select("node", "id", "n", F.coalesce("c", "id").alias("c"))
+        for turn in range(ROUNDS):
+            now = self.contracted(self.hooks(placed(), turn), now)
+        now = self.contracted(self.rest_pairs(placed()), now)
+        found = members.select("id", "n", "rep").join(now.withColumnRenamed("id", "rep"), "rep", "left")
+        return found.select("id", "n", "rep", F.coalesce("c", "rep").alias("component"))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = SHINGLE, threshold: int = THRESHOLD) -> DataFrame:
