@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docfold.llm.components import components
-from docfold.llm.words import WordHasher, _table, mix, shingle_sets, text_bytes
+from docfold.llm.words import WordHasher, _table, mix, shingle_sets, slices, text_bytes
 from docfold.scratch import Scratch
 
 TREES, COORDINATES, LEVELS, BRANCHES = 16, 64, 4, 2.0
@@ -66,7 +66,7 @@ def sketch_batches(k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, seeds = WordHasher(), (_table(202, COORDINATES) | np.uint64(1)).astype(np.uint32)
         tree = _table(404, TREES)
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, 1)):
             data, offsets = text_bytes(batch.column(1))
             h, _, _, first = hasher.hashes(data, offsets)
             n, keys, roots, sketches = [], [], [], []
@@ -98,7 +98,7 @@ def branch_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 def set_batches(k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = WordHasher()
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, 1)):
             data, offsets = text_bytes(batch.column(1))
             h, _, _, first = hasher.hashes(data, offsets)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([x.tobytes() for x in shingle_sets(h, first, k)], pa.binary())], ["id", "items"])

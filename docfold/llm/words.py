@@ -9,9 +9,12 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Bytes of text that are hashed at once; a piece is longer only if a single word is.
-PIECE = 1 << 21
+PIECE = 1 << 20
+#: Bytes of text that are worked on at once, unless a single text is longer.
+SLICE = 1 << 22
 
 _U = np.uint64
 
@@ -57,6 +60,17 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[at[0] : at[-1]], at - at[0]
 
 
+def slices(batch: pa.RecordBatch, column: int, most: int = SLICE):
+    """Parts of a batch, each with at most ``most`` bytes of text or one row."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    lo = 0
+    while lo < batch.num_rows:
+        before = int(ends[lo - 1]) if lo else 0
+        hi = max(lo + 1, int(np.searchsorted(ends, before + most, "right")))
+        yield batch.slice(lo, hi - lo)
+        lo = hi
+
+
 class WordHasher:
     """64-bit hashes of words: a sum of random byte values times powers of an odd base, then mixed."""
 
