@@ -18,6 +18,7 @@ pieces of over ``LONGEST`` bytes, all runs of one symbol, are left out.
 from __future__ import annotations
 
 import base64
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,14 +27,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docfold.llm.columns import id_hash, row_key
-from docfold.llm.words import WordHasher, _table, lower_table, text_bytes
+from docfold.llm.words import WordHasher, _table, lower_table, slices, text_bytes
 from docfold.scratch import Scratch
 
 #: Where the vocabulary lies: a file of base64 pieces with ranks, one a line.
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 LONGEST, FREQUENT, SMOOTH = 32, 150_000, 0.1
-#: Words scored at once.
-BLOCK = 1 << 14
+#: Words scored at once; bytes of text worked on at once.
+BLOCK, SLICE = 1 << 14, 1 << 24
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -124,24 +125,34 @@ def count_batches(path: str):
     """Rows (kind, key, n): kind 0 counts words by hash, 1 pieces by rank, 2 training texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher, lower, pieces = WordHasher(), lower_table(), None
-        for batch in batches:
-            if pieces is None:
-                pieces = tokenizer(load_ranks(path))
+        hasher, lower = WordHasher(), lower_table()
+        ranks = load_ranks(path)
+        pieces, size = tokenizer(ranks), max(ranks.values()) + 1
+        inner = re.compile(r"\s")
+
+        def cut(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+            """Pieces of words by rank.  The tokenizer cuts at the blank before a word, so words can be cut in one text, if no white space of Unicode is in them."""
+            words = [lower[data[a:b]].tobytes().decode("utf-8", "replace") for a, b in zip(start, end, strict=True)]
+            ids = pieces.encode_ordinary("".join(" " + w for w in words if not inner.search(w)))
+            for w in words:
+                if inner.search(w):
+                    ids += pieces.encode_ordinary(" " + w)
+            return np.bincount(np.array(ids, np.int64), minlength=size)
+
+        for batch in (part for whole in batches for part in slices(whole, 0, SLICE)):
             data, offsets = text_bytes(batch.column(0))
             h, s, e, _ = hasher.hashes(data, offsets)
             first, back = _distinct(h)
             n = np.bincount(back, minlength=len(first))
-            cut: dict[int, int] = {}
-            for lo in range(0, len(first), 50_000):
-                some = first[lo : lo + 50_000]
-                texts = [" " + lower[data[a:b]].tobytes().decode("utf-8", "replace") for a, b in zip(s[some], e[some], strict=True)]
-                for ids, c in zip(pieces.encode_ordinary_batch(texts, num_threads=1), n[lo : lo + 50_000].tolist(), strict=True):
-                    for p in ids:
-                        cut[p] = cut.get(p, 0) + c
-            kinds = np.repeat(np.array([0, 1, 2]), [len(first), len(cut), 1])
-            keys = np.concatenate([h[first].view(np.int64), np.array(list(cut), np.int64), [0]])
-            yield pa.RecordBatch.from_arrays([pa.array(kinds, pa.int32()), pa.array(keys, pa.int64()), pa.array(np.concatenate([n, np.array(list(cut.values()), np.int64), [batch.num_rows]]), pa.int64())], ["kind", "key", "n"])
+            total = np.zeros(size, np.int64)
+            order = np.argsort(n, kind="stable")
+            for group in np.split(order, np.flatnonzero(np.diff(n[order])) + 1):
+                for lo in range(0, len(group), 50_000):
+                    total += n[group[0]] * cut(data, s[first[group[lo : lo + 50_000]]], e[first[group[lo : lo + 50_000]]]) if len(group) else 0
+            found = np.flatnonzero(total)
+            kinds = np.repeat(np.array([0, 1, 2]), [len(first), len(found), 1])
+            keys = np.concatenate([h[first].view(np.int64), found, [0]])
+            yield pa.RecordBatch.from_arrays([pa.array(kinds, pa.int32()), pa.array(keys, pa.int64()), pa.array(np.concatenate([n, total[found], [batch.num_rows]]), pa.int64())], ["kind", "key", "n"])
 
     return run
 
@@ -151,7 +162,7 @@ def score_batches(path: str, scores: np.ndarray, end_score: float, keys: np.ndar
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, lower, lattice = WordHasher(), lower_table(), None
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, 1, SLICE)):
             lattice = lattice or Lattice(load_ranks(path), scores)
             data, offsets = text_bytes(batch.column(1))
             h, s, e, bounds = hasher.hashes(data, offsets)
