@@ -1,10 +1 @@
-"""Operators for preparing training data at scale; nothing else in the package imports this subpackage.
-
-Functions that run on executors are sent by value, so that executors need no copy of the package.
-"""
-
-from pyspark import cloudpickle
-
-import docfold
-
-cloudpickle.register_pickle_by_value(docfold)
+"""Operators for preparing training data at scale; nothing else in the package imports this subpackage."""

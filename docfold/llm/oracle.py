@@ -81,4 +81,36 @@ SELECT d.doc_id, len(list_filter(d.w, lambda x: len(x) > 0))::BIGINT AS n_lines,
 FROM d JOIN documents USING (doc_id) LEFT JOIN kept USING (doc_id)
 """
 
-ORACLE = {"op3_line_templates": OP3, "op7_quality_rules": OP7, "op9_mix_sources": OP9}
+_UPPER, _LOWER = (bytes(range(a, a + 26)).decode() for a in (65, 97))
+
+OP1 = rf"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, CASE WHEN len(w) < 3 THEN array_to_string(w, ' ') ELSE w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] END AS g
+  FROM (SELECT doc_id, w, unnest(range(1, CASE WHEN len(w) = 0 THEN 1 ELSE greatest(len(w) - 1, 2) END)) AS i FROM w)),
+n AS (SELECT doc_id, count(*) AS n, md5(string_agg(g, '|' ORDER BY g)) AS h FROM s GROUP BY 1),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
+e AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 85 * (x.n + y.n - c)),
+both_ways AS (SELECT a, b FROM e UNION ALL SELECT b, a FROM e),
+r AS (SELECT doc_id AS id, doc_id AS reached FROM documents UNION SELECT r.id, b FROM r JOIN both_ways ON a = r.reached),
+m AS (SELECT id, min(reached) AS component_id FROM r GROUP BY 1)
+SELECT id AS doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, component_id, id = component_id AS kept, coalesce(min(id) OVER (PARTITION BY n.h), id) AS class_id
+FROM m JOIN n ON n.doc_id = id
+UNION ALL SELECT doc_id, 0, doc_id, true, doc_id FROM documents ANTI JOIN n USING (doc_id)
+"""
+
+OP6 = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
+p AS (SELECT doc_id, i, md5(substr(x, 2 * i + 1, 400)) AS h FROM (SELECT doc_id, x, unnest(range(0, greatest(len(x) // 2 - 199, 0))) AS i FROM d)),
+q AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY h) AS n FROM p) WHERE n > 1),
+g AS (SELECT doc_id, i, CASE WHEN i <= lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 200 THEN 0 ELSE 1 END AS new FROM q),
+k AS (SELECT doc_id, i, sum(new) OVER (PARTITION BY doc_id ORDER BY i ROWS UNBOUNDED PRECEDING) AS k FROM g),
+s AS (SELECT doc_id, min(i) AS a, max(i) + 200 AS b FROM k GROUP BY doc_id, k),
+f AS (SELECT doc_id, a, b, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS before FROM s),
+t AS (SELECT doc_id, sum(b - a) AS n_removed, count(*) AS n_spans, string_agg(substr(x, 2 * before + 1, 2 * (a - before)), '' ORDER BY a) AS head, max(b) AS last FROM f JOIN d USING (doc_id) GROUP BY 1)
+SELECT d.doc_id, (len(x) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
+       sha256(unhex(coalesce(head, '') || substr(x, 2 * coalesce(last, 0) + 1))) AS kept_sha256
+FROM d LEFT JOIN t USING (doc_id)
+"""
+
+ORACLE = {"op1_near_dedup": OP1, "op6_remove_repeats": OP6, "op3_line_templates": OP3, "op7_quality_rules": OP7, "op9_mix_sources": OP9}
