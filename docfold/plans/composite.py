@@ -33,12 +33,12 @@ def obligation_controls(t: Tables) -> DataFrame:
     return t.obligations().join(controls, "supp", "left").groupBy("requirement_id", "line", "part", "control_title").agg(F.count("*").alias("n"))
 
 
-@query("D14", """WITH m AS (SELECT doc_id, text, row_number() OVER (ORDER BY doc_id) AS position FROM documents)
-  SELECT o.item_id, coalesce((SELECT arg_max(doc_id, position) FROM m WHERE m.doc_id = o.item_id * 2), (SELECT arg_max(doc_id, position) FROM m WHERE left(m.text, 12) = left(o.text, 12))) AS matched_id FROM benchmark o""")
+@query("D14", """SELECT o.doc_id, coalesce(i.doc_id, max(o.doc_id) OVER (PARTITION BY o.text)) AS matched_id FROM documents o LEFT JOIN documents i ON i.doc_id = o.doc_id * 2""")
 def mapping_fallback_join(t: Tables) -> DataFrame:
-    obligations = t.benchmark.select("item_id", (F.col("item_id") * 2).cast("string").alias("obligation_id"), F.substring("text", 1, 12).alias("obligation_text"))
-    mappings = t.documents.select(F.col("doc_id").cast("string").alias("obligation_id"), F.substring("text", 1, 12).alias("obligation_text"), F.col("doc_id").alias("position"), F.col("doc_id").alias("matched_id"))
-    return X.fallback_mapping(obligations, mappings).select("item_id", "matched_id")
+    keyed = t.documents.select("doc_id", F.md5("text").alias("obligation_text"))
+    obligations = keyed.withColumn("obligation_id", (F.col("doc_id") * 2).cast("string"))
+    mappings = keyed.select(F.col("doc_id").cast("string").alias("obligation_id"), "obligation_text", F.col("doc_id").alias("position"), F.col("doc_id").alias("matched_id"))
+    return X.fallback_mapping(obligations, mappings).select("doc_id", "matched_id")
 
 
 @query("D15", "SELECT doc_id, max(doc_id) OVER (PARTITION BY text) AS last_id FROM documents")
@@ -48,12 +48,12 @@ def gap_enrich(t: Tables) -> DataFrame:
     return R.lookup_last(verdicts, meta, "h", "position").select("doc_id", "last_id")
 
 
-@query("D16", """SELECT b.item_id, s.s_suppkey FROM (SELECT item_id, left(text, 3) AS title FROM benchmark) b JOIN (SELECT s_suppkey, right(s_name, 3) || ' ' || left(t, 60) AS title FROM supplier JOIN (SELECT doc_id, text AS t FROM documents) ON doc_id = s_suppkey) s
-  ON contains(lower(trim(b.title)), lower(trim(s.title))) OR contains(lower(trim(s.title)), lower(trim(b.title)))""")
+@query("D16", """WITH a AS (SELECT DISTINCT p_name AS control FROM part), b AS (SELECT p_type AS extracted FROM part UNION SELECT p_type || ' ' || p_name FROM part UNION SELECT 'the ' || p_brand FROM part)
+  SELECT control, extracted FROM a JOIN b ON contains(lower(trim(control)), lower(trim(extracted))) OR contains(lower(trim(extracted)), lower(trim(control)))""")
 def title_substring_match(t: Tables) -> DataFrame:
-    a = t.benchmark.select("item_id", F.substring("text", 1, 3).alias("title"))
-    b = t.supplier.join(t.documents, F.col("doc_id") == F.col("s_suppkey")).select("s_suppkey", F.concat_ws(" ", F.expr("right(s_name, 3)"), F.substring("text", 1, 60)).alias("title"))
-    return X.title_pairs(a, "item_id", b, "s_suppkey")
+    controls = t.part.select(F.col("p_name").alias("control")).distinct()
+    extracted = t.part.select(F.explode(F.array("p_type", F.concat_ws(" ", "p_type", "p_name"), F.concat(F.lit("the "), "p_brand"))).alias("extracted")).distinct()
+    return X.title_pairs(controls.withColumn("title", F.col("control")), "control", extracted.withColumn("title", F.col("extracted")), "extracted")
 
 
 _SHINGLES = r"(SELECT DISTINCT {id}, list_slice(w, i, i + 2) AS g FROM (SELECT {id}, w, unnest(range(1, CASE WHEN len(w) = 0 THEN 1 ELSE greatest(len(w) - 1, 2) END)) AS i FROM (SELECT {id}, list_filter(regexp_split_to_array(lower(text), '[^\p{{L}}\p{{N}}]+'), lambda x: x <> '') AS w FROM {table})))"
