@@ -68,7 +68,8 @@ def without_templates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     scratch, key = Scratch(docs.sparkSession, "templates"), row_key(docs, id_col, text_col)
     doc, dropped = fresh(docs, "template_doc"), fresh(docs, "template_dropped")
     gone = dropped_lines(docs, scratch, key, text_col).select(F.col("doc").alias(doc), F.col("dropped").alias(dropped))
-    joined = docs.join(gone, key == F.col(doc), "left")
+    # Sorted on both sides whatever the size: what is lost grows with the documents, so it is never sent whole to an executor.
+    joined = docs.join(gone.hint("merge"), key == F.col(doc), "left")
     lines = F.size(F.filter(F.coalesce(F.split(F.col(text_col), "\n"), F.array().cast("array<string>")), lambda x: x.rlike(WORD)))
     return joined.select(
         *(docs[c] for c in docs.columns),
