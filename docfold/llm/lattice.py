@@ -34,7 +34,7 @@ from docfold.scratch import Scratch
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 LONGEST, FREQUENT, SMOOTH = 32, 150_000, 0.1
 #: Words scored at once; bytes of text worked on at once.
-BLOCK, SLICE = 1 << 14, 1 << 24
+BLOCK, SLICE = 1 << 14, 1 << 23
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
