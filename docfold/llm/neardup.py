@@ -10,10 +10,10 @@ the threshold is expected to share more than one of them.  A pair at similarity
 over 1 - 1e-8, a node after one branching over 0.999999, after two over 0.99999.
 
 Comparing without all pairs of a group.  Within a node sets are compared by their sketches, in blocks of bounded size, and
-a set is proposed only to sets of other components.  First come ``ROUNDS`` rounds of hooking: nodes are dealt into random
+a set is proposed only to sets of other components.  First come ``ROUNDS`` rounds of hooking: of ``HOOKED`` nodes one is dealt into random
 blocks, each set proposes the one most like it, proposals are confirmed, and confirmed links are contracted to components.
 So a group of n near copies becomes one component for about n comparisons on full sets a round, and a node of one component is
-done.  Then, by small nodes, all that is left between different components is proposed: nothing is capped, and no
+done.  Then, by small nodes, all that is left between different components is proposed, each pair in the first tree that has both in one small node: nothing is capped, and no
 connection between different texts is lost.  A node that stays large after ``LEVELS`` branchings is treated as small ones are.
 Proposals are pairs whose sketches agree up to 4.5 standard deviations below the threshold; every link is confirmed on
 full sets.
@@ -39,7 +39,7 @@ from docfold.llm.words import WordHasher, _table, mix, shingle_sets, slices, tex
 from docfold.scratch import Scratch
 
 TREES, COORDINATES, LEVELS, BRANCHES = 16, 64, 4, 2.0
-BLOCK, LEAF, ROUNDS = 512, 64, 2
+BLOCK, LEAF, ROUNDS, HOOKED = 512, 64, 2, 4
 SHINGLE, THRESHOLD = 5, 80
 
 _SKETCH = "id long, n long, k1 long, k2 long, roots array<long>, sketch binary"
@@ -108,13 +108,13 @@ def set_batches(k: int):
 
 #: Roles of the rows of a block: compared with all, asked about, or held against those that ask.
 BOTH, ASKS, HELD = 0, 1, 2
-_LAID = ["node", "part", "role", "id", "n", "c", "sketch"]
+_LAID = ["node", "part", "role", "id", "n", "c", "tree", "mask", "sketch"]
 
 
 def _proposals(t: pa.Table, least: float, threshold: int, best: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(asker, other, agreement) of the rows of one block: of each asker the best other, or all."""
-    role, ids, n, c = (t.column(i).to_numpy() for i in (2, 3, 4, 5))
-    sketch = np.frombuffer(b"".join(t.column(6).to_pylist()), np.uint32).reshape(-1, COORDINATES)
+    role, ids, n, c, tree, mask = (t.column(i).to_numpy() for i in (2, 3, 4, 5, 6, 7))
+    sketch = np.frombuffer(b"".join(t.column(8).to_pylist()), np.uint32).reshape(-1, COORDINATES)
     asks, held = np.flatnonzero(role != HELD), np.flatnonzero(role != ASKS)
     out = []
     for lo in range(0, len(asks), 32):
@@ -131,6 +131,11 @@ def _proposals(t: pa.Table, least: float, threshold: int, best: bool) -> tuple[n
             out.append((ids[x[hit]], ids[held[ranked[hit]]], top[hit]))
         else:
             i, j = np.nonzero(agree >= least)
+            a, b = sketch[x[i]], sketch[held[j]]
+            met = (a[:, :TREES] == b[:, :TREES]) & (a[:, TREES : 2 * TREES] == b[:, TREES : 2 * TREES])
+            both = (mask[x[i]] & mask[held[j]])[:, None] >> np.arange(TREES) & 1
+            new = ~(met & (both == 1) & (np.arange(TREES) < tree[0])).any(axis=1)  # not in a small node of an earlier tree
+            i, j = i[new], j[new]
             out.append((ids[x[i]], ids[held[j]], agree[i, j]))
     return tuple(np.concatenate(x) for x in zip(*out, strict=True))
 
@@ -202,7 +207,8 @@ class ChosenPathJoin:
     def hooks(self, rows: DataFrame, turn: int) -> DataFrame:
         """Of each set the pair (u, v) with the one most like it in a random block of a node."""
         block = F.pmod(F.xxhash64("id", F.lit(turn)), F.ceil(F.col("m") / BLOCK)).alias("part")
-        laid = self.shared(rows).select("node", block, F.lit(BOTH).alias("role"), "id", "n", "c")
+        some = rows.where(F.pmod("node", F.lit(HOOKED)) == turn % HOOKED)
+        laid = self.shared(some).select("node", block, F.lit(BOTH).alias("role"), "id", "n", "c", F.lit(0).alias("tree"), F.lit(0).cast("long").alias("mask"))
         best = self.proposed(laid, True).groupBy("u").agg(F.max(F.struct("agree", (-F.col("v")).alias("less")))["less"].alias("less"))
         return best.select(F.greatest("u", -F.col("less")).alias("u"), F.least("u", -F.col("less")).alias("v")).distinct()
 
@@ -212,21 +218,24 @@ class ChosenPathJoin:
         for level in range(LEVELS + 1):
             rows = self.scratch.write(self.shared(rows), f"level{level}")
             small = F.lit(True) if level == LEVELS else (F.col("m") <= BLOCK) | (F.col("rest") <= LEAF)
-            whole = rows.where(F.col("m") <= BLOCK).select("node", F.lit(0).cast("long").alias("part"), F.lit(BOTH).alias("role"), "id", "n", "c")
+            if level == 0:  # the trees whose first node is small, by set
+                masks = self.scratch.write(rows.where(small).groupBy("id").agg(F.bit_or(F.expr("shiftleft(1L, tree)")).alias("mask")), "masks")
+            rows = rows.join(masks, "id", "left").withColumn("mask", F.coalesce("mask", F.lit(0)).cast("long"))
+            whole = rows.where(F.col("m") <= BLOCK).select("node", F.lit(0).cast("long").alias("part"), F.lit(BOTH).alias("role"), "id", "n", "c", "tree", "mask")
             wide = rows.where((F.col("m") > BLOCK) & small)
             blocks, asking = F.ceil(F.col("m") / BLOCK), F.ceil(F.col("rest") / BLOCK)
             mine = lambda n: F.pmod(F.xxhash64("id"), n)
             each = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), n - 1))
             part = (F.col("r") * (1 << 24) + F.col("j")).alias("part")
-            held = wide.select("node", each(asking).alias("r"), mine(blocks).alias("j"), F.lit(HELD).alias("role"), "id", "n", "c")
-            asks = wide.where("c <> main").select("node", mine(asking).alias("r"), each(blocks).alias("j"), F.lit(ASKS).alias("role"), "id", "n", "c")
-            laid = whole.unionByName(held.unionByName(asks).select("node", part, "role", "id", "n", "c"))
+            held = wide.select("node", each(asking).alias("r"), mine(blocks).alias("j"), F.lit(HELD).alias("role"), "id", "n", "c", "tree", "mask")
+            asks = wide.where("c <> main").select("node", mine(asking).alias("r"), each(blocks).alias("j"), F.lit(ASKS).alias("role"), "id", "n", "c", "tree", "mask")
+            laid = whole.unionByName(held.unionByName(asks).select("node", part, "role", "id", "n", "c", "tree", "mask"))
             found.append(self.scratch.write(self.proposed(laid, False), f"pairs{level}"))
             large = rows.where(~small)
             if level == LEVELS or large.isEmpty():
                 break
             large = large.select("node", "id", "n", "c").join(self.reps.select("id", "sketch"), "id").select("node", "id", "n", "c", "sketch")
-            rows = self.scratch.write(large.mapInArrow(branch_batches, "node long, id long, n long, c long"), f"branch{level}")
+            rows = self.scratch.write(large.mapInArrow(branch_batches, "node long, id long, n long, c long").withColumn("tree", F.lit(TREES)), f"branch{level}")
         whole = found[0]
         for x in found[1:]:
             whole = whole.unionByName(x)
@@ -268,10 +277,10 @@ class ChosenPathJoin:
         reps = self.scratch.write(reps.select("id", "n", "roots", "sketch"), "reps")
         self.scratch.drop(all_)
         self.reps, self.sets = reps, []
-        top = reps.select(F.explode("roots").alias("node"), "id", "n")
+        top = reps.select(F.posexplode("roots").alias("tree", "node"), "id", "n")
         top = self.scratch.write(top.join(top.groupBy("node").count().where("count > 1").select("node"), "node", "left_semi"), "top")
         now = self.scratch.write(self.spark.createDataFrame([], "id long, c long"), "components")
-        placed = lambda: top.join(now, "id", "left").select("node", "id", "n", F.coalesce("c", "id").alias("c"))
+        placed = lambda: top.join(now, "id", "left").select("node", "id", "n", F.coalesce("c", "id").alias("c"), "tree")
         for turn in range(ROUNDS):
             now = self.contracted(self.hooks(placed(), turn), now)
         now = self.contracted(self.rest_pairs(placed()), now)

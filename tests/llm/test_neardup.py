@@ -58,6 +58,16 @@ def test_agrees_with_all_pairs(spark):
         assert all(r.kept == (r.doc_id == r.component_id) for r in got)
 
 
+def test_large_nodes(spark, monkeypatch):
+    """Nodes are dealt into blocks, branched, and compared by rest and block."""
+    monkeypatch.setattr(neardup, "BLOCK", 6)
+    monkeypatch.setattr(neardup, "LEAF", 3)
+    monkeypatch.setattr(neardup, "LEVELS", 1)
+    docs = corpus(8)
+    got = neardup.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string"), k=3, threshold=85).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute(docs, 3, 85)
+
+
 def test_edges(spark):
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert neardup.near_duplicates(empty).count() == 0
