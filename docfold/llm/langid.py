@@ -108,7 +108,8 @@ def count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             if size[lang] > PIECE:
                 count(lang)
         for lang in list(held):
-            count(lang)
+            if held[lang]:
+                count(lang)
             keys, n = counted(np.concatenate([a for a, _ in found[lang]]), np.concatenate([n for _, n in found[lang]]))
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(keys), pa.string()), pa.array(keys.view(np.int64)), pa.array(n, pa.int64())], ["lang", "gram", "n"])
 
