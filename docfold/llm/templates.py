@@ -5,12 +5,16 @@ word with a digit is a variable and reads ``<*>``.  Within a leaf, lines with at
 template if they agree in every second of the remaining words: the words between are the template's variable fields, so
 a line has two templates, one for each half.  Shorter lines must agree in all words but those with digits.
 
-A template recurs if it is met in new company in at least ``DOCUMENTS`` documents, and in one of ``SHARE`` of its lines at least.  Its
-company is the line before and the line after.  So boilerplate, which stands in different texts, recurs, while the lines
-of copied documents do not: near-duplicate removal is left to decide about those.  Lines of recurring templates are
-dropped wherever they are.
+A template recurs if at least ``DOCUMENTS`` different documents hold it, and it is in one of ``SHARE`` of its lines at least.
+Documents are counted by classes of copies: whole texts that are equal, or nearly equal (``SHINGLE`` words, ``ALIKE`` percent,
+through any chain of such texts), are one.  So the lines of copied documents do not recur by being copied, and near-duplicate
+removal is left to decide about those; the lines around a line, blank or not, have no say.  Lines of recurring templates are dropped wherever they are.
 
-Everything is counted by hashes: first per template and company, then per template and document, then per template, each with partial
+Nearly equal texts are found by the ``SKETCH`` smallest hashes of their shingles.  Texts that agree in the two smallest of one of ``BANDS``
+parts of these are held against one text of each such group, and linked if the sketches agree; links are contracted to components.  A pair at
+the threshold meets in a band with a probability over 0.999; its likeness is judged with a standard error of 5 points.
+
+Everything is counted by hashes: first per template and document, then per template and class, then per template, each with partial
 sums before its shuffle, so a line in a third of all rows costs its tasks no more than others.
 
 Definitions.  A null text stays null; lines without words always stay, as does the order of the rest.  Rows that repeat an id, or have none,
@@ -23,9 +27,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docfold.llm.columns import WORD, fresh, let, row_key, words
+from docfold.llm.components import components
 from docfold.scratch import Scratch
 
 LEAD, WIDE, DOCUMENTS, SHARE = 3, 6, 5, 5
+SHINGLE, ALIKE, SKETCH, BANDS = 5, 80, 64, 8
 
 
 def _masked(line: Column) -> Column:
@@ -33,26 +39,53 @@ def _masked(line: Column) -> Column:
 
 
 def _keys(tokens: Column) -> Column:
-    """The hash of the line itself and the hashes of its templates."""
+    """The hashes of a line's templates."""
     n = F.size(tokens)
     half = lambda r: F.xxhash64(n, F.lit(r), F.filter(tokens, lambda w, i: (i < LEAD) | (i % 2 == r)))
-    return F.struct(F.xxhash64(tokens).alias("line"), F.when(n >= WIDE, F.array(half(0), half(1))).otherwise(F.array(F.xxhash64(n, F.lit(2), tokens))).alias("templates"))
+    return F.when(n >= WIDE, F.array(half(0), half(1))).otherwise(F.array(F.xxhash64(n, F.lit(2), tokens)))
 
 
 def _lines(docs: DataFrame, key: Column, text_col: str) -> DataFrame:
-    """(doc, pos, template, before, after): a row for each template of each line that has words."""
+    """(doc, pos, template): a row for each template of each line that has words."""
     keyed = F.transform(F.split(F.col(text_col), "\n"), lambda x: F.when(x.rlike(WORD), let(_masked(x), _keys)))
-    rows = docs.select(key.alias("doc"), keyed.alias("k")).select("doc", "k", F.posexplode("k").alias("pos", "one")).where("one is not null")
-    near = lambda step: F.coalesce(F.get(F.col("k"), F.col("pos") + step)["line"], F.lit(0)).alias("before" if step < 0 else "after")
-    return rows.select("doc", "pos", F.explode("one.templates").alias("template"), near(-1), near(1))
+    rows = docs.select(key.alias("doc"), F.posexplode(keyed).alias("pos", "templates")).where("templates is not null")
+    return rows.select("doc", "pos", F.explode("templates").alias("template"))
+
+
+def _sketch(text: Column) -> Column:
+    """The smallest hashes of a text's shingles, in order; a text with fewer words than a shingle has one, all of its words."""
+    shingle = lambda h: lambda i: F.xxhash64(*(F.get(h, i + j) for j in range(SHINGLE)))
+    every = lambda h: F.transform(F.sequence(F.lit(0), F.greatest(F.size(h) - SHINGLE, F.lit(0))), shingle(h))
+    hashes = let(F.transform(words(text), lambda w: F.xxhash64(w)), lambda h: F.when(F.size(h) < SHINGLE, F.array(F.xxhash64(h))).otherwise(every(h)))
+    return F.slice(F.array_sort(F.array_distinct(hashes)), 1, SKETCH)
+
+
+def _classes(docs: DataFrame, scratch: Scratch, key: Column, text_col: str) -> DataFrame:
+    """(doc, class): each document with the one that stands for its copies."""
+    known = docs.where(F.col(text_col).rlike(WORD)).select(key.alias("doc"), F.xxhash64(text_col).alias("whole"), _sketch(F.col(text_col)).alias("sketch"))
+    known = scratch.write(known, "sketches")
+    equal = known.groupBy("whole").agg(F.min("doc").alias("class"))
+    first = known.join(equal.select(F.col("class").alias("doc"), "whole").hint("merge"), ["doc", "whole"], "left_semi").dropDuplicates(["doc"])
+    first = scratch.write(first.select("doc", "sketch"), "first")
+    parts = F.array(*(F.xxhash64(F.lit(b), F.slice(F.filter("sketch", lambda x, b=b: F.pmod(x, F.lit(BANDS)) == b), 1, 2)) for b in range(BANDS)))
+    bands = scratch.write(first.select("doc", F.explode(F.array_distinct(parts)).alias("band")), "bands")
+    met = bands.groupBy("band").agg(F.min("doc").alias("v"), F.count("*").alias("n")).where("n > 1")
+    pairs = bands.join(met.hint("merge"), "band").where("doc <> v").select(F.col("doc").alias("u"), "v").distinct()
+    side = lambda name: first.select(F.col("doc").alias(name), F.col("sketch").alias(f"{name}_sketch")).hint("merge")
+    least = F.slice(F.array_sort(F.array_union("u_sketch", "v_sketch")), 1, SKETCH)
+    alike = let(least, lambda x: 100 * F.size(F.array_intersect(F.array_intersect("u_sketch", "v_sketch"), x)) >= ALIKE * F.size(x))
+    links = pairs.join(side("u"), "u").join(side("v"), "v").where(alike).select("u", "v")
+    near = components(links, scratch).select(F.col("id").alias("class"), "component")
+    same = known.select("doc", "whole").join(equal.hint("merge"), "whole").select("doc", "class").distinct()
+    return scratch.write(same.join(near.hint("merge"), "class", "left").select("doc", F.coalesce("component", "class").alias("class")), "classes")
 
 
 def dropped_lines(docs: DataFrame, scratch: Scratch, key: Column, text_col: str = "text") -> DataFrame:
     """(doc, dropped): the places of the lines that go, for each document that loses any."""
     lines = scratch.write(_lines(docs, key, text_col), "lines")
-    company = lines.groupBy("template", "before", "after").agg(F.count("*").alias("n"), F.min("doc").alias("doc"))
-    first = company.groupBy("template", "doc").agg(F.sum("n").alias("n"))
-    recurring = first.groupBy("template").agg(F.count("*").alias("docs"), F.sum("n").alias("n")).where(f"docs >= {DOCUMENTS} and {SHARE} * docs >= n")
+    by_doc = lines.join(_classes(docs, scratch, key, text_col).hint("merge"), "doc").groupBy("template", "class", "doc").agg(F.count("*").alias("n"))
+    by_class = by_doc.groupBy("template", "class").agg(F.sum("n").alias("n"))
+    recurring = by_class.groupBy("template").agg(F.count("*").alias("docs"), F.sum("n").alias("n")).where(f"docs >= {DOCUMENTS} and {SHARE} * docs >= n")
     recurring = scratch.write(recurring.select("template"), "recurring")
     gone = lines.join(recurring, "template", "left_semi").groupBy("doc").agg(F.collect_set("pos").alias("dropped"))
     return scratch.write(gone, "gone")

@@ -57,6 +57,19 @@ def test_templates(spark):
     assert sorted(r.doc_id for r in templates.drop_templates(only).collect()) == list(range(1, 7))
 
 
+def test_templates_of_blocks(spark):
+    letters = "abcdefghijklmnopqrst"
+    own = lambda i, n: " ".join(f"{x}{letters[i]}" for x in letters[:n])
+    framed = [(i, f"{own(i, 9)}\n\nAll rights reserved\n\n{own(i, 12)}") for i in range(20)]
+    block = [(100 + i, f"Top of site\nSecond of top\n{own(i, 14)}\nFooter one here\nFooter two here\nFooter three here") for i in range(20)]
+    base = [f"{x}{y}" for x in letters for y in letters[:15]]
+    near = [(200 + i, "\n".join([" ".join(base[:100]), "clean line of copies", " ".join([*base[100:200], letters[i]]), " ".join(base[200:])])) for i in range(20)]
+    df = spark.createDataFrame(framed + block + near, "doc_id long, text string")
+    got = {r.doc_id: r.kept_text for r in templates.without_templates(df).collect()}
+    assert all(got[i] == f"{own(i, 9)}\n\n\n{own(i, 12)}" and got[100 + i] == own(i, 14) for i in range(20))
+    assert all(got[i] == text for i, text in near)  # near copies are left alone
+
+
 def level(sizes, weights, share=1.5, most=2.0):
     """Targets by resharing the excess until none is above."""
     total, capped = share * sum(sizes), set()
