@@ -5,8 +5,8 @@ word with a digit is a variable and reads ``<*>``.  Within a leaf, lines with at
 template if they agree in every second of the remaining words: the words between are the template's variable fields, so
 a line has two templates, one for each half.  Shorter lines must agree in all words but those with digits.
 
-A template recurs if at least ``DOCUMENTS`` different documents hold it, and it is in one of ``SHARE`` of its lines at least.
-Documents are counted by classes of copies: whole texts that are equal, or nearly equal (``SHINGLE`` words, ``ALIKE`` percent,
+A template recurs if at least ``DOCUMENTS`` different documents hold it, and in one of ``SHARE`` of its lines at least,
+where a class of copies counts the lines of the one that holds most.  Documents are counted by classes of copies: whole texts that are equal, or nearly equal (``SHINGLE`` words, ``ALIKE`` percent,
 through any chain of such texts), are one.  So the lines of copied documents do not recur by being copied, and near-duplicate
 removal is left to decide about those; the lines around a line, blank or not, have no say.  Lines of recurring templates are dropped wherever they are.
 
@@ -61,7 +61,7 @@ def _sketch(text: Column) -> Column:
 
 
 def _classes(docs: DataFrame, scratch: Scratch, key: Column, text_col: str) -> DataFrame:
-    """(doc, class): each document with the one that stands for its copies."""
+    """(doc, class, rows): each document with the one that stands for its copies, and its number of equal rows."""
     known = docs.where(F.col(text_col).rlike(WORD)).select(key.alias("doc"), F.xxhash64(text_col).alias("whole"), _sketch(F.col(text_col)).alias("sketch"))
     known = scratch.write(known, "sketches")
     equal = known.groupBy("whole").agg(F.min("doc").alias("class"))
@@ -76,15 +76,15 @@ def _classes(docs: DataFrame, scratch: Scratch, key: Column, text_col: str) -> D
     alike = let(least, lambda x: 100 * F.size(F.array_intersect(F.array_intersect("u_sketch", "v_sketch"), x)) >= ALIKE * F.size(x))
     links = pairs.join(side("u"), "u").join(side("v"), "v").where(alike).select("u", "v")
     near = components(links, scratch).select(F.col("id").alias("class"), "component")
-    same = known.select("doc", "whole").join(equal.hint("merge"), "whole").select("doc", "class").distinct()
-    return scratch.write(same.join(near.hint("merge"), "class", "left").select("doc", F.coalesce("component", "class").alias("class")), "classes")
+    same = known.groupBy("doc", "whole").agg(F.count("*").alias("rows")).join(equal.hint("merge"), "whole").select("doc", "class", "rows")
+    return scratch.write(same.join(near.hint("merge"), "class", "left").select("doc", F.coalesce("component", "class").alias("class"), "rows"), "classes")
 
 
 def dropped_lines(docs: DataFrame, scratch: Scratch, key: Column, text_col: str = "text") -> DataFrame:
     """(doc, dropped): the places of the lines that go, for each document that loses any."""
     lines = scratch.write(_lines(docs, key, text_col), "lines")
-    by_doc = lines.join(_classes(docs, scratch, key, text_col).hint("merge"), "doc").groupBy("template", "class", "doc").agg(F.count("*").alias("n"))
-    by_class = by_doc.groupBy("template", "class").agg(F.sum("n").alias("n"))
+    by_doc = lines.join(_classes(docs, scratch, key, text_col).hint("merge"), "doc").groupBy("template", "class", "doc", "rows").agg((F.count("*") / F.col("rows")).alias("n"))
+    by_class = by_doc.groupBy("template", "class").agg(F.max("n").alias("n"))
     recurring = by_class.groupBy("template").agg(F.count("*").alias("docs"), F.sum("n").alias("n")).where(f"docs >= {DOCUMENTS} and {SHARE} * docs >= n")
     recurring = scratch.write(recurring.select("template"), "recurring")
     gone = lines.join(recurring, "template", "left_semi").groupBy("doc").agg(F.collect_set("pos").alias("dropped"))

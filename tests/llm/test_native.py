@@ -70,6 +70,18 @@ def test_templates_of_blocks(spark):
     assert all(got[i] == text for i, text in near)  # near copies are left alone
 
 
+def test_templates_with_copies(spark):
+    own = lambda i: " ".join(f"{x}{y}{'abcdefghij'[i]}" for x in "abcdef" for y in "uvwxyz")
+    docs = [(i, f"{own(i)}\nAll rights reserved by us") for i in range(10)]
+    copied = docs + [(100 + i, docs[3][1]) for i in range(90)] + [docs[4]] * 90
+    refrain = [(1000 + i, "\n".join([own(i).upper(), *["Yes he said"] * 9])) for i in range(10)]
+    for rows in (docs, copied):
+        df = spark.createDataFrame(rows + refrain, "doc_id long, text string")
+        got = {r.doc_id: r.kept_text for r in templates.without_templates(df).collect()}
+        assert all(got[i] == own(i) for i in range(10)) and got.get(189, own(3)) == own(3)
+        assert all(got[i] == text for i, text in refrain)
+
+
 def level(sizes, weights, share=1.5, most=2.0):
     """Targets by resharing the excess until none is above."""
     total, capped = share * sum(sizes), set()
