@@ -6,6 +6,8 @@ article, or neither) and whether it is a heading.  A decision tree, trained on t
 
 Definitions.  A null or empty page has the empty text.  Character references are decoded, white space inside a block is
 one space, blocks are joined in page order by an empty line, and nothing is dropped or capped beside what is classified.
+Not read are scripts, styles, titles and text areas, to their end tag or the end of the page, and embedded elements and forms' controls, to
+their end tag or the end of the block around them; a head without end tag ends with the first tag or text that is none of a head's.
 A line break within a block is white space.  Pages are judged one by one, so repeated rows are judged alike.  Only the
 columns named are read.  An empty table gives an empty result.
 """
@@ -27,7 +29,10 @@ BLOCKS = set(
     "frameset h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol optgroup option p pre section summary table tbody td tfoot "
     "th thead tr ul".split()
 )
-UNREAD = "script style noscript template svg iframe textarea select button object embed audio video canvas math title head".split()
+RAW = "script style textarea title".split()
+UNREAD = set("noscript template svg iframe select button object audio video canvas math head".split())
+IN_HEAD = set("base basefont bgsound head html link meta noframes noscript script style template title".split())
+DRAWN = set("svg math".split())
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 APART = set("nav footer aside form menu dialog".split())
 MAIN = set("article main".split())
@@ -151,10 +156,10 @@ def train(table: list[tuple[int, ...]] = LABELLED) -> Tree:
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
-    rf"|<(?P<unread>{'|'.join(UNREAD)})\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</(?P=unread)\s*>|\Z)"
     r"|<(?P<end>/?)(?P<name>[a-z][a-z0-9:-]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)",
     re.S | re.I,
 )
+_RAW_END = {name: re.compile(rf"</{name}(?=[\s/>])[^>]*>", re.I) for name in RAW}
 _ATTR = re.compile(r"([a-z-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _NAMES = re.compile(r"[^a-z0-9]+")
 _CLOSED_BY = {"p": BLOCKS, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "tbody", "tfoot", "thead"}, "td": {"td", "th", "tr"}, "th": {"td", "th", "tr"}, "option": {"option", "optgroup"}}
@@ -187,6 +192,16 @@ def _place(name: str, attrs: str, inside: int) -> int:
     return inside
 
 
+def _unread_ends(name: str, unread: list[str], stack: list[tuple[str, int]]) -> bool:
+    """Does the start tag end the unread element ``unread[0]``, whose end tag is left out?"""
+    if unread[-1] == "head":
+        return name not in IN_HEAD
+    if name == unread[0] and name in ("button", "select"):
+        return True
+    block = next((x for x, _ in reversed(stack) if x in BLOCKS), "p")
+    return block != "p" and name in _CLOSED_BY.get(block, ()) and not any(x in ("ul", "ol", "dl", "table", "select") for x in unread)
+
+
 def blocks(page: str) -> list[tuple[str, int, int, int, int]]:
     """(text, words, link density, place, heading) of each flat block that has text."""
     out: list[tuple[str, int, int, int, int]] = []
@@ -217,16 +232,44 @@ def blocks(page: str) -> list[tuple[str, int, int, int, int]]:
         if raw:
             parts.append((html.unescape(raw) if "&" in raw else raw, any(name == "a" for name, _ in stack)))
 
-    at = 0
-    for m in _TOKEN.finditer(page):
-        text(page[at : m.start()])
+    at, unread = 0, []  # the open unread element and what is open in it
+    while m := _TOKEN.search(page, at):
+        raw = page[at : m.start()]
+        if unread == ["head"] and raw.strip():
+            unread.clear()
+        if not unread:
+            text(raw)
         at = m.end()
         name = m["name"]
         if name is None:
-            if m["unread"]:
-                parts.append((" ", False))
             continue
         name = name.lower()
+        closed = m["attrs"].endswith("/") and (name in DRAWN or any(x in DRAWN for x in unread))
+        if name in RAW and not m["end"] and not closed:
+            over = _RAW_END[name].search(page, at)
+            at = over.end() if over else len(page)
+            if not unread:
+                parts.append((" ", False))
+            continue
+        if unread:
+            if m["end"]:
+                if name in unread:
+                    del unread[len(unread) - 1 - unread[::-1].index(name) :]
+                    continue
+                if name not in BLOCKS or all(x != name for x, _ in stack):
+                    continue
+                unread.clear()  # its end tag is left out: it ends with the block around it
+            elif _unread_ends(name, unread, stack):
+                unread.clear()
+            else:
+                if name not in VOID and not closed:
+                    unread.append(name)
+                continue
+        if name in UNREAD and not m["end"]:
+            parts.append((" ", False))
+            if not closed:
+                unread.append(name)
+            continue
         if name == "br":
             parts.append((" ", False))
             continue
@@ -251,7 +294,8 @@ def blocks(page: str) -> list[tuple[str, int, int, int, int]]:
             close("a")
         inside = next((p for _, p in reversed(stack)), 0)
         stack.append((name, _place(name, m["attrs"], inside)))
-    text(page[at:])
+    if not unread or (unread == ["head"] and page[at:].strip()):
+        text(page[at:])
     flush()
     return out
 

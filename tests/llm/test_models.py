@@ -76,6 +76,26 @@ def test_rare_words_are_joined(spark, monkeypatch):
         assert (r.n_known, r.n_tokens) == (want[r.doc_id].n_known, want[r.doc_id].n_tokens) and abs(r.base_score - want[r.doc_id].base_score) < 1e-6
 
 
+def test_unread_without_end_tag():
+    tree, body = extraction.train(), " ".join(f"word{i}" for i in range(60))
+    article = f"<article><p>{body}</p></article>"
+    for page in (
+        f"<html><head><title>T</title><meta charset=x><body>{article}",
+        f"<head><title>T</title><noscript><style>p</style></noscript>{article}",
+        f"<head><title>T</title></head><body><div><button>Go</div>{article}",
+        f"<body><ul><li><select><option>One<li>Two</ul>{article}</body>",
+        f"<body><div><object data=x></div>{article}<div><object></object></div>",
+        f"<body><embed src=x>{article}",
+        f"<body><svg width=1 />{article}<svg><title/><path/></svg>",
+        f"<body><div><svg><title/><style/><g></svg></div>{article}",
+        f"<body><svg-icon name=x></svg-icon><button-group>{article}",
+    ):
+        assert extraction.main_text(page, tree) == body, page
+    hidden = "<template><div><template>a</template>b</div></template><svg><svg></svg><text>c</text></svg><button><p>d</p></button><script>'</div>'"
+    assert extraction.main_text(f"<body>{article}<div>{hidden}", tree) == body
+    assert extraction.blocks(f"<body>{hidden}") == []
+
+
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style></head><body><header><h1>Site name</h1></header>
 <nav><ul><li><a href=/>Home</a><li><a href=/n>News</a></ul></nav><div class="cookie-notice">We use cookies, which is a long sentence that you must read before all else.</div>
 <article><h1>A &amp; B</h1><p>First   paragraph has <b>bold</b> and <a href=/x>a link</a> in it,<br>and runs on.<p>Tiny.</p><script>var x = "<p>no</p>";</script>
