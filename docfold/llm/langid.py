@@ -4,7 +4,7 @@ The profile of a language is the order of its most frequent n-grams; a text gets
 to the order of its own most frequent n-grams by out-of-place distance.
 
 N-grams are of 1 to ``LONGEST`` bytes of UTF-8, with A-Z lower-cased, every other byte that is no letter's read as a
-space, and none that holds two spaces.  Texts are counted whole, and profiles are learned from all training texts.
+space, and none that is a space or holds two in a row.  Texts are counted whole, and profiles are learned from all training texts.
 
 Definitions.  A null text, or one without a letter, is ``und`` with score 0.  Equal counts are ordered by the n-gram's
 bytes, equal distances by the language's code points.  Without training texts every text is ``und``.  Rows are judged one
@@ -50,8 +50,9 @@ def grams(text: np.ndarray) -> np.ndarray:
         if m <= 0:
             break
         key = (key[:m] << np.uint64(8)) | wide[n - 1 :]
-        bad = bad[:m] | double[n - 2 : n - 2 + m] if n > 1 else blank
-        out.append(key[~bad] | np.uint64(n << 56))
+        if n > 1:
+            bad = bad[:m] | double[n - 2 : n - 2 + m]
+        out.append(key[~(bad if n > 1 else blank)] | np.uint64(n << 56))
     return np.concatenate(out) if out else np.zeros(0, np.uint64)
 
 

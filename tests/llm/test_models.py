@@ -33,6 +33,14 @@ def test_grams_of_long_texts(monkeypatch):
     assert all((a == b).all() for a, b in zip(whole, langid.text_grams(text), strict=True))
 
 
+def test_grams_at_word_starts():
+    text = b"a  the de"
+    want = {text[i : i + n] for n in range(1, langid.LONGEST + 1) for i in range(len(text) - n + 1)}
+    want = {g for g in want if g != b" " and b"  " not in g}
+    got = {int(x & np.uint64(2**56 - 1)).to_bytes(int(x >> np.uint64(56)), "big") for x in langid.grams(np.frombuffer(text, np.uint8))}
+    assert got == want and b" th" in got and b" de" in got
+
+
 def test_scores(spark):
     texts = {i: t for i, t in enumerate(["the cat sat on the mat", "the dog ###", None, "", "Ünïcode the CAT", "x" * 100 + " the"] * 4)}
     df = spark.createDataFrame(list(texts.items()), "doc_id long, text string").withColumn("word", F.lit(1))
