@@ -15,8 +15,8 @@ blocks, each set proposes the one most like it, proposals are confirmed, and con
 So a group of n near copies becomes one component for about n comparisons on full sets a round, and a node of one component is
 done.  Then, by small nodes, all that is left between different components is proposed, each pair in the first tree that has both in one small node: nothing is capped, and no
 connection between different texts is lost.  A node that stays large after ``LEVELS`` branchings is treated as small ones are.
-Proposals are pairs whose sketches agree up to 4.5 standard deviations below the threshold; every link is confirmed on
-full sets.
+Proposals are pairs whose sketches agree up to 4.5 standard deviations below the threshold, which a pair at 0.85 misses with a
+probability of 3.0e-5 and one at 0.80 with 1.4e-5; every link is confirmed on full sets.
 
 Definitions.  Rows of one id are one document, that of its smallest set hash.  A null or empty text, or one without
 words, has an empty set and is linked with nothing.  A text with fewer words than a shingle has one shingle, all of its
