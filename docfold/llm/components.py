@@ -33,6 +33,13 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return moved.unionByName(least.select("u", F.col("m").alias("v"))).distinct()
 
 
+def _settled(edges: DataFrame) -> bool:
+    """Stars only: no centre hangs on another, and no member on two."""
+    ends = edges.select(F.explode(F.array(F.struct(F.col("u").alias("x"), F.lit(1).alias("hangs"), F.lit(0).alias("holds")), F.struct(F.col("v").alias("x"), F.lit(0).alias("hangs"), F.lit(1).alias("holds")))).alias("e"))
+    degrees = ends.select("e.*").groupBy("x").agg(F.sum("hangs").alias("hangs"), F.max("holds").alias("holds"))
+    return degrees.where("hangs > 1 or hangs = 1 and holds = 1").isEmpty()
+
+
 def _stars(edges: DataFrame) -> DataFrame:
     centres = edges.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct()
     return edges.select(F.col("u").alias("id"), F.col("v").alias("component")).unionByName(centres)
@@ -45,7 +52,6 @@ def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
         new = scratch.write(_small_star(_large_star(edges)), "edges")
         scratch.drop(edges)
         edges = new
-        # Stars only: no centre hangs on another, and none hangs on two.
-        if edges.join(edges.select(F.col("u").alias("v")), "v", "left_semi").isEmpty() and edges.groupBy("u").count().where("count > 1").isEmpty():
+        if _settled(edges):
             return _stars(edges)
     raise RuntimeError(f"components did not settle in {MAX_ROUNDS} rounds")

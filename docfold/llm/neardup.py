@@ -3,20 +3,22 @@
 Method.  A document is the set of its distinct word shingles.  Documents of one set are one class, found by a strong
 hash; only one of a class goes on.  Each set is embedded by minwise hashing into ``COORDINATES`` tokens (coordinate,
 smallest hash).  A node of a tree holds the sets that share a path of such tokens.  ``TREES`` independent trees start
-with a path of two tokens each, as nodes of one token are never small.  Nodes of at most ``BLOCK`` sets, or of at most
-``LEAF`` outside their main component (below), are small and are compared exhaustively.  A larger node is branched: every coordinate is
-chosen by a hash of the node with a probability that makes ``BRANCHES`` children of a set in the mean, so that a pair at
-the threshold is expected to share more than one of them.  A pair at similarity 0.85 shares a first node with a probability
-over 1 - 1e-8, a node after one branching over 0.999999, after two over 0.99999.
-
-Comparing without all pairs of a group.  Within a node sets are compared by their sketches, in blocks of bounded size, and
-a set is proposed only to sets of other components.  First come ``ROUNDS`` rounds of hooking: of ``HOOKED`` nodes one is dealt into random
-blocks, each set proposes the one most like it, proposals are confirmed, and confirmed links are contracted to components.
-So a group of n near copies becomes one component for about n comparisons on full sets a round, and a node of one component is
-done.  Then, by small nodes, all that is left between different components is proposed, each pair in the first tree that has both in one small node: nothing is capped, and no
-connection between different texts is lost.  A node that stays large after ``LEVELS`` branchings is treated as small ones are.
-Proposals are pairs whose sketches agree up to 4.5 standard deviations below the threshold, which a pair at 0.85 misses with a
-probability of 3.0e-5 and one at 0.80 with 1.4e-5; every link is confirmed on full sets.
+with a path of two tokens each, as nodes of one token are never small.  Small nodes are compared exhaustively.  A larger
+node is branched: every coordinate is chosen by a hash of the node with a probability that makes ``BRANCHES`` children of a
+set in the mean, so that a pair at the threshold is expected to share more than one of them.
+
+Comparing without all pairs of a group.  A node is dealt into blocks of about ``BLOCK`` sets and ``WEIGHT`` shingles.  In
+a block the sets are compared by their sketches of all coordinates; a set that comes near the threshold with one of
+another component brings its full set into the block, where links are confirmed, and the block gives only what joins its
+components, fewer rows than it has sets.  So nothing is capped, no connection between different texts is lost, and a group of n
+near copies, linked or just not, makes rows in proportion to n.  ``HOOKS`` trees come first, large nodes in random blocks;
+their links are contracted, and nodes of one component are done.  Then all nodes follow: small are those of one block,
+or with at most ``LEAF`` blocks outside their main component, which are held against all blocks.  A pair is compared in the first
+tree that has both in one small node.  A node that stays large after ``LEVELS`` branchings is treated as small ones are.
+
+Recall.  A pair at 0.85 shares no first node with a probability of 1e-9, one at 0.80 with 8e-8; in nodes branched four times
+about 1e-4 of pairs at 0.80 are missed, unless their group links them otherwise.  ``SLACK`` standard deviations below the
+threshold a sketch misses less than one in a million.
 
 Definitions.  Rows of one id are one document, that of its smallest set hash.  A null or empty text, or one without
 words, has an empty set and is linked with nothing.  A text with fewer words than a shingle has one shingle, all of its
@@ -27,6 +29,7 @@ any names.  An empty table gives an empty result.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,18 +37,22 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from docfold.llm.columns import fresh, row_key
 from docfold.llm.components import components
 from docfold.llm.words import WordHasher, _table, mix, shingle_sets, slices, text_bytes
 from docfold.scratch import Scratch
 
-TREES, COORDINATES, LEVELS, BRANCHES = 16, 64, 4, 2.0
-BLOCK, LEAF, ROUNDS, HOOKED = 512, 64, 2, 4
+TREES, HOOKS, COORDINATES, LEVELS, BRANCHES, SLACK = 16, 2, 128, 4, 2.0, 5.0
+BLOCK, WEIGHT, LEAF = 512, 1 << 21, 4
 SHINGLE, THRESHOLD = 5, 80
 
-_SKETCH = "id long, n long, k1 long, k2 long, roots array<long>, sketch binary"
+#: A sketch keeps 32 bits of the tokens that trees start with and 16 of the others.
+ROOTS = 2 * TREES
+SKETCH = 4 * ROOTS + 2 * (COORDINATES - ROOTS)
+_SKETCHED = "row long, id long, n long, k1 long, k2 long, roots array<long>, sketch binary, items binary"
 
 
-def _sketches(x: np.ndarray, seeds: np.ndarray) -> np.ndarray:
+def _smallest(x: np.ndarray, seeds: np.ndarray) -> np.ndarray:
     """The smallest of each permuted 32-bit hash; blocks keep the table small."""
     out = np.full(len(seeds), 2**32 - 1, np.uint32)
     folded = (x >> np.uint64(32)).astype(np.uint32)
@@ -54,32 +61,42 @@ def _sketches(x: np.ndarray, seeds: np.ndarray) -> np.ndarray:
     return out
 
 
-def _children(node: np.ndarray, sketch: np.ndarray, branches: float):
+def _tokens(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
+    """The tokens of sketches, a row each."""
+    raw = np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, SKETCH)
+    first, others = np.ascontiguousarray(raw[:, : 4 * ROOTS]), np.ascontiguousarray(raw[:, 4 * ROOTS :])
+    return np.hstack([first.view(np.uint32), others.view(np.uint16).astype(np.uint32)])
+
+
+def _children(node: np.ndarray, tokens: np.ndarray, branches: float):
     """(row, child) of all chosen coordinates: choice depends on the node and the coordinate, the child on its token too."""
-    place = _table(303, sketch.shape[1])
+    place = _table(303, tokens.shape[1])
     drawn = mix(node[:, None] ^ place[None, :])
-    row, c = np.nonzero(drawn < np.uint64(int(branches / sketch.shape[1] * 2**64)))
-    return row, mix(drawn[row, c] * np.uint64(0x9E3779B97F4A7C15) + sketch[row, c].astype(np.uint64))
+    row, c = np.nonzero(drawn < np.uint64(int(branches / tokens.shape[1] * 2**64)))
+    return row, mix(drawn[row, c] * np.uint64(0x9E3779B97F4A7C15) + tokens[row, c].astype(np.uint64))
 
 
 def sketch_batches(k: int):
+    """Of (row, id, text): the set with its size, strong hash, first nodes and sketch."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, seeds = WordHasher(), (_table(202, COORDINATES) | np.uint64(1)).astype(np.uint32)
         tree = _table(404, TREES)
-        for batch in (part for whole in batches for part in slices(whole, 1)):
-            data, offsets = text_bytes(batch.column(1))
+        for batch in (part for whole in batches for part in slices(whole, 2)):
+            data, offsets = text_bytes(batch.column(2))
             h, _, _, first = hasher.hashes(data, offsets)
-            n, keys, roots, sketches = [], [], [], []
+            n, keys, roots, sketches, items = [], [], [], [], []
             for x in shingle_sets(h, first, k):
                 n.append(len(x))
-                keys.append(np.frombuffer(hashlib.blake2b(x.tobytes(), digest_size=16).digest(), np.int64))
-                s = _sketches(x, seeds)
-                roots.append(mix((s[:TREES].astype(np.uint64) << np.uint64(32) | s[TREES : 2 * TREES]) ^ tree).view(np.int64) if len(x) else np.zeros(0, np.int64))
-                sketches.append(s.tobytes() if len(x) else None)
+                items.append(x.tobytes())
+                keys.append(np.frombuffer(hashlib.blake2b(items[-1], digest_size=16).digest(), np.int64))
+                s = _smallest(x, seeds)
+                roots.append(mix((s[:TREES].astype(np.uint64) << np.uint64(32) | s[TREES:ROOTS]) ^ tree).view(np.int64) if len(x) else np.zeros(0, np.int64))
+                sketches.append(s[:ROOTS].tobytes() + s[ROOTS:].astype(np.uint16).tobytes())
             keys = np.array(keys, np.int64).reshape(-1, 2)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n, pa.int64()), pa.array(keys[:, 0]), pa.array(keys[:, 1]), pa.array(roots, pa.list_(pa.int64())), pa.array(sketches, pa.binary())],
-                ["id", "n", "k1", "k2", "roots", "sketch"],
+                [batch.column(0), batch.column(1), pa.array(n, pa.int64()), pa.array(keys[:, 0]), pa.array(keys[:, 1]), pa.array(roots, pa.list_(pa.int64())), pa.array(sketches, pa.binary()), pa.array(items, pa.binary())],
+                ["row", "id", "n", "k1", "k2", "roots", "sketch", "items"],
             )
 
     return run
@@ -87,98 +104,119 @@ def sketch_batches(k: int):
 
 def branch_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        if not batch.num_rows:
-            continue
-        sketch = np.frombuffer(b"".join(batch.column(4).to_pylist()), np.uint32).reshape(-1, COORDINATES)
         for at in range(0, batch.num_rows, 2048):
-            row, child = _children(batch.column(0).to_numpy()[at : at + 2048].view(np.uint64), sketch[at : at + 2048], BRANCHES)
-            yield pa.RecordBatch.from_arrays([pa.array(child.view(np.int64)), *(batch.column(i).take(pa.array(row + at)) for i in (1, 2, 3))], ["node", "id", "n", "c"])
-
-
-def set_batches(k: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher = WordHasher()
-        for batch in (part for whole in batches for part in slices(whole, 1)):
-            data, offsets = text_bytes(batch.column(1))
-            h, _, _, first = hasher.hashes(data, offsets)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([x.tobytes() for x in shingle_sets(h, first, k)], pa.binary())], ["id", "items"])
-
-    return run
+            part = batch.slice(at, 2048)
+            row, child = _children(part.column(0).to_numpy().view(np.uint64), _tokens(part.column(5)), BRANCHES)
+            yield pa.RecordBatch.from_arrays([pa.array(child.view(np.int64)), *(part.column(i).take(pa.array(row)) for i in (1, 2, 3, 4))], ["node", "row", "id", "n", "c"])
 
 
 #: Roles of the rows of a block: compared with all, asked about, or held against those that ask.
 BOTH, ASKS, HELD = 0, 1, 2
-_LAID = ["node", "part", "role", "id", "n", "c", "tree", "mask", "sketch"]
-
-
-def _proposals(t: pa.Table, least: float, threshold: int, best: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(asker, other, agreement) of the rows of one block: of each asker the best other, or all."""
-    role, ids, n, c, tree, mask = (t.column(i).to_numpy() for i in (2, 3, 4, 5, 6, 7))
-    sketch = np.frombuffer(b"".join(t.column(8).to_pylist()), np.uint32).reshape(-1, COORDINATES)
-    asks, held = np.flatnonzero(role != HELD), np.flatnonzero(role != ASKS)
-    out = []
-    for lo in range(0, len(asks), 32):
-        x = asks[lo : lo + 32]
-        fit = (c[x, None] != c[None, held]) & (100 * np.minimum(n[x, None], n[None, held]) >= threshold * np.maximum(n[x, None], n[None, held]))
-        agree = np.zeros(fit.shape)
-        some = np.flatnonzero(fit.any(axis=0))
-        agree[:, some] = (sketch[x, None] == sketch[None, held[some]]).mean(axis=2)
-        agree[~fit] = 0
-        if best:
-            ranked = np.lexsort((np.broadcast_to(ids[held], agree.shape), -agree), axis=1)[:, 0]
-            top = agree[np.arange(len(x)), ranked]
-            hit = top >= least
-            out.append((ids[x[hit]], ids[held[ranked[hit]]], top[hit]))
-        else:
-            i, j = np.nonzero(agree >= least)
-            a, b = sketch[x[i]], sketch[held[j]]
-            met = (a[:, :TREES] == b[:, :TREES]) & (a[:, TREES : 2 * TREES] == b[:, TREES : 2 * TREES])
-            both = (mask[x[i]] & mask[held[j]])[:, None] >> np.arange(TREES) & 1
+_LAID = ["node", "part", "role", "row", "n", "c", "tree", "mask"]
+
+
+def _sides(role: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return np.flatnonzero(role != HELD), np.flatnonzero(role != ASKS)
+
+
+def _near(t: pa.Table, least: int, threshold: int) -> pa.Table:
+    """Those rows of one block that come near the threshold with a row of another component, by their sketches."""
+    role, n, c, tree, mask = (t.column(x).to_numpy() for x in ("role", "n", "c", "tree", "mask"))
+    tokens, hit = _tokens(t.column("sketch")), np.zeros(len(t), dtype=bool)
+    asks, held = _sides(role)
+    for lo in range(0, len(asks), 64):
+        x = asks[lo : lo + 64]
+        y = held[np.searchsorted(held, x[0] + 1) :] if len(asks) == len(held) == len(t) else held
+        fit = (c[x, None] != c[None, y]) & (100 * np.minimum(n[x, None], n[None, y]) >= threshold * np.maximum(n[x, None], n[None, y]))
+        y = y[some := np.flatnonzero(fit.any(axis=0))]
+        i, j = np.nonzero(fit[:, some] & (np.count_nonzero(tokens[x, None] == tokens[None, y], axis=2) >= least))
+        a, b = x[i], y[j]
+        if tree[0] < TREES:
+            met = (tokens[a, :TREES] == tokens[b, :TREES]) & (tokens[a, TREES:ROOTS] == tokens[b, TREES:ROOTS])
+            both = (mask[a] & mask[b])[:, None] >> np.arange(TREES) & 1
             new = ~(met & (both == 1) & (np.arange(TREES) < tree[0])).any(axis=1)  # not in a small node of an earlier tree
-            i, j = i[new], j[new]
-            out.append((ids[x[i]], ids[held[j]], agree[i, j]))
-    return tuple(np.concatenate(x) for x in zip(*out, strict=True))
+            a, b = a[new], b[new]
+        hit[a] = hit[b] = True
+    return t.select(["node", "part", "role", "row", "c"]).filter(pa.array(hit))
+
+
+def _shared_counts(x: list[np.ndarray], y: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of all sets of x with all of y."""
+    left, right = np.concatenate(x), np.concatenate(y)
+    values = np.intersect1d(left, right)
+    out = np.zeros((len(x), len(y)), np.float32)
+    row_x, row_y = np.repeat(np.arange(len(x)), [len(s) for s in x]), np.repeat(np.arange(len(y)), [len(s) for s in y])
+    at_x, at_y = np.searchsorted(values, left), np.searchsorted(values, right)
+    if not len(values):
+        return out
+    at_x[values[np.minimum(at_x, len(values) - 1)] != left] = -1
+    at_y[values[np.minimum(at_y, len(values) - 1)] != right] = -1
+    for lo in range(0, len(values), 2048):
+        wide = min(2048, len(values) - lo)
+        m, k = np.zeros((len(x), wide), np.float32), np.zeros((len(y), wide), np.float32)
+        for table, row, at in ((m, row_x, at_x), (k, row_y, at_y)):
+            inside = (at >= lo) & (at < lo + wide)
+            table[row[inside], at[inside] - lo] = 1
+        out += m @ k.T
+    return out
 
 
-def propose_batches(least: float, threshold: int, best: bool):
-    """Input is sorted by block; a block is gathered whole, as it has a bounded size."""
+def _joined(a: np.ndarray, b: np.ndarray, size: int) -> np.ndarray:
+    """The smallest number that each of ``size`` numbers reaches over the links (a, b)."""
+    label = np.arange(size)
+    while True:
+        least = np.minimum(label[a], label[b])
+        new = label.copy()
+        np.minimum.at(new, a, least)
+        np.minimum.at(new, b, least)
+        new = new[new]
+        if (new == label).all():
+            return label
+        label = new
+
+
+def _links(t: pa.Table, threshold: int) -> pa.Table:
+    """Of one block: each component that links join to a smaller one, with the smallest that it reaches."""
+    role, c = t.column("role").to_numpy(), t.column("c").to_numpy()
+    items = [np.frombuffer(x.as_buffer(), np.uint64) for x in t.column("items")]
+    sizes = np.array([len(x) for x in items])
+    asks, held = _sides(role)
+    names, at = np.unique(c, return_inverse=True)
+    found: list[tuple] = []
+    for lo in range(0, len(asks), 128 if len(held) else len(asks) + 1):
+        x = asks[lo : lo + 128]
+        both = _shared_counts([items[i] for i in x], [items[i] for i in held])
+        i, j = np.nonzero((100 * both >= threshold * (sizes[x, None] + sizes[None, held] - both)) & (c[x, None] != c[None, held]))
+        found.append((at[x[i]], at[held[j]]))
+    if not found:
+        return pa.table({"u": names[:0], "v": names[:0]})
+    label = _joined(np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found]), len(names))
+    moved = np.flatnonzero(label != np.arange(len(names)))
+    return pa.table({"u": names[moved], "v": names[label[moved]]})
+
+
+def by_block(settle):
+    """``settle`` of each block; input is sorted by (node, part), and a block is gathered whole, as it has a bounded size."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def settle(t: pa.Table) -> pa.RecordBatch:
-            u, v, agree = _proposals(t, least, threshold, best)
-            return pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64()), pa.array(agree, pa.float64())], ["u", "v", "agree"])
-
-        held: pa.Table | None = None
-        for batch in batches:
-            t = pa.Table.from_batches([batch])
-            t = pa.concat_tables([held, t]).combine_chunks() if held is not None else t
-            if not len(t):
-                continue
-            node, part = t.column(0).to_numpy(), t.column(1).to_numpy()
-            cut = np.flatnonzero((node[1:] != node[:-1]) | (part[1:] != part[:-1])) + 1
-            found = [settle(t.slice(a, b - a)) for a, b in zip([0, *cut[:-1]], cut, strict=False)]
-            if found:
-                yield from pa.Table.from_batches(found).combine_chunks().to_batches()
-            held = t.slice(cut[-1] if len(cut) else 0)
-        if held is not None and len(held):
-            yield settle(held)
-
-    return run
+        parts: list[pa.Table] = []
+        last = None
 
+        def settled() -> Iterator[pa.RecordBatch]:
+            if parts:
+                yield from settle(pa.concat_tables(parts).combine_chunks()).to_batches()
+                parts.clear()
 
-def confirm_batches(threshold: int):
-    """Pairs with 100 * intersection >= threshold * union on full sets."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ok = []
-            for x, y in zip(batch.column(2), batch.column(3), strict=True):
-                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                at = np.searchsorted(x, y)
-                at[at == len(x)] = 0
-                both = int((x[at] == y).sum()) if len(x) else 0
-                ok.append(100 * both >= threshold * (len(x) + len(y) - both))
-            yield batch.select([0, 1]).filter(pa.array(ok, pa.bool_()))
+            node, part = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            cut = [0, *(np.flatnonzero((node[1:] != node[:-1]) | (part[1:] != part[:-1])) + 1).tolist(), batch.num_rows]
+            for a, b in zip(cut[:-1], cut[1:], strict=True):
+                if a < b:
+                    if (node[a], part[a]) != last:
+                        yield from settled()
+                        last = (node[a], part[a])
+                    parts.append(pa.Table.from_batches([batch.slice(a, b - a)]))
+        yield from settled()
 
     return run
 
@@ -189,114 +227,111 @@ class ChosenPathJoin:
     def __init__(self, docs: DataFrame, id_col: str, text_col: str, k: int, threshold: int):
         self.spark, self.k, self.threshold = docs.sparkSession, k, threshold
         self.scratch = Scratch(self.spark, "neardup")
-        self.docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
+        self.docs = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
 
     def shared(self, rows: DataFrame) -> DataFrame:
-        """Rows (node, id, n, c) of nodes of several components, with the size m of the node and rest, those outside its main one."""
-        parts = rows.groupBy("node", "c").agg(F.count("*").alias("m")).groupBy("node")
-        known = parts.agg(F.max(F.struct("m", "c")).alias("main"), F.sum("m").alias("m"), F.count("*").alias("parts")).where("parts > 1")
-        return rows.join(known.select("node", "m", F.col("main.c").alias("main"), (F.col("m") - F.col("main.m")).alias("rest")), "node")
-
-    def proposed(self, laid: DataFrame, best: bool) -> DataFrame:
-        """Pairs (u, v, agree) of the blocks (node, part, role, id, n, c)."""
+        """Rows of nodes of several components: main, the largest component, and of how many blocks are node and rest, the sets outside main."""
+        parts = rows.groupBy("node", "c").agg(F.count("*").alias("m"), F.sum("n").alias("w")).groupBy("node")
+        known = parts.agg(F.max(F.struct("m", "w", "c")).alias("main"), F.sum("m").alias("m"), F.sum("w").alias("w"), F.count("*").alias("parts")).where("parts > 1")
+        blocks = lambda m, w: F.ceil(F.greatest(m / F.lit(float(BLOCK)), w / F.lit(float(WEIGHT))))
+        sized = known.select("node", F.col("main.c").alias("main"), blocks(F.col("m"), F.col("w")).alias("blocks"), blocks(F.col("m") - F.col("main.m"), F.col("w") - F.col("main.w")).alias("asking"))
+        return rows.join(sized, "node")
+
+    def links(self, laid: DataFrame) -> DataFrame:
+        """Pairs (u, v) of components that links join, of the blocks ``laid``."""
         s = self.threshold / 100
-        least = max(1 / COORDINATES, s - 4.5 * (s * (1 - s) / COORDINATES) ** 0.5)
-        sorted_ = laid.join(self.reps.select("id", "sketch"), "id").select(_LAID).repartition("node", "part").sortWithinPartitions("node", "part")
-        return sorted_.mapInArrow(propose_batches(least, self.threshold, best), "u long, v long, agree double")
-
-    def hooks(self, rows: DataFrame, turn: int) -> DataFrame:
-        """Of each set the pair (u, v) with the one most like it in a random block of a node."""
-        block = F.pmod(F.xxhash64("id", F.lit(turn)), F.ceil(F.col("m") / BLOCK)).alias("part")
-        some = rows.where(F.pmod("node", F.lit(HOOKED)) == turn % HOOKED)
-        laid = self.shared(some).select("node", block, F.lit(BOTH).alias("role"), "id", "n", "c", F.lit(0).alias("tree"), F.lit(0).cast("long").alias("mask"))
-        best = self.proposed(laid, True).groupBy("u").agg(F.max(F.struct("agree", (-F.col("v")).alias("less")))["less"].alias("less"))
-        return best.select(F.greatest("u", -F.col("less")).alias("u"), F.least("u", -F.col("less")).alias("v")).distinct()
-
-    def rest_pairs(self, rows: DataFrame) -> DataFrame:
-        """All pairs (u, v) still to be confirmed, of all small nodes; larger nodes are branched."""
-        found = []
+        least = max(1, math.ceil(COORDINATES * s - SLACK * (COORDINATES * s * (1 - s)) ** 0.5))
+        threshold = self.threshold
+        dealt = lambda df: df.repartition("node", "part").sortWithinPartitions("node", "part")
+        rough = dealt(laid.select(_LAID).join(self.sets.select("row", "sketch"), "row").select(*_LAID, "sketch"))
+        near = self.scratch.write(rough.mapInArrow(by_block(lambda t: _near(t, least, threshold)), "node long, part long, role int, row long, c long"), "near")
+        full = dealt(near.join(self.sets.select("row", "items"), "row").select("node", "part", "role", "c", "items"))
+        out = self.scratch.write(full.mapInArrow(by_block(lambda t: _links(t, threshold)), "u long, v long"), "links")
+        self.scratch.drop(near)
+        return out
+
+    def hooks(self, rows: DataFrame) -> DataFrame:
+        """All nodes of the first trees, dealt into random blocks."""
+        block = F.pmod(F.xxhash64("id"), F.col("blocks")).alias("part")
+        return self.shared(rows.where(F.col("tree") < HOOKS)).select("node", block, F.lit(BOTH).alias("role"), "row", "n", "c", F.lit(TREES).alias("tree"), F.lit(0).cast("long").alias("mask"))
+
+    def laid(self, rows: DataFrame) -> DataFrame:
+        """Blocks of small nodes: whole, or what is outside the main component against all."""
+        whole = rows.where("blocks = 1").select("node", F.lit(0).cast("long").alias("part"), F.lit(BOTH).alias("role"), "row", "n", "c", "tree", "mask")
+        wide = rows.where("blocks > 1")
+        mine = lambda n: F.pmod(F.xxhash64("id"), F.col(n))
+        each = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+        part = (F.col("r") * (1 << 24) + F.col("j")).alias("part")
+        held = wide.select("node", each("asking").alias("r"), mine("blocks").alias("j"), F.lit(HELD).alias("role"), "row", "n", "c", "tree", "mask")
+        asks = wide.where("c <> main").select("node", mine("asking").alias("r"), each("blocks").alias("j"), F.lit(ASKS).alias("role"), "row", "n", "c", "tree", "mask")
+        return whole.unionByName(held.unionByName(asks).select("node", part, "role", "row", "n", "c", "tree", "mask"))
+
+    def all_nodes(self, rows: DataFrame) -> DataFrame:
+        """Pairs (u, v) of components that links join, of all nodes; larger nodes are branched."""
+        found = self.spark.createDataFrame([], "u long, v long")
         for level in range(LEVELS + 1):
             rows = self.scratch.write(self.shared(rows), f"level{level}")
-            small = F.lit(True) if level == LEVELS else (F.col("m") <= BLOCK) | (F.col("rest") <= LEAF)
+            small = F.lit(True) if level == LEVELS else F.col("asking") <= LEAF
             if level == 0:  # the trees whose first node is small, by set
-                masks = self.scratch.write(rows.where(small).groupBy("id").agg(F.bit_or(F.expr("shiftleft(1L, tree)")).alias("mask")), "masks")
-            rows = rows.join(masks, "id", "left").withColumn("mask", F.coalesce("mask", F.lit(0)).cast("long"))
-            whole = rows.where(F.col("m") <= BLOCK).select("node", F.lit(0).cast("long").alias("part"), F.lit(BOTH).alias("role"), "id", "n", "c", "tree", "mask")
-            wide = rows.where((F.col("m") > BLOCK) & small)
-            blocks, asking = F.ceil(F.col("m") / BLOCK), F.ceil(F.col("rest") / BLOCK)
-            mine = lambda n: F.pmod(F.xxhash64("id"), n)
-            each = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), n - 1))
-            part = (F.col("r") * (1 << 24) + F.col("j")).alias("part")
-            held = wide.select("node", each(asking).alias("r"), mine(blocks).alias("j"), F.lit(HELD).alias("role"), "id", "n", "c", "tree", "mask")
-            asks = wide.where("c <> main").select("node", mine(asking).alias("r"), each(blocks).alias("j"), F.lit(ASKS).alias("role"), "id", "n", "c", "tree", "mask")
-            laid = whole.unionByName(held.unionByName(asks).select("node", part, "role", "id", "n", "c", "tree", "mask"))
-            found.append(self.scratch.write(self.proposed(laid, False), f"pairs{level}"))
-            large = rows.where(~small)
+                masks = self.scratch.write(rows.where(small).groupBy("row").agg(F.bit_or(F.expr("shiftleft(1L, tree)")).alias("mask")), "masks")
+                seen = rows.where(small).join(masks, "row")
+            else:
+                seen = rows.where(small).withColumn("mask", F.lit(0).cast("long"))
+            found = found.unionByName(self.links(self.laid(seen)))
+            large = rows.where(~small).select("node", "row", "id", "n", "c")
             if level == LEVELS or large.isEmpty():
+                self.scratch.drop(rows, masks)
                 break
-            large = large.select("node", "id", "n", "c").join(self.reps.select("id", "sketch"), "id").select("node", "id", "n", "c", "sketch")
-            rows = self.scratch.write(large.mapInArrow(branch_batches, "node long, id long, n long, c long").withColumn("tree", F.lit(TREES)), f"branch{level}")
-        whole = found[0]
-        for x in found[1:]:
-            whole = whole.unionByName(x)
-        return whole.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
-
-    def confirmed(self, pairs: DataFrame) -> DataFrame:
-        """The pairs (u, v) that are links; sets made for earlier pairs are used again."""
-        pairs = self.scratch.write(pairs, "pairs")
-        ids = pairs.select(F.explode(F.array("u", "v")).alias("id")).distinct()
-        for known in self.sets:
-            ids = ids.join(known.select("id"), "id", "left_anti")
-        ids = self.scratch.write(ids, "ids")
-        sets = self.docs.join(ids, "id", "left_semi").dropDuplicates(["id"]).mapInArrow(set_batches(self.k), "id long, items binary")
-        self.sets.append(self.scratch.write(sets, "sets"))
-        every = self.sets[0]
-        for x in self.sets[1:]:
-            every = every.unionByName(x)
-        side = lambda name: every.select(F.col("id").alias(name), F.col("items").alias(f"{name}_items"))
-        full = pairs.join(side("u"), "u").join(side("v"), "v").select("u", "v", "u_items", "v_items")
-        return full.mapInArrow(confirm_batches(self.threshold), "u long, v long")
-
-    def contracted(self, pairs: DataFrame, now: DataFrame) -> DataFrame:
-        """(id, c) after the links among ``pairs`` are added to the components ``now`` (id, c)."""
-        of = lambda name: now.select(F.col("id").alias(name), F.col("c").alias(f"{name}_c"))
-        links = self.confirmed(pairs)
-        between = links.join(of("u"), "u", "left").join(of("v"), "v", "left").select(F.coalesce("u_c", "u").alias("u"), F.coalesce("v_c", "v").alias("v"))
-        step = self.scratch.write(components(between, self.scratch), "step").select("id", F.col("component").alias("further"))
+            large = large.join(self.sets.select("row", "sketch"), "row").select("node", "row", "id", "n", "c", "sketch")
+            branched = self.scratch.write(large.mapInArrow(branch_batches, "node long, row long, id long, n long, c long").withColumn("tree", F.lit(TREES)), f"branch{level}")
+            self.scratch.drop(rows)
+            rows = branched
+        return found
+
+    def contracted(self, links: DataFrame, now: DataFrame) -> DataFrame:
+        """(id, c) after ``links`` of components are added to the components ``now`` (id, c)."""
+        step = self.scratch.write(components(links, self.scratch), "step").select("id", F.col("component").alias("further"))
         moved = now.join(step.withColumnRenamed("id", "c"), "c", "left").select("id", F.coalesce("further", "c").alias("c"))
         new = step.join(now.select("id"), "id", "left_anti").select("id", F.col("further").alias("c"))
         return self.scratch.write(moved.unionByName(new), "components")
 
     def run(self) -> DataFrame:
-        """(id, n, rep, component) of every id."""
-        all_ = self.scratch.write(self.docs.mapInArrow(sketch_batches(self.k), _SKETCH), "sketches")
-        known = all_.where("id is not null").groupBy("id").agg(F.min(F.struct("k1", "k2", "n")).alias("x")).select("id", "x.k1", "x.k2", "x.n")
-        classes = known.where("n > 0").groupBy("k1", "k2").agg(F.min("id").alias("rep"))
-        members = self.scratch.write(known.join(classes, ["k1", "k2"], "left").select("id", "n", F.coalesce("rep", "id").alias("rep"), "k1", "k2"), "members")
-        reps = all_.join(members.where("n > 0 and id = rep").select("id", "k1", "k2"), ["id", "k1", "k2"], "left_semi").dropDuplicates(["id"])
-        reps = self.scratch.write(reps.select("id", "n", "roots", "sketch"), "reps")
-        self.scratch.drop(all_)
-        self.reps, self.sets = reps, []
-        top = reps.select(F.posexplode("roots").alias("tree", "node"), "id", "n")
+        """(id, n, rep, component) of every id, and of every row without id, whose rep and component are null."""
+        self.sets = self.scratch.write(self.docs.mapInArrow(sketch_batches(self.k), _SKETCHED), "sets")
+        narrow = self.sets.select("row", "id", "n", "k1", "k2")
+        known = narrow.where("id is not null").groupBy("id").agg(F.min(F.struct("k1", "k2", "n", "row")).alias("x")).select("id", "x.*")
+        members = self.scratch.write(known, "members")
+        classes = self.scratch.write(members.where("n > 0").groupBy("k1", "k2").agg(F.min(F.struct("id", "row", "n")).alias("x")).select("k1", "k2", "x.*"), "classes")
+        roots = self.sets.select("row", "roots").join(classes.select("row", "id", "n"), "row")
+        top = roots.select(F.posexplode("roots").alias("tree", "node"), "row", "id", "n")
         top = self.scratch.write(top.join(top.groupBy("node").count().where("count > 1").select("node"), "node", "left_semi"), "top")
-        now = self.scratch.write(self.spark.createDataFrame([], "id long, c long"), "components")
-        placed = lambda: top.join(now, "id", "left").select("node", "id", "n", F.coalesce("c", "id").alias("c"), "tree")
-        for turn in range(ROUNDS):
-            now = self.contracted(self.hooks(placed(), turn), now)
-        now = self.contracted(self.rest_pairs(placed()), now)
-        found = members.select("id", "n", "rep").join(now.withColumnRenamed("id", "rep"), "rep", "left")
-        return found.select("id", "n", "rep", F.coalesce("c", "rep").alias("component"))
+        now = self.contracted(self.links(self.hooks(top.withColumn("c", F.col("id")))), self.spark.createDataFrame([], "id long, c long"))
+        placed = top.join(now, "id", "left").select("node", "row", "id", "n", F.coalesce("c", "id").alias("c"), "tree")
+        now = self.contracted(self.all_nodes(placed), now)
+        reps = members.join(classes.select("k1", "k2", F.col("id").alias("rep")), ["k1", "k2"], "left").select("id", "n", F.coalesce("rep", "id").alias("rep"))
+        found = reps.join(now.withColumnRenamed("id", "rep"), "rep", "left").select("id", "n", "rep", F.coalesce("c", "rep").alias("component"))
+        lost = self.scratch.write(narrow.where("id is null").select("id", "n", F.col("id").alias("rep"), F.col("id").alias("component")), "without")
+        self.scratch.drop(self.sets, top)
+        return found.unionByName(lost)
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = SHINGLE, threshold: int = THRESHOLD) -> DataFrame:
-    """Per id: n_shingles, class_id (smallest id of an equal set), component_id (smallest id reached by links), kept."""
+    """Per id: n_shingles, component_id (smallest id reached by links), kept, class_id (smallest id of an equal set).
+
+    A row without id is kept, and its component and class are null.
+    """
     found = ChosenPathJoin(docs, id_col, text_col, k, threshold).run()
-    known = found.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"), (F.col("id") == F.col("component")).alias("kept"), F.col("rep").alias("class_id"))
-    return known
+    kept = F.coalesce(F.col("id") == F.col("component"), F.lit(True))
+    return found.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"), kept.alias("kept"), F.col("rep").alias("class_id"))
 
 
 def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = SHINGLE, threshold: int = THRESHOLD) -> DataFrame:
-    """The rows of the documents with the smallest id of their group, and those without id; repeated rows stay once."""
-    kept = near_duplicates(docs, id_col, text_col, k, threshold).where("kept").select(id_col)
-    named = docs.join(kept, id_col, "left_semi").dropDuplicates([id_col])
-    return named.select(docs.columns).unionByName(docs.where(F.col(id_col).isNull()))
+    """The rows of one document of each group: that with the smallest id.  Equal rows stay once.
+
+    Where an id is missing or repeated, all rows go by a hash of id and text instead, so that rows of one id with
+    different texts are told apart and copies without id are found; one of each group stays, the same in every run.
+    """
+    key = fresh(docs, "row_key")
+    named = docs.withColumn(key, row_key(docs, id_col, text_col))
+    kept = near_duplicates(named, key, text_col, k, threshold).where("kept").select(key)
+    return named.join(kept, key, "left_semi").dropDuplicates([key]).select(docs.columns)

@@ -61,20 +61,70 @@ def test_agrees_with_all_pairs(spark):
 def test_large_nodes(spark, monkeypatch):
     """Nodes are dealt into blocks, branched, and compared by rest and block."""
     monkeypatch.setattr(neardup, "BLOCK", 6)
-    monkeypatch.setattr(neardup, "LEAF", 3)
     monkeypatch.setattr(neardup, "LEVELS", 1)
+    monkeypatch.setattr(neardup, "LEAF", 1)
     docs = corpus(8)
     got = neardup.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string"), k=3, threshold=85).collect()
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute(docs, 3, 85)
 
 
+def test_blocks_bounded_by_shingles(spark, monkeypatch):
+    monkeypatch.setattr(neardup, "WEIGHT", 400)
+    docs = corpus(5)
+    got = neardup.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string"), k=3, threshold=85).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute(docs, 3, 85)
+
+
+def test_group_just_below_the_threshold(spark, monkeypatch):
+    """All pairs come near the threshold and few reach it: what is made of it stays in proportion to the sets."""
+    r = random.Random(2)
+    text = [f"w{i}" for i in range(200)]
+    docs = []
+    for i in range(240):
+        copy = list(text)
+        for at in r.sample(range(200), 9):  # shingles of three: similarity of two copies about 0.6 to 0.9
+            copy[at] = f"x{r.randrange(4)}"
+        docs.append((i, " ".join(copy)))
+    made = []
+    write = Scratch.write
+
+    def counted(self, df, name):
+        out = write(self, df, name)
+        made.append((name, out.count()))
+        return out
+
+    monkeypatch.setattr(Scratch, "write", counted)
+    monkeypatch.setattr(neardup, "BLOCK", 64)
+    got = neardup.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string"), k=3, threshold=72).collect()
+    want = brute(docs, 3, 72)
+    assert {x.doc_id: (x.n_shingles, x.component_id) for x in got} == want
+    assert len({c for _, c in want.values()}) > 5
+    assert max(n for name, n in made if name == "near") <= 240 * neardup.TREES * 2 * neardup.LEAF, made
+    assert max(n for name, n in made if name == "links") <= 240 * neardup.TREES, made
+
+
 def test_edges(spark):
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert neardup.near_duplicates(empty).count() == 0
+    assert neardup.keep_one_of_each(empty).count() == 0
     odd = spark.createDataFrame([(1, "a b c d e f", "x"), (1, "a b c d e f", "x"), (None, "a b c d e f", "x"), (2, "a b c d e f", None), (3, None, None), (4, "", "y")], "doc_id long, text string, id string").withColumnRenamed("id", "n")
+    found = {(r.doc_id, r.n_shingles, r.component_id, r.kept) for r in neardup.near_duplicates(odd).collect()}
+    assert found == {(1, 2, 1, True), (2, 2, 1, False), (3, 0, 3, True), (4, 0, 4, True), (None, 2, None, True)}
     kept = neardup.keep_one_of_each(odd)
     assert kept.columns == odd.columns
-    assert sorted((r.doc_id is None, r.doc_id) for r in kept.collect()) == [(False, 1), (False, 3), (False, 4), (True, None)]
+    rows = kept.collect()  # one of the group of copies, and the rows without words
+    assert sum(r.text == "a b c d e f" for r in rows) == 1 and sorted(r.doc_id for r in rows if not r.text) == [3, 4]
+
+
+def test_repeated_ids_and_clashing_columns(spark):
+    """Rows of one id with different texts are different documents to ``keep_one_of_each``."""
+    rows = [(7, "one text of its own here", "a"), (7, "another text that is not a copy", "b"), (8, "one text of its own here", "c"), (9, "nine is alone in this", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, row string").selectExpr("*", "doc_id as id", "text as node", "1 as row_key", "2 as c", "3 as sketch")
+    kept = neardup.keep_one_of_each(docs)
+    assert kept.columns == docs.columns
+    assert sorted(r.text for r in kept.collect()) == sorted({t for _, t, _ in rows})
+    found = neardup.near_duplicates(docs.where("doc_id > 7"))
+    assert found.count() == 2
 
 
 def test_components(spark):
