@@ -18,7 +18,7 @@ tree that has both in one small node.  A node that stays large after ``LEVELS``
 
 Recall.  A pair at 0.85 shares no first node with a probability of 1e-9, one at 0.80 with 8e-8; in nodes branched four times
 about 1e-4 of pairs at 0.80 are missed, unless their group links them otherwise.  ``SLACK`` standard deviations below the
-threshold a sketch misses less than one in a million.
+threshold a sketch misses a pair at 0.85 with a probability of 2.8e-6, one at 0.80 with 1.4e-6.
 
 Definitions.  Rows of one id are one document, that of its smallest set hash.  A null or empty text, or one without
 words, has an empty set and is linked with nothing.  A text with fewer words than a shingle has one shingle, all of its
@@ -31,6 +31,7 @@ from __future__ import annotations
 import hashlib
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -49,7 +50,7 @@ SHINGLE, THRESHOLD = 5, 80
 #: A sketch keeps 32 bits of the tokens that trees start with and 16 of the others.
 ROOTS = 2 * TREES
 SKETCH = 4 * ROOTS + 2 * (COORDINATES - ROOTS)
-_SKETCHED = "row long, id long, n long, k1 long, k2 long, roots array<long>, sketch binary, items binary"
+_SKETCHED = "row long, id long, n long, k1 long, k2 long, roots array<long>, sketch binary"
 
 
 def _smallest(x: np.ndarray, seeds: np.ndarray) -> np.ndarray:
@@ -61,6 +62,11 @@ def _smallest(x: np.ndarray, seeds: np.ndarray) -> np.ndarray:
     return out
 
 
+def _strong(x: np.ndarray) -> np.ndarray:
+    """128 bits that tell sets apart."""
+    return np.frombuffer(hashlib.blake2b(x.tobytes(), digest_size=16).digest(), np.int64)
+
+
 def _tokens(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
     """The tokens of sketches, a row each."""
     raw = np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, SKETCH)
@@ -85,23 +91,38 @@ def sketch_batches(k: int):
         for batch in (part for whole in batches for part in slices(whole, 2)):
             data, offsets = text_bytes(batch.column(2))
             h, _, _, first = hasher.hashes(data, offsets)
-            n, keys, roots, sketches, items = [], [], [], [], []
+            n, keys, roots, sketches = [], [], [], []
             for x in shingle_sets(h, first, k):
                 n.append(len(x))
-                items.append(x.tobytes())
-                keys.append(np.frombuffer(hashlib.blake2b(items[-1], digest_size=16).digest(), np.int64))
+                keys.append(_strong(x))
                 s = _smallest(x, seeds)
                 roots.append(mix((s[:TREES].astype(np.uint64) << np.uint64(32) | s[TREES:ROOTS]) ^ tree).view(np.int64) if len(x) else np.zeros(0, np.int64))
                 sketches.append(s[:ROOTS].tobytes() + s[ROOTS:].astype(np.uint16).tobytes())
             keys = np.array(keys, np.int64).reshape(-1, 2)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(n, pa.int64()), pa.array(keys[:, 0]), pa.array(keys[:, 1]), pa.array(roots, pa.list_(pa.int64())), pa.array(sketches, pa.binary()), pa.array(items, pa.binary())],
-                ["row", "id", "n", "k1", "k2", "roots", "sketch", "items"],
+                [batch.column(0), batch.column(1), pa.array(n, pa.int64()), pa.array(keys[:, 0]), pa.array(keys[:, 1]), pa.array(roots, pa.list_(pa.int64())), pa.array(sketches, pa.binary())],
+                ["row", "id", "n", "k1", "k2", "roots", "sketch"],
             )
 
     return run
 
 
+def item_batches(k: int):
+    """Of (row, k1, k2, text): the full set of a text, if it is the one with that strong hash."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hasher = WordHasher()
+        for batch in (part for whole in batches for part in slices(whole, 3)):
+            data, offsets = text_bytes(batch.column(3))
+            h, _, _, first = hasher.hashes(data, offsets)
+            keys = np.stack([batch.column(1).to_numpy(), batch.column(2).to_numpy()], axis=1)
+            items = [x.tobytes() if (_strong(x) == key).all() else None for x, key in zip(shingle_sets(h, first, k), keys, strict=True)]
+            out = pa.RecordBatch.from_arrays([batch.column(0), pa.array(items, pa.binary())], ["row", "items"])
+            yield out.filter(out.column(1).is_valid())
+
+    return run
+
+
 def branch_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for at in range(0, batch.num_rows, 2048):
@@ -221,13 +242,17 @@ def by_block(settle):
     return run
 
 
+def _dealt(df: DataFrame) -> DataFrame:
+    return df.repartition("node", "part").sortWithinPartitions("node", "part")
+
+
 class ChosenPathJoin:
     """One run of the join; tables that later steps read are written to the shared folder."""
 
     def __init__(self, docs: DataFrame, id_col: str, text_col: str, k: int, threshold: int):
         self.spark, self.k, self.threshold = docs.sparkSession, k, threshold
         self.scratch = Scratch(self.spark, "neardup")
-        self.docs = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
+        self.docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
 
     def shared(self, rows: DataFrame) -> DataFrame:
         """Rows of nodes of several components: main, the largest component, and of how many blocks are node and rest, the sets outside main."""
@@ -237,17 +262,22 @@ class ChosenPathJoin:
         sized = known.select("node", F.col("main.c").alias("main"), blocks(F.col("m"), F.col("w")).alias("blocks"), blocks(F.col("m") - F.col("main.m"), F.col("w") - F.col("main.w")).alias("asking"))
         return rows.join(sized, "node")
 
-    def links(self, laid: DataFrame) -> DataFrame:
-        """Pairs (u, v) of components that links join, of the blocks ``laid``."""
-        s = self.threshold / 100
+    def near(self, laid: DataFrame) -> DataFrame:
+        """Those rows of the blocks ``laid`` whose full sets are to be compared."""
+        s, threshold = self.threshold / 100, self.threshold
         least = max(1, math.ceil(COORDINATES * s - SLACK * (COORDINATES * s * (1 - s)) ** 0.5))
+        rough = _dealt(laid.select(_LAID).join(self.sets.select("row", "sketch"), "row").select(*_LAID, "sketch"))
+        return self.scratch.write(rough.mapInArrow(by_block(lambda t: _near(t, least, threshold)), "node long, part long, role int, row long, c long"), "near")
+
+    def links(self, near: list[DataFrame]) -> DataFrame:
+        """Pairs (u, v) of components that links join.  Full sets are made again for the rows in question only."""
         threshold = self.threshold
-        dealt = lambda df: df.repartition("node", "part").sortWithinPartitions("node", "part")
-        rough = dealt(laid.select(_LAID).join(self.sets.select("row", "sketch"), "row").select(*_LAID, "sketch"))
-        near = self.scratch.write(rough.mapInArrow(by_block(lambda t: _near(t, least, threshold)), "node long, part long, role int, row long, c long"), "near")
-        full = dealt(near.join(self.sets.select("row", "items"), "row").select("node", "part", "role", "c", "items"))
+        rows = reduce(DataFrame.unionByName, near)
+        asked = self.scratch.write(rows.select("row").distinct().join(self.classes.select("row", "id", "k1", "k2"), "row"), "asked")
+        items = self.docs.join(asked, "id").select("row", "k1", "k2", "text").mapInArrow(item_batches(self.k), "row long, items binary").dropDuplicates(["row"])
+        full = _dealt(rows.join(items, "row").select("node", "part", "role", "c", "items"))
         out = self.scratch.write(full.mapInArrow(by_block(lambda t: _links(t, threshold)), "u long, v long"), "links")
-        self.scratch.drop(near)
+        self.scratch.drop(asked, *near)
         return out
 
     def hooks(self, rows: DataFrame) -> DataFrame:
@@ -268,7 +298,7 @@ class ChosenPathJoin:
 
     def all_nodes(self, rows: DataFrame) -> DataFrame:
         """Pairs (u, v) of components that links join, of all nodes; larger nodes are branched."""
-        found = self.spark.createDataFrame([], "u long, v long")
+        near = []
         for level in range(LEVELS + 1):
             rows = self.scratch.write(self.shared(rows), f"level{level}")
             small = F.lit(True) if level == LEVELS else F.col("asking") <= LEAF
@@ -277,7 +307,7 @@ class ChosenPathJoin:
                 seen = rows.where(small).join(masks, "row")
             else:
                 seen = rows.where(small).withColumn("mask", F.lit(0).cast("long"))
-            found = found.unionByName(self.links(self.laid(seen)))
+            near.append(self.near(self.laid(seen)))
             large = rows.where(~small).select("node", "row", "id", "n", "c")
             if level == LEVELS or large.isEmpty():
                 self.scratch.drop(rows, masks)
@@ -286,7 +316,7 @@ class ChosenPathJoin:
             branched = self.scratch.write(large.mapInArrow(branch_batches, "node long, row long, id long, n long, c long").withColumn("tree", F.lit(TREES)), f"branch{level}")
             self.scratch.drop(rows)
             rows = branched
-        return found
+        return self.links(near)
 
     def contracted(self, links: DataFrame, now: DataFrame) -> DataFrame:
         """(id, c) after ``links`` of components are added to the components ``now`` (id, c)."""
@@ -297,15 +327,16 @@ class ChosenPathJoin:
 
     def run(self) -> DataFrame:
         """(id, n, rep, component) of every id, and of every row without id, whose rep and component are null."""
-        self.sets = self.scratch.write(self.docs.mapInArrow(sketch_batches(self.k), _SKETCHED), "sets")
+        numbered = self.docs.select(F.monotonically_increasing_id().alias("row"), "id", "text")
+        self.sets = self.scratch.write(numbered.mapInArrow(sketch_batches(self.k), _SKETCHED), "sets")
         narrow = self.sets.select("row", "id", "n", "k1", "k2")
         known = narrow.where("id is not null").groupBy("id").agg(F.min(F.struct("k1", "k2", "n", "row")).alias("x")).select("id", "x.*")
         members = self.scratch.write(known, "members")
-        classes = self.scratch.write(members.where("n > 0").groupBy("k1", "k2").agg(F.min(F.struct("id", "row", "n")).alias("x")).select("k1", "k2", "x.*"), "classes")
+        self.classes = classes = self.scratch.write(members.where("n > 0").groupBy("k1", "k2").agg(F.min(F.struct("id", "row", "n")).alias("x")).select("k1", "k2", "x.*"), "classes")
         roots = self.sets.select("row", "roots").join(classes.select("row", "id", "n"), "row")
         top = roots.select(F.posexplode("roots").alias("tree", "node"), "row", "id", "n")
         top = self.scratch.write(top.join(top.groupBy("node").count().where("count > 1").select("node"), "node", "left_semi"), "top")
-        now = self.contracted(self.links(self.hooks(top.withColumn("c", F.col("id")))), self.spark.createDataFrame([], "id long, c long"))
+        now = self.contracted(self.links([self.near(self.hooks(top.withColumn("c", F.col("id"))))]), self.spark.createDataFrame([], "id long, c long"))
         placed = top.join(now, "id", "left").select("node", "row", "id", "n", F.coalesce("c", "id").alias("c"), "tree")
         now = self.contracted(self.all_nodes(placed), now)
         reps = members.join(classes.select("k1", "k2", F.col("id").alias("rep")), ["k1", "k2"], "left").select("id", "n", F.coalesce("rep", "id").alias("rep"))
