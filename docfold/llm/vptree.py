@@ -11,7 +11,7 @@ so factor one is exact, and a larger factor leaves out more: gaps to vantage poi
 add up about as the sides of a right triangle do, though nothing guarantees it.  Leaves are visited from the least gap on,
 in waves that double, each wave for a block of queries at once.
 
-Every vector is indexed in one shard of at most ``SHARD_BYTES``, every query visits every shard, and the best of all shards
+Every vector is indexed, in one shard of at most ``SHARD_BYTES``, every query visits every shard, and the best of all shards
 are merged.  Queries are streamed past the tree in blocks, so memory does not grow with them.
 
 Definitions.  Vectors that are null or zero or hold null or non-finite components take no part, nor do those whose
@@ -40,10 +40,16 @@ SLACK = 1e-7
 class VantageTree:
     """A complete binary tree; node i has the children 2 i + 1 and 2 i + 2, and the leaves follow the inner nodes."""
 
-    def __init__(self, ids: np.ndarray, vectors: np.ndarray, seed: int = 7):
-        """Vectors are float64 of any length but zero."""
+    def __init__(self, ids: np.ndarray, vectors: np.ndarray, k: int, seed: int = 7):
+        """Vectors are float64 of any length but zero.  Of equal ones k + 1 stand for all, as a query finds only the smallest ids."""
         order = np.argsort(ids, kind="stable")
-        self.ids, self.vectors = ids[order], np.ascontiguousarray(vectors[order])
+        _, same = np.unique(np.ascontiguousarray(vectors[order]).view(f"V{8 * vectors.shape[1]}").ravel(), return_inverse=True)
+        by = np.argsort(same, kind="stable")
+        turn = np.empty(len(ids), np.int64)
+        turn[by] = np.arange(len(ids)) - np.searchsorted(same[by], same[by])
+        order = order[turn <= k]
+        ids = ids[order]
+        self.ids, self.vectors = ids, np.ascontiguousarray(vectors[order])
         self.norms = np.sqrt((self.vectors * self.vectors).sum(axis=1))
         self.unit = self.vectors / self.norms[:, None]
         self.depth = max(0, int(np.ceil(np.log2(max(1, len(ids)) / LEAF))))
@@ -147,7 +153,7 @@ def search_batches(k: int, factor: float):
                 if tree is None:
                     if not held:
                         continue
-                    tree = VantageTree(np.concatenate([a for a, _ in held]), np.concatenate([b for _, b in held]))
+                    tree = VantageTree(np.concatenate([a for a, _ in held]), np.concatenate([b for _, b in held]), k)
                     held = []
                 for at in range(0, len(ids), BLOCK):
                     q, found, score = tree.search(ids[at : at + BLOCK], vectors[at : at + BLOCK], k, factor)
