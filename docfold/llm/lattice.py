@@ -6,9 +6,10 @@ them, smoothed by 0.1.  A word with the blank before it is scored by all its seg
 recursion in log space over its bytes.  As no piece spans two words, the probability of a text is the product over its
 words and its end, which is one more piece.
 
-Beside it stands the base: log10 of smoothed word frequencies.  Counts of all training words stay distributed.  Only the
-most frequent words, at most ``FREQUENT``, are sent to executors; occurrences of other words are joined with their
-counts, pre-aggregated per document.
+Beside it stands the base: log10 of smoothed word frequencies.  Counts of all training words stay distributed.  Of the
+most frequent words those are sent to executors whose count lies in the highest bins, sixteen to a doubling, that hold at most
+``FREQUENT`` words together; a bin that does not fit is left out whole.  Occurrences of all other words are joined with
+their counts, pre-aggregated per document.  The vocabulary is read on the driver and sent along.
 
 Definitions.  A null or empty text has one token, its end.  A text of any length is scored whole.  Rows that repeat an id
 are scored one by one and alike; a row without id is trained on.  An empty table gives an empty result.  Vocabulary
@@ -33,8 +34,8 @@ from docfold.scratch import Scratch
 #: Where the vocabulary lies: a file of base64 pieces with ranks, one a line.
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 LONGEST, FREQUENT, SMOOTH = 32, 150_000, 0.1
-#: Words scored at once; bytes of text worked on at once.
-BLOCK, SLICE = 1 << 14, 1 << 23
+#: Words scored at once; bytes of text worked on at once; bytes of a word up to which words of one length are scored together.
+BLOCK, SLICE, SHORT = 1 << 14, 1 << 23, 64
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -56,10 +57,9 @@ class Lattice:
         usable = [(p, scores[r]) for p, r in ranks.items() if len(p) <= LONGEST]
         self.values = _table(51, 256)
         base = int(_table(52, 1)[0]) | 1
-        self.powers = np.full(4096, base, np.uint64)
-        self.inverses = np.full(4096, pow(base, -1, 2**64), np.uint64)
-        self.powers[0] = self.inverses[0] = 1
-        self.powers, self.inverses = np.multiply.accumulate(self.powers), np.multiply.accumulate(self.inverses)
+        self.powers = np.full(LONGEST, base, np.uint64)
+        self.powers[0] = 1
+        self.powers = np.multiply.accumulate(self.powers)
         keys = np.array([int((self.values[np.frombuffer(p, np.uint8)] * self.powers[: len(p)]).sum(dtype=np.uint64)) for p, _ in usable], np.uint64)
         order = np.argsort(keys)
         self.keys, self.scores = keys[order], np.array([s for _, s in usable])[order]
@@ -87,17 +87,48 @@ class Lattice:
                 if length > j:
                     break
                 i = j - length
-                key = (values[:, i:j] * self.powers[:length]).sum(axis=1, dtype=np.uint64) if length <= 2 else self._sum(values, i, j)
+                key = (values[:, i:j] * self.powers[:length]).sum(axis=1, dtype=np.uint64)
                 paths.append(alpha[:, i] + self._piece_scores(key))
             paths = np.stack(paths)
             top = paths.max(axis=0)
             alpha[:, j] = top + np.log10((10.0 ** (paths - top)).sum(axis=0))
-            if j > 2 * LONGEST:
-                alpha[:, j - 2 * LONGEST] = 0  # never read again
         return alpha[:, n]
 
-    def _sum(self, values: np.ndarray, i: int, j: int) -> np.ndarray:
-        return (values[:, i:j] * self.powers[: j - i]).sum(axis=1, dtype=np.uint64)
+    def score_long(self, word: np.ndarray) -> float:
+        """The same of one word of any length: pieces are looked up for many places at once, and only those found are walked over.
+
+        Probabilities of the last places are held as numbers and scaled up together, so that they do not vanish.
+        """
+        n, scaled = len(word), 0.0
+        values = self.values[word]
+        recent = {0: 1.0}
+        for lo in range(0, n, 1 << 16):
+            hi = min(n, lo + (1 << 16))
+            key, ends, sizes, scores = np.zeros(hi - lo, np.uint64), [], [], []
+            for length in range(1, LONGEST + 1):
+                key = key[: max(0, min(hi, n - length + 1) - lo)]
+                key = key + values[lo + length - 1 : lo + length - 1 + len(key)] * self.powers[length - 1]
+                if length in self.lengths:
+                    found = self._piece_scores(key)
+                    at = np.flatnonzero(found > -np.inf)
+                    ends.append(lo + at)
+                    sizes.append(np.full(len(at), length))
+                    scores.append(found[at])
+            begin = np.concatenate(ends)
+            by = np.argsort(begin, kind="stable")
+            steps = zip(begin[by].tolist(), np.concatenate(sizes)[by].tolist(), (10.0 ** np.concatenate(scores)[by]).tolist(), strict=True)
+            last = -1
+            for i, length, p in steps:
+                if i != last:
+                    last = i
+                    if i % 8 == 0:
+                        recent = {j: v for j, v in recent.items() if j >= i}
+                        if 0 < (top := max(recent.values(), default=0.0)) < 1e-50:
+                            recent = {j: v / top for j, v in recent.items()}
+                            scaled += np.log10(top)
+                if v := recent.get(i):
+                    recent[i + length] = recent.get(i + length, 0.0) + v * p
+        return float(np.log10(recent[n]) + scaled) if recent.get(n) else -np.inf
 
     def score_words(self, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         """Of words at the given places of lower-cased bytes, each with a blank before it."""
@@ -105,6 +136,10 @@ class Lattice:
         length = end - start
         for n in np.unique(length):
             at = np.flatnonzero(length == n)
+            if n >= SHORT:
+                for i in at:
+                    out[i] = self.score_long(np.concatenate([np.array([32], np.uint8), data[start[i] : end[i]]]))
+                continue
             step = max(1, min(BLOCK, (1 << 22) // int(n)))
             for lo in range(0, len(at), step):
                 part = at[lo : lo + step]
@@ -121,12 +156,11 @@ def _distinct(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return first, back
 
 
-def count_batches(path: str):
+def count_batches(ranks: dict[bytes, int]):
     """Rows (kind, key, n): kind 0 counts words by hash, 1 pieces by rank, 2 training texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, lower = WordHasher(), lower_table()
-        ranks = load_ranks(path)
         pieces, size = tokenizer(ranks), max(ranks.values()) + 1
         inner = re.compile(r"\s")
 
@@ -157,13 +191,13 @@ def count_batches(path: str):
     return run
 
 
-def score_batches(path: str, scores: np.ndarray, end_score: float, keys: np.ndarray, terms: np.ndarray):
+def score_batches(ranks: dict[bytes, int], scores: np.ndarray, end_score: float, keys: np.ndarray, terms: np.ndarray):
     """A row for each text (word null) with sums over its frequent words and its whole score, and one for each other word in it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, lower, lattice = WordHasher(), lower_table(), None
         for batch in (part for whole in batches for part in slices(whole, 1, SLICE)):
-            lattice = lattice or Lattice(load_ranks(path), scores)
+            lattice = lattice or Lattice(ranks, scores)
             data, offsets = text_bytes(batch.column(1))
             h, s, e, bounds = hasher.hashes(data, offsets)
             rows = batch.num_rows
@@ -194,11 +228,11 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     scratch = Scratch(docs.sparkSession, "lattice")
     out = F.coalesce(id_hash(id_col, folds) == fold, F.lit(False))
     text = F.col(text_col).cast("string")
-    rows = docs.where(~out).select(text.alias("text")).mapInArrow(count_batches(vocabulary), "kind int, key long, n long")
+    ranks = load_ranks(vocabulary)
+    rows = docs.where(~out).select(text.alias("text")).mapInArrow(count_batches(ranks), "kind int, key long, n long")
     counts = scratch.write(rows.groupBy("kind", "key").agg(F.sum("n").alias("n")), "counts")
-    words = counts.where("kind = 0").select(F.col("key").alias("word"), F.col("n").alias("c"))
+    words = counts.where("kind = 0").select(F.col("key").alias("word"), F.col("n").alias("c"), F.floor(16 * F.log2("n")).alias("bin"))
 
-    ranks = load_ranks(vocabulary)
     pieces = counts.where("kind = 1").toPandas()  # one row a piece of the vocabulary at most
     texts = int(counts.where("kind = 2").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0])
     seen = np.zeros(max(ranks.values()) + 1)
@@ -210,20 +244,20 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     tokens, distinct = int(size[0]) + texts, int(size[1]) + (texts > 0)
     below = tokens + SMOOTH * (distinct + 1)
     term = lambda c: np.log10((c + SMOOTH) / below)
-    often = words.groupBy(F.least("c", F.lit(10_000)).alias("c")).count().orderBy(F.col("c").desc()).collect()
-    least, held = 10_001, 0
-    for r in often:
+    least, held = 16 * 64, 0  # bins of counts are few, whatever the corpus
+    for r in words.groupBy("bin").count().orderBy(F.col("bin").desc()).collect():
         if (held := held + r["count"]) > FREQUENT:
             break
-        least = r["c"]
-    frequent = words.where(F.col("c") >= least).toPandas()
+        least = r["bin"]
+    frequent = words.where(F.col("bin") >= least).toPandas()
     keys = frequent["word"].to_numpy(np.int64).view(np.uint64)
     order = np.argsort(keys)
     terms = term(frequent["c"].to_numpy(float)[order])
 
-    keyed = docs.select(row_key(docs, id_col, text_col).alias("id"), text.alias("text"))
-    scored = scratch.write(keyed.mapInArrow(score_batches(vocabulary, scores, end_score, keys[order], terms), "id long, word long, n long, known long, base double, score double"), "scored")
-    rare = scored.where("word is not null").select("id", "word", "n").join(words.where(F.col("c") < least), "word", "left")
+    key = row_key(docs, id_col, text_col)
+    keyed = docs.select(key.alias("id"), text.alias("text"))
+    scored = scratch.write(keyed.mapInArrow(score_batches(ranks, scores, end_score, keys[order], terms), "id long, word long, n long, known long, base double, score double"), "scored")
+    rare = scored.where("word is not null").select("id", "word", "n").join(words.where(F.col("bin") < least), "word", "left")
     rare = rare.groupBy("id").agg(F.sum(F.when(F.col("c") > 0, F.col("n")).otherwise(0)).alias("known2"), F.sum(F.col("n") * F.log10((F.coalesce("c", F.lit(0)) + SMOOTH) / below)).alias("base2"))
     texts_ = scored.where("word is null").dropDuplicates(["id"]).join(rare, "id", "left")
     end_known = int(texts > 0)
@@ -235,5 +269,5 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         (F.col("base") + F.coalesce("base2", F.lit(0.0)) + float(term(texts))).alias("base_score"),
         "score",
     )
-    ids = docs.select(F.col(id_col), out.alias("held_out"), row_key(docs, id_col, text_col).alias("row_id"))
+    ids = docs.select(F.col(id_col), out.alias("held_out"), key.alias("row_id"))
     return ids.join(result, "row_id").select(id_col, "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")

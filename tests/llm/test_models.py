@@ -3,6 +3,7 @@
 import collections
 import math
 import random
+import time
 import zlib
 
 import numpy as np
@@ -70,12 +71,36 @@ def test_scores(spark):
         r = got[i]
         assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens) == (held[i], len(ws) + 1, sum(counts[w] > 0 for w in ws) + 1, n)
         assert abs(r.base_score - base) < 1e-6 * max(1, -base)
-        want = sum(marginal(w) for w in ws if len(w) < 60) + math.log10((ends + 0.1) / below)
-        if all(len(w) < 60 for w in ws):
-            assert abs(r.score - want) < 1e-6 * max(1, -want)
+        want = sum(marginal(w) for w in ws) + math.log10((ends + 0.1) / below)
+        assert abs(r.score - want) < 1e-6 * max(1, -want)
     assert lattice.score_texts(df.limit(0)).count() == 0
 
 
+def test_long_words():
+    """One walk or a table: the same probability; a word of a megabyte takes seconds."""
+    ranks = lattice.load_ranks(lattice.VOCABULARY)
+    r = np.random.default_rng(1)
+    model = lattice.Lattice(ranks, np.log10(r.random(max(ranks.values()) + 1) * 1e-4))
+    for n in (1, 2, 7, 33, 64, 65, 300):
+        word = np.concatenate([[32], r.integers(97, 123, n)]).astype(np.uint8)
+        assert abs(model.score(word[None])[0] - model.score_long(word)) < 1e-8
+    began = time.time()
+    score = model.score_long(np.resize(np.frombuffer(b"aGVsbG8gd29ybGQ" + "语言".encode(), np.uint8), 1 << 20))
+    assert -np.inf < score < -(1 << 18) and time.time() - began < 30
+
+
+def test_words_of_one_count_are_not_gathered(spark, monkeypatch):
+    """More words in the highest bin of counts than may be sent: all of them are joined instead."""
+    df = spark.createDataFrame([(i, " ".join(f"w{j}" for j in range(40))) for i in range(30)], "doc_id long, text string")
+    want = {x.doc_id: x for x in lattice.score_texts(df).collect()}
+    monkeypatch.setattr(lattice, "FREQUENT", 20)
+    made = []
+    batches = lattice.score_batches
+    monkeypatch.setattr(lattice, "score_batches", lambda ranks, scores, end, keys, terms: made.append(len(keys)) or batches(ranks, scores, end, keys, terms))
+    got = {x.doc_id: x for x in lattice.score_texts(df).collect()}
+    assert made == [0] and all(abs(got[i].base_score - want[i].base_score) < 1e-9 and got[i].n_known == want[i].n_known for i in want)
+
+
 def test_rare_words_are_joined(spark, monkeypatch):
     df = spark.read.parquet(SF + "/documents.parquet")
     want = {r.doc_id: r for r in lattice.score_texts(df).collect()}
@@ -190,7 +215,7 @@ def test_search(spark, factor, least):
     ids, m = np.array([x.vec_id for x in rows]), np.array([x.embedding for x in rows], np.float64)
     norm = np.sqrt((m * m).sum(axis=1))
     got = collections.defaultdict(dict)
-    for x in vptree.nearest(df, lambda i: i % 50 == 0, factor=factor, shard=150).collect():
+    for x in vptree.nearest(df, lambda i: i % 50 == 0, factor=factor, shard_bytes=150 * 64 * 8).collect():
         got[x.query_id][x.rank] = (x.vec_id, x.score)
     hits = 0
     for q in np.flatnonzero(ids % 50 == 0):
@@ -202,6 +227,24 @@ def test_search(spark, factor, least):
     assert hits >= least * 5 * (ids % 50 == 0).sum()
 
 
+def test_search_leaves_out_leaves():
+    """Over clustered vectors well under half of the leaves are visited at a recall of 0.9 and more; factor one is exact."""
+    r = np.random.default_rng(3)
+    v = (r.normal(size=(40, 32))[r.integers(40, size=4000)] + 0.35 * r.normal(size=(4000, 32))).astype(np.float64)
+    ids = np.arange(4000)
+    unit = v / np.linalg.norm(v, axis=1)[:, None]
+    cosine = unit[::50] @ unit.T
+    cosine[np.arange(80), ids[::50]] = -2
+    want = np.argsort(-cosine, axis=1)[:, :5]
+    for factor, least in ((1.0, 1.0), (vptree.FACTOR, 0.9)):
+        tree = vptree.VantageTree(ids, v, 5)
+        q, found, _ = tree.search(ids[::50], v[::50], 5, factor)
+        hits = sum(len(set(found[q == i]) & set(want[i])) for i in range(80))
+        assert len(tree.leaves) > 100 and hits >= least * 400
+        if factor > 1:
+            assert tree.visited < 0.5 * tree.offered
+
+
 def test_search_edges(spark):
     same = [(i, [1.0, 2.0]) for i in range(400)]
     odd = [(400, None), (401, [0.0, 0.0]), (402, [1.0, None]), (403, [float("nan"), 1.0]), (404, [float("inf"), 1.0]), (None, [1.0, 1.0]), (0, [1.0, 2.0]), (405, [1.0]), (450, [-1.0, 0.5])]
