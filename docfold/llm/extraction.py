@@ -2,7 +2,9 @@
 
 A page is cut into flat blocks of text at block-level tags.  A block is described by its words, its link density (percent
 of words inside links), the same of its neighbours, where it stands (inside an article, inside something that is no
-article, or neither) and whether it is a heading.  A decision tree, trained on the small labelled table below, tells main text from the rest.
+article, a form, or neither) and whether it is a heading.  A decision tree, trained on the small labelled table below, tells
+main text from the rest.  What is plainly set apart (a menu, a reader's comment, a hidden element) may read like an article,
+so there the place decides; everywhere else words and link densities of the block and its neighbours do.
 
 Definitions.  A null or empty page has the empty text.  Character references are decoded, white space inside a block is
 one space, blocks are joined in page order by an empty line, and nothing is dropped or capped beside what is classified.
@@ -16,6 +18,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,91 +33,218 @@ BLOCKS = set(
     "th thead tr ul".split()
 )
 RAW = "script style textarea title".split()
-UNREAD = set("noscript template svg iframe select button object audio video canvas math head".split())
+UNREAD = set("noscript template svg iframe select button head".split())
 IN_HEAD = set("base basefont bgsound head html link meta noframes noscript script style template title".split())
 DRAWN = set("svg math".split())
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-APART = set("nav footer aside form menu dialog".split())
+HEADINGS = "h1 h2 h3 h4 h5 h6".split()
+APART = set("nav footer aside menu dialog".split())
 MAIN = set("article main".split())
-# What names of classes, ids and roles begin with where they mark something beside the article.
-MARKS = (
-    "advert breadcrumb banner carousel comment complementary consent contentinfo cookie copyright disclaimer discuss disqus footer gdpr login masthead menu "
-    "modal navbar navigation newsletter notice notification paywall popup promo recommend related replies reply respond search share sharing sidebar signup "
-    "skip social sponsor subscribe tagcloud teaser toolbar topbar trending widget"
-).split()
-MARKS_WHOLE = set("ad ads adv alert nav header side tags toc".split())
-
-#: words before, words, words after, link density before, own, after, place (-1 apart, 0 neither, 1 article), heading, main text?
+# Whole words in names of classes, ids and roles that mark something beside the article.
+MARKS = set(
+    "ad ads adv advert adverts advertisement advertisements advertising alert alerts banner banners breadcrumb breadcrumbs carousel comment commentlist comments "
+    "complementary consent contentinfo cookie cookies copyright disclaimer discussion disqus footer gdpr header login masthead menu menus modal nav navbar "
+    "navigation newsletter notice notices notification notifications paywall popup promo promos promoted promotion recommendation recommendations recommended "
+    "related replies reply respond search searchbox searchform share sharebar sharing side sidebar sidebars signup skip skiplink social sponsor sponsored sponsors subscribe subscription "
+    "tagcloud tags teaser teasers toc toolbar topbar trending widget widgets".split()
+)
+
+#: words before, words, words after, link density before, own, after, place (-2 apart, -1 form, 0 neither, 1 article), heading, main text?
 LABELLED = [
     tuple(map(int, row.split()))
     for row in """
-    0 1 1 0 100 100 -1 0 0
-    1 1 1 100 100 100 -1 0 0
-    2 3 1 100 100 100 -1 0 0
-    1 14 9 100 0 0 -1 0 0
-    1 9 40 100 0 0 -1 0 0
-    6 30 12 0 0 0 -1 0 0
-    40 60 35 0 0 0 -1 0 0
-    80 120 90 0 0 0 -1 0 0
-    90 12 0 0 0 0 -1 0 0
-    35 5 4 0 0 0 -1 1 0
-    3 45 6 0 10 0 -1 0 0
-    60 25 25 0 4 0 -1 0 0
-    25 18 0 5 60 0 -1 0 0
-    200 11 0 0 0 0 -1 0 0
-    9 12 30 0 0 0 1 1 1
-    14 4 60 0 0 0 1 1 1
-    12 25 30 0 0 0 1 0 1
-    30 2 70 0 0 0 1 0 1
-    70 1 25 0 0 0 1 0 1
-    25 90 40 0 5 0 1 0 1
-    40 150 0 0 0 0 1 0 1
-    3 6 0 0 0 0 1 0 1
-    120 8 12 0 0 0 1 0 1
-    60 40 5 0 30 0 1 0 1
-    55 12 80 0 50 0 1 0 1
-    20 5 45 0 0 0 1 1 1
-    10 7 7 0 0 0 1 0 1
-    90 3 11 0 0 100 1 0 1
-    0 200 0 0 0 0 1 0 1
-    5 35 60 100 0 0 1 0 1
-    80 6 1 0 100 100 1 0 0
-    6 4 3 100 100 100 1 0 0
-    4 3 5 100 100 0 1 0 0
-    60 2 2 0 100 100 1 0 0
-    0 1 2 0 100 100 0 0 0
-    1 2 1 100 100 100 0 0 0
+    40 200 45 0 0 0 -2 0 0
+    30 40 2 0 10 0 -2 0 0
+    0 90 0 0 0 0 -2 0 0
+    150 70 60 0 0 0 -2 0 0
+    80 120 90 0 0 0 -2 0 0
+    70 15 8 0 0 0 -2 0 0
+    3 30 2 0 0 0 -2 0 0
+    8 4 40 0 0 0 -2 0 0
+    1 9 40 100 0 0 -2 0 0
+    3 45 6 0 10 0 -2 0 0
+    20 80 30 0 0 0 -2 0 0
+    2 25 70 0 0 0 -2 0 0
+    4 6 2 0 0 0 -2 0 0
+    60 9 55 0 0 0 -2 0 0
+    2 3 1 100 100 100 -2 0 0
+    200 11 0 0 0 0 -2 0 0
+    90 12 0 0 0 0 -2 0 0
+    1 1 1 100 100 100 -2 0 0
+    9 9 9 0 0 0 -2 0 0
+    1 14 9 100 0 0 -2 0 0
+    0 1 1 0 100 100 -2 0 0
+    12 22 90 0 0 0 -2 0 0
+    2 55 60 100 0 0 -2 0 0
+    60 33 0 0 0 0 -2 0 0
+    100 60 20 0 0 0 -2 0 0
+    6 30 12 0 0 0 -2 0 0
+    35 5 4 0 0 0 -2 1 0
+    25 18 0 5 60 0 -2 0 0
+    60 25 25 0 4 0 -2 0 0
+    40 60 35 0 0 0 -2 0 0
+    1 25 3 0 0 0 -1 0 0
+    2 2 3 0 0 0 -1 0 0
+    0 8 2 0 0 0 -1 0 0
+    2 4 2 100 50 0 -1 0 0
+    3 6 2 0 0 0 -1 0 0
+    2 12 1 0 0 0 -1 0 0
+    4 5 40 0 0 0 -1 1 0
+    50 110 6 0 2 0 -1 0 1
+    70 30 60 0 0 0 -1 0 1
+    40 60 55 0 0 0 -1 0 1
+    60 4 80 0 0 0 -1 1 1
+    8 90 45 0 4 0 -1 0 1
     2 4 3 100 100 100 0 0 0
-    3 5 60 100 100 0 0 0 0
-    4 12 55 100 80 0 0 0 0
-    2 8 3 100 0 100 0 0 0
-    3 4 2 100 0 100 0 0 0
-    70 9 0 0 0 0 0 0 0
+    1 6 25 100 0 0 0 0 0
+    40 5 1 0 0 100 0 0 0
+    1 20 9 100 0 0 0 0 0
+    4 16 0 0 0 0 0 0 0
     65 6 3 0 20 100 0 0 0
-    5 7 4 0 0 0 0 0 0
+    9 13 0 0 0 0 0 0 0
+    2 15 12 100 0 0 0 0 0
+    60 9 4 0 0 100 0 0 0
+    30 4 6 0 0 100 0 1 0
+    1 14 60 100 0 0 0 0 0
+    60 6 4 0 100 100 0 0 0
+    3 8 8 100 0 0 0 0 0
+    9 2 0 100 100 0 0 0 0
+    80 6 0 0 0 0 0 0 0
+    150 11 0 0 0 0 0 0 0
+    1 7 9 100 0 0 0 0 0
     4 3 0 0 0 0 0 0 0
+    3 1 1 0 100 100 0 0 0
+    1 1 1 100 100 100 0 0 0
+    1 10 4 100 0 0 0 0 0
+    70 9 0 0 0 0 0 0 0
+    2 8 2 100 0 100 0 0 0
+    1 9 9 100 0 0 0 0 0
+    20 15 0 0 0 0 0 0 0
     0 3 4 0 0 0 0 0 0
     8 20 15 100 70 90 0 0 0
-    30 4 6 0 0 100 0 1 0
+    80 5 9 0 100 0 0 0 0
+    10 7 0 0 0 0 0 0 0
+    1 12 10 100 0 0 0 0 0
+    1 1 9 100 100 0 0 0 0
+    1 4 11 100 0 0 0 0 0
+    3 4 2 100 0 100 0 0 0
+    4 12 55 100 80 0 0 0 0
+    2 3 3 100 100 100 0 0 0
+    45 12 0 0 0 0 0 0 0
+    2 8 3 100 0 100 0 0 0
+    4 7 0 0 0 0 0 0 0
+    0 1 2 0 100 100 0 0 0
+    1 2 1 100 100 100 0 0 0
     2 3 2 100 0 100 0 1 0
-    3 40 55 100 0 0 0 0 1
-    40 60 80 0 3 0 0 0 1
-    8 50 45 0 12 0 0 0 1
-    60 22 30 0 10 0 0 0 1
-    45 18 50 0 0 0 0 0 1
+    2 6 30 100 0 0 0 0 0
+    3 5 60 100 100 0 0 0 0
+    30 8 0 0 0 0 0 0 0
+    4 30 9 0 0 0 0 0 1
+    9 9 4 0 0 0 0 0 1
+    9 5 30 0 0 0 0 1 1
+    3 35 8 100 0 0 0 0 1
+    30 15 22 0 0 0 0 0 1
+    12 1 9 0 0 0 0 0 1
+    55 13 4 0 0 0 0 0 1
+    2 2 2 0 0 0 0 0 1
+    1 31 1 0 0 0 0 0 1
+    0 14 0 0 0 0 0 0 1
+    70 60 2 0 0 100 0 0 1
+    12 30 9 0 0 0 0 0 1
+    8 9 25 0 0 0 0 1 1
     90 35 9 0 0 0 0 0 1
-    0 80 0 0 0 0 0 0 1
+    8 41 5 0 0 0 0 0 1
     0 25 0 0 0 0 0 0 1
-    0 14 0 0 0 0 0 0 1
+    30 9 45 0 0 0 0 1 1
+    30 32 4 0 0 100 0 0 1
+    6 4 8 0 0 0 0 0 1
+    8 45 2 0 0 0 0 0 1
+    1 48 24 0 0 0 0 0 1
+    2 5 48 0 0 0 0 0 1
+    20 7 12 0 0 0 0 0 1
+    40 9 55 0 100 0 0 0 1
+    1 9 25 100 0 0 0 1 1
+    10 20 3 0 0 100 0 0 1
+    45 18 50 0 0 0 0 0 1
+    9 18 40 0 0 0 0 1 1
+    20 15 9 0 20 0 0 0 1
+    60 2 10 0 0 0 0 0 1
+    20 3 40 0 0 0 0 1 1
+    60 5 70 0 0 0 0 1 1
+    3 9 14 0 0 0 0 0 1
+    17 23 6 0 0 0 0 0 1
+    64 2 5 0 0 0 0 0 1
+    60 6 25 0 0 0 0 1 1
+    10 26 1 0 0 0 0 0 1
+    60 28 5 0 5 80 0 0 1
+    3 40 55 100 0 0 0 0 1
+    1 60 40 100 0 0 0 0 1
+    0 80 0 0 0 0 0 0 1
+    90 60 0 0 0 0 0 0 1
+    11 6 3 0 0 0 0 1 1
+    1 5 60 100 0 0 0 1 1
+    12 45 0 0 0 0 0 0 1
+    40 60 80 0 3 0 0 0 1
+    2 40 4 100 0 100 0 0 1
+    35 34 4 0 0 0 0 0 1
+    1 1 48 0 0 0 0 0 1
     3 110 2 100 5 100 0 0 1
     4 7 50 100 0 0 0 1 1
-    60 5 70 0 0 0 0 1 1
-    30 9 45 0 0 0 0 1 1
-    70 8 60 0 0 0 0 0 1
     45 3 50 0 0 0 0 0 1
+    60 22 30 0 10 0 0 0 1
+    70 8 60 0 0 0 0 0 1
+    7 4 20 0 0 0 0 0 1
+    2 7 86 0 0 0 0 0 1
+    8 50 45 0 12 0 0 0 1
+    80 5 0 0 100 0 1 0 0
+    4 3 5 100 100 0 1 0 0
+    6 4 3 100 100 100 1 0 0
+    80 6 1 0 100 100 1 0 0
+    60 2 2 0 100 100 1 0 0
+    1 70 2 0 0 0 1 0 1
+    6 6 80 0 0 0 1 0 1
+    12 25 30 0 0 0 1 0 1
+    4 16 0 0 0 0 1 0 1
+    55 12 80 0 50 0 1 0 1
+    1 5 9 100 0 0 1 0 1
+    60 8 70 0 100 0 1 0 1
+    55 13 4 0 0 0 1 0 1
+    60 40 5 0 30 0 1 0 1
+    4 30 9 0 0 0 1 0 1
+    25 90 40 0 5 0 1 0 1
+    3 9 4 100 0 100 1 0 1
+    120 16 14 0 0 0 1 0 1
+    5 35 60 100 0 0 1 0 1
+    90 3 11 0 0 100 1 0 1
+    17 23 6 0 0 0 1 0 1
+    9 13 0 0 0 0 1 0 1
+    70 1 25 0 0 0 1 0 1
+    0 200 0 0 0 0 1 0 1
+    1 1 48 0 0 0 1 0 1
+    60 2 3 0 0 0 1 0 1
+    90 60 0 0 0 0 1 0 1
+    7 4 20 0 0 0 1 0 1
+    2 2 2 0 0 0 1 0 1
+    64 2 5 0 0 0 1 0 1
+    30 2 70 0 0 0 1 0 1
+    120 8 12 0 0 0 1 0 1
+    14 4 60 0 0 0 1 1 1
+    150 11 0 0 0 0 1 0 1
+    9 12 30 0 0 0 1 1 1
+    1 12 60 100 0 0 1 0 1
+    20 5 45 0 0 0 1 1 1
+    20 15 9 0 20 0 1 0 1
+    10 7 7 0 0 0 1 0 1
+    5 3 1 0 0 0 1 0 1
+    3 6 0 0 0 0 1 0 1
+    10 7 3 0 0 0 1 0 1
+    8 45 2 0 0 0 1 0 1
+    2 7 86 0 0 0 1 0 1
+    40 150 0 0 0 0 1 0 1
+    30 8 0 0 0 0 1 0 1
     """.strip().splitlines()
 ]
-DEPTH = 8
+DEPTH = 10
 
 
 class Tree:
@@ -168,7 +298,9 @@ _CLOSED_BY = {"p": BLOCKS, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"},
 def _place(name: str, attrs: str, inside: int) -> int:
     """Where the text in an element stands, given where the element does."""
     if name in APART or (name == "header" and inside < 1):
-        return -1
+        return -2
+    if name == "form":
+        inside = -1 if inside == 0 else inside
     marks = []
     if attrs:
         for key, *values in _ATTR.findall(attrs):
@@ -176,37 +308,78 @@ def _place(name: str, attrs: str, inside: int) -> int:
             if key in ("class", "id", "role"):
                 marks += _NAMES.split(value)
             elif (key == "aria-hidden" and value == "true") or (key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value)):
-                return -1
+                return -2
             elif key == "itemprop" and value == "articlebody":
                 return 1
         if re.search(r"(?:^|\s)hidden(?:\s|$|=)", attrs, re.I):
-            return -1
+            return -2
     if name in MAIN:
         # An article within comments or a list of teasers stays apart only by its own marks.
-        return -1 if any(m in ("comment", "comments", "teaser", "related") for m in marks) else 1
+        return -2 if any(m in ("comment", "comments", "teaser", "related") for m in marks) else 1
     for m in marks:
-        if m in MARKS_WHOLE and not (m == "header" and inside == 1) or any(m.startswith(x) for x in MARKS):
-            return -1
+        if m in MARKS and not (m == "header" and inside == 1):
+            return -2
         if m == "main":
             inside = max(inside, 1)
     return inside
 
 
-def _unread_ends(name: str, unread: list[str], stack: list[tuple[str, int]]) -> bool:
-    """Does the start tag end the unread element ``unread[0]``, whose end tag is left out?"""
-    if unread[-1] == "head":
+class _Open:
+    """Names of open elements, innermost last, counted so that none is looked for in vain."""
+
+    def __init__(self):
+        self.names: list[str] = []
+        self.places: list[int] = []
+        self.count = Counter()
+        self.blocks: list[int] = []  # where in ``names`` blocks stand
+
+    def push(self, name: str, place: int = 0) -> None:
+        if name in BLOCKS:
+            self.blocks.append(len(self.names))
+        self.names.append(name)
+        self.places.append(place)
+        self.count[name] += 1
+
+    def cut(self, at: int) -> None:
+        for name in self.names[at:]:
+            self.count[name] -= 1
+        del self.names[at:], self.places[at:]
+        while self.blocks and self.blocks[-1] >= at:
+            self.blocks.pop()
+
+    def any(self, names) -> bool:
+        return any(self.count[x] for x in names)
+
+    def last(self, name: str) -> int:
+        """Where the innermost ``name`` stands; an inline one is not looked for beyond the block around."""
+        if not self.count[name]:
+            return -1
+        least = -1 if name in BLOCKS else self.blocks[-1] if self.blocks else -1
+        at = len(self.names) - 1
+        while at > least and self.names[at] != name:
+            at -= 1
+        return at if at > least else -1
+
+    def block(self) -> str:
+        """The innermost block that is no paragraph's own line of inline elements."""
+        return self.names[self.blocks[-1]] if self.blocks else "p"
+
+
+def _unread_ends(name: str, unread: _Open, around: _Open) -> bool:
+    """Does the start tag end the unread element, whose end tag is left out?"""
+    if unread.names[-1] == "head":
         return name not in IN_HEAD
-    if name == unread[0] and name in ("button", "select"):
+    if name == unread.names[0] and name in ("button", "select"):
         return True
-    block = next((x for x, _ in reversed(stack) if x in BLOCKS), "p")
-    return block != "p" and name in _CLOSED_BY.get(block, ()) and not any(x in ("ul", "ol", "dl", "table", "select") for x in unread)
+    block = around.block()
+    return block != "p" and name in _CLOSED_BY.get(block, ()) and not unread.any(("ul", "ol", "dl", "table", "select"))
 
 
 def blocks(page: str) -> list[tuple[str, int, int, int, int]]:
     """(text, words, link density, place, heading) of each flat block that has text."""
     out: list[tuple[str, int, int, int, int]] = []
     parts: list[tuple[str, bool]] = []
-    stack: list[tuple[str, int]] = []
+    stack, unread = _Open(), _Open()  # open elements; the open unread element and what is open in it
 
     def flush() -> None:
         if parts:
@@ -214,61 +387,57 @@ def blocks(page: str) -> list[tuple[str, int, int, int, int]]:
             if text:
                 n = len(text.split())
                 linked = len("".join(t if a else " " for t, a in parts).split())
-                heading = any(re.fullmatch("h[1-6]", name) for name, _ in stack)
-                out.append((text, n, min(100, 100 * linked // n), stack[-1][1] if stack else 0, int(heading)))
+                out.append((text, n, min(100, 100 * linked // n), stack.places[-1] if stack.places else 0, int(stack.any(HEADINGS))))
             parts.clear()
 
     def close(name: str) -> None:
-        for i in range(len(stack) - 1, -1, -1):
-            if stack[i][0] == name:
-                if any(x in BLOCKS for x, _ in stack[i:]):
-                    flush()
-                del stack[i:]
-                return
-            if name not in BLOCKS and stack[i][0] in BLOCKS:
-                return  # an inline end tag reaches no further than its block
+        at = stack.last(name)
+        if at >= 0:
+            if stack.blocks and stack.blocks[-1] >= at:
+                flush()
+            stack.cut(at)
 
     def text(raw: str) -> None:
         if raw:
-            parts.append((html.unescape(raw) if "&" in raw else raw, any(name == "a" for name, _ in stack)))
+            parts.append((html.unescape(raw) if "&" in raw else raw, stack.count["a"] > 0))
 
-    at, unread = 0, []  # the open unread element and what is open in it
+    at = 0
     while m := _TOKEN.search(page, at):
         raw = page[at : m.start()]
-        if unread == ["head"] and raw.strip():
-            unread.clear()
-        if not unread:
+        if unread.names == ["head"] and raw.strip():
+            unread.cut(0)
+        if not unread.names:
             text(raw)
         at = m.end()
         name = m["name"]
         if name is None:
             continue
         name = name.lower()
-        closed = m["attrs"].endswith("/") and (name in DRAWN or any(x in DRAWN for x in unread))
+        closed = m["attrs"].endswith("/") and (name in DRAWN or unread.any(DRAWN))
         if name in RAW and not m["end"] and not closed:
             over = _RAW_END[name].search(page, at)
             at = over.end() if over else len(page)
-            if not unread:
+            if not unread.names:
                 parts.append((" ", False))
             continue
-        if unread:
+        if unread.names:
             if m["end"]:
-                if name in unread:
-                    del unread[len(unread) - 1 - unread[::-1].index(name) :]
+                if unread.count[name]:
+                    unread.cut(len(unread.names) - 1 - unread.names[::-1].index(name))
                     continue
-                if name not in BLOCKS or all(x != name for x, _ in stack):
+                if name not in BLOCKS or not stack.count[name]:
                     continue
-                unread.clear()  # its end tag is left out: it ends with the block around it
+                unread.cut(0)  # its end tag is left out: it ends with the block around it
             elif _unread_ends(name, unread, stack):
-                unread.clear()
+                unread.cut(0)
             else:
                 if name not in VOID and not closed:
-                    unread.append(name)
+                    unread.push(name)
                 continue
         if name in UNREAD and not m["end"]:
             parts.append((" ", False))
             if not closed:
-                unread.append(name)
+                unread.push(name)
             continue
         if name == "br":
             parts.append((" ", False))
@@ -278,23 +447,19 @@ def blocks(page: str) -> list[tuple[str, int, int, int, int]]:
         if m["end"]:
             close(name)
             continue
-        if name in VOID:
+        if name in VOID or closed:
             continue
-        while stack and name in _CLOSED_BY.get(stack[-1][0], ()):
-            stack.pop()
-        if name in ("p", "li") or (name in BLOCKS and stack):
-            # An open paragraph or link ends where a block begins, even if inline tags stand open in it.
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] == "p" or (stack[i][0] == "li" and name == "li"):
-                    del stack[i:]
-                    break
-                if stack[i][0] in BLOCKS:
-                    break
+        while stack.names and name in _CLOSED_BY.get(stack.names[-1], ()):
+            stack.cut(len(stack.names) - 1)
+        if name in BLOCKS and stack.blocks:
+            # An open paragraph or item ends where a block begins, even if inline tags stand open in it.
+            around = stack.block()
+            if around == "p" or (around == "li" and name == "li"):
+                stack.cut(stack.blocks[-1])
         elif name == "a":
             close("a")
-        inside = next((p for _, p in reversed(stack)), 0)
-        stack.append((name, _place(name, m["attrs"], inside)))
-    if not unread or (unread == ["head"] and page[at:].strip()):
+        stack.push(name, _place(name, m["attrs"], stack.places[-1] if stack.places else 0))
+    if not unread.names or (unread.names == ["head"] and page[at:].strip()):
         text(page[at:])
     flush()
     return out

@@ -156,6 +156,45 @@ def test_extraction_without_article_tags():
     assert extraction.main_text(page, extraction.train()) == "\n\n".join([long.strip()] * 2)
 
 
+def test_text_features_separate_without_place(spark):
+    """With the place withheld, words and link densities of neighbours still tell nearly all blocks; every feature is in use."""
+    tree, right, total = extraction.train(), 0, 0
+    for r in spark.read.parquet("/root/testdata/sf0.01/pages.parquet").select("html").collect():
+        found = extraction.blocks(r.html)
+        words, links = [0, *(b[1] for b in found), 0], [0, *(b[2] for b in found), 0]
+        for i, b in enumerate(found):
+            total += 1
+            right += tree((*words[i : i + 3], *links[i : i + 3], 0, b[4])) == (b[3] == 1)
+    assert right > 0.95 * total
+    used, left = set(), [tree.root]
+    while left:
+        node = left.pop()
+        if isinstance(node, tuple):
+            used.add(node[0])
+            left += node[2:]
+    assert used == set(range(8))
+
+
+def test_place_is_not_all():
+    """Within an article link lists go and linked lines between paragraphs stay; running text in a form that holds the page stays."""
+    tree, long = extraction.train(), " ".join(f"word{i}" for i in range(70))
+    links = "".join(f"<li><a href=/{i}>Other story {i}</a></li>" for i in range(4))
+    page = f"<form id=page><input name=q><label>Search</label><div><p>{long}</p><p>{long} b</p><p>{long} c</p></div></form>"
+    assert extraction.main_text(page, tree) == "\n\n".join([long, long + " b", long + " c"])
+    page = f"<article><p>{long}</p><p><a href=/x>See the whole decision of the court here</a></p><p>{long} b</p><ul>{links}</ul></article>"
+    assert extraction.main_text(page, tree) == "\n\n".join([long, "See the whole decision of the court here", long + " b"])
+    for name in ("commentary", "shareholders", "searchlight", "promoter", "page-responders"):
+        assert extraction.main_text(f"<article><div class={name}><p>{long}</p></div></article>", tree) == long
+    assert extraction.main_text(f"<article><p>{long} <math><mi>x</mi><mo>=</mo><mn>2</mn></math></p></article>", tree).endswith(" x=2")
+
+
+def test_malformed_pages_take_linear_time():
+    tree, began = extraction.train(), time.time()
+    for part, before in (("<div>x", ""), ("<b>x", ""), ("<a>x", ""), ("<p><b>", ""), ("<li><ul>", ""), ("</i>", "<b>" * 50_000), ("<g/>", "<svg>"), ("<b>y", "<button>"), ('<a b="', "")):
+        extraction.main_text(before + part * 50_000, tree)
+    assert time.time() - began < 60
+
+
 def test_driver_pages(spark):
     pages = spark.read.parquet(SF + "/pages.parquet")
     for r in extraction.extract(pages, ("page_id", "html")).collect():
