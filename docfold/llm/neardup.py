@@ -12,7 +12,7 @@ a block the sets are compared by their sketches of all coordinates; a set that c
 another component brings its full set into the block, where links are confirmed, and the block gives only what joins its
 components, fewer rows than it has sets.  So nothing is capped, no connection between different texts is lost, and a group of n
 near copies, linked or just not, makes rows in proportion to n.  ``HOOKS`` trees come first, large nodes in random blocks;
-their links are contracted, and nodes of one component are done.  Then all nodes follow: small are those of one block,
+their links are contracted, and nodes of one component are done.  Sketches and texts are joined by a merge at every size.  Then all nodes follow: small are those of one block,
 or with at most ``LEAF`` blocks outside their main component, which are held against all blocks.  A pair is compared in the first
 tree that has both in one small node.  A node that stays large after ``LEVELS`` branchings is treated as small ones are.
 
@@ -266,7 +266,7 @@ class ChosenPathJoin:
         """Those rows of the blocks ``laid`` whose full sets are to be compared."""
         s, threshold = self.threshold / 100, self.threshold
         least = max(1, math.ceil(COORDINATES * s - SLACK * (COORDINATES * s * (1 - s)) ** 0.5))
-        rough = _dealt(laid.select(_LAID).join(self.sets.select("row", "sketch"), "row").select(*_LAID, "sketch"))
+        rough = _dealt(laid.select(_LAID).join(self.sets.select("row", "sketch").hint("merge"), "row").select(*_LAID, "sketch"))
         return self.scratch.write(rough.mapInArrow(by_block(lambda t: _near(t, least, threshold)), "node long, part long, role int, row long, c long"), "near")
 
     def links(self, near: list[DataFrame]) -> DataFrame:
@@ -274,8 +274,8 @@ class ChosenPathJoin:
         threshold = self.threshold
         rows = reduce(DataFrame.unionByName, near)
         asked = self.scratch.write(rows.select("row").distinct().join(self.classes.select("row", "id", "k1", "k2"), "row"), "asked")
-        items = self.docs.join(asked, "id").select("row", "k1", "k2", "text").mapInArrow(item_batches(self.k), "row long, items binary").dropDuplicates(["row"])
-        full = _dealt(rows.join(items, "row").select("node", "part", "role", "c", "items"))
+        items = self.docs.join(asked.hint("merge"), "id").select("row", "k1", "k2", "text").mapInArrow(item_batches(self.k), "row long, items binary").dropDuplicates(["row"])
+        full = _dealt(rows.join(items.hint("merge"), "row").select("node", "part", "role", "c", "items"))
         out = self.scratch.write(full.mapInArrow(by_block(lambda t: _links(t, threshold)), "u long, v long"), "links")
         self.scratch.drop(asked, *near)
         return out
