@@ -6,8 +6,8 @@ to the order of its own most frequent n-grams by out-of-place distance.
 N-grams are of 1 to ``LONGEST`` bytes of UTF-8, with A-Z lower-cased, every other byte that is no letter's read as a
 space, and none that is a space or holds two in a row.  Texts are counted whole, and profiles are learned from all training texts.
 
-Definitions.  A null text, or one without a letter, is ``und`` with score 0.  Equal counts are ordered by the n-gram's
-bytes, equal distances by the language's code points.  Without training texts every text is ``und``.  Rows are judged one
+Definitions.  A null text, or one without a letter, is ``und`` with score 0.  Of equal counts the shorter n-gram comes first, then
+the smaller bytes; equal distances by the language's code points.  Without training texts every text is ``und``.  Rows are judged one
 by one, so repeated rows are judged alike.  A row with a null language is not learned from; one without id is learned
 from.  The profiles sent to executors hold ``PROFILE`` n-grams a language.  Language, source and id are never read for a
 prediction.
@@ -120,7 +120,8 @@ def learn(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> tu
     rows = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"))
     counts = rows.mapInArrow(count_batches, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     order = Window.partitionBy("lang").orderBy(F.col("n").desc(), "gram")
-    top = counts.withColumn("rank", F.row_number().over(order) - 1).where(F.col("rank") < PROFILE).select("lang", "gram", "rank").toPandas()
+    first = counts.withColumn("place", F.row_number().over(order)).where(F.col("place") <= PROFILE)  # cut before the shuffle too
+    top = first.select("lang", "gram", (F.col("place") - 1).alias("rank")).toPandas()
     langs = sorted(top["lang"].unique())
     keys = np.unique(top["gram"].to_numpy(np.int64).view(np.uint64))
     ranks = np.full((len(keys), len(langs)), PROFILE, np.int64)
