@@ -103,6 +103,16 @@ def pack_group(sizes: tuple[int, ...]):
     return run
 
 
+def _runs(lengths: DataFrame, run: int) -> DataFrame:
+    """A row for each ``run`` copies, with the number of the first; numbers are made in steps, so that no array holds all."""
+    for step in (run << 36, run << 18, run):
+        begin = F.col("first") if "first" in lengths.columns else F.lit(0).cast("long")
+        last = F.least(F.col("times"), F.col("until")) if "until" in lengths.columns else F.col("times")
+        numbers = F.explode(F.sequence(begin, last - 1, F.lit(step).cast("long"))).alias("first")
+        lengths = lengths.select("id", "n", "times", numbers).withColumn("until", F.col("first") + step)
+    return lengths.drop("until")
+
+
 def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sizes: tuple[int, ...] = SIZES, group: int = GROUP) -> DataFrame:
     """A row for each piece: id, copy, start and n_words within the document, bin, bin_size and bin_offset within the bin."""
     scratch = Scratch(docs.sparkSession, "packing")
@@ -110,10 +120,10 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sizes:
     lengths = scratch.write(lengths.groupBy("id", "n").agg(F.count("*").alias("times")), "lengths")
     total = lengths.agg(F.sum(F.col("times") * F.ceil(F.col("n") / sizes[-1]))).first()[0] or 0
     groups = max(1, -(-int(total) // group))
-    runs = lengths.where("n > 0").select("id", "n", "times", F.explode(F.sequence(F.lit(0).cast("long"), F.col("times") - 1, F.lit(RUN).cast("long"))).alias("first"))
-    dealt = runs.select("id", "n", "first", F.least(F.lit(RUN), F.col("times") - F.col("first")).cast("long").alias("times"), F.pmod(F.xxhash64("id", "first"), F.lit(groups)).alias("g"))
+    runs = _runs(lengths, RUN)
+    dealt = runs.where("n > 0").select("id", "n", "first", F.least(F.lit(RUN), F.col("times") - F.col("first")).cast("long").alias("times"), F.pmod(F.xxhash64("id", "first"), F.lit(groups)).alias("g"))
     packed = dealt.groupBy("g").applyInPandas(pack_group(tuple(sizes)), _OUT)
-    none = lengths.where("n = 0").select("id", F.explode(F.sequence(F.lit(0).cast("long"), F.col("times") - 1)).alias("copy"), F.lit(0).cast("long").alias("start"), F.col("n").alias("n_words"), F.lit(None).cast("string").alias("bin"), F.lit(None).cast("int").alias("bin_size"), F.lit(None).cast("long").alias("bin_offset"))
+    none = _runs(lengths.where("n = 0"), 1).select("id", F.col("first").alias("copy"), F.lit(0).cast("long").alias("start"), F.col("n").alias("n_words"), F.lit(None).cast("string").alias("bin"), F.lit(None).cast("int").alias("bin_size"), F.lit(None).cast("long").alias("bin_offset"))
     return packed.unionByName(none).withColumnRenamed("id", id_col)
 
 
