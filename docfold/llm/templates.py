@@ -77,22 +77,28 @@ def _classes(docs: DataFrame, scratch: Scratch, key: Column, text_col: str) -> D
     links = pairs.join(side("u"), "u").join(side("v"), "v").where(alike).select("u", "v")
     near = components(links, scratch).select(F.col("id").alias("class"), "component")
     same = known.groupBy("doc", "whole").agg(F.count("*").alias("rows")).join(equal.hint("merge"), "whole").select("doc", "class", "rows")
-    return scratch.write(same.join(near.hint("merge"), "class", "left").select("doc", F.coalesce("component", "class").alias("class"), "rows"), "classes")
+    classes = scratch.write(same.join(near.hint("merge"), "class", "left").select("doc", F.coalesce("component", "class").alias("class"), "rows"), "classes")
+    scratch.drop(known, first, bands)
+    return classes
 
 
 def dropped_lines(docs: DataFrame, scratch: Scratch, key: Column, text_col: str = "text") -> DataFrame:
     """(doc, dropped): the places of the lines that go, for each document that loses any."""
     lines = scratch.write(_lines(docs, key, text_col), "lines")
-    by_doc = lines.join(_classes(docs, scratch, key, text_col).hint("merge"), "doc").groupBy("template", "class", "doc", "rows").agg((F.count("*") / F.col("rows")).alias("n"))
+    classes = _classes(docs, scratch, key, text_col)
+    by_doc = lines.join(classes.hint("merge"), "doc").groupBy("template", "class", "doc", "rows").agg((F.count("*") / F.col("rows")).alias("n"))
     by_class = by_doc.groupBy("template", "class").agg(F.max("n").alias("n"))
     recurring = by_class.groupBy("template").agg(F.count("*").alias("docs"), F.sum("n").alias("n")).where(f"docs >= {DOCUMENTS} and {SHARE} * docs >= n")
     recurring = scratch.write(recurring.select("template"), "recurring")
     gone = lines.join(recurring, "template", "left_semi").groupBy("doc").agg(F.collect_set("pos").alias("dropped"))
-    return scratch.write(gone, "gone")
+    gone = scratch.write(gone, "gone")
+    scratch.drop(lines, classes, recurring)
+    return gone
 
 
 def _rest(text: Column, dropped: Column) -> Column:
-    kept = F.filter(F.split(text, "\n"), lambda x, i: ~F.array_contains(dropped, i))
+    places = lambda lines: F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), dropped)
+    kept = let(F.split(text, "\n"), lambda lines: F.transform(places(lines), lambda i: F.get(lines, i)))
     return F.when(dropped.isNull(), text).otherwise(F.array_join(kept, "\n"))
 
 
