@@ -26,6 +26,37 @@ def test_languages(spark):
     assert langid.held_out_languages(odd.limit(0)).count() == 0
 
 
+def test_languages_by_brute_force(spark, tmp_path):
+    """The query against profiles and distances written out, with ties, unknown letters and texts longer than a profile."""
+    r, rows = random.Random(5), []
+    for i in range(120):
+        lang = ("en", "fr", "de", None)[i % 4]
+        pool = {"en": "the of and house", "fr": "le la été maison", "de": "der die über haus"}.get(lang, "xyz zyx yy").split()
+        rows.append((i, " ".join(r.choice(pool) + r.choice(["", "s", "er", "12", "!"]) for _ in range(r.choice([1, 3, 40, 900]))), lang))
+    rows += [(200, "abab", "aa"), (203, "abab", "zz"), (204, None, "en"), (205, "12 34", "en")]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string").write.parquet(str(tmp_path / "documents.parquet"))
+
+    def profile(texts):
+        n = collections.Counter()
+        for t in texts:
+            b = bytes(c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or c >= 128 else 32 for c in t.encode())
+            n.update(g for k in range(1, langid.LONGEST + 1) for g in (b[i : i + k] for i in range(len(b) - k + 1)) if g != b" " and b"  " not in g)
+        return [g for g, _ in sorted(n.items(), key=lambda x: (-x[1], len(x[0]), x[0]))[: langid.PROFILE]]
+
+    held = {i: zlib.crc32(str(i).encode()) % 4 == 2 for i, _, _ in rows}
+    known = {lang: profile([t for i, t, x in rows if x == lang and t and not held[i]]) for lang in sorted({x for i, t, x in rows if x and t is not None and not held[i]})}
+    for got in queries.op2_language_id(spark, str(tmp_path)).collect():
+        text = rows[[x[0] for x in rows].index(got.doc_id)][1]
+        assert got.held_out == held[got.doc_id]
+        if not text or not any(c.isalpha() for c in text):
+            assert (got.lang_pred, got.score) == ("und", 0.0)
+            continue
+        mine = profile([text])
+        apart = {lang: sum(abs(theirs.index(g) - i) if g in theirs else langid.PROFILE for i, g in enumerate(mine)) for lang, theirs in known.items()}
+        best = min(apart, key=lambda x: (apart[x], x))
+        assert got.lang_pred == best and abs(got.score - (1 - apart[best] / (langid.PROFILE * len(mine)))) < 1e-12
+
+
 def test_grams_of_long_texts(monkeypatch):
     r = random.Random(1)
     text = np.frombuffer("".join(r.choice("abc  ") for _ in range(999)).encode(), np.uint8)
@@ -239,6 +270,41 @@ def test_pieces_hold_all_words(spark):
     assert " ".join(x.p for x in parts.collect()) == text
 
 
+def naive_best_fit(lengths, sizes):
+    """Every open bin is looked at for every piece."""
+    order = sorted(range(len(lengths)), key=lambda i: (-lengths[i], i))
+    bins, place = [], {}  # a bin: [capacity, filled]
+    for turn, k in enumerate(order):
+        n = lengths[k]
+        fits = [(cap - full - n, b) for b, (cap, full) in enumerate(bins) if cap - full >= n]
+        if fits:
+            b = min(fits)[1]
+        else:
+            if len(bins) % 64 == 0:
+                waiting = [lengths[i] for i in order[turn:]]
+            cost = lambda c: c * (1 + c / packing.STEEP) / (n + min(c - n, sum(x for x in waiting if x <= min(c - n, n))))  # noqa: E731, B023
+            b = len(bins)
+            bins.append([min((c for c in sizes if c >= n), key=cost), 0])
+        place[k] = (b, bins[b][1])
+        bins[b][1] += n
+    return [place[i] for i in range(len(lengths))], [min(s for s in sizes if s >= full) for _, full in bins]
+
+
+def test_best_fit_against_all_bins(spark):
+    r = random.Random(8)
+    for _ in range(30):
+        lengths = [r.choice([1, 2, 7, 100, 255, 256, 257, 900, 2049, 4096, r.randint(1, 4096)]) for _ in range(r.choice([0, 1, 5, 400]))]
+        where, offset, final = packing.best_fit(np.array(lengths, np.int64))
+        want, sizes = naive_best_fit(lengths, packing.SIZES)
+        assert list(zip(where.tolist(), offset.tolist(), strict=True)) == want and final == sizes
+    docs = spark.read.parquet(SF + "/documents.parquet").select("doc_id", "text")
+    got = packing.pack(docs).where("bin is not null").collect()  # one packing group
+    n = sorted((x.doc_id, len(x.text.split())) for x in docs.collect() if x.text and x.text.split())
+    pieces = [(i, start, min(packing.SIZES[-1], k - start)) for i, k in n for start in range(0, k, packing.SIZES[-1])]
+    want, sizes = naive_best_fit([k for _, _, k in pieces], packing.SIZES)
+    assert {(x.doc_id, x.start, x.n_words, int(x.bin.split("-")[1]), x.bin_size, x.bin_offset) for x in got} == {(*p, b, sizes[b], at) for p, (b, at) in zip(pieces, want, strict=True)}
+
+
 def test_best_fit_is_tight():
     r = np.random.default_rng(3)
     lengths = np.minimum(4096, r.lognormal(5.5, 1.2, 5000).astype(int) + 1)

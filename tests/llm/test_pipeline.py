@@ -1,4 +1,5 @@
 import collections
+import random
 
 import corpus_pipeline
 from docfold.llm import mixing, neardup, packing, quality, templates
@@ -34,3 +35,24 @@ def test_stages(spark, tmp_path):
 
 def test_run(spark):
     assert corpus_pipeline.run(spark, SF).count() > 0
+
+
+def test_odd_rows_and_columns(spark, tmp_path):
+    """Every stage takes nulls in any column, empty and long texts, repeated rows and clashing columns, and loses no column."""
+    r = random.Random(3)
+    good = lambda n: " ".join(r.choice("the of and to a in is that it was for on with as".split()) + r.choice(["", " tree", " river", " stone", " letter", " evening"]) for _ in range(n))
+    rows = [(i, good(120) + "\n" + good(60), "en", f"s{i % 3}", 1) for i in range(12)]
+    rows += [rows[0], rows[0], (3, good(200), None, None, None), (None, good(150), "en", "s0", 3), (None, None, None, None, None), (90, "", "en", "s1", 0), (91, " \n ", "en", "s1", 3), (92, good(30_000), "en", "s2", 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    docs = docs.selectExpr("*", "doc_id as id", "text as row", "source as row_key", "1 as kept", "2 as template_doc", "3 as mix_rate", "4 as n", "5 as bin")
+    for empty in (False, True):
+        now = docs.limit(0) if empty else docs
+        for name, stage in corpus_pipeline.STAGES:
+            out = stage(spark, now, SF)
+            path = str(tmp_path / f"{name}-{empty}")
+            out.write.parquet(path)
+            if name != "best_fit_packing":
+                assert out.columns == docs.columns, name
+            now = spark.read.schema(out.schema).parquet(path)
+            assert (now.count() == 0) == empty, name
+    assert {x.doc_id for x in now.collect()} <= {i for i, *_ in rows}
