@@ -28,16 +28,17 @@ def date_in_cell(x: Column) -> Column:
 
 
 def validate_date(x: Column) -> Column:
-    """DD/MM/YYYY stays, a Hijri 14YY/MM/DD stays, ISO becomes DD/MM/YYYY, anything else is null."""
+    """DD/MM/YYYY stays, a Hijri date of the years 1300 to 1599 (YYYY/MM/DD) stays, ISO becomes DD/MM/YYYY, anything else is null."""
     t = F.trim(x)
     iso = F.concat_ws("/", F.substring(t, 9, 2), F.substring(t, 6, 2), F.substring(t, 1, 4))
-    return F.when(t.rlike(r"^\d{2}/\d{2}/\d{4}$"), t).when(t.rlike(r"^14\d{2}/\d{2}/\d{2}$"), t).when(t.rlike(r"^\d{4}-\d{2}-\d{2}$"), iso)
+    return F.when(t.rlike(r"^\d{2}/\d{2}/\d{4}$"), t).when(t.rlike(r"^1[3-5]\d{2}/\d{2}/\d{2}$"), t).when(t.rlike(r"^\d{4}-\d{2}-\d{2}$"), iso)
 
 
 def extract_year(x: Column) -> Column:
-    """A year 19xx or 20xx, else the third part of a date with slashes."""
+    """A year 19xx or 20xx, else the last of exactly three parts between slashes, if it has four characters."""
     found = F.nullif(F.regexp_extract(x, r"\b(?:19|20)\d{2}\b", 0), F.lit(""))
-    return F.coalesce(found, F.nullif(F.get(F.split(x, "/"), 2), F.lit("")))
+    parts = F.split(x, "/")
+    return F.coalesce(found, F.when((F.size(parts) == 3) & (F.length(F.get(parts, F.lit(2))) == 4), F.get(parts, F.lit(2))))
 
 
 def year_start(year: Column) -> Column:

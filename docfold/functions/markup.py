@@ -5,13 +5,13 @@ from __future__ import annotations
 import hashlib
 import html
 import re
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Callable, Iterator
 from html.parser import HTMLParser
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 HREF = r'href="([^"]*)"'
 _HIDDEN = ("script", "style", "noscript", "header", "footer", "svg")
@@ -51,8 +51,24 @@ def table_html(rows: Column) -> Column:
 
 
 def info_value(x: Column, name: str) -> Column:
-    """The value beside a name in an info table."""
-    return F.nullif(F.trim(F.regexp_extract(html_to_text(x), rf"(?i){re.escape(name)}\s*:?\s*([^\s].*?)(?=\s{{2,}}|$|\s[A-Z][a-z]+\s*:)", 1)), F.lit(""))
+    """The word after ``name:`` in an info table, without a label that runs into it."""
+    found = F.regexp_extract(html_to_text(x), rf"{re.escape(name)}:\s*([^\s|]+)", 1)
+    return F.nullif(F.regexp_replace(found, r"[A-Z][a-z]+:.*$", ""), F.lit(""))
+
+
+#: Where a page may name its PDF, most trusted first; the first that is there wins.
+PDF_PATTERNS = (
+    r"(?is)<a\b[^>]*?\bhref\s*=\s*[\"']([^\"']*\.pdf[^\"']*)",
+    r"(?is)<div\b[^>]*?\bid\s*=\s*[\"']download[\"'](?:(?!</div).)*?<a\b[^>]*?\bhref\s*=\s*[\"']([^\"']+)",
+    r"(?is)<a\b[^>]*?\bonclick\s*=\s*(?:\"[^\"]*?'|'[^']*?\")([^'\"]+\.pdf)['\"]",
+    r"(/?pdffiles/administrator[a-f0-9]+\.pdf)",
+    r"(?s)<a\b[^>]*?\bhref\s*=\s*[\"']([^\"']+)[\"'][^>]*>[^<]*(?:Download|DOWNLOAD)",
+)
+
+
+def pdf_link(x: Column) -> Column:
+    """The PDF that a page is about."""
+    return F.coalesce(*(F.nullif(F.regexp_extract(x, p, 1), F.lit("")) for p in PDF_PATTERNS))
 
 
 class Node:
@@ -62,10 +78,12 @@ class Node:
         self.name, self.attrs, self.parent, self.children = name, attrs, parent, []
 
     def walk(self) -> Iterator[Node]:
-        yield self
-        for c in self.children:
-            if isinstance(c, Node):
-                yield from c.walk()
+        """This element and all below it in page order; no recursion, as pages may nest without end."""
+        left = [self]
+        while left:
+            n = left.pop()
+            yield n
+            left.extend(c for c in reversed(n.children) if isinstance(c, Node))
 
     def find(self, *names: str) -> Iterator[Node]:
         return (n for n in self.walk() if n is not self and n.name in names)
@@ -75,23 +93,29 @@ class Node:
 
     def text(self) -> str:
         out: list[str] = []
-
-        def add(n: Node) -> None:
-            for c in n.children:
-                if isinstance(c, str):
-                    out.append(c)
-                elif c.name not in ("script", "style", "noscript"):
-                    out.append(" ")
-                    add(c)
-                    out.append(" ")
-
-        add(self)
+        left: list[Node | str] = list(reversed(self.children))
+        while left:
+            c = left.pop()
+            if isinstance(c, str):
+                out.append(c)
+            elif c.name not in ("script", "style", "noscript"):
+                left += [" ", *reversed(c.children), " "]
         return " ".join("".join(out).split())
 
     def html(self) -> str:
-        attrs = "".join(f' {k}="{html.escape(v)}"' for k, v in self.attrs.items())
-        inner = "".join(c.html() if isinstance(c, Node) else html.escape(c, quote=False) for c in self.children)
-        return f"<{self.name}{attrs}>{inner}</{self.name}>" if self.name not in _VOID else f"<{self.name}{attrs}>"
+        out: list[str] = []
+        left: list[tuple[bool, Node | str]] = [(False, self)]
+        while left:
+            done, c = left.pop()
+            if done:
+                out.append(str(c))
+            elif isinstance(c, str):
+                out.append(html.escape(c, quote=False))
+            else:
+                out.append(f"<{c.name}" + "".join(f' {k}="{html.escape(v)}"' for k, v in c.attrs.items()) + ">")
+                if c.name not in _VOID:
+                    left += [(True, f"</{c.name}>"), *((False, x) for x in reversed(c.children))]
+        return "".join(out)
 
 
 _VOID = set("area base br col embed hr img input link meta source track wbr".split())
@@ -103,26 +127,34 @@ class _Builder(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.root = self.at = Node("#root", {})
+        self.open = Counter()  # names of the elements around ``at``, so that none is looked for in vain
+
+    def up_to(self, n: Node) -> None:
+        """Closes ``n`` and all within it."""
+        while self.at is not n.parent:
+            self.open[self.at.name] -= 1
+            self.at = self.at.parent
 
     def handle_starttag(self, tag, attrs):
         n = self.at
-        while n.parent and tag in _IMPLIED and n.name not in _SCOPE[tag]:
-            if n.name in _IMPLIED[tag]:
-                self.at = n.parent
-                break
-            n = n.parent
+        if any(self.open[name] for name in _IMPLIED.get(tag, ())):
+            while n.parent and n.name not in _SCOPE[tag]:
+                if n.name in _IMPLIED[tag]:
+                    self.up_to(n)
+                    break
+                n = n.parent
         node = Node(tag, {k: v or "" for k, v in attrs}, self.at)
         self.at.children.append(node)
         if tag not in _VOID:
             self.at = node
+            self.open[tag] += 1
 
     def handle_endtag(self, tag):
-        n = self.at
-        while n.parent:
-            if n.name == tag:
-                self.at = n.parent
-                return
-            n = n.parent
+        if self.open[tag]:
+            n = self.at
+            while n.name != tag:
+                n = n.parent
+            self.up_to(n)
 
     def handle_data(self, data):
         self.at.children.append(data)
@@ -144,33 +176,56 @@ def _table_rows(page: str) -> list[dict]:
     for t, table in enumerate(parse(page).find("table")):
         for r, row in enumerate(table.find("tr")):
             cells = [c for c in row.children if isinstance(c, Node) and c.name in ("td", "th")]
-            out.append({"table_no": t, "row_no": r, "header": bool(cells) and all(c.name == "th" for c in cells), "cells": [c.text() for c in cells], "links": _links(row)})
+            out.append({"table_no": t, "row_no": r, "header": bool(cells) and all(c.name == "th" for c in cells), "cells": [c.text() for c in cells], "links": _links(row), "cell_links": [_links(c) for c in cells]})
     return out
 
 
 def _list_tree(page: str) -> list[dict]:
     """Folders and leaves of nested lists: depth, path of titles, href; a row with a list below it is a folder F, others R."""
     out: list[dict] = []
-
-    def visit(ul: Node, path: list[str]) -> None:
-        for li in (c for c in ul.children if isinstance(c, Node) and c.name == "li"):
-            own = next(li.find("a"), None)
-            below = [c for c in li.children if isinstance(c, Node) and c.name in ("ul", "ol")]
-            title = own.text() if own else " ".join(" ".join(c for c in li.children if isinstance(c, str)).split())
-            here = [*path, title]
-            out.append({"path": here, "depth": len(here) - 1, "row_type": "F" if below else "R", "href": own.attrs.get("href", "") if own else ""})
-            for b in below:
-                visit(b, here)
-
-    for ul in parse(page).find("ul", "ol"):
-        n = ul.parent
-        while n and n.name not in ("ul", "ol"):
-            n = n.parent
-        if n is None:
-            visit(ul, [])
+    left: list[tuple[Node, list[str]]] = [(parse(page), [])]
+    while left:
+        n, path = left.pop()
+        inside = [c for c in n.children if isinstance(c, Node)]
+        if n.name == "li" and n.parent.name in ("ul", "ol"):
+            below = [c for c in inside if c.name in ("ul", "ol")]
+            own = _own_link(n)
+            title = own.text() if own else " ".join(" ".join(c for c in n.children if isinstance(c, str)).split())
+            path = [*path, title]
+            out.append({"path": path, "depth": len(path) - 1, "row_type": "F" if below else "R", "href": own.attrs.get("href", "") if own else ""})
+            inside = below
+        elif n.name in ("ul", "ol"):
+            inside = [c for c in inside if c.name == "li"]
+        left.extend((c, path) for c in reversed(inside))
     return out
 
 
+def _own_link(li: Node) -> Node | None:
+    """The first link of a list item that is not in a list below it."""
+    left = [li]
+    while left:
+        n = left.pop()
+        if n.name == "a":
+            return n
+        left.extend(c for c in reversed(n.children) if isinstance(c, Node) and c.name not in ("ul", "ol"))
+    return None
+
+
+def _list_items(page: str) -> list[dict]:
+    """Links of each list item."""
+    return [{"links": links} for li in parse(page).find("li") if (links := _links(li))]
+
+
+def _book_category(page: str) -> str | None:
+    """The first link of the book menu that holds the active trail."""
+    for nav in parse(page).find("nav"):
+        if nav.attrs.get("id", "").startswith("book-block-menu-") and any("menu-item--active-trail" in n.attrs.get("class", "") for n in nav.walk()):
+            for a in nav.find("a"):
+                if "href" in a.attrs:
+                    return a.text()
+    return None
+
+
 def _anchors(page: str) -> list[dict]:
     """Sections of a page that begin at ``<a name=...>``."""
     parts = re.split(r"(?is)<a\s+name\s*=\s*[\"']?([^\"'>\s]+)[\"']?[^>]*>", page)
@@ -250,7 +305,8 @@ def _item(page: str) -> str:
 
 _LINK = "array<struct<title:string,url:string>>"
 _ROWS = {
-    "table_rows": (_table_rows, f"table_no int, row_no int, header boolean, cells array<string>, links {_LINK}"),
+    "table_rows": (_table_rows, f"table_no int, row_no int, header boolean, cells array<string>, links {_LINK}, cell_links array<{_LINK}>"),
+    "list_items": (_list_items, f"links {_LINK}"),
     "list_tree": (_list_tree, "path array<string>, depth int, row_type string, href string"),
     "anchors": (_anchors, "name string, section_html string, section_text string"),
     "accordion": (_accordion, "title string, text string, hash string"),
@@ -269,18 +325,26 @@ def parsed(pages: DataFrame, what: str, html_col: str = "html", keep: tuple[str,
     return rows.select(*keep, "pos", "row.*")
 
 
-def _text_udf(f):
-    @F.pandas_udf(T.StringType())
-    def run(x: pd.Series) -> pd.Series:
-        return x.map(f, na_action="ignore")
+def _page_text(page: str) -> str:
+    return parse(page).text()
+
+
+def _of_pages(f: Callable, kind: str = "string") -> Callable[[Column], Column]:
+    """A column function of a page function; a null page has a null result.  The UDF is made at each call, so that no module holds one."""
+
+    def column(x: Column) -> Column:
+        @F.pandas_udf(kind)
+        def run(s: pd.Series) -> pd.Series:
+            return s.map(f, na_action="ignore")
+
+        return run(x)
 
-    return run
+    return column
 
 
-layout_paragraphs, trimmed_pages, item_content = _text_udf(_layout_paragraphs), _text_udf(_trimmed_pages), _text_udf(_item)
-page_text = _text_udf(lambda p: parse(p).text())
+layout_paragraphs, trimmed_pages, item_content, page_text, book_category = map(_of_pages, (_layout_paragraphs, _trimmed_pages, _item, _page_text, _book_category))
 
 
-@F.pandas_udf(T.ArrayType(T.StringType()))
-def breadcrumb(x: pd.Series) -> pd.Series:
-    return x.map(lambda p: _breadcrumb(p or ""))
+def breadcrumb(x: Column) -> Column:
+    """The titles of a page's breadcrumb; none if it has none."""
+    return F.coalesce(_of_pages(_breadcrumb, "array<string>")(x), F.array().cast("array<string>"))

@@ -59,27 +59,56 @@ def path_with_title(path: Column, title: Column) -> Column:
     return F.when(F.size(path) == 0, F.array(title)).when(F.element_at(path, -1) == title, path).otherwise(F.array_append(path, title))
 
 
-def _salvage(text: str | None) -> str | None:
-    """The first JSON object or array that can be read from a model's reply."""
-    if not text:
+#: What a reply is read as if it holds no JSON.
+NO_REQUIREMENTS = '{"requirements": []}'
+
+
+def _read(text: str, at: int = 0, whole: bool = False):
+    """The JSON value at ``at``, or None; nesting too deep to read is no value."""
+    try:
+        return json.loads(text) if whole else json.JSONDecoder().raw_decode(text, at)[0]
+    except (ValueError, RecursionError):
         return None
-    bare = re.sub(r"```[a-zA-Z]*", "", text).strip()
-    for candidate in (bare, re.sub(r",\s*([}\]])", r"\1", bare)):
-        try:
-            return json.dumps(json.loads(candidate), ensure_ascii=False)
-        except ValueError:
-            pass
-    decoder = json.JSONDecoder()
+
+
+def _salvage(reply: str) -> str:
+    """The whole reply if it is JSON, else the object with a list of requirements, else the first object or array that can be read."""
+    bare = re.sub(r"```[a-zA-Z]*", "", reply).strip()
     tidy = re.sub(r",\s*([}\]])", r"\1", bare)
-    for m in re.finditer(r"[{\[]", tidy):
-        try:
-            return json.dumps(decoder.raw_decode(tidy, m.start())[0], ensure_ascii=False)
-        except ValueError:
-            continue
-    return None
-
-
-@F.pandas_udf(T.StringType())
-def salvage_json(x: pd.Series) -> pd.Series:
-    """Valid JSON out of a reply with fences, trailing commas or prose around it; null if there is none."""
-    return x.map(_salvage, na_action="ignore")
+    found = next((v for v in (_read(reply, whole=True), _read(bare, whole=True), _read(tidy, whole=True)) if v is not None), None)
+    if found is None and (named := re.search(r'"requirements"\s*:\s*\[', tidy)):
+        opened = [m.start() for m in re.finditer(r"\{", tidy[: named.start()])]
+        objects = (_read(tidy, at) for at in reversed(opened))
+        found = next((v for v in objects if isinstance(v, dict) and "requirements" in v), None)
+    if found is None:
+        found = next((v for m in re.finditer(r"[{\[]", tidy) if (v := _read(tidy, m.start())) is not None), None)
+    try:
+        return NO_REQUIREMENTS if found is None else json.dumps(found, ensure_ascii=False)
+    except RecursionError:
+        return NO_REQUIREMENTS
+
+
+def salvage_json(x: Column) -> Column:
+    """Valid JSON out of a reply with fences, trailing commas or prose around it; an empty list of requirements if there is none."""
+
+    @F.pandas_udf(T.StringType())
+    def run(s: pd.Series) -> pd.Series:
+        return s.map(_salvage, na_action="ignore")
+
+    return run(x)
+
+
+def merged(*structs: Column, fields: list[list[str]]) -> Column:
+    """One struct of the named fields of several; a later struct wins where names meet."""
+    last = {name: s[name] for s, names in zip(structs, fields, strict=True) for name in names}
+    return F.struct(*(v.alias(k) for k, v in last.items()))
+
+
+def without(x: Column, *names: str) -> Column:
+    """A struct without some of its fields."""
+    return x.dropFields(*names)
+
+
+def encoded(x: Column) -> Column:
+    """JSON of a struct, an array or a map; characters beyond ASCII stay as they are."""
+    return F.to_json(x, {"ignoreNullFields": "false"})

@@ -2,12 +2,19 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 INGEST_MIN, UPLOAD_GAP_MIN, UPLOAD_MIN, ANALYSIS_MIN, V1_MIN = 200, 50, 100, 200, 300
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of ``value``, which is computed once however often ``body`` uses it."""
+    return F.transform(F.array(value), body)[0]
+
+
 def or_else(*values: Column) -> Column:
     """The first value that is neither null nor an empty string."""
     return F.coalesce(*(F.nullif(v, F.lit("")) for v in values))
@@ -143,7 +150,7 @@ def url_extension(u: Column) -> Column:
 
 
 def absolute_link(u: Column, base: Column) -> Column:
-    return F.when(u.rlike("^[a-zA-Z][a-zA-Z0-9+.-]*:"), u).when(F.startswith(u, F.lit("/")), F.concat(base, u)).otherwise(F.concat_ws("/", base, u))
+    return F.when(u.rlike("^[a-zA-Z][a-zA-Z0-9+.-]*:"), u).when(F.startswith(u, F.lit("/")), F.concat(base, u)).when(u.isNotNull(), F.concat_ws("/", base, u))
 
 
 def classify_url(u: Column, rules: list[tuple[str, str]], default: str) -> Column:

@@ -11,6 +11,7 @@ from typing import Protocol
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from docfold.functions.text import let
 from docfold.operators.relational import first_by
 from docfold.schemas import COVERAGE
 
@@ -22,8 +23,14 @@ class Provider(Protocol):
     def match(self, obligations: DataFrame, library: DataFrame) -> DataFrame:
         """(id, match_status, matched_id) of obligations (id, text) against a library (item_id, text)."""
 
-    def coverage(self, obligations: DataFrame, chunks: DataFrame) -> DataFrame:
-        """(id, chunk_num, coverage_status, evidence_text) of obligations (id, text) against chunks (chunk_num, text)."""
+    def normalize(self, requirements: DataFrame) -> DataFrame:
+        """(regulation_id, requirement_id, normalized_obligations) of what ``extract`` gives."""
+
+    def controls(self, obligations: DataFrame) -> DataFrame:
+        """(regulation_id, requirement_id, obligation_id, control) of obligations (the first three and obligation_text)."""
+
+    def coverage(self, obligations: DataFrame, chunks: DataFrame, within: tuple[str, ...] = ()) -> DataFrame:
+        """(id, chunk_num, coverage_status, evidence_text) of obligations (id, text) against chunks (chunk_num, text), where ``within`` agrees."""
 
     def translate(self, texts: DataFrame) -> DataFrame:
         """(source, target) of (source)."""
@@ -31,20 +38,27 @@ class Provider(Protocol):
 
 def shingles(text: Column, k: int = 3) -> Column:
     """Hashes of the distinct k-word shingles of a text in lower case."""
-    w = F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), lambda x: x != "")
-    starts = F.slice(w, 1, F.greatest(F.size(w) - k + 1, F.lit(1)))  # a shorter text is one shingle
-    return F.array_distinct(F.transform(starts, lambda _, i: F.xxhash64(F.array_join(F.slice(w, i + 1, k), " "))))
+    words = F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), lambda x: x != "")
+
+    def hashed(w: Column) -> Column:
+        starts = F.slice(w, 1, F.greatest(F.size(w) - k + 1, F.lit(1)))  # a shorter text is one shingle
+        return F.array_distinct(F.transform(starts, lambda _, i: F.xxhash64(F.array_join(F.slice(w, i + 1, k), " "))))
+
+    return let(words, hashed)
 
 
-def containment(items: DataFrame, item_id: str, texts: DataFrame, text_id: str, text: str = "text", k: int = 3) -> DataFrame:
+def containment(items: DataFrame, item_id: str, texts: DataFrame, text_id: str, text: str = "text", k: int = 3, within: tuple[str, ...] = ()) -> DataFrame:
     """(item_id, text_id, n_common, n_items): shared shingles of short items and long texts, by an inverted index.
 
-    The join is on shingles, never on all pairs; a shingle that no item has is dropped before its text is shuffled.
+    Both sides have the columns ``within``, which must agree and are returned.
+
+    The join is on shingles, never on all pairs.  Where the items are small or their scan is selective, Spark broadcasts
+    them or filters the texts' shingles by a Bloom filter at run time, so foreign shingles are not shuffled.
     """
-    i = items.select(item_id, shingles(F.col(text), k).alias("g"))
-    left = i.select(item_id, F.size("g").cast("long").alias("n_items"), F.explode("g").alias("g"))
-    right = texts.select(text_id, F.explode(shingles(F.col(text), k)).alias("g"))
-    return left.join(right, "g").groupBy(item_id, text_id).agg(F.count("*").alias("n_common"), F.first("n_items").alias("n_items"))
+    i = items.select(*within, item_id, shingles(F.col(text), k).alias("g"))
+    left = i.select(*within, item_id, F.size("g").cast("long").alias("n_items"), F.explode("g").alias("g"))
+    right = texts.select(*within, text_id, F.explode(shingles(F.col(text), k)).alias("g"))
+    return left.join(right, [*within, "g"]).groupBy(*within, item_id, text_id).agg(F.count("*").alias("n_common"), F.first("n_items").alias("n_items"))
 
 
 def best_matches(obligations: DataFrame, library: DataFrame, full: int = 90, partial: int = 30) -> DataFrame:
@@ -64,21 +78,29 @@ def titles_match(a: Column, b: Column) -> Column:
 
 
 def title_pairs(left: DataFrame, left_id: str, right: DataFrame, right_id: str, title: str = "title") -> DataFrame:
-    """(left_id, right_id) of titles within one another, by an equi-join: the first three characters of the shorter occur in the longer."""
+    """(left_id, right_id) of titles within one another, by an equi-join: a piece of the shorter, three characters of it and those that are
+    in fewest of the longer ones, occurs in the longer.  A title of under three characters is its own piece.
+    """
     clean = F.lower(F.trim(F.col(title)))
     a = left.select(left_id, clean.alias("a")).where(F.length("a") > 0)
     b = right.select(right_id, clean.alias("b")).where(F.length("b") > 0)
 
-    def heads(df: DataFrame, t: str) -> DataFrame:
-        return df.withColumn("g", F.substring(t, 1, 3))
+    def pieces(t: str, sizes: tuple[int, ...]) -> Column:
+        of = lambda n: F.transform(F.sequence(F.lit(1), F.greatest(F.length(t) - n + 1, F.lit(1))), lambda i: F.substr(F.col(t), i, F.lit(n)))
+        return F.array_distinct(F.flatten(F.array(*map(of, sizes))))
+
+    def held(long: DataFrame, t: str) -> DataFrame:
+        return long.withColumn("g", F.explode(pieces(t, (1, 2, 3))))
 
-    def grams(df: DataFrame, t: str) -> DataFrame:
-        at = F.sequence(F.lit(1), F.length(t))
-        pieces = F.flatten(F.transform(at, lambda i: F.transform(F.array(F.lit(1), F.lit(2), F.lit(3)), lambda n: F.substr(F.col(t), i, n))))
-        return df.withColumn("g", F.explode(F.array_distinct(pieces)))
+    def rarest(short: DataFrame, key: str, t: str, index: DataFrame) -> DataFrame:
+        """Each short title with the piece that fewest of the longer titles hold; titles with a piece in none of them go."""
+        asked = short.withColumn("all", pieces(t, (3,))).select(key, t, F.size("all").alias("m"), F.explode("all").alias("g"))
+        known = asked.join(index.groupBy("g").agg(F.count("*").alias("n")), "g")
+        return known.groupBy(key, t).agg(F.min(F.struct("n", "g"))["g"].alias("g"), F.count("*").alias("hit"), F.max("m").alias("m")).where("hit = m").select(key, t, "g")
 
-    inner = heads(a, "a").join(grams(b, "b"), "g").where(F.contains("b", "a"))
-    outer = grams(a, "a").join(heads(b, "b"), "g").where(F.contains("a", "b"))
+    in_b, in_a = held(b, "b"), held(a, "a")
+    inner = rarest(a, left_id, "a", in_b).join(in_b, "g").where(F.contains("b", "a"))
+    outer = rarest(b, right_id, "b", in_a).join(in_a, "g").where(F.contains("a", "b"))
     return inner.select(left_id, right_id).unionByName(outer.select(left_id, right_id)).distinct()
 
 
@@ -109,10 +131,41 @@ def fallback_mapping(obligations: DataFrame, mappings: DataFrame) -> DataFrame:
     return obligations.join(last("obligation_id", "by_id"), "obligation_id", "left").join(last("obligation_text", "by_text"), "obligation_text", "left").withColumn("matched_id", F.coalesce("by_id", "by_text"))
 
 
+#: How obligations read, by the word found first: pattern, type, criticality, execution category.
+RULES = (
+    (r"(?i)\b(report|submit|notify)", "Reporting", "High", "One_Off_Reporting"),
+    (r"(?i)\b(board|approv)", "Governance", "High", "Governance_Approval"),
+    (r"(?i)\b(monitor|maintain|keep|review|ensure)", "Detective", "Medium", "Ongoing_Control"),
+    (r"(?i)\b(establish|implement|appoint)", "Preventive", "Medium", "One_Time_Implementation"),
+)
+
+
 class LexicalProvider:
-    """Sentences with a modal verb are obligations; verdicts go by shared shingles; translation is the identity."""
+    """Sentences with a modal verb are obligations, told apart by ``rules``; verdicts go by shared shingles; translation is the identity."""
+
+    def __init__(self, modal: str = r"(?i)\b(shall|must|should|is required to|are required to)\b", rules: tuple[tuple[str, str, str, str], ...] = RULES):
+        self.modal, self.rules = modal, rules
+
+    def _by_rule(self, text: Column, field: int, default: str) -> Column:
+        out = F.lit(default)
+        for rule in reversed(self.rules):
+            out = F.when(text.rlike(rule[0]), rule[field]).otherwise(out)
+        return out
+
+    def normalize(self, requirements: DataFrame) -> DataFrame:
+        def one(o: Column) -> Column:
+            text = o["obligation_text"]
+            return F.struct(
+                o["obligation_id"].alias("obligation_id"), text.alias("obligation_text"), self._by_rule(text, 1, "Documentation").alias("obligation_type"),
+                self._by_rule(text, 2, "Low").alias("criticality"), self._by_rule(text, 3, "Informational_No_Action").alias("execution_category"),
+            )
+
+        return requirements.select("regulation_id", "requirement_id", F.transform("obligations", one).alias("normalized_obligations"))
 
-    modal = r"(?i)\b(shall|must|should|is required to|are required to)\b"
+    def controls(self, obligations: DataFrame) -> DataFrame:
+        title = F.concat(F.lit("Control of "), F.col("obligation_id"))
+        control = F.struct(title.alias("control_title"), F.col("obligation_text").alias("control_description"), F.lit("Monthly").alias("frequency"))
+        return obligations.select("regulation_id", "requirement_id", "obligation_id", control.alias("control"))
 
     def extract(self, docs: DataFrame) -> DataFrame:
         sentence = F.explode(F.split("content_text", r"(?<=[.!?])\s+"))
@@ -125,10 +178,10 @@ class LexicalProvider:
     def match(self, obligations: DataFrame, library: DataFrame) -> DataFrame:
         return best_matches(obligations, library)
 
-    def coverage(self, obligations: DataFrame, chunks: DataFrame) -> DataFrame:
-        shared = containment(obligations, "id", chunks, "chunk_num")
+    def coverage(self, obligations: DataFrame, chunks: DataFrame, within: tuple[str, ...] = ()) -> DataFrame:
+        shared = containment(obligations, "id", chunks, "chunk_num", within=within)
         status = F.when(100 * F.col("n_common") >= 80 * F.col("n_items"), "covered").when(100 * F.col("n_common") >= 30 * F.col("n_items"), "partial").otherwise("missing")
-        return shared.join(chunks, "chunk_num").select("id", "chunk_num", status.alias("coverage_status"), F.substring("text", 1, 200).alias("evidence_text"))
+        return shared.join(chunks, [*within, "chunk_num"]).select(*within, "id", "chunk_num", status.alias("coverage_status"), F.substring("text", 1, 200).alias("evidence_text"))
 
     def translate(self, texts: DataFrame) -> DataFrame:
         return texts.select("source", F.col("source").alias("target")).distinct()

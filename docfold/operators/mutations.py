@@ -27,6 +27,11 @@ def upsert(base: DataFrame, changes: DataFrame, keys: list[str]) -> DataFrame:
     return base.join(changes.select(*keys), keys, "left_anti").select(base.columns).unionByName(changes)
 
 
+def replace_rows(base: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
+    """All rows of the keys that ``new`` has are replaced by its rows, of which a key may have several."""
+    return base.join(new.select(*keys).distinct(), keys, "left_anti").select(base.columns).unionByName(new)
+
+
 def delete(base: DataFrame, keys: DataFrame, on: list[str]) -> DataFrame:
     return base.join(keys, on, "left_anti").select(base.columns)
 

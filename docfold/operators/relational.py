@@ -112,7 +112,11 @@ def top_children(nodes: DataFrame, key: str, parent: str, title: str) -> DataFra
 
 
 def tree_paths(spark, view: str, key: str, parent: str, title: str) -> DataFrame:
-    """Level and path of each node of an adjacency table, from the roots down."""
+    """Level and path of each node of an adjacency table, from the roots down.
+
+    Spark stops a recursion at the level and row limits of the session (``spark.sql.cteRecursionLevelLimit`` and ``cteRecursionRowLimit``) with an
+    error, so a cycle or a deeper tree than these allow is no silent loss.
+    """
     return spark.sql(
         f"""WITH RECURSIVE t (id, parent_id, lvl, path) AS (
               SELECT {key}, {parent}, 0, {title} FROM {view} WHERE {parent} IS NULL

@@ -21,9 +21,17 @@ def next_versions(changed: DataFrame, versions: DataFrame, at) -> DataFrame:
     ``changed`` has regulation_id, content_text, content_hash and monitoring_status; unchanged rows do nothing.  The result replaces the
     table in one write, so no reader sees two active versions.
     """
-    new = changed.where("monitoring_status in ('new', 'modified')")
     last = versions.groupBy("regulation_id").agg(F.max("version_no").alias("last"))
-    added = new.join(last, "regulation_id", "left").select(
+    added = added_versions(changed, last, at)
+    hit = added.select("regulation_id", F.lit(True).alias("__hit")).distinct()
+    old = versions.join(hit, "regulation_id", "left").withColumn("status", F.when(F.col("__hit") & (F.col("status") == "active"), "inactive").otherwise(F.col("status"))).drop("__hit")
+    return old.select(added.columns).unionByName(added)
+
+
+def added_versions(changed: DataFrame, last: DataFrame, at) -> DataFrame:
+    """The new active versions that a batch makes, numbered after ``last`` (regulation_id, last)."""
+    new = changed.where("monitoring_status in ('new', 'modified')")
+    return new.join(last, "regulation_id", "left").select(
         "regulation_id",
         (F.coalesce("last", F.lit(0)) + 1).cast("long").alias("version_no"),
         "content_text",
@@ -32,9 +40,6 @@ def next_versions(changed: DataFrame, versions: DataFrame, at) -> DataFrame:
         F.when(F.col("monitoring_status") == "new", "Initial crawl").otherwise("Content changed").alias("change_summary"),
         F.lit(at).cast("timestamp").alias("created_at"),
     )
-    hit = new.select("regulation_id", F.lit(True).alias("__hit")).distinct()
-    old = versions.join(hit, "regulation_id", "left").withColumn("status", F.when(F.col("__hit") & (F.col("status") == "active"), "inactive").otherwise(F.col("status"))).drop("__hit")
-    return old.select(added.columns).unionByName(added)
 
 
 def latest_active(versions: DataFrame) -> DataFrame:

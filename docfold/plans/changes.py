@@ -49,7 +49,7 @@ def deactivate_versions(t: Tables) -> DataFrame:
     return M.set_status(rows, F.col("source") == "src1", "active", "inactive").select("doc_id", "status")
 
 
-@query("B7 B16", "SELECT CASE WHEN o_orderstatus = 'O' THEN 'history' ELSE 'head' END AS place, o_orderkey, o_custkey FROM orders")
+@query("B7", "SELECT CASE WHEN o_orderstatus = 'O' THEN 'history' ELSE 'head' END AS place, o_orderkey, o_custkey FROM orders")
 def archive_current(t: Tables) -> DataFrame:
     head, history = M.archived(t.orders.select("o_orderkey", "o_custkey", "o_orderstatus"), F.col("o_orderstatus") == "O")
     return head.select(F.lit("head").alias("place"), "o_orderkey", "o_custkey").unionByName(history.select(F.lit("history").alias("place"), "o_orderkey", "o_custkey"))
@@ -97,7 +97,7 @@ def insert_with_keys(t: Tables) -> DataFrame:
     return made.agg(F.count("*").alias("n"), F.min("id").alias("first_id"), F.max("id").alias("last_id"), F.countDistinct("id").alias("n_ids"), F.max(F.length("title")).cast("long").alias("longest"))
 
 
-@query("B21 K11", "SELECT DISTINCT path, title, depth FROM (SELECT source AS path, source AS title, 1 AS depth FROM documents UNION ALL SELECT source || '/' || lang, lang, 2 FROM documents) WHERE path <> 'src0'")
+@query("B21", "SELECT DISTINCT path, title, depth FROM (SELECT source AS path, source AS title, 1 AS depth FROM documents UNION ALL SELECT source || '/' || lang, lang, 2 FROM documents) WHERE path <> 'src0'")
 def category_paths(t: Tables) -> DataFrame:
     docs = t.documents.select(F.array("source", "lang").alias("doc_path"))
     there = t.spark.createDataFrame([(["src0"],)], "path array<string>")

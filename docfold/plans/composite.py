@@ -16,7 +16,7 @@ from docfold.sources.tables import Tables
 _RANK = "CASE c WHEN 'High' THEN 0 WHEN 'Medium' THEN 1 ELSE 2 END"
 
 
-@query("D12 O1 O2", f"""SELECT o_orderkey AS requirement_id, coalesce({LEVEL}, 'Low') AS criticality, coalesce(n, 0) AS n_obligations, types, nullif(r, 0) AS n_controls
+@query("O2", f"""SELECT o_orderkey AS requirement_id, coalesce({LEVEL}, 'Low') AS criticality, coalesce(n, 0) AS n_obligations, types, nullif(r, 0) AS n_controls
   FROM orders LEFT JOIN (SELECT l_orderkey, count(*) AS n, string_agg(DISTINCT l_linestatus, ', ' ORDER BY l_linestatus) AS types, count(*) FILTER (l_returnflag = 'R') AS r FROM lineitem GROUP BY 1) ON l_orderkey = o_orderkey""")
 def stage_assemble(t: Tables) -> DataFrame:
     """Stage 1 rows with stage 2 aggregates, and stage 3 only for those with an ongoing control."""
@@ -26,7 +26,7 @@ def stage_assemble(t: Tables) -> DataFrame:
     return joined.select("requirement_id", F.coalesce("criticality", F.lit("Low")).alias("criticality"), F.coalesce("n", F.lit(0)).cast("long").alias("n_obligations"), "types", "n_controls")
 
 
-@query("D13 K5 K6", """SELECT l_orderkey AS requirement_id, l_linenumber AS line, l_partkey AS part, CASE WHEN s_acctbal > 0 THEN s_name END AS control_title, count(*) AS n
+@query("D13", """SELECT l_orderkey AS requirement_id, l_linenumber AS line, l_partkey AS part, CASE WHEN s_acctbal > 0 THEN s_name END AS control_title, count(*) AS n
   FROM lineitem LEFT JOIN supplier ON s_suppkey = l_suppkey GROUP BY ALL""")
 def obligation_controls(t: Tables) -> DataFrame:
     controls = t.supplier.where("s_acctbal > 0").select(F.col("s_suppkey").alias("supp"), F.col("s_name").alias("control_title"))
@@ -100,7 +100,7 @@ def ongoing_filter(t: Tables) -> DataFrame:
     return nested.where(F.exists("o", lambda x: x["l_returnflag"] == "R")).select("requirement_id")
 
 
-@query("O13 I7 C21", f"""SELECT page_id, coalesce(nullif(regexp_extract(html, '<title>([^<]*)</title>', 1), ''), 'Untitled') AS title, CASE WHEN lang IN ({', '.join(repr(s) for s in DOCUMENT_STATUS)}) THEN lang ELSE 'active' END AS status, (2000 + page_id % 25)::VARCHAR AS year
+@query("O13 C21", f"""SELECT page_id, coalesce(nullif(regexp_extract(html, '<title>([^<]*)</title>', 1), ''), 'Untitled') AS title, CASE WHEN lang IN ({', '.join(repr(s) for s in DOCUMENT_STATUS)}) THEN lang ELSE 'active' END AS status, (2000 + page_id % 25)::VARCHAR AS year
   FROM pages LEFT JOIN documents ON doc_id = page_id""")
 def metadata_normalize(t: Tables) -> DataFrame:
     both = t.pages.join(t.documents.select(F.col("doc_id").alias("page_id"), "lang"), "page_id", "left")

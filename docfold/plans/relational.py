@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from docfold.operators import relational as R
 from docfold.operators.matching import new_links
+from docfold.operators.versioning import history
 from docfold.plans.catalog import query
 from docfold.schemas import CRITICALITY
 from docfold.sources.tables import Tables
@@ -245,12 +246,12 @@ def version_history(t: Tables) -> DataFrame:
     return out.select("c_custkey", "c_name", stamp("first").alias("first_seen"), F.coalesce("n", F.lit(0)).cast("long").alias("n"))
 
 
-@query("N4", "SELECT source, doc_id, row_number() OVER (PARTITION BY source ORDER BY doc_id DESC) AS version_rank, length(text)::BIGINT AS text_length FROM documents")
+@query("N4 N5", """SELECT v.user_id AS regulation_id, v.event_id AS version_no, row_number() OVER (PARTITION BY v.user_id ORDER BY v.event_id DESC) - 1 AS age, CASE WHEN value < 50 THEN 1 ELSE 0 END::BIGINT AS n_rows FROM events v""")
 def version_list(t: Tables) -> DataFrame:
-    from pyspark.sql import Window
-
-    n = F.row_number().over(Window.partitionBy("source").orderBy(F.col("doc_id").desc()))
-    return t.documents.select("source", "doc_id", n.cast("long").alias("version_rank"), F.length("text").cast("long").alias("text_length"))
+    """Versions of each document, newest first, with the analysis rows they have."""
+    versions = t.events.select(F.col("user_id").alias("regulation_id"), F.col("event_id").alias("version_no"))
+    analysis = t.events.where("value < 50").select(F.col("user_id").alias("regulation_id"), F.col("event_id").alias("version_no"), F.col("ts").alias("created_at"))
+    return history(versions, analysis).select("regulation_id", "version_no", F.col("age").cast("long").alias("age"), "n_rows")
 
 
 @query("D8 E18", """WITH r AS (SELECT o_custkey, o_orderkey, count(l_orderkey) AS n FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey GROUP BY 1, 2)

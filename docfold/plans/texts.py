@@ -54,7 +54,7 @@ _HITS = ", ".join(f"[len(list_filter(w, lambda x: x IN ({', '.join(repr(m) for m
 _LANG = " ".join(f"WHEN {-i} THEN '{k}'" for i, k in enumerate(text.MARKERS))
 
 
-@query("M7 M8", rf"""SELECT doc_id, CASE WHEN length(trim(text)) < 20 THEN 'unknown' WHEN ar > 0.2 THEN 'ar' ELSE CASE greatest({_HITS})[2] {_LANG} END END AS detected FROM (
+@query("M7", rf"""SELECT doc_id, CASE WHEN length(trim(text)) < 20 THEN 'unknown' WHEN ar > 0.2 THEN 'ar' ELSE CASE greatest({_HITS})[2] {_LANG} END END AS detected FROM (
   SELECT doc_id, text, string_split(lower(text), ' ') AS w, length(regexp_replace(regexp_replace(left(text, 500), '\s', '', 'g'), '[^\x{{0600}}-\x{{06FF}}]', '', 'g')) / greatest(length(regexp_replace(left(text, 500), '\s', '', 'g')), 1) AS ar FROM documents)""")
 def lang_rule(t: Tables) -> DataFrame:
     return t.documents.select("doc_id", text.language(F.col("text")).alias("detected"))
@@ -78,7 +78,7 @@ def bad_page(t: Tables) -> DataFrame:
     return t.documents.select("doc_id", text.bad_page(F.col("text")).alias("bad"))
 
 
-@query("C15")
+@query("C15", r"""SELECT doc_id, coalesce(length(regexp_replace(left(text, 500), '[^\p{L}\p{M}\p{N}\p{P}\p{S} \n\r\t]', '', 'g')) < 0.7 * length(left(text, 500)) OR (length(text) - length(replace(text, '\u', ''))) / 2 > 15, false) AS broken FROM documents""")
 def broken_text(t: Tables) -> DataFrame:
     return t.documents.select("doc_id", text.broken_text(F.col("text")).alias("broken"))
 
@@ -90,7 +90,7 @@ def scanned_docs(t: Tables) -> DataFrame:
     return t.documents.select("doc_id", (total / F.size(head) < 100).alias("scanned"))
 
 
-@query("C17 C18", "SELECT doc_id FROM documents WHERE NOT (contains(lower(text), 'licensed under') OR contains(lower(text), 'stupid') OR contains(lower(text), '***'))")
+@query("C17", "SELECT doc_id FROM documents WHERE NOT (contains(lower(text), 'licensed under') OR contains(lower(text), 'stupid') OR contains(lower(text), '***'))")
 def blocklist_filter(t: Tables) -> DataFrame:
     return t.documents.where(~text.blocked(F.col("text"), ["licensed under", "stupid", "***"])).select("doc_id")
 
@@ -149,7 +149,7 @@ def extract_links(t: Tables) -> DataFrame:
 _KIND = r"CASE WHEN regexp_matches(lower(u), '\.pdf($|[?#])') THEN 'pdf' WHEN contains(lower(u), 'faq') THEN 'faq' ELSE 'other' END"
 
 
-@query("L3 U7 U11", f"SELECT page_id, {_KIND} AS kind, count(*) AS n, arg_min(u, i) AS primary_link FROM {_LINKS} GROUP BY 1, 2")
+@query("L3 U7", f"SELECT page_id, {_KIND} AS kind, count(*) AS n, arg_min(u, i) AS primary_link FROM {_LINKS} GROUP BY 1, 2")
 def link_types(t: Tables) -> DataFrame:
     return _links(t).groupBy("page_id", markup.link_kind(F.col("u")).alias("kind")).agg(F.count("*").alias("n"), F.min_by("u", "i").alias("primary_link"))
 
@@ -159,7 +159,7 @@ def absolute_links(t: Tables) -> DataFrame:
     return _links(t).select(text.absolute_link(F.col("u"), F.lit(HOST)).alias("link")).distinct()
 
 
-@query("H5 J8", f"SELECT u AS link, min(page_id) AS first_page, count(*) AS n FROM {_LINKS} GROUP BY 1")
+@query("H5", f"SELECT u AS link, min(page_id) AS first_page, count(*) AS n FROM {_LINKS} GROUP BY 1")
 def dedup_links(t: Tables) -> DataFrame:
     return _links(t).groupBy(F.col("u").alias("link")).agg(F.min("page_id").alias("first_page"), F.count("*").alias("n"))
 
@@ -187,12 +187,16 @@ def classify_url(t: Tables) -> DataFrame:
     return t.pages.select("page_id", text.classify_url(F.col("url"), [("/(fr|de)/", "circular"), ("page=", "listing")], "letter").alias("kind"))
 
 
-@query("I10 U4", r"SELECT page_id, nullif(regexp_extract(url, '/([0-9]+)', 1), '') AS node_id FROM pages")
+@query("U4", r"SELECT page_id, nullif(regexp_extract(url, '/([0-9]+)', 1), '') AS node_id FROM pages")
 def node_id(t: Tables) -> DataFrame:
     return t.pages.select("page_id", F.nullif(F.regexp_extract("url", "/([0-9]+)", 1), F.lit("")).alias("node_id"))
 
 
-@query("M1 F3")
+@query("M1 F3", """WITH RECURSIVE p AS (SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY k) AS i, t
+    FROM (SELECT doc_id, trim(unnest(string_split(text, chr(10)))) AS t, generate_subscripts(string_split(text, chr(10)), 1) AS k FROM documents) WHERE length(t) > 0),
+  r AS (SELECT doc_id, i, 1::BIGINT AS c, length(t) AS n FROM p WHERE i = 1
+    UNION ALL SELECT p.doc_id, p.i, r.c + CASE WHEN r.n + length(t) <= 1000 THEN 0 ELSE 1 END, CASE WHEN r.n + length(t) <= 1000 THEN r.n ELSE 0 END + length(t) FROM r JOIN p ON p.doc_id = r.doc_id AND p.i = r.i + 1)
+  SELECT doc_id, c AS chunk_num, string_agg(t, chr(10) ORDER BY i) AS chunk_text FROM r JOIN p USING (doc_id, i) GROUP BY 1, 2""")
 def chunk_greedy(t: Tables) -> DataFrame:
     chunks = t.documents.select("doc_id", F.posexplode(chunking.greedy(F.col("text"), 1000, "\n")).alias("i", "chunk_text"))
     return chunks.select("doc_id", (F.col("i") + 1).cast("long").alias("chunk_num"), "chunk_text")
@@ -224,13 +228,22 @@ def chunk_stats(t: Tables) -> DataFrame:
     return chunking.chunk_stats(_fixed(t), "doc_id")
 
 
-@query("M2", r"SELECT doc_id, len(s) AS n_sections, length(s[1])::BIGINT AS first_length FROM (SELECT doc_id, string_split(regexp_replace(text, '\n([A-Z])', chr(1) || '\1', 'g'), chr(1)) AS s FROM documents)")
-def split_sections(t: Tables) -> DataFrame:
+@query("M6", r"SELECT doc_id, len(s) AS n_sections, length(s[1])::BIGINT AS first_length FROM (SELECT doc_id, string_split(regexp_replace(text, '\n([A-Z])', chr(1) || '\1', 'g'), chr(1)) AS s FROM documents)")
+def line_sections(t: Tables) -> DataFrame:
     s = t.documents.select("doc_id", chunking.line_sections(F.col("text")).alias("s"))
     return s.select("doc_id", F.size("s").cast("long").alias("n_sections"), n(F.get("s", F.lit(0))).alias("first_length"))
 
 
-@query("M3 M4")
+def _back(mark: str) -> str:
+    """Where a mark occurs last in the window w, after its half; the window then ends behind it."""
+    cut = f"length(w) - strpos(reverse(w), reverse({mark})) - length({mark}) + 1"
+    return f"CASE WHEN contains(w, {mark}) AND {cut} > 1000 THEN {cut} + length({mark}) END"
+
+
+@query("M3 M4", f"""WITH RECURSIVE c AS (SELECT doc_id, text, 0 AS pos, 1::BIGINT AS chunk_num, substr(text, 1, 2000) AS w, length(text) > 2000 AS more FROM documents WHERE length(text) > 0
+    UNION ALL SELECT doc_id, text, nxt, chunk_num + 1, substr(text, nxt + 1, 2000), length(text) > nxt + 2000
+    FROM (SELECT *, greatest(pos + 1, pos + coalesce({_back("chr(10) || chr(10)")}, {_back("'. '")}, {_back("chr(10)")}, 2000) - 200) AS nxt FROM c) WHERE more)
+  SELECT doc_id, chunk_num, pos::BIGINT AS char_start, CASE WHEN more THEN substr(w, 1, coalesce({_back("chr(10) || chr(10)")}, {_back("'. '")}, {_back("chr(10)")}, 2000)) ELSE w END AS chunk_text FROM c""")
 def chunk_overlap(t: Tables) -> DataFrame:
     chunks = t.documents.select("doc_id", F.posexplode(chunking.overlapping(F.col("text"), 2000, 200)).alias("i", "c"))
     return chunks.select("doc_id", (F.col("i") + 1).cast("long").alias("chunk_num"), "c.char_start", "c.chunk_text")
@@ -243,7 +256,7 @@ def classify_lines(t: Tables) -> DataFrame:
     return lines.select("doc_id", F.col("i").cast("long").alias("i"), text.line_kind(F.col("l")).alias("kind"))
 
 
-@query("I6 I7", r"""SELECT page_id, left(trim(regexp_replace(regexp_replace(url, '[\\/*?:"<>|\x00-\x1F]', '_', 'g'), ' +', ' ', 'g')), 200) AS name FROM pages""")
+@query("I6", r"""SELECT page_id, left(trim(regexp_replace(regexp_replace(url, '[\\/*?:"<>|\x00-\x1F]', '_', 'g'), ' +', ' ', 'g')), 200) AS name FROM pages""")
 def sanitize_name(t: Tables) -> DataFrame:
     return t.pages.select("page_id", text.sanitize_name(F.col("url")).alias("name"))
 
@@ -261,16 +274,18 @@ def try_parse_dates(t: Tables) -> DataFrame:
     return t.events.select("event_id", F.date_format(dates.day_first(raw), "yyyy-MM-dd").alias("day"), v.try_cast("long").alias("k"))
 
 
-@query("J2", """SELECT event_id, CASE event_id % 4 WHEN 0 THEN strftime(ts, '%d/%m/%Y') WHEN 1 THEN strftime(ts, '%d/%m/%Y') WHEN 2 THEN '14' || strftime(ts, '%y/%m/%d') END AS day FROM events""")
+@query("J2", """SELECT event_id, CASE event_id % 4 WHEN 0 THEN strftime(ts, '%d/%m/%Y') WHEN 1 THEN strftime(ts, '%d/%m/%Y')
+  WHEN 2 THEN CASE WHEN event_id % 5 IN (1, 2, 3) THEN (12 + event_id % 5)::VARCHAR || strftime(ts, '%y/%m/%d') END END AS day FROM events""")
 def validate_date(t: Tables) -> DataFrame:
     k = F.col("event_id") % 4
-    raw = F.when(k == 0, F.date_format("ts", "dd/MM/yyyy")).when(k == 1, F.date_format("ts", "yyyy-MM-dd")).when(k == 2, F.concat(F.lit("14"), F.date_format("ts", "yy/MM/dd"))).otherwise(F.date_format("ts", "MMM yyyy"))
+    raw = F.when(k == 0, F.date_format("ts", "dd/MM/yyyy")).when(k == 1, F.date_format("ts", "yyyy-MM-dd")).when(k == 2, F.concat((12 + F.col("event_id") % 5).cast("string"), F.date_format("ts", "yy/MM/dd"))).otherwise(F.date_format("ts", "MMM yyyy"))
     return t.events.select("event_id", dates.validate_date(raw).alias("day"))
 
 
-@query("J3 J4 J5 J6 U14", "SELECT event_id, CASE WHEN event_id % 2 = 0 THEN strftime(ts, '%Y') ELSE strftime(ts, '%y') END AS year, strftime(ts, '%Y-%m-%d') AS day FROM events")
+@query("J3 J4 J5 J6", "SELECT event_id, CASE event_id % 4 WHEN 0 THEN strftime(ts, '%Y') WHEN 2 THEN '1447' END AS year, strftime(ts, '%Y-%m-%d') AS day FROM events")
 def extract_year(t: Tables) -> DataFrame:
-    raw = F.when(F.col("event_id") % 2 == 0, F.date_format("ts", "'issued' d MMMM yyyy")).otherwise(F.date_format("ts", "dd/MM/yy"))
+    k = F.col("event_id") % 4  # two digits are no year, nor is the end of four parts
+    raw = F.when(k == 0, F.date_format("ts", "'issued' d MMMM yyyy")).when(k == 1, F.date_format("ts", "dd/MM/yy")).when(k == 2, "09/07/1447").otherwise(F.date_format("ts", "d/M/yy/'1447'"))
     return t.events.select("event_id", dates.extract_year(raw).alias("year"), F.date_format(dates.date_in_cell(F.concat(F.lit("dated ‎"), F.date_format("ts", "d MMM yyyy"))), "yyyy-MM-dd").alias("day"))
 
 
@@ -280,17 +295,27 @@ def json_tolerant(t: Tables) -> DataFrame:
     return t.events.select("event_id", F.from_json(raw, "k long")["k"].alias("k"))
 
 
-@query("K8 K10", "SELECT event_id, (props->>'k')::BIGINT AS k FROM events")
+@query("K8", "SELECT event_id, (props->>'k')::BIGINT AS k FROM events")
 def fence_strip(t: Tables) -> DataFrame:
     body = F.regexp_replace("props", r"\}$", ",}")
     fenced = F.concat(F.lit("```json\n"), body, F.lit("\n```"))
     return t.events.select("event_id", F.from_json(structured.unfenced(fenced), "k long")["k"].alias("k"))
 
 
-@query("K9")
+@query("K9", """SELECT event_id, CASE event_id % 4 WHEN 3 THEN NULL ELSE (props->>'k')::BIGINT END AS k, event_id % 4 = 1 AS listed, CASE WHEN event_id % 4 = 3 THEN '[]' END AS none FROM events""")
 def json_salvage(t: Tables) -> DataFrame:
-    noisy = F.concat(F.lit("Here you are: "), F.regexp_replace("props", r"\}$", ",}"), F.lit(" Anything else?"))
-    return t.events.select("event_id", F.get_json_object(structured.salvage_json(noisy), "$.k").cast("long").alias("k"))
+    """Trailing commas and prose, an object before the one with the requirements, whole JSON, and no JSON."""
+    k = F.col("event_id") % 4
+    broken = F.regexp_replace("props", r"\}$", ",}")
+    noisy = (
+        F.when(k == 0, F.concat(F.lit("Here you are: "), broken, F.lit(" Anything else?")))
+        .when(k == 1, F.concat(F.lit('Note {"k": -1}. Answer: ```json\n{"about": {"k": -2}, "requirements": ['), broken, F.lit(",]}\n```")))
+        .when(k == 2, F.col("props"))
+        .otherwise("I found nothing {to list")
+    )
+    read = t.events.select("event_id", (k == 1).alias("listed"), structured.salvage_json(noisy).alias("j"))
+    value = F.coalesce(F.get_json_object("j", "$.requirements[0].k"), F.get_json_object("j", "$.k")).cast("long")
+    return read.select("event_id", value.alias("k"), "listed", F.when(F.get_json_object("j", "$.requirements") == "[]", "[]").alias("none"))
 
 
 @query("O5 C21", """SELECT event_id, CASE event_id % 4 WHEN 0 THEN 'fully_matched' WHEN 1 THEN 'partially_matched' ELSE 'new' END AS match_status, CASE WHEN event_id % 4 < 2 THEN event_id END AS matched_id,

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from docfold.functions import markup, text
 from docfold.functions.dates import date_in_cell
+from docfold.functions.markup import parse
 from docfold.operators.relational import carry_forward
 
 UPLOADS = ("pdf", "docx", "doc", "txt", "html")
@@ -31,7 +32,7 @@ def extracted(files: DataFrame, extract=None) -> DataFrame:
             if e == "txt":
                 return c.decode("utf-8", "replace")
             if e == "html":
-                return markup.parse(c.decode("utf-8", "replace")).text()
+                return parse(c.decode("utf-8", "replace")).text()
             return extract(c) if extract else None
 
         return pd.Series([one(c, e) for c, e in zip(content, extension, strict=True)], dtype="object")

@@ -2,35 +2,46 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from docfold.operators.relational import first_by
-from docfold.operators.versioning import change_detect, next_versions
+from docfold.operators.versioning import added_versions, change_detect
 
 VERSIONS = "regulation_id long, version_no long, content_text string, content_hash string, status string, change_summary string, created_at timestamp"
 
 
-def versions_at(spark: SparkSession, root: str, batch: int) -> DataFrame:
-    """The version table as it was before a batch; each batch writes a folder of its own, so a batch that is run again reads the same."""
+def _appended(spark: SparkSession, root: str, batch: int) -> DataFrame:
+    """The versions that batches before ``batch`` have added."""
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
     fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     done = [int(s.getPath().getName().split("=")[1]) for s in fs.listStatus(path) if s.getPath().getName().startswith("batch=")] if fs.exists(path) else []
     before = [b for b in done if b < batch]
-    return spark.read.schema(VERSIONS).parquet(f"{root}/batch={max(before)}") if before else spark.createDataFrame([], VERSIONS)
+    return spark.read.schema(VERSIONS).parquet(*(f"{root}/batch={b}" for b in sorted(before))) if before else spark.createDataFrame([], VERSIONS)
+
+
+def versions_at(spark: SparkSession, root: str, batch: int) -> DataFrame:
+    """The version table as it was before a batch: of each document the newest version is the active one."""
+    rows = _appended(spark, root, batch)
+    newest = F.max("version_no").over(Window.partitionBy("regulation_id"))
+    return rows.withColumn("status", F.when(F.col("version_no") == newest, "active").otherwise("inactive"))
 
 
 def version_stream(docs: DataFrame, root: str, checkpoint: str, at: Column | str) -> StreamingQuery:
-    """Keeps one active version a document: a stream of (id, text, seen) against the versions below ``root``."""
+    """Keeps one active version a document: a stream of (id, text, seen) against the versions below ``root``.
+
+    A batch writes what it adds to a folder of its own, so a batch that is run again reads and writes the same, and reads no more of the
+    history than numbers and hashes.
+    """
 
     def apply(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        now = versions_at(spark, root, number)
+        now = _appended(spark, root, number).groupBy("regulation_id").agg(F.max_by("content_hash", "version_no").alias("content_hash"), F.max("version_no").alias("last"))
         last = first_by(batch, ["id"], F.col("seen").desc(), F.col("text")).withColumn("content_hash", F.md5("text"))
-        stored = now.where("status = 'active'").select(F.col("regulation_id").alias("id"), "content_hash")
+        stored = now.select(F.col("regulation_id").alias("id"), "content_hash")
         found = change_detect(last, stored).select(F.col("id").alias("regulation_id"), F.col("text").alias("content_text"), "content_hash", "monitoring_status")
-        next_versions(found, now, at).write.mode("overwrite").parquet(f"{root}/batch={number}")
+        added_versions(found, now.select("regulation_id", "last"), at).write.mode("overwrite").parquet(f"{root}/batch={number}")
 
     return docs.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 

@@ -1,4 +1,5 @@
 import datetime as dt
+import time
 
 from pyspark.sql import functions as F
 
@@ -41,8 +42,8 @@ def test_tiers_at_the_boundary(spark):
 
 
 def test_dates(spark):
-    assert one(spark, dates.validate_date, "2024-12-31", "31/12/2024", "1447/07/09", "Dec 2024") == ["31/12/2024", "31/12/2024", "1447/07/09", None]
-    assert one(spark, dates.extract_year, "in 1999 and 2001", "03/04/21", "none") == ["1999", "21", None]
+    assert one(spark, dates.validate_date, "2024-12-31", "31/12/2024", "1447/07/09", "1399/01/01", "1500/02/02", "1600/01/01", "Dec 2024") == ["31/12/2024", "31/12/2024", "1447/07/09", "1399/01/01", "1500/02/02", None, None]
+    assert one(spark, dates.extract_year, "in 1999 and 2001", "03/04/21", "1/2/1447", "1/2/3/1447", "none") == ["1999", None, "1447", None, None]
     assert one(spark, dates.day_first, "31/12/2024", "nothing", None) == [dt.date(2024, 12, 31), None, None]
     assert one(spark, dates.month_name, "3 May 2019", "3 Dec 2019", "May") == [dt.date(2019, 5, 3), dt.date(2019, 12, 3), None]
     assert one(spark, dates.date_in_cell, "‎12/01/2020 (new)") == [dt.date(2020, 1, 12)]
@@ -54,7 +55,8 @@ def test_json(spark):
     assert one(spark, structured.unfenced, '```json {"a":1,} ```') == ['{"a":1}']
     new = one(spark, structured.verdict, '{"match_status":"new","matched_id":7}', '{"match_status":"maybe","matched_id":7}', "junk", '{"match_status":"fully_matched","matched_id":7,"explanation":"e"}')
     assert [tuple(v) for v in new] == [("new", None, ""), ("new", None, "Parsing failed."), ("new", None, "Parsing failed."), ("fully_matched", 7, "e")]
-    assert one(spark, structured.salvage_json, 'Sure: ```json\n{"a": [1, 2,],}\n``` bye', "nothing", None) == ['{"a": [1, 2]}', None, None]
+    assert one(spark, structured.salvage_json, 'Sure: ```json\n{"a": [1, 2,],}\n``` bye', "nothing", None) == ['{"a": [1, 2]}', structured.NO_REQUIREMENTS, None]
+    assert one(spark, structured.salvage_json, 'Note {"a":1}. Answer: {"requirements":[{"t":"x"},]}', "[" * 50_000, '{"a":' * 50_000) == ['{"requirements": [{"t": "x"}]}', structured.NO_REQUIREMENTS, structured.NO_REQUIREMENTS]
     assert one(spark, structured.markdown, '{"report":"# A"}', "# B") == ["# A", "# B"]
     assert one(spark, lambda x: structured.path_with_title(F.array(F.lit("a"), x), F.lit("b")), "b", "c") == [["a", "b"], ["a", "c", "b"]]
 
@@ -77,6 +79,20 @@ def test_page_parsers(spark):
     assert [(r.title, r.text) for r in markup.parsed(acc, "accordion").orderBy("pos").collect()] == [("A", "x y"), ("B", "")]
 
 
+def test_deep_pages(spark):
+    """Pages that nest without end, or hold end tags of nothing, are read in linear time."""
+    deep, began = "<div>x" * 50_000, time.time()
+    assert one(spark, markup.page_text, deep, "<b>" * 50_000 + "</i>" * 50_000 + "y", "<ul><li>" * 2_000) == [" ".join("x" * 50_000), "y", ""]
+    assert markup.parse(deep).html().count("</div>") == 50_000
+    assert len(markup._list_tree("<ul><li>a" * 500)) == 500
+    assert time.time() - began < 60
+
+
+def test_pdf_links(spark):
+    pages = ["<a class=x href='/a.PDF?x=1'>p</a>", "<div id=\"download\"><p><a href='/d'>d</a></p></div>", "<a onclick=\"go('b.pdf')\">x</a>", "see /pdffiles/administrator0af.pdf", '<a href="/z">Download now</a>', "<a href='/n'>none</a>"]
+    assert one(spark, markup.pdf_link, *pages) == ["/a.PDF?x=1", "/d", "b.pdf", "/pdffiles/administrator0af.pdf", "/z", None]
+
+
 def test_markup_rewrites(spark):
     assert one(spark, markup.layout_paragraphs, '<table><tr><td colspan=2>a</td></tr><tr><td>b</td><td>c</td></tr></table>', "<table><tr><td>1</td><td>2</td></tr></table>") == ["<p>a</p><p>b c</p>", "<table><tr><td>1</td><td>2</td></tr></table>"]
     assert one(spark, markup.right_to_left, "<i>a</i><p>b</p><p>c</p>") == ['<i>a</i><p dir="rtl">b</p><p>c</p>']

@@ -1,6 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from docfold.functions import markup, structured
 from docfold.operators import chunking, matching, mutations, relational, versioning
 from docfold.schemas import CRITICALITY, EXECUTION
 from docfold.sources import files
@@ -137,6 +138,7 @@ def test_stale_runs(spark):
 
 
 def test_files(spark, tmp_path):
+    spark.range(1).select(markup.page_text(F.lit("<p>a</p>")), markup.breadcrumb(F.lit("")), structured.salvage_json(F.lit("{}"))).collect()  # UDFs that ran before are not sent along
     (tmp_path / "a.txt").write_text("plain text")
     (tmp_path / "b.html").write_text("<p>hyper</p><script>x</script>")
     (tmp_path / "c.exe").write_bytes(b"\0")
