@@ -216,6 +216,17 @@ def _list_items(page: str) -> list[dict]:
     return [{"links": links} for li in parse(page).find("li") if (links := _links(li))]
 
 
+def _sections(page: str) -> list[dict]:
+    """Links of marked sections (an id, or a class with ``accordion``): the section's id, its heading, title and address of each link."""
+    out = []
+    for n in parse(page).walk():
+        mark = n.attrs.get("id", "")
+        if n.name in ("div", "section") and (mark or "accordion" in n.attrs.get("class", "")):
+            heading = next(n.find("h2", "h3", "h4", "h5", "h6"), None)
+            out += [{"section_id": mark, "section": heading.text() if heading else "", "title": link["title"], "href": link["url"]} for link in _links(n)]
+    return out
+
+
 def _book_category(page: str) -> str | None:
     """The first link of the book menu that holds the active trail."""
     for nav in parse(page).find("nav"):
@@ -306,6 +317,7 @@ def _item(page: str) -> str:
 _LINK = "array<struct<title:string,url:string>>"
 _ROWS = {
     "table_rows": (_table_rows, f"table_no int, row_no int, header boolean, cells array<string>, links {_LINK}, cell_links array<{_LINK}>"),
+    "sections": (_sections, "section_id string, section string, title string, href string"),
     "list_items": (_list_items, f"links {_LINK}"),
     "list_tree": (_list_tree, "path array<string>, depth int, row_type string, href string"),
     "anchors": (_anchors, "name string, section_html string, section_text string"),

@@ -48,6 +48,27 @@ def scatter_gather(df: DataFrame, key: str, columns: list[str], dictionary: Data
     return df.drop(*columns).join(back, key, "left")
 
 
+# What people read of each kind of record; ids, codes and values of lists are never translated.
+READABLE = {
+    "regulation": ("title", "category", "department"),
+    "gap": ("obligation_text", "evidence_text", "gap_description", "control_title"),
+    "requirement": ("requirement_text", "requirement_title", "risk_level", "reference"),
+}
+
+
+def translated(df: DataFrame, kind: str, key: str, dictionary: DataFrame) -> DataFrame:
+    """Records with what people read of them translated; blank and unknown texts stay."""
+    known = dictionary.where(F.length(F.trim("source")) > 0)
+    return scatter_gather(df, key, [c for c in READABLE[kind] if c in df.columns], known)
+
+
+def read_through(asked: DataFrame, cache: DataFrame, keys: list[str], compute) -> tuple[DataFrame, DataFrame]:
+    """(answers, additions): what the cache holds, and what ``compute`` gives for the rest, once for each key, to be added to it."""
+    wanted = asked.select(*keys).distinct()
+    made = compute(wanted.join(cache, keys, "left_anti"))
+    return asked.join(cache.unionByName(made), keys, "left"), made
+
+
 def markdown(x: Column) -> Column:
     """A report that may be wrapped in JSON under one of several names."""
     bare = unfenced(x)

@@ -197,6 +197,17 @@ def line_kind(x: Column) -> Column:
     )
 
 
+LANGUAGES = ("en", "ar")
+
+
+def language_code(name: str | None) -> str:
+    """A language parameter, ``en`` if none is given; an error if it is not supported."""
+    code = (name or "en").lower().strip()
+    if code not in LANGUAGES:
+        raise ValueError(f"language {code!r} is not one of {', '.join(LANGUAGES)}")
+    return code
+
+
 def csv_ids(x: Column) -> Column:
     """The whole numbers in a comma-separated list."""
     return F.filter(F.transform(F.split(x, ","), lambda v: F.trim(v).try_cast("long")), lambda v: v.isNotNull())

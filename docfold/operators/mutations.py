@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from docfold.functions import structured
+
 
 def with_keys(new: DataFrame, key: str, last: int | Column, *order: Column) -> DataFrame:
     """Rows to append, numbered on from the largest key.  Numbers come from counts of hash buckets, so no task sorts all rows."""
@@ -59,6 +61,23 @@ def set_status(base: DataFrame, target: Column, old: str, new: str, column: str
     return base.withColumn(column, F.when(target & (F.col(column) == old), new).otherwise(F.col(column)))
 
 
+def set_status_counted(base: DataFrame, target: Column, old: str, new: str, column: str = "status") -> tuple[DataFrame, DataFrame]:
+    """``set_status`` and the number of rows it changes; none means that the target was not found."""
+    return set_status(base, target, old, new, column), base.where(target & (F.col(column) == old)).agg(F.count("*").alias("rows_affected"))
+
+
+def insert_documents(docs: DataFrame, last: int, *order: Column) -> DataFrame:
+    """Documents as they are stored: with keys after ``last``, paths and extra fields as JSON, and the local address out of the extra fields."""
+    local = F.coalesce("extra_meta.urdu_url", F.lit(None).cast("string"))
+    rows = docs.withColumn("urdu_url", local).withColumn("doc_path_json", structured.encoded(F.col("doc_path"))).withColumn("extra_meta_json", F.to_json(structured.without(F.col("extra_meta"), "urdu_url")))
+    return with_keys(rows.drop("doc_path", "extra_meta", "id"), "id", last, *order)
+
+
+def append_log(log: DataFrame, path: str) -> None:
+    """Adds rows of a run (regulation_id, step, status, message, details) to the log; details become JSON."""
+    log.withColumn("details", structured.encoded(F.col("details"))).write.mode("append").parquet(path)
+
+
 def archived(base: DataFrame, current: Column) -> tuple[DataFrame, DataFrame]:
     """(head, history): current rows go to the history and leave the head."""
     return base.where(~current), base.where(current)

@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docfold.functions import text
+from docfold.functions import structured, text
 from docfold.operators import mutations as M
 from docfold.operators import versioning as V
 from docfold.operators.relational import first_by
 from docfold.plans.catalog import query
 from docfold.sources.tables import Tables
+from docfold.streaming import jobs
 
 AT = "2024-01-01 00:00:00"
 _STORED = "(SELECT doc_id AS id, md5(CASE WHEN quality = 0 THEN text || '~' ELSE text END) AS stored_hash FROM labels JOIN documents USING (doc_id))"
@@ -123,3 +124,49 @@ def dedup_normalized(t: Tables) -> DataFrame:
 @query("B18 Q6", "SELECT user_id, count(*) AS n, count(*) FILTER (value < 50) AS errors, max(event_id) AS last_id FROM events GROUP BY 1")
 def processing_log(t: Tables) -> DataFrame:
     return t.events.groupBy("user_id").agg(F.count("*").alias("n"), F.count_if(F.col("value") < 50).alias("errors"), F.max("event_id").alias("last_id"))
+
+
+@query("B1 B8 K2 K7", """SELECT doc_id, 'Titre é ' || doc_id AS title, '["' || source || '","' || lang || '"]' AS doc_path_json, '{"content_text":"t' || doc_id || '"}' AS extra_meta_json, CASE WHEN doc_id % 2 = 0 THEN 'u' || doc_id END AS urdu_url,
+  true AS in_range FROM documents WHERE source IS NOT NULL AND lang IS NOT NULL""")
+def insert_documents(t: Tables) -> DataFrame:
+    """Documents with keys, paths and extra fields as JSON, and the local address in a column of its own."""
+    k = F.col("doc_id").cast("string")
+    meta = F.struct(F.concat(F.lit("t"), k).alias("content_text"), F.when(F.col("doc_id") % 2 == 0, F.concat(F.lit("u"), k)).alias("urdu_url"))
+    docs = t.documents.where("source is not null and lang is not null").select("doc_id", F.concat(F.lit("Titre é "), k).alias("title"), F.array("source", "lang").alias("doc_path"), meta.alias("extra_meta"))
+    made = M.insert_documents(docs, 500, F.col("doc_id"))
+    total = docs.agg(F.count("*").alias("total"))
+    return made.crossJoin(F.broadcast(total)).select("doc_id", "title", "doc_path_json", "extra_meta_json", "urdu_url", ((F.col("id") > 500) & (F.col("id") <= 500 + F.col("total"))).alias("in_range"))  # one row
+
+
+@query("B17", "SELECT count(*) AS rows_affected FROM orders WHERE o_custkey = 7 AND o_orderstatus = 'O'")
+def status_rows_affected(t: Tables) -> DataFrame:
+    """How many rows a change of status finds."""
+    return M.set_status_counted(t.orders, F.col("o_custkey") == 7, "O", "F", "o_orderstatus")[1]
+
+
+@query("P3 P1 U22", "SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN 'cached ' ELSE 'made ' END || lang AS answer FROM documents")
+def cache_read_through(t: Tables) -> DataFrame:
+    """Answers from the cache, and for the rest made once for each key."""
+    asked = t.documents.select("doc_id", (F.col("doc_id") % 3).alias("part"), "lang")
+    cache = t.documents.where("doc_id % 3 = 0").select(F.lit(0).cast("long").alias("part"), "lang", F.concat(F.lit("cached "), "lang").alias("answer")).distinct()
+    answers, _ = structured.read_through(asked, cache, ["part", "lang"], lambda rest: rest.withColumn("answer", F.concat(F.lit("made "), "lang")))
+    return answers.select("doc_id", "answer")
+
+
+@query("P2 K14 P1", "SELECT c_custkey, CASE WHEN c_mktsegment = 'BUILDING' THEN 'BÂTIMENT' ELSE c_mktsegment END AS category, c_name AS title, ' ' AS department, c_mktsegment AS status FROM customer")
+def translate_records(t: Tables) -> DataFrame:
+    """What people read of a record is translated, codes and blanks are not."""
+    dictionary = t.spark.createDataFrame([("BUILDING", "BÂTIMENT"), (" ", "x")], "source string, target string")
+    docs = t.customer.select("c_custkey", F.col("c_mktsegment").alias("category"), F.col("c_name").alias("title"), F.lit(" ").alias("department"), F.col("c_mktsegment").alias("status"))
+    return structured.translated(docs, "regulation", "c_custkey", dictionary)
+
+
+@query("Q1 Q2 G6", """WITH n AS (SELECT max(ts) - INTERVAL 12 HOUR AS now FROM events), r AS (SELECT DISTINCT event_type FROM events WHERE event_type = (SELECT min(event_type) FROM events)),
+  d AS (SELECT event_type, min((ts, event_id)) AS x FROM events, n WHERE value >= 50 AND ts <= now AND event_type NOT IN (SELECT event_type FROM r) GROUP BY 1)
+  SELECT event_type AS source, x[2] AS job_id, x[1] < now - INTERVAL 6 HOUR AS missed FROM d, n""")
+def due_jobs(t: Tables) -> DataFrame:
+    """The next job of each source that is due and not running, and whether it comes too late."""
+    now = t.events.agg((F.max("ts").cast("timestamp") - F.expr("INTERVAL 12 HOURS")).alias("now")).first()["now"]
+    schedule = t.events.select(F.col("event_type").alias("source"), F.col("event_id").alias("job_id"), F.col("ts").cast("timestamp").alias("run_at"), F.when(F.col("value") < 50, "DONE").otherwise("PENDING").alias("status"))
+    running = t.events.agg(F.min("event_type").alias("source"))
+    return jobs.due_jobs(schedule, running, F.lit(now).cast("timestamp")).select("source", "job_id", "missed")

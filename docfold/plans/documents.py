@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docfold.functions import dates, markup, structured, text
-from docfold.operators import chunking
+from docfold.operators import chunking, layout
 from docfold.plans.catalog import query
 from docfold.sources import files, pages
 from docfold.sources.tables import Tables
@@ -225,3 +225,59 @@ def sql_with_parameters(t: Tables) -> DataFrame:
     """SQL with named parameters over a view."""
     t.documents.createOrReplaceTempView("docfold_documents")
     return files.query(t.spark, "SELECT doc_id, lang FROM docfold_documents WHERE source = :source AND n_chars > :least", source="src3", least=500)
+
+
+_SPANS = """(SELECT event_id AS span_no, event_id % 40 AS page, event_id // 40 % 7 AS line_no, CASE WHEN event_id % 6 = 0 THEN ' ' WHEN event_id % 11 = 0 THEN 'see https://h.example/' || event_id ELSE 'a<b> ' || event_id END AS text,
+  event_id % 97 AS x0, user_id % 53 AS y0, event_id % 97 + 10 AS x1, user_id % 53 + 4 AS y1, CASE WHEN event_id % 5 = 0 THEN 'Arial-BoldMT' ELSE 'Arial' END AS font, 10 + event_id % 10 AS size, event_id % 32 AS flags FROM events)"""
+_ESC = "replace(replace(text, '<', '&lt;'), '>', '&gt;')"
+
+
+@query("D21 M12 U20", f"""WITH s AS {_SPANS}, k AS (SELECT p_partkey AS link_no, p_partkey % 40 AS page, p_size AS x0, p_partkey % 50 AS y0, p_size + 6 AS x1, p_partkey % 50 + 2 AS y1, 'u' || p_partkey AS uri FROM part),
+  h AS (SELECT s.span_no, arg_min(uri, link_no) AS uri FROM s JOIN k ON s.page = k.page AND s.x0 < k.x1 AND s.x1 > k.x0 AND s.y0 < k.y1 AND s.y1 > k.y0 GROUP BY 1),
+  l AS (SELECT s.*, coalesce(uri, nullif(regexp_extract(text, 'https?://[^ <>]+'), '')) AS uri, (flags & 16) <> 0 OR font LIKE '%Bold%' AS b, (flags & 2) <> 0 AS i FROM s LEFT JOIN h USING (span_no) WHERE trim(text) <> ''),
+  x AS (SELECT *, '<span' || CASE WHEN size > 16 THEN ' class="heading-large"' WHEN size > 14 THEN ' class="heading-medium"' ELSE '' END || ' style="font-size: ' || size || 'px;">' || CASE WHEN uri IS NULL THEN '' ELSE '<a href="' || uri || '">' END
+    || CASE WHEN b THEN '<strong>' ELSE '' END || CASE WHEN i THEN '<em>' ELSE '' END || {_ESC} || CASE WHEN i THEN '</em>' ELSE '' END || CASE WHEN b THEN '</strong>' ELSE '' END || CASE WHEN uri IS NULL THEN '' ELSE '</a>' END || '</span>' AS html FROM l)
+  SELECT page, line_no, count(*) AS n_spans, md5('<p>' || string_agg(html, '' ORDER BY span_no) || '</p>') AS h FROM x GROUP BY 1, 2""")
+def page_spans(t: Tables) -> DataFrame:
+    """Lines of positioned text as paragraphs: links by overlapping rectangles, weights, slopes and heading sizes."""
+    k = F.col("event_id")
+    body = F.when(k % 6 == 0, " ").when(k % 11 == 0, F.concat(F.lit("see https://h.example/"), _str("event_id"))).otherwise(F.concat(F.lit("a<b> "), _str("event_id")))
+    spans = t.events.select(
+        k.alias("span_no"), (k % 40).alias("page"), (F.floor(k / 40) % 7).alias("line_no"), body.alias("text"), (k % 97).alias("x0"), (F.col("user_id") % 53).alias("y0"), (k % 97 + 10).alias("x1"), (F.col("user_id") % 53 + 4).alias("y1"),
+        F.when(k % 5 == 0, "Arial-BoldMT").otherwise("Arial").alias("font"), (10 + k % 10).alias("size"), (k % 32).alias("flags"),
+    )
+    p = F.col("p_partkey")
+    links = t.part.select(p.alias("link_no"), (p % 40).alias("page"), F.col("p_size").alias("x0"), (p % 50).alias("y0"), (F.col("p_size") + 6).alias("x1"), (p % 50 + 2).alias("y1"), F.concat(F.lit("u"), _str("p_partkey")).alias("uri"))
+    linked = layout.linked_spans(spans, links, ["page"])
+    counts = linked.where(F.length(F.trim("text")) > 0).groupBy("page", "line_no").agg(F.count("*").alias("n_spans"))
+    return layout.line_paragraphs(linked, ["page"]).join(counts, ["page", "line_no"]).select("page", "line_no", "n_spans", F.md5("html").alias("h"))
+
+
+@query("M9 M10 M11 U15 U21", """SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN 'recognised' ELSE 'text' END AS by, CASE WHEN doc_id % 4 = 0 THEN 'service' WHEN doc_id % 4 = 1 THEN 'digital' WHEN doc_id % 4 = 2 THEN 'scan' END AS engine,
+  CASE doc_id % 4 WHEN 0 THEN 'a' WHEN 1 THEN 'b' WHEN 2 THEN 'c' END AS html FROM documents""")
+def conversions(t: Tables) -> DataFrame:
+    """Pages that could not be read get what was recognised; of several converters the first with a result counts."""
+    k = F.col("doc_id")
+    words = F.expr("repeat('valuable words ', 40)")
+    pages_ = t.documents.select("doc_id", F.when(k % 3 == 0, "x").otherwise(words).alias("text"))
+    read = layout.recognised(pages_, t.documents.select("doc_id", words.alias("text")), ["doc_id"])
+    one = lambda keep, what: t.documents.select("doc_id", F.when(keep, what).otherwise(F.when(k % 2 == 0, "")).alias("html"))
+    chain = {"service": one(k % 4 == 0, "a"), "digital": one(k % 4 == 1, "b"), "scan": one(k % 4 < 3, "c")}
+    return layout.first_conversion(read.drop("text"), chain, "doc_id").select("doc_id", "by", "engine", "html")
+
+
+@query("U9", f"""SELECT kind, '{HOST}/' || kind || s_suppkey || '.pdf' AS document_url, CASE WHEN kind = 'f' AND s_suppkey % 2 = 0 THEN 'Part ' || s_nationkey ELSE s_name END AS title,
+  md5(CASE WHEN kind = 'f' AND s_suppkey % 2 = 0 THEN 'Part ' || s_nationkey ELSE s_name END) AS content_hash FROM supplier, (VALUES ('f'), ('c')) AS k(kind)""")
+def section_links(t: Tables) -> DataFrame:
+    """Files in accordions, and links of one section of a page: each address once."""
+    k = _str("s_suppkey")
+    title = F.when(F.col("s_suppkey") % 2 == 0, "").otherwise(F.col("s_name"))
+    item = F.concat(F.lit("<a href='/f"), k, F.lit(".pdf'>"), title, F.lit("</a><a href='/f"), k, F.lit(".pdf'>again</a><a href='/page'>page</a>"))
+    rows = t.supplier.select("s_nationkey", "s_suppkey", item.alias("item"))
+    files_ = rows.groupBy("s_nationkey").agg(F.concat(F.lit("<div class='accordion-item'><h3>Part "), _str("s_nationkey"), F.lit("</h3>"), F.array_join(F.array_sort(F.collect_list("item")), ""), F.lit("</div>")).alias("html"))
+    files_ = files_.select(F.lit(HOST).alias("url"), "html")
+    named = F.concat(F.lit("<a href='#top'>top</a><a href='/c"), k, F.lit(".pdf'>"), F.col("s_name"), F.lit("</a>"))
+    law = _page(t.supplier.select("s_nationkey", "s_suppkey", named.alias("x")), "s_nationkey", ["s_suppkey"], "x", "<div id='eofi'><a href='/e'>E</a></div><section id='aml'>", "</section>")
+    both = {"f": pages.section_links(files_, "R", "Laws", HOST, files_only=True), "c": pages.section_links(law, "R", "Compliance", HOST, "aml")}
+    whole = [df.select(F.lit(kind).alias("kind"), "document_url", "title", "content_hash") for kind, df in both.items()]
+    return whole[0].unionByName(whole[1])

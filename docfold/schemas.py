@@ -17,26 +17,6 @@ DOCUMENT = struct(
     id=_L, regulator=_S, source_system=_S, category=_S, title=_S, document_url=_S, published_date=_S, reference_no=_S, year=_S,
     department=T.ArrayType(_S), doc_path=T.ArrayType(_S), source_page_url=_S, document_html=_S, content_hash=_S, type=_S, status=_S, extra_meta=EXTRA_META,
 )
-CATEGORY = struct(category_id=_L, title=_S, parent_id=_L, type=_S)
-VERSION = struct(version_id=_L, regulation_id=_L, content_text=_S, content_html=_S, content_hash=_S, updated_date=_S, change_summary=_S, status=_S, created_at=T.TimestampType())
-OBLIGATION = struct(obligation_id=_S, obligation_text=_S, source_reference=_S)
-STAGE1 = struct(requirement_id=_S, requirement_title=_S, obligations=T.ArrayType(OBLIGATION))
-NORMALIZED = struct(
-    obligation_id=_S, obligation_text=_S, obligation_type=_S, criticality=_S, evidence_expected=T.ArrayType(_S), test_method=_S, clarity_score=_I,
-    needs_manual_review=_B, source_reference=_S, execution_category=_S,
-)
-STAGE2 = struct(requirement_id=_S, requirement_title=_S, normalized_obligations=T.ArrayType(NORMALIZED))
-CONTROL = struct(
-    control_title=_S, control_objective=_S, control_description=_S, control_owner=_S, control_type=_S, execution_type=_S, frequency=_S, control_level=_S,
-    evidence_generated=_S, key_steps=T.ArrayType(_S), residual_risk_if_failed=_S,
-)
-STAGE3 = struct(requirement_id=_S, obligations=T.ArrayType(struct(obligation_id=_S, obligation_text=_S, execution_category=_S, control=CONTROL)))
-MAPPING = struct(
-    regulation_id=_L, extracted_requirement_text=_S, matched_requirement_id=_L, match_status=_S, match_explanation=_S, version_id=_L, obligation_id=_S, requirement_id=_S
-)
-CONTROL_LINK = struct(requirement_id=_L, control_id=_L, match_status=_S, match_explanation=_S, regulation_id=_L)
-GAP_VERDICT = struct(chunk_num=_I, obligation_idx=_I, obligation_text=_S, coverage_status=_S, evidence_text=_S, gap_description=_S)
-RUN_EVENT = struct(id=_L, regulator=_S, status=_S, started_at=T.TimestampType(), finished_at=T.TimestampType(), error=_S)
 MATCH_VERDICT = struct(match_status=_S, matched_id=_L, explanation=_S)
 
 # Most important first; the last is the default where nothing is given.
@@ -45,4 +25,3 @@ EXECUTION = ("Ongoing_Control", "One_Time_Implementation", "One_Off_Reporting",
 MATCH = ("new", "partially_matched", "fully_matched")
 COVERAGE = ("covered", "partial", "missing")
 DOCUMENT_STATUS = ("active", "superseded", "draft", "archived", "withdrawn")
-OBLIGATION_TYPES = ("Preventive", "Detective", "Governance", "Reporting", "Documentation")

@@ -166,6 +166,21 @@ def named_links(pages: DataFrame, base: str) -> DataFrame:
     return one.select("url", "table_no", "row_no", "cell_no", "at", "a.title", text.absolute_link(F.col("a.url"), F.lit(base)).alias("link"))
 
 
+def section_links(pages: DataFrame, regulator: str, category: str, base: str, section_id: str | None = None, files_only: bool = False) -> DataFrame:
+    """Documents of the links in one section, by its id, or in all accordions; each address once, the first title stays.
+
+    Links within the page go, and with ``files_only`` all that are no files; a link without a title has its section's.
+    """
+    rows = markup.parsed(pages, "sections").withColumnRenamed("url", "page").where(~F.startswith("href", F.lit("#")))
+    rows = rows.where(F.col("section_id") == section_id) if section_id is not None else rows
+    low = F.lower("href")
+    rows = rows.where(F.endswith(low, F.lit(".pdf")) | low.contains("/files/")) if files_only else rows
+    one = rows.withColumn("link", text.absolute_link(F.col("href"), F.lit(base)))
+    title = text.or_else(F.col("title"), F.col("section"))
+    once = one.withColumn("title", title).where(text.complete(F.col("title"))).groupBy("link").agg(F.min(F.struct("page", "pos", "title", "section")).alias("x")).select("link", "x.*")
+    return as_documents(once, regulator, "SECTION-LINKS", category=F.lit(category), document_url=F.col("link"), source_page_url=F.col("page"), content_hash=F.md5("title"), doc_path=F.array(F.lit(regulator), F.lit(category), F.col("title")))
+
+
 def isolated(spark: SparkSession, sources: dict[str, Callable[[], DataFrame]], path: str) -> tuple[DataFrame, DataFrame]:
     """(documents, runs): each source is written below ``path`` by itself, so one that fails takes no other with it.
 

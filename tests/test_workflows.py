@@ -1,8 +1,10 @@
 """Composite jobs and page sources at their edges; their queries are compared with SQL in test_queries."""
 
+import pytest
 from pyspark.sql import functions as F
 
-from docfold.operators import matching, workflows
+from docfold.functions import structured, text
+from docfold.operators import layout, matching, mutations, workflows
 from docfold.schemas import DOCUMENT
 from docfold.sources import pages
 
@@ -40,9 +42,9 @@ def test_apply_matches(spark):
 
 
 def test_gap_modes(spark):
-    text = "banks keep records of all payments "
-    obligations = spark.createDataFrame([(1, 7, text), (1, 8, "something else entirely is asked here"), (2, 9, text)], "regulation_id long, id long, text string")
-    uploads = spark.createDataFrame([("short", 1, "x"), ("null", 1, None), ("one", 1, text * 3), ("long", 1, "pad " * 60 + text)], "upload_id string, regulation_id long, text string")
+    words = "banks keep records of all payments "
+    obligations = spark.createDataFrame([(1, 7, words), (1, 8, "something else entirely is asked here"), (2, 9, words)], "regulation_id long, id long, text string")
+    uploads = spark.createDataFrame([("short", 1, "x"), ("null", 1, None), ("one", 1, words * 3), ("long", 1, "pad " * 60 + words)], "upload_id string, regulation_id long, text string")
     got = {(r.upload_id, r.id): (r.mode, r.coverage_status, r.gap_description is None) for r in workflows.gap_analysis(obligations, uploads, P, most=150).collect()}
     assert got[("short", None)][0] == got[("null", None)][0] == "refused"
     assert got[("one", 7)] == ("single", "covered", True) and got[("one", 8)] == ("single", "missing", False)
@@ -69,3 +71,32 @@ def test_first_rows_and_annexures(spark):
     docs = pages.circulars(spark.createDataFrame([("u", html), ("v", None)], "url string, html string"), "R", ("C",), "https://h")
     assert [(d.title, d.extra_meta.urdu_url, len(d.extra_meta.annexures)) for d in docs.collect()] == [("Annexure A", "https://h/u.pdf", 1)]
     assert pages.first_rows(docs, None).count() == pages.first_rows(docs, 5, F.col("title")).count() == 1 and pages.first_rows(docs, 0, F.col("title")).count() == 0
+
+
+def test_language_parameter():
+    assert [text.language_code(x) for x in (None, "", " AR ", "en")] == ["en", "en", "ar", "en"]
+    with pytest.raises(ValueError):
+        text.language_code("fr")
+
+
+def test_log_and_counts(spark, tmp_path):
+    path = str(tmp_path / "log")
+    for step in ("insert", "analyse"):
+        mutations.append_log(spark.range(1).select(F.lit(step).alias("step"), F.struct(F.lit("é").alias("a"), F.lit(None).cast("string").alias("b")).alias("details")), path)
+    assert sorted(tuple(r) for r in spark.read.parquet(path).select("step", "details").collect()) == [("analyse", '{"a":"é","b":null}'), ("insert", '{"a":"é","b":null}')]
+    base = spark.createDataFrame([(1, "active"), (1, "draft")], "k int, status string")
+    assert mutations.set_status_counted(base, F.col("k") == 2, "active", "inactive")[1].first().rows_affected == 0
+
+
+def test_read_through_computes_once(spark):
+    asked = spark.createDataFrame([(1, "a"), (2, "a"), (3, "b")], "i int, k string")
+    cache = spark.createDataFrame([("b", "old")], "k string, answer string")
+    answers, made = structured.read_through(asked, cache, ["k"], lambda rest: rest.withColumn("answer", F.lit("new")))
+    assert made.count() == 1 and sorted((r.i, r.answer) for r in answers.collect()) == [(1, "new"), (2, "new"), (3, "old")]
+
+
+def test_recognised_without_reader(spark):
+    pages_ = spark.createDataFrame([(1, "x"), (2, None)], "k int, text string")
+    assert {r.by for r in layout.recognised(pages_, None, ["k"]).collect()} == {"text"}
+    read = spark.createDataFrame([(1, "a longer text"), (2, "b")], "k int, text string")
+    assert sorted((r.k, r.text, r.by) for r in layout.recognised(pages_, read, ["k"]).collect()) == [(1, "a longer text", "recognised"), (2, "b", "recognised")]
