@@ -40,11 +40,11 @@ def shingles(text: Column, k: int = 3) -> Column:
     """Hashes of the distinct k-word shingles of a text in lower case."""
     words = F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), lambda x: x != "")
 
-    def hashed(w: Column) -> Column:
-        starts = F.slice(w, 1, F.greatest(F.size(w) - k + 1, F.lit(1)))  # a shorter text is one shingle
-        return F.array_distinct(F.transform(starts, lambda _, i: F.xxhash64(F.array_join(F.slice(w, i + 1, k), " "))))
+    def hashed(h: Column) -> Column:
+        each = F.transform(F.sequence(F.lit(0), F.greatest(F.size(h) - k, F.lit(0))), lambda i: F.xxhash64(*(F.get(h, i + j) for j in range(k))))
+        return F.when(F.size(h) == 0, F.array().cast("array<bigint>")).when(F.size(h) < k, F.array(F.xxhash64(h))).otherwise(F.array_distinct(each))  # a shorter text is one shingle
 
-    return let(words, hashed)
+    return let(F.transform(words, lambda w: F.xxhash64(w)), hashed)
 
 
 def containment(items: DataFrame, item_id: str, texts: DataFrame, text_id: str, text: str = "text", k: int = 3, within: tuple[str, ...] = ()) -> DataFrame:
