@@ -1,6 +1,6 @@
 """DuckDB SQL for the operators that SQL can express."""
 
-from docfold.llm.templates import DOCUMENTS, LEAD, SHARE, WIDE
+from docfold.llm.templates import ALIKE, COMMON, DOCUMENTS, FIXED, LEAD, SHARE, SHINGLE
 from docfold.llm.quality import MAX_REPEAT, MIN_WORDS, RULES, STOP_WORDS
 
 _RULES = " AND ".join(
@@ -55,22 +55,31 @@ FROM d JOIN r ON d.source IS NOT DISTINCT FROM r.source
 """
 
 OP3 = rf"""
-WITH d AS (
+WITH RECURSIVE d AS (
   SELECT doc_id, list_transform(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_extract_all(x, '[^\x20\x09-\x0D]+')) AS w FROM documents),
+all_words AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, CASE WHEN len(w) < {SHINGLE} THEN array_to_string(w, ' ') ELSE array_to_string(w[i:i + {SHINGLE - 1}], ' ') END AS g
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - {SHINGLE - 2}, 2))) AS i FROM all_words WHERE len(w) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+e AS (SELECT a, b FROM p JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * c >= {ALIKE} * (x.n + y.n - c)),
+reach AS (SELECT doc_id AS id, doc_id AS reached FROM sizes UNION SELECT reach.id, b FROM reach JOIN e ON a = reach.reached),
+class AS (SELECT id AS doc_id, min(reached) AS class FROM reach GROUP BY 1),
 m AS (
   SELECT doc_id, list_transform(w, lambda x: list_transform(x, lambda y: CASE WHEN regexp_matches(y, '[0-9]') THEN '<*>' ELSE y END)) AS w FROM d),
-one AS (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS pos FROM m),
 l AS (
-  SELECT doc_id, pos, w[pos] AS t, len(w[pos]) AS n, nullif(coalesce(w[pos - 1], []), []) AS before, nullif(coalesce(w[pos + 1], []), []) AS after
-  FROM one WHERE len(w[pos]) > 0),
-k AS (
-  SELECT doc_id, pos, before, after, {LEAD} || '|' || n || '|' || array_to_string(t, ' ') AS template FROM l WHERE n < {WIDE}
-  UNION ALL
-  SELECT doc_id, pos, before, after, r || '|' || n || '|' || array_to_string(list_transform(range(1, n + 1), lambda i: CASE WHEN i <= {LEAD} OR (i - 1) % 2 = r THEN t[i] ELSE '' END), ' ')
-  FROM l, (VALUES (0), (1)) AS h(r) WHERE n >= {WIDE}),
-c AS (SELECT template, before, after, count(*) AS n, min(doc_id) AS doc_id FROM k GROUP BY 1, 2, 3),
-f AS (SELECT template, doc_id, sum(n) AS n FROM c GROUP BY 1, 2),
-r AS (SELECT template FROM f GROUP BY 1 HAVING count(*) >= {DOCUMENTS} AND {SHARE} * count(*) >= sum(n)),
+  SELECT doc_id, pos, t, len(t) AS n, CASE len(t) WHEN 3 THEN 2 ELSE least(len(t), {LEAD}) END AS lead
+  FROM (SELECT doc_id, pos, w[pos] AS t FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS pos FROM m)) WHERE len(t) > 0),
+f AS (SELECT l.*, class, n || '|' || array_to_string(t[1:lead], ' ') AS leaf FROM l JOIN class USING (doc_id)),
+leaves AS (SELECT leaf, count(DISTINCT class) AS m FROM f GROUP BY 1 HAVING m >= {DOCUMENTS}),
+c AS (SELECT f.*, m FROM f JOIN leaves USING (leaf)),
+tok AS (SELECT doc_id, pos, class, leaf, m, i, t[i] AS token FROM (SELECT *, unnest(range(lead + 1, n + 1)) AS i FROM c)),
+common AS (SELECT leaf, i, token FROM tok GROUP BY leaf, i, token, m HAVING count(DISTINCT class) >= {DOCUMENTS} AND {COMMON} * count(DISTINCT class) >= m),
+fixed AS (SELECT doc_id, pos, count(*) AS k, string_agg(i || ':' || token, ' ' ORDER BY i) AS x FROM tok JOIN common USING (leaf, i, token) GROUP BY 1, 2),
+k AS (SELECT doc_id, pos, class, leaf || '#' || coalesce(x, '') AS template FROM c LEFT JOIN fixed USING (doc_id, pos) WHERE 100 * (lead + coalesce(k, 0)) >= {FIXED} * n),
+by_class AS (SELECT template, class, max(n) AS n FROM (SELECT template, class, doc_id, count(*) AS n FROM k GROUP BY 1, 2, 3) GROUP BY 1, 2),
+r AS (SELECT template FROM by_class GROUP BY 1 HAVING count(*) >= {DOCUMENTS} AND {SHARE} * count(*) >= sum(n)),
 g AS (SELECT DISTINCT doc_id, pos FROM k SEMI JOIN r USING (template)),
 kept AS (
   SELECT doc_id, string_agg(x, chr(10) ORDER BY pos) AS kept_text

@@ -1,12 +1,14 @@
 """Line dedup by a log-template tree, in DataFrame functions only.
 
-Method.  A line with words goes down a tree of fixed depth: its number of words, then its first ``LEAD`` words, where a
-word with a digit is a variable and reads ``<*>``.  Within a leaf, lines with at least ``WIDE`` words belong to one
-template if they agree in every second of the remaining words: the words between are the template's variable fields, so
-a line has two templates, one for each half.  Shorter lines must agree in all words but those with digits.
+Method.  A line with words goes down a tree of fixed depth: its number of words, then its ``LEAD`` first words (of a line of
+three words two), where a word with a digit is a variable and reads ``<*>``.  Within a leaf a word is constant if it stands at its
+place in at least ``DOCUMENTS`` documents and in one of ``COMMON`` of the leaf's documents at least; any other is a
+variable field, wherever it stands and whatever stands beside it.  The constants in their places are the line's template, if they
+are at least ``FIXED`` hundredths of its words: lines that share less have no template.
 
 A template recurs if at least ``DOCUMENTS`` different documents hold it, and in one of ``SHARE`` of its lines at least,
-where a class of copies counts the lines of the one that holds most.  Documents are counted by classes of copies: whole texts that are equal, or nearly equal (``SHINGLE`` words, ``ALIKE`` percent,
+where a class of copies counts the lines of the one that holds most: what a document says again and again is its own.  Documents
+are counted by classes of copies: whole texts that are equal, or nearly equal (``SHINGLE`` words, ``ALIKE`` percent,
 through any chain of such texts), are one.  So the lines of copied documents do not recur by being copied, and near-duplicate
 removal is left to decide about those; the lines around a line, blank or not, have no say.  Lines of recurring templates are dropped wherever they are.
 
@@ -14,8 +16,9 @@ Nearly equal texts are found by the ``SKETCH`` smallest hashes of their shingles
 parts of these are held against one text of each such group, and linked if the sketches agree; links are contracted to components.  A pair at
 the threshold meets in a band with a probability over 0.999; its likeness is judged with a standard error of 5 points.
 
-Everything is counted by hashes: first per template and document, then per template and class, then per template, each with partial
-sums before its shuffle, so a line in a third of all rows costs its tasks no more than others.
+Everything is counted by hashes: per leaf and class, per leaf, word and class, per template and class, each with partial
+sums before its shuffle, so a line in a third of all rows costs its tasks no more than others.  Words are looked at only in leaves that
+recur; a leaf has at most ``COMMON`` constants a place.
 
 Definitions.  A null text stays null; lines without words always stay, as does the order of the rest.  Rows that repeat an id, or have none,
 are told apart by a hash of id and text; equal rows are one document.  An empty table gives an empty result.
@@ -30,26 +33,32 @@ from docfold.llm.columns import WORD, fresh, let, row_key, words
 from docfold.llm.components import components
 from docfold.scratch import Scratch
 
-LEAD, WIDE, DOCUMENTS, SHARE = 3, 6, 5, 5
+LEAD, DOCUMENTS, SHARE, COMMON, FIXED = 3, 5, 5, 20, 66
 SHINGLE, ALIKE, SKETCH, BANDS = 5, 80, 64, 8
 
 
-def _masked(line: Column) -> Column:
-    return F.transform(words(line), lambda w: F.when(w.rlike("[0-9]"), "<*>").otherwise(w))
+def _masked(word: Column) -> Column:
+    return F.when(word.rlike("[0-9]"), "<*>").otherwise(word)
 
 
-def _keys(tokens: Column) -> Column:
-    """The hashes of a line's templates."""
-    n = F.size(tokens)
-    half = lambda r: F.xxhash64(n, F.lit(r), F.filter(tokens, lambda w, i: (i < LEAD) | (i % 2 == r)))
-    return F.when(n >= WIDE, F.array(half(0), half(1))).otherwise(F.array(F.xxhash64(n, F.lit(2), tokens)))
+def _lead(n: Column) -> Column:
+    """How many words lead a line of n."""
+    return F.when(n == 3, 2).otherwise(F.least(n, F.lit(LEAD)))
+
+
+def _leaf(line: Column) -> Column:
+    return let(words(line), lambda w: F.xxhash64(F.size(w), F.transform(F.slice(w, F.lit(1), _lead(F.size(w))), _masked)))
+
+
+def _tokens(line: Column) -> Column:
+    """A hash of each word with its place."""
+    return F.transform(words(line), lambda w, i: F.xxhash64(i, _masked(w)))
 
 
 def _lines(docs: DataFrame, key: Column, text_col: str) -> DataFrame:
-    """(doc, pos, template): a row for each template of each line that has words."""
-    keyed = F.transform(F.split(F.col(text_col), "\n"), lambda x: F.when(x.rlike(WORD), let(_masked(x), _keys)))
-    rows = docs.select(key.alias("doc"), F.posexplode(keyed).alias("pos", "templates")).where("templates is not null")
-    return rows.select("doc", "pos", F.explode("templates").alias("template"))
+    """(doc, pos, leaf) of each line that has words."""
+    keyed = F.transform(F.split(F.col(text_col), "\n"), lambda x: F.when(x.rlike(WORD), _leaf(x)))
+    return docs.select(key.alias("doc"), F.posexplode(keyed).alias("pos", "leaf")).where("leaf is not null")
 
 
 def _sketch(text: Column) -> Column:
@@ -82,17 +91,39 @@ def _classes(docs: DataFrame, scratch: Scratch, key: Column, text_col: str) -> D
     return classes
 
 
+def _candidates(docs: DataFrame, scratch: Scratch, key: Column, text_col: str) -> tuple[DataFrame, DataFrame]:
+    """The lines (doc, class, rows, pos, leaf, tokens) of leaves that recur, and the leaves with their number of classes."""
+    lines, classes = scratch.write(_lines(docs, key, text_col), "lines"), _classes(docs, scratch, key, text_col)
+    met = lines.select("doc", "leaf").distinct().join(classes.select("doc", "class").hint("merge"), "doc").select("leaf", "class").distinct()
+    leaves = scratch.write(met.groupBy("leaf").agg(F.count("*").alias("m")).where(F.col("m") >= DOCUMENTS), "leaves")
+    wanted = lines.join(leaves.select("leaf").hint("merge"), "leaf", "left_semi").groupBy("doc").agg(F.collect_list(F.struct("pos", "leaf")).alias("wanted"))
+    wanted = wanted.join(classes.hint("merge"), "doc").withColumnRenamed("doc", "wanted_doc")
+    texts = docs.select(key.alias("doc"), F.col(text_col).alias("whole")).join(wanted.hint("merge"), F.col("doc") == F.col("wanted_doc"))
+    one = let(F.split("whole", "\n"), lambda x: F.transform("wanted", lambda w: F.struct(w["pos"].alias("pos"), w["leaf"].alias("leaf"), _tokens(F.get(x, w["pos"])).alias("tokens"))))
+    cand = scratch.write(texts.select("doc", "class", "rows", F.inline(one)), "candidates")
+    scratch.drop(lines, classes)
+    return cand, leaves
+
+
 def dropped_lines(docs: DataFrame, scratch: Scratch, key: Column, text_col: str = "text") -> DataFrame:
     """(doc, dropped): the places of the lines that go, for each document that loses any."""
-    lines = scratch.write(_lines(docs, key, text_col), "lines")
-    classes = _classes(docs, scratch, key, text_col)
-    by_doc = lines.join(classes.hint("merge"), "doc").groupBy("template", "class", "doc", "rows").agg((F.count("*") / F.col("rows")).alias("n"))
+    cand, leaves = _candidates(docs, scratch, key, text_col)
+    n = F.size("tokens")
+    rest = F.slice("tokens", _lead(n) + 1, n)
+    seen = cand.select("leaf", "class", F.explode(rest).alias("token")).distinct().groupBy("leaf", "token").agg(F.count("*").alias("c"))
+    constant = (F.col("c") >= DOCUMENTS) & (COMMON * F.col("c") >= F.col("m"))
+    common = scratch.write(seen.join(leaves.hint("merge"), "leaf").where(constant).groupBy("leaf").agg(F.collect_set("token").alias("common")), "common")
+    fixed = F.array_intersect(rest, F.coalesce("common", F.array().cast("array<bigint>")))
+    held = cand.join(common.hint("merge"), "leaf", "left").select("doc", "class", "rows", "pos", "leaf", _lead(n).alias("lead"), n.alias("n"), fixed.alias("fixed"))
+    held = held.where(100 * (F.col("lead") + F.size("fixed")) >= FIXED * F.col("n"))
+    held = scratch.write(held.select("doc", "class", "rows", "pos", F.xxhash64("leaf", "fixed").alias("template")), "held")
+    by_doc = held.groupBy("template", "class", "doc", "rows").agg((F.count("*") / F.col("rows")).alias("n"))
     by_class = by_doc.groupBy("template", "class").agg(F.max("n").alias("n"))
     recurring = by_class.groupBy("template").agg(F.count("*").alias("docs"), F.sum("n").alias("n")).where(f"docs >= {DOCUMENTS} and {SHARE} * docs >= n")
     recurring = scratch.write(recurring.select("template"), "recurring")
-    gone = lines.join(recurring, "template", "left_semi").groupBy("doc").agg(F.collect_set("pos").alias("dropped"))
+    gone = held.join(recurring.hint("merge"), "template", "left_semi").groupBy("doc").agg(F.collect_set("pos").alias("dropped"))
     gone = scratch.write(gone, "gone")
-    scratch.drop(lines, classes, recurring)
+    scratch.drop(cand, leaves, common, held, recurring)
     return gone
 
 

@@ -57,6 +57,32 @@ def test_templates(spark):
     assert sorted(r.doc_id for r in templates.drop_templates(only).collect()) == list(range(1, 7))
 
 
+def own_line(i):
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    return " ".join(f"{x}{y}{letters[i // 26]}{letters[i % 26]}" for x in "abcdef" for y in "uvwxyz")
+
+
+def test_variable_fields_wherever_they_stand(spark):
+    """Neighbouring variable words, variables at odd and even places, and short lines generalise; lines that merely begin alike stay."""
+    a, b = "anna ben cleo dora emil finn gina hugo".split(), "adler beck corda drew egger falk grant holm".split()
+    lines = lambda i: [f"This article was written by {a[i]} {b[i]} for us", f"Sent on {a[i]} from the {b[i]} of our own post", f"Posted by {a[i]}", f"The end of {a[i]} {b[i]} {a[-i - 1]} {own_line(i)[:4]} tale{'xyzuvwrs'[i]}"]
+    df = spark.createDataFrame([(i, "\n".join([own_line(i), *lines(i)])) for i in range(8)], "doc_id long, text string")
+    got = {r.doc_id: r.kept_text for r in templates.without_templates(df).collect()}
+    for i in range(8):
+        # In the second line the leading words hold a variable, so no two of its lines share a leaf.
+        assert got[i] == "\n".join([own_line(i), lines(i)[1], lines(i)[3]])
+
+
+def test_constants_grow_with_the_leaf(spark):
+    """A word in five of two hundred lines of a leaf is a variable; in five of ten it is not, and keeps templates apart."""
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    many = [(i, f"{own_line(i)}\nSee our page on {letters[i // 26]}{letters[i % 26]} for the {'red' if i < 5 else letters[i % 26] + letters[i // 26]} thing") for i in range(200)]
+    few = [(1000 + i, f"{own_line(300 + i)}\nAsk the shop for a {'blue' if i < 5 else 'green' if i < 9 else 'grey'} coat") for i in range(10)]
+    got = {r.doc_id: r.n_dropped for r in templates.without_templates(spark.createDataFrame(many + few, "doc_id long, text string")).collect()}
+    assert all(got[i] == 1 for i in range(200))
+    assert [got[1000 + i] for i in range(10)] == [1] * 10  # five blue coats, and five of any other colour
+
+
 def test_templates_of_blocks(spark):
     letters = "abcdefghijklmnopqrst"
     own = lambda i, n: " ".join(f"{x}{letters[i]}" for x in letters[:n])
