@@ -6,6 +6,8 @@ job over one row.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -162,8 +164,13 @@ def ingest(incoming: DataFrame, stored: DataFrame, versioned: str) -> DataFrame:
     return seen.withColumn("action", action).select(*incoming.columns, "action")
 
 
-def upload_pipeline(uploads: DataFrame, provider: Provider, library: DataFrame, last_key: int, accepted: tuple[str, ...] = ("pdf", "docx", "doc")) -> dict[str, DataFrame]:
-    """Uploads (filename, regulator, content_text, raw metadata) to documents, analysis rows, verdicts and a summary of each upload."""
+def upload_pipeline(
+    uploads: DataFrame, provider: Provider, library: DataFrame, last_key: int, store: Callable[[DataFrame, str], DataFrame] = lambda df, _: df, accepted: tuple[str, ...] = ("pdf", "docx", "doc")
+) -> dict[str, DataFrame]:
+    """Uploads (filename, regulator, content_text, raw metadata) to documents, analysis rows, verdicts and a summary of each upload.
+
+    ``store`` writes a table under a name and reads it again, so that what follows does not make it anew.
+    """
     short = F.length(F.coalesce("content_text", F.lit(""))) < text.UPLOAD_MIN
     status = F.when(~F.coalesce(text.url_extension(F.col("filename")).isin(*accepted), F.lit(False)), "unsupported").when(short, "too_short").otherwise("accepted")
     judged = uploads.withColumn("status", status)
@@ -172,8 +179,8 @@ def upload_pipeline(uploads: DataFrame, provider: Provider, library: DataFrame,
         "filename", F.upper(F.trim("regulator")).alias("regulator"), title.alias("title"), dates.validate_date(F.col("published_date")).alias("published_date"),
         dates.extract_year(F.col("published_date")).alias("year"), F.md5("content_text").alias("content_hash"), text.clean(F.col("content_text")).alias("content_text"),
     )
-    documents = with_keys(meta, "regulation_id", last_key, F.col("filename"))
-    rows = staged_analysis(documents.select("regulation_id", "content_text"), provider, text.UPLOAD_MIN)
+    documents = store(with_keys(meta, "regulation_id", last_key, F.col("filename")), "documents")
+    rows = store(staged_analysis(documents.select("regulation_id", "content_text"), provider, text.UPLOAD_MIN), "analysis")
     asked = rows.select(F.struct(*REQ).alias("id"), F.get_json_object("analysis_json", "$.obligations[0].obligation_text").alias("text"))
     verdicts = provider.match(asked, library).select("id.*", "match_status", "matched_id")
     counts = lambda c, values: [F.count_if(F.col(c) == v).alias(v.lower()) for v in values]

@@ -125,7 +125,18 @@ def existing_docs_semi(t: Tables) -> DataFrame:
     return R.existing(t.documents.select("doc_id", "source", "lang"), t.labels, ["doc_id"])
 
 
-@query("H7 D11", "SELECT doc_id, min(doc_id) OVER (PARTITION BY md5(text)) AS first_id FROM documents QUALIFY doc_id > first_id")
+@query("D10 D11", """SELECT d.doc_id, k.doc_id AS existing_id, k.lang AS existing_lang FROM documents d LEFT JOIN (SELECT page_id, url FROM pages) p ON p.page_id = d.doc_id LEFT JOIN (SELECT url, max(page_id) AS last FROM pages WHERE page_id % 3 <> 0 GROUP BY 1) s ON s.url = p.url
+  LEFT JOIN documents k ON k.doc_id = s.last AND k.source = 'src1'""")
+def lookup_by_url(t: Tables) -> DataFrame:
+    """The stored document of each page address and one regulator: its id and fields, null where there is none."""
+    stored = t.pages.where("page_id % 3 <> 0").select("url", F.col("page_id").alias("position"), F.col("page_id").alias("last"))
+    asked = t.documents.select("doc_id").join(t.pages.select(F.col("page_id").alias("doc_id"), "url"), "doc_id", "left")
+    found = R.lookup_last(asked, stored, "url", "position")
+    known = t.documents.where("source = 'src1'").select(F.col("doc_id").alias("last"), F.col("doc_id").alias("existing_id"), F.col("lang").alias("existing_lang"))
+    return found.join(known, "last", "left").select("doc_id", "existing_id", "existing_lang")
+
+
+@query("H7", "SELECT doc_id, min(doc_id) OVER (PARTITION BY md5(text)) AS first_id FROM documents QUALIFY doc_id > first_id")
 def dup_check(t: Tables) -> DataFrame:
     keyed = t.documents.select("doc_id", F.md5("text").alias("h"))
     first = keyed.groupBy("h").agg(F.min("doc_id").alias("first_id"))

@@ -10,6 +10,7 @@ from docfold.operators import mutations as M
 from docfold.operators import workflows as W
 from docfold.operators.matching import LexicalProvider
 from docfold.plans.catalog import query
+from docfold.scratch import Scratch
 from docfold.sources.tables import Tables
 
 #: Words of the tables' prose that stand for modal verbs, and what other words make of an obligation.
@@ -203,7 +204,7 @@ def upload_summary(t: Tables) -> DataFrame:
         F.concat(F.lit("my_file-"), k.cast("string"), F.lit("."), ending).alias("filename"), F.lit(" r1 ").alias("regulator"), F.col("text").alias("content_text"),
         pick("", "null", F.concat(F.lit("Title "), k.cast("string"))).alias("title"), pick("2020-01-02", "1447/07/09", "January").alias("published_date"),
     )
-    out = W.upload_pipeline(uploads, PROVIDER, t.benchmark, 1000)
+    out = W.upload_pipeline(uploads, PROVIDER, t.benchmark, 1000, Scratch(t.spark, "upload").write)
     return out["summary"].drop("regulation_id")
 
 
