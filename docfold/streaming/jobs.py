@@ -12,13 +12,26 @@ from docfold.operators.versioning import added_versions, change_detect
 VERSIONS = "regulation_id long, version_no long, content_text string, content_hash string, status string, change_summary string, created_at timestamp"
 
 
-def _appended(spark: SparkSession, root: str, batch: int) -> DataFrame:
-    """The versions that batches before ``batch`` have added."""
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
+def _folders(spark: SparkSession, root: str, kind: str) -> list[int]:
+    """The numbers of the folders ``kind=number`` below ``root`` that were written to their end."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(root)
     fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    done = [int(s.getPath().getName().split("=")[1]) for s in fs.listStatus(path) if s.getPath().getName().startswith("batch=")] if fs.exists(path) else []
-    before = [b for b in done if b < batch]
-    return spark.read.schema(VERSIONS).parquet(*(f"{root}/batch={b}" for b in sorted(before))) if before else spark.createDataFrame([], VERSIONS)
+    names = [s.getPath().getName() for s in fs.listStatus(path)] if fs.exists(path) else []
+    return sorted(int(n.split("=")[1]) for n in names if n.startswith(f"{kind}=") and fs.exists(jvm.org.apache.hadoop.fs.Path(f"{root}/{n}/_SUCCESS")))
+
+
+def _appended(spark: SparkSession, root: str, batch: int) -> DataFrame:
+    """The versions that batches before ``batch`` have added: those of the last folder of gathered ones, and of each batch since."""
+    gathered = max((n for n in _folders(spark, root, "until") if n < batch), default=-1)
+    paths = [f"{root}/until={gathered}"] * (gathered >= 0) + [f"{root}/batch={b}" for b in _folders(spark, root, "batch") if gathered < b < batch]
+    return spark.read.schema(VERSIONS).parquet(*paths) if paths else spark.createDataFrame([], VERSIONS)
+
+
+def gather_versions(spark: SparkSession, root: str) -> None:
+    """Gathers what all batches so far have added in one folder, for later reads; folders of before may then be deleted."""
+    if done := _folders(spark, root, "batch"):
+        _appended(spark, root, done[-1] + 1).write.mode("overwrite").parquet(f"{root}/until={done[-1]}")
 
 
 def versions_at(spark: SparkSession, root: str, batch: int) -> DataFrame:

@@ -120,6 +120,7 @@ def test_version_stream(spark, tmp_path):
         assert q.exception() is None
 
     run([(1, "a", 1), (1, "b", 2), (2, "c", 1)])
+    jobs.gather_versions(spark, root)
     run([(1, "b", 3), (2, "d", 3), (3, "e", 3)])
     final = jobs.versions_at(spark, root, 99)
     assert values(final.select("regulation_id", "version_no", "content_text", "status")) == [(1, 1, "b", "active"), (2, 1, "c", "inactive"), (2, 2, "d", "active"), (3, 1, "e", "active")]
