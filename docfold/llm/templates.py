@@ -96,7 +96,7 @@ def _candidates(docs: DataFrame, scratch: Scratch, key: Column, text_col: str) -
     lines, classes = scratch.write(_lines(docs, key, text_col), "lines"), _classes(docs, scratch, key, text_col)
     met = lines.select("doc", "leaf").distinct().join(classes.select("doc", "class").hint("merge"), "doc").select("leaf", "class").distinct()
     leaves = scratch.write(met.groupBy("leaf").agg(F.count("*").alias("m")).where(F.col("m") >= DOCUMENTS), "leaves")
-    wanted = lines.join(leaves.select("leaf").hint("merge"), "leaf", "left_semi").groupBy("doc").agg(F.collect_list(F.struct("pos", "leaf")).alias("wanted"))
+    wanted = lines.join(leaves.select("leaf").hint("merge"), "leaf", "left_semi").groupBy("doc").agg(F.collect_set(F.struct("pos", "leaf")).alias("wanted"))  # equal rows share their lines
     wanted = wanted.join(classes.hint("merge"), "doc").withColumnRenamed("doc", "wanted_doc")
     texts = docs.select(key.alias("doc"), F.col(text_col).alias("whole")).join(wanted.hint("merge"), F.col("doc") == F.col("wanted_doc"))
     one = let(F.split("whole", "\n"), lambda x: F.transform("wanted", lambda w: F.struct(w["pos"].alias("pos"), w["leaf"].alias("leaf"), _tokens(F.get(x, w["pos"])).alias("tokens"))))
