@@ -122,4 +122,44 @@ SELECT d.doc_id, (len(x) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGIN
 FROM d LEFT JOIN t USING (doc_id)
 """
 
-ORACLE = {"op1_near_dedup": OP1, "op6_remove_repeats": OP6, "op3_line_templates": OP3, "op7_quality_rules": OP7, "op9_mix_sources": OP9}
+#: crc32 of a text of ASCII characters, bit by bit.
+_CRC32 = """xor(4294967295::BIGINT, list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split({0}, ''), lambda x: ascii(x)::BIGINT)),
+  lambda c, b: list_reduce(list_prepend(xor(c, b), range(8)), lambda x, k: xor(x >> 1, 3988292384::BIGINT * (x & 1)))))"""
+_FIELD = "coalesce(octet_length(encode({0}::VARCHAR)) || ':' || {0}, '-')"
+_LEAF = "sha256(" + " || ".join(_FIELD.format(c) for c in ("doc_id", "source", "lang", "n_chars", "text")) + ")"
+
+OP13 = rf"""
+WITH RECURSIVE l AS (
+  SELECT doc_id, lang, leaf, CASE WHEN {_CRC32.format("doc_id::VARCHAR")} % 3 = 0 THEN tampered ELSE leaf END AS tampered,
+         row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY lang) AS n
+  FROM (SELECT doc_id, lang, {_LEAF} AS leaf, {_LEAF.replace("text", f"translate(text, '{_UPPER}', '{_LOWER}')")} AS tampered FROM documents)),
+nodes(lang, lvl, pos, n, h) AS (
+  SELECT lang, 0, pos, n, leaf FROM l
+  UNION ALL SELECT lang, lvl + 1, pos // 8, (n + 7) // 8, sha256(string_agg(h, '' ORDER BY pos)) FROM nodes WHERE n > 1 GROUP BY lang, lvl, pos // 8, n),
+subroots AS (SELECT lang, h AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS place, count(*) OVER () AS places FROM nodes WHERE n = 1),
+tops(lvl, pos, n, h) AS (
+  SELECT 0, place, places, subroot FROM subroots
+  UNION ALL SELECT lvl + 1, pos // 8, (n + 7) // 8, sha256(string_agg(h, '' ORDER BY pos)) FROM tops WHERE n > 1 GROUP BY lvl, pos // 8, n),
+low AS (
+  SELECT l.lang, l.pos AS leaf_pos, string_agg(x.h, '' ORDER BY x.lvl, x.pos) AS siblings
+  FROM l JOIN nodes x ON x.lang IS NOT DISTINCT FROM l.lang AND x.n > 1 AND x.pos // 8 = l.pos // (8 ** (x.lvl + 1))::BIGINT AND x.pos <> l.pos // (8 ** x.lvl)::BIGINT GROUP BY 1, 2),
+high AS (
+  SELECT s.place, string_agg(x.h, '' ORDER BY x.lvl, x.pos) AS siblings
+  FROM subroots s JOIN tops x ON x.n > 1 AND x.pos // 8 = s.place // (8 ** (x.lvl + 1))::BIGINT AND x.pos <> s.place // (8 ** x.lvl)::BIGINT GROUP BY 1),
+up(lang, leaf_pos, lvl, pos, n, h) AS (
+  SELECT lang, pos, 0, pos, n, tampered FROM l
+  UNION ALL
+  SELECT u.lang, leaf_pos, u.lvl + 1, u.pos // 8, (u.n + 7) // 8, sha256(string_agg(CASE WHEN x.pos = u.pos THEN u.h ELSE x.h END, '' ORDER BY x.pos))
+  FROM up u JOIN nodes x ON x.lang IS NOT DISTINCT FROM u.lang AND x.lvl = u.lvl AND x.pos // 8 = u.pos // 8 WHERE u.n > 1 GROUP BY u.lang, leaf_pos, u.lvl, u.pos // 8, u.n),
+over(lang, leaf_pos, lvl, pos, n, h) AS (
+  SELECT u.lang, leaf_pos, 0, place, places, h FROM up u JOIN subroots s ON s.lang IS NOT DISTINCT FROM u.lang WHERE n = 1
+  UNION ALL
+  SELECT u.lang, leaf_pos, u.lvl + 1, u.pos // 8, (u.n + 7) // 8, sha256(string_agg(CASE WHEN x.pos = u.pos THEN u.h ELSE x.h END, '' ORDER BY x.pos))
+  FROM over u JOIN tops x ON x.lvl = u.lvl AND x.pos // 8 = u.pos // 8 WHERE u.n > 1 GROUP BY u.lang, leaf_pos, u.lvl, u.pos // 8, u.n)
+SELECT doc_id, leaf, subroot, t.h AS root, sha256(coalesce(low.siblings, '') || coalesce(high.siblings, '')) AS proof_sha256, o.h AS folded_root, o.h = t.h AS verified
+FROM l JOIN subroots s ON s.lang IS NOT DISTINCT FROM l.lang JOIN tops t ON t.n = 1
+JOIN over o ON o.lang IS NOT DISTINCT FROM l.lang AND o.leaf_pos = l.pos AND o.n = 1
+LEFT JOIN low ON low.lang IS NOT DISTINCT FROM l.lang AND low.leaf_pos = l.pos LEFT JOIN high USING (place)
+"""
+
+ORACLE = {"op13_merkle_manifest": OP13, "op1_near_dedup": OP1, "op6_remove_repeats": OP6, "op3_line_templates": OP3, "op7_quality_rules": OP7, "op9_mix_sources": OP9}

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docfold.llm import extraction, langid, lattice, mixing, neardup, packing, quality, repeats, templates, vptree
+from docfold.llm import extraction, langid, lattice, manifest, mixing, neardup, packing, quality, repeats, templates, vptree
 
 TABLES = ("documents", "embeddings", "pages")
 
@@ -55,4 +55,8 @@ def op10_vantage_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vptree.nearest(table(spark, sf_dir, "embeddings"), lambda i: i % 50 == 0)
 
 
-QUERIES = {f.__name__: f for f in (op1_near_dedup, op2_language_id, op3_line_templates, op4_best_fit_packing, op5_main_text, op6_remove_repeats, op7_quality_rules, op8_lattice_scores, op9_mix_sources, op10_vantage_search)}
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest.manifest(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_near_dedup, op2_language_id, op3_line_templates, op4_best_fit_packing, op5_main_text, op6_remove_repeats, op7_quality_rules, op8_lattice_scores, op9_mix_sources, op10_vantage_search, op13_merkle_manifest)}
