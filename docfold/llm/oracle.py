@@ -162,4 +162,24 @@ JOIN over o ON o.lang IS NOT DISTINCT FROM l.lang AND o.leaf_pos = l.pos AND o.n
 LEFT JOIN low ON low.lang IS NOT DISTINCT FROM l.lang AND low.leaf_pos = l.pos LEFT JOIN high USING (place)
 """
 
-ORACLE = {"op13_merkle_manifest": OP13, "op1_near_dedup": OP1, "op6_remove_repeats": OP6, "op3_line_templates": OP3, "op7_quality_rules": OP7, "op9_mix_sources": OP9}
+OP11 = rf"""
+WITH t AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), md5(coalesce(text, ''))) - 1 AS pos
+  FROM conversations WHERE conv_id IS NOT NULL),
+c AS (SELECT conv_id, conv_id - conv_id % 100 AS first, {_CRC32.format("conv_id::VARCHAR")} % 6 AS h FROM (SELECT DISTINCT conv_id FROM t)),
+r AS (
+  SELECT c.conv_id, 0 AS part, pos, role, text FROM c JOIN t ON t.conv_id = c.first AND pos < h
+  UNION ALL SELECT conv_id, 1, pos, role, text FROM c JOIN t USING (conv_id) WHERE pos >= h),
+q AS (SELECT c.conv_id, coalesce(list({{'role': role, 'text': text}} ORDER BY part, pos) FILTER (part IS NOT NULL), []) AS s FROM c LEFT JOIN r USING (conv_id) GROUP BY 1),
+p AS (SELECT conv_id, d AS depth, s[1:d] AS s, len(s) = d AS ends FROM (SELECT conv_id, s, unnest(range(0, len(s) + 1)) AS d FROM q)),
+n AS (SELECT s, any_value(depth) AS depth, min(conv_id) AS conv_id, count(*) AS n_convs, string_agg(conv_id, ',' ORDER BY conv_id) FILTER (ends) AS ends FROM p GROUP BY s),
+k AS (SELECT s[1:depth - 1] AS s, count(*) AS n_children FROM n WHERE depth > 0 GROUP BY 1),
+m AS (SELECT n.*, coalesce(n_children, 0) AS n_children FROM n LEFT JOIN k USING (s)),
+u AS (SELECT s[1:d] AS s, n_children, (n_convs - 1) * CASE WHEN depth > 0 THEN length(s[depth].text) ELSE 0 END AS saved FROM (SELECT *, unnest(range(0, depth + 1)) AS d FROM m)),
+v AS (SELECT s, count(*) FILTER (n_children = 0) AS n_leaves, sum(saved) AS saved_tokens FROM u GROUP BY 1)
+SELECT m.conv_id, m.depth, o.conv_id AS parent_conv_id, m.n_convs, m.n_children, n_leaves, saved_tokens::BIGINT AS saved_tokens, sha256(coalesce(m.ends, '')) AS ends_sha256
+FROM m JOIN v USING (s) LEFT JOIN n o ON m.depth > 0 AND o.s = m.s[1:m.depth - 1]
+"""
+
+ORACLE = {"op11_prefix_trie": OP11, "op13_merkle_manifest": OP13, "op1_near_dedup": OP1, "op6_remove_repeats": OP6, "op3_line_templates": OP3, "op7_quality_rules": OP7, "op9_mix_sources": OP9}
