@@ -182,4 +182,13 @@ SELECT m.conv_id, m.depth, o.conv_id AS parent_conv_id, m.n_convs, m.n_children,
 FROM m JOIN v USING (s) LEFT JOIN n o ON m.depth > 0 AND o.s = m.s[1:m.depth - 1]
 """
 
-ORACLE = {"op11_prefix_trie": OP11, "op13_merkle_manifest": OP13, "op1_near_dedup": OP1, "op6_remove_repeats": OP6, "op3_line_templates": OP3, "op7_quality_rules": OP7, "op9_mix_sources": OP9}
+OP12 = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS w FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+p AS (SELECT q.vec_id AS query_id, v.vec_id, list_inner_product(q.w, v.w)::BIGINT AS score FROM v q JOIN v ON q.vec_id % 20 = 0 AND v.vec_id <> q.vec_id)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM p) WHERE rank <= 20
+"""
+
+ORACLE = {"op12_max_score": OP12, "op11_prefix_trie": OP11, "op13_merkle_manifest": OP13, "op1_near_dedup": OP1, "op6_remove_repeats": OP6, "op3_line_templates": OP3, "op7_quality_rules": OP7, "op9_mix_sources": OP9}

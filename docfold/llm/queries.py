@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docfold.llm import extraction, langid, lattice, manifest, mixing, neardup, packing, quality, repeats, templates, trie, vptree
+from docfold.llm import extraction, langid, lattice, manifest, maxscore, mixing, neardup, packing, quality, repeats, templates, trie, vptree
 
 TABLES = ("documents", "embeddings", "pages")
 
@@ -59,8 +59,12 @@ def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trie.rebuilt_trie(table(spark, sf_dir, "conversations"))
 
 
+def op12_max_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return maxscore.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifest.manifest(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_near_dedup, op2_language_id, op3_line_templates, op4_best_fit_packing, op5_main_text, op6_remove_repeats, op7_quality_rules, op8_lattice_scores, op9_mix_sources, op10_vantage_search, op11_prefix_trie, op13_merkle_manifest)}
+QUERIES = {f.__name__: f for f in (op1_near_dedup, op2_language_id, op3_line_templates, op4_best_fit_packing, op5_main_text, op6_remove_repeats, op7_quality_rules, op8_lattice_scores, op9_mix_sources, op10_vantage_search, op11_prefix_trie, op12_max_score, op13_merkle_manifest)}
