@@ -30,6 +30,8 @@ K, SCALE = 20, 64
 SHARD, QUERIES = 1 << 13, 1 << 12
 #: Terms probed between two looks at the bound.
 STEP = 4
+#: One in so many vectors of a shard may compete when probing begins.
+CROWD = 8
 _LONG = np.iinfo(np.int64)
 
 
@@ -78,18 +80,21 @@ class Postings:
         order = np.argsort(-bounds, kind="stable")
         terms, bounds = terms[order], bounds[order]
         rest = np.concatenate([np.cumsum(bounds[::-1])[::-1], np.zeros(1, bounds.dtype)])  # what the terms from each on can add
-        partial, met = np.zeros(self.n, query.dtype), np.zeros(self.n, bool)
-        done = self._traverse(query, terms, 0, len(terms) // 2 if least is None else int(np.searchsorted(-rest, -least, "right")), partial, met)
+        partial = np.zeros(self.n, query.dtype)
+        done = self._traverse(query, terms, 0, len(terms) // 2 if least is None else int(np.searchsorted(-rest, -least, "right")), partial)
         if least is None and self.n > k + 1:
             best = np.argpartition(-partial, 2 * k)[: 2 * k + 1] if self.n > 2 * k + 1 else np.arange(self.n)
             best = best[best != own]
             scores = partial[best] + self._gain(best, query, terms[done:])
             if len(scores) >= k:
                 least = np.sort(scores)[-k]
-                done = self._traverse(query, terms, done, int(np.searchsorted(-rest, -least, "right")), partial, met)
+                done = self._traverse(query, terms, done, int(np.searchsorted(-rest, -least, "right")), partial)
         if least is None:
-            done = self._traverse(query, terms, done, len(terms), partial, met)
-        alive = np.flatnonzero(met) if least is not None and rest[done] < least else np.arange(self.n)
+            done = self._traverse(query, terms, done, len(terms), partial)
+        alive = self._alive(partial, rest[done], least)
+        while done < len(terms) and len(alive) > self.n // CROWD:  # while most vectors compete, whole postings cost less than probes
+            done = self._traverse(query, terms, done, done + STEP, partial)
+            alive = self._alive(partial, rest[done], least)
         scores = partial[alive]
         while True:
             if least is not None:
@@ -104,16 +109,18 @@ class Postings:
         order = np.lexsort((self.ids[alive], -scores))[:k]
         return alive[order], scores[order]
 
-    def _traverse(self, query, terms, done: int, until: int, partial: np.ndarray, met: np.ndarray) -> int:
+    def _alive(self, partial: np.ndarray, rest, least) -> np.ndarray:
+        """Vectors that can still reach ``least``; one in no posting so far has only ``rest``."""
+        return np.arange(self.n) if least is None else np.flatnonzero(partial + rest >= least)
+
+    def _traverse(self, query, terms, done: int, until: int, partial: np.ndarray) -> int:
         """Adds up the postings of the essential terms from ``done`` to ``until``; how many are done."""
         for j in terms[done:until]:
             docs, values = self.lists[j]
             if docs is None:
                 partial += query[j] * values
-                met[:] = True
             else:
                 partial[docs] += query[j] * values
-                met[docs] = True
         return max(done, min(until, len(terms)))
 
     def _gain(self, docs: np.ndarray, query: np.ndarray, terms: np.ndarray) -> np.ndarray:
