@@ -20,6 +20,10 @@ class Tables:
             raise AttributeError(name)
         return self(name)
 
+    def stream(self, name: str) -> DataFrame:
+        """The table as a stream of its files; the braces make a pattern of the name, as a stream takes no single file."""
+        return self.spark.readStream.schema(self(name).schema).parquet(f"{self.path}/{{{name}}}.parquet")
+
     def requirements(self) -> DataFrame:
         """Orders as requirements: criticality from priority, empty where the priority says nothing."""
         level = F.when(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH"), "High").when(F.col("o_orderpriority") == "3-MEDIUM", "Medium").when(F.col("o_orderpriority") == "5-LOW", "Low")

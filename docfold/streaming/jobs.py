@@ -23,8 +23,9 @@ def _folders(spark: SparkSession, root: str, kind: str) -> list[int]:
 
 def _appended(spark: SparkSession, root: str, batch: int) -> DataFrame:
     """The versions that batches before ``batch`` have added: those of the last folder of gathered ones, and of each batch since."""
-    gathered = max((n for n in _folders(spark, root, "until") if n < batch), default=-1)
-    paths = [f"{root}/until={gathered}"] * (gathered >= 0) + [f"{root}/batch={b}" for b in _folders(spark, root, "batch") if gathered < b < batch]
+    until = [n for n in _folders(spark, root, "until") if n < batch]
+    gathered = max(until, default=-1)  # until=-1 has what there was before the first batch
+    paths = [f"{root}/until={gathered}"] * bool(until) + [f"{root}/batch={b}" for b in _folders(spark, root, "batch") if gathered < b < batch]
     return spark.read.schema(VERSIONS).parquet(*paths) if paths else spark.createDataFrame([], VERSIONS)
 
 
