@@ -26,7 +26,7 @@ def version_state(t: Tables) -> DataFrame:
     return jobs.versions_at(t.spark, root, 1 << 31).select("regulation_id", "version_no", "content_hash", "status", "change_summary")
 
 
-@query("Q3", f"""WITH b AS (SELECT user_id AS run, epoch_ms(ts) AS ms, event_type = 'purchase' AS done FROM events WHERE user_id IS NOT NULL AND ts IS NOT NULL),
+@query("Q3", f"""WITH b AS (SELECT user_id AS run, epoch_us(ts) // 1000 AS ms, event_type = 'purchase' AS done FROM events WHERE user_id IS NOT NULL AND ts IS NOT NULL),
   n AS (SELECT *, lag(ms) OVER w AS before, lag(done) OVER w AS ended FROM b WINDOW w AS (PARTITION BY run ORDER BY ms, done)),
   s AS (SELECT *, sum(CASE WHEN before IS NULL OR ended OR ms >= before + {_SILENCE} THEN 1 ELSE 0 END) OVER (PARTITION BY run ORDER BY ms, done ROWS UNBOUNDED PRECEDING) AS k FROM n),
   r AS (SELECT run, min(ms) AS started, max(ms) AS last, count(*) AS beats, bool_or(done) AS done FROM s GROUP BY run, k)
