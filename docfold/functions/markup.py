@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 HREF = r'href="([^"]*)"'
+# How index pages mark sections and rows, and manuals their main cell.
+SECTION_COLOUR, SECTION_CLASS, BULLET, MANUAL_COLOUR = "#ECF5FB", "style34", "square-bulit", "#F8F8F8"
 _HIDDEN = ("script", "style", "noscript", "header", "footer", "svg")
 
 
@@ -314,6 +316,88 @@ def _item(page: str) -> str:
     return "\n".join(t for t in items if t)
 
 
+def _menu(page: str) -> list[dict]:
+    """Entries of the book menus in page order: menu, the entry above and its address, own title and address, whether it can be unfolded and is."""
+    out: list[dict] = []
+    menus = [n for n in parse(page).find("nav") if n.attrs.get("id", "").startswith("book-block-menu-")]
+    for k, nav in enumerate(menus):
+        tops = [n for n in nav.find("ul") if not any(True for _ in _around(n, nav, "ul"))]
+        left = [(li, -1, "") for ul in reversed(tops) for li in reversed(_items(ul))]
+        while left:
+            li, above, href = left.pop()
+            own = _own_link(li)
+            if own is None or "href" not in own.attrs:
+                continue
+            lists = [c for c in li.children if isinstance(c, Node) and c.name == "ul"]
+            folder = li.has_class("menu-item--collapsed", "menu-item--expanded")
+            out.append({"menu_no": k, "above": above, "above_href": href, "title": own.text(), "href": own.attrs["href"], "folder": folder, "unfolded": bool(lists)})
+            at = len(out) - 1
+            left += [(x, at, own.attrs["href"]) for ul in reversed(lists[:1]) for x in reversed(_items(ul))]
+    return out
+
+
+def _items(ul: Node) -> list[Node]:
+    return [c for c in ul.children if isinstance(c, Node) and c.name == "li"]
+
+
+def _around(n: Node, top: Node, name: str) -> Iterator[Node]:
+    """Elements of a name around ``n``, below ``top``."""
+    n = n.parent
+    while n is not None and n is not top:
+        if n.name == name:
+            yield n
+        n = n.parent
+
+
+def _index_rows(page: str) -> list[dict]:
+    """Rows of all tables, each once: the section it opens, its text, whether it has a bullet, cells, links, and the addresses to download."""
+    out = []
+    for row in parse(page).find("tr"):
+        marks = [m.text() for c in row.find("td") if c.attrs.get("bgcolor", "").upper() == SECTION_COLOUR for m in c.find("span") if m.has_class(SECTION_CLASS)]
+        links = _links(row)
+        files = [x["url"] for x in links if "Download" in x["title"] or "Download" in x["url"]]
+        bullet = any(BULLET in i.attrs.get("src", "") for i in row.find("img"))
+        cells = [c.text() for c in row.children if isinstance(c, Node) and c.name == "td"]
+        out.append({"section": next((m for m in marks if m), ""), "body": row.text(), "bullet": bullet, "cells": cells, "links": links, "files": files})
+    return out
+
+
+def _manual(page: str) -> list[dict]:
+    """Links of a manual in page order: kind (item, chapter or appendix), volume, number, title, href."""
+    out: list[dict] = []
+    for main in (n for n in parse(page).find("td") if n.attrs.get("valign") == "top" and n.attrs.get("bgcolor", "").upper() == MANUAL_COLOUR):
+        volume = None
+        for block in (c for c in main.children if isinstance(c, Node)):
+            if block.name == "ul" and any("Appendices" in li.text() for li in block.find("li")):
+                tables = (t for li in block.find("li") for q in li.find("blockquote") for t in q.find("table"))
+                out += [{"kind": "appendix", "volume": "Appendices", **x} for t in {id(t): t for t in tables}.values() for x in _numbered(t, r"SR\.? ?NO.*DESCRIPTION")]
+            for part in (c for c in block.children if isinstance(c, Node)) if block.name == "blockquote" else ():
+                mark = re.search(r"VOLUME (II?)", part.text().upper()) if part.name == "p" else None
+                if mark:
+                    volume = "Volume II" if "VOLUME II" in part.text().upper() else "Volume I"
+                    continue
+                volume = volume or "Volume I"
+                if part.name == "ul" and (tables := list(part.find("table"))):
+                    out += [{"kind": "chapter", "volume": volume, **x} for t in tables for x in _numbered(t, "CHAPTER.*SUBJECT|SUBJECT.*CHAPTER")]
+                elif part.name == "ul":
+                    out += [{"kind": "item", "volume": volume, "number": "", "title": x["title"], "href": x["url"]} for x in _links(part) if x["title"]]
+    return out
+
+
+def _numbered(table: Node, head: str) -> list[dict]:
+    """Number and links of the rows of a table whose first row reads like ``head``."""
+    rows = list(table.find("tr"))
+    if not rows or not re.search(head, rows[0].text().upper()):
+        return []
+    cells = [[c for c in r.children if isinstance(c, Node) and c.name == "td"] for r in rows[1:]]
+    return [{"number": c[0].text(), "title": x["title"], "href": x["url"]} for c in cells if len(c) >= 2 for x in _links(c[1]) if x["title"]]
+
+
+def _page_body(page: str) -> str | None:
+    """The HTML of the field that holds a page's own content."""
+    return next((n.html() for n in parse(page).find("div") if n.has_class("field--name-body")), None)
+
+
 _LINK = "array<struct<title:string,url:string>>"
 _ROWS = {
     "table_rows": (_table_rows, f"table_no int, row_no int, header boolean, cells array<string>, links {_LINK}, cell_links array<{_LINK}>"),
@@ -321,6 +405,10 @@ _ROWS = {
     "list_items": (_list_items, f"links {_LINK}"),
     "list_tree": (_list_tree, "path array<string>, depth int, row_type string, href string"),
     "anchors": (_anchors, "name string, section_html string, section_text string"),
+    "menu": (_menu, "menu_no int, above int, above_href string, title string, href string, folder boolean, unfolded boolean"),
+    "index_rows": (_index_rows, f"section string, body string, bullet boolean, cells array<string>, links {_LINK}, files array<string>"),
+    "anchor_links": (lambda page: [{"title": x["title"], "href": x["url"]} for x in _links(parse(page))], "title string, href string"),
+    "manual": (_manual, "kind string, volume string, number string, title string, href string"),
     "accordion": (_accordion, "title string, text string, hash string"),
 }
 
@@ -354,7 +442,7 @@ def _of_pages(f: Callable, kind: str = "string") -> Callable[[Column], Column]:
     return column
 
 
-layout_paragraphs, trimmed_pages, item_content, page_text, book_category = map(_of_pages, (_layout_paragraphs, _trimmed_pages, _item, _page_text, _book_category))
+layout_paragraphs, trimmed_pages, item_content, page_text, page_body, book_category = map(_of_pages, (_layout_paragraphs, _trimmed_pages, _item, _page_text, _page_body, _book_category))
 
 
 def breadcrumb(x: Column) -> Column:

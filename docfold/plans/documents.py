@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docfold.functions import dates, markup, structured, text
 from docfold.operators import chunking, layout
 from docfold.plans.catalog import query
-from docfold.sources import files, pages
+from docfold.sources import files, frontier, pages
 from docfold.sources.tables import Tables
 
 HOST = "https://regulator.example"
@@ -281,3 +283,82 @@ def section_links(t: Tables) -> DataFrame:
     both = {"f": pages.section_links(files_, "R", "Laws", HOST, files_only=True), "c": pages.section_links(law, "R", "Compliance", HOST, "aml")}
     whole = [df.select(F.lit(kind).alias("kind"), "document_url", "title", "content_hash") for kind, df in both.items()]
     return whole[0].unionByName(whole[1])
+
+
+@query("A13 U5 L2", f"""WITH RECURSIVE n AS (SELECT page_id AS k, (page_id - 1) // 3 AS up, 3 * page_id + 1 < (SELECT count(*) FROM pages) AS folder FROM pages),
+  t(k, depth, path, folder) AS (SELECT k, 0, 'R > Book > T0', true FROM n WHERE k = 0
+    UNION ALL SELECT n.k, depth + 1, path || ' > T' || n.k, n.folder FROM t JOIN n ON n.k > 0 AND n.up = t.k)
+  SELECT '{HOST}/p' || k AS document_url, depth, path, CASE WHEN folder THEN 'F' ELSE 'R' END AS type, md5(CASE WHEN folder THEN 'T' || k ELSE 'text of ' || k END) AS content_hash,
+         CASE WHEN NOT folder AND k % 2 = 0 THEN '{HOST}/f' || k || '.pdf' END AS pdf FROM t""")
+def unfolded_menu(t: Tables) -> DataFrame:
+    """A menu whose folders are folded, so that each is looked up on its own page; every page leads back to the first."""
+    n = t.pages.agg(F.count("*").alias("n"))
+    k = F.col("page_id")
+    page = t.pages.select("page_id").join(F.broadcast(n))
+    entry = lambda k, n, below="": F.concat(F.lit("<li class='menu-item"), F.when(3 * k + 1 < n, F.lit(" menu-item--collapsed'>")).otherwise("'>"), F.lit("<a href='/p"), k.cast("string"), F.lit("'>T"), k.cast("string"), F.lit("</a>"), F.lit(below) if isinstance(below, str) else below, F.lit("</li>"))
+
+    def below(k, n, deeper):
+        kids = F.filter(F.sequence(3 * k + 1, 3 * k + 3), lambda x: x < n)
+        return F.concat(F.lit("<ul>"), F.array_join(F.transform(kids, lambda x: entry(x, n, deeper(x, n))), ""), F.lit("<li class='menu-item'><a href='/p0'>Back</a></li></ul>"))
+
+    # every fifth page shows its children's children too
+    two = F.when(k % 5 == 0, below(k, F.col("n"), lambda x, n: F.when(3 * x + 1 < n, below(x, n, lambda *_: F.lit(""))).otherwise(""))).otherwise(below(k, F.col("n"), lambda *_: F.lit("")))
+    own = F.concat(F.lit("<nav id='book-block-menu-1'><ul>"), entry(k, F.col("n"), F.when(3 * k + 1 < F.col("n"), two).otherwise("")), F.lit("</ul></nav>"))
+    pdf = F.when(k % 2 == 0, F.concat(F.lit('<a href="/f'), k.cast("string"), F.lit('.pdf">'))).otherwise("<a>")
+    body = F.concat(F.lit("<div class='field field--name-body'><p>text "), pdf, F.lit("of</a> "), k.cast("string"), F.lit("</p></div>"))
+    site = page.select(F.concat(F.lit(HOST + "/p"), k.cast("string")).alias("url"), F.concat(own, body).alias("html"))
+    seed = page.where("page_id = 0").select(F.lit(HOST + "/").alias("url"), F.concat(own, F.lit("<nav id='book-block-menu-2'><ul><li><a href='/other'>The End of it</a></li></ul></nav><nav id='book-block-menu-3'><ul><li><a href='/p1'>T1</a></li></ul></nav>")).alias("html"))
+    docs = frontier.menu_tree(site.unionByName(seed), HOST + "/", "R", "Book", HOST, stop="the end")
+    return docs.select("document_url", (F.size("doc_path") - 3).alias("depth"), F.array_join("doc_path", " > ").alias("path"), "type", "content_hash", F.col("extra_meta.org_pdf_link").alias("pdf"))
+
+
+_LAW_KIND = "CASE n_nationkey % 6 WHEN 0 THEN '/n' || n_nationkey || '.pdf' WHEN 3 THEN '/fe_manual' || n_nationkey || '.htm' ELSE '/n' || n_nationkey END"
+_LAW_TITLE = "CASE n_nationkey % 6 WHEN 1 THEN 'Prudential Regulations ' WHEN 2 THEN 'AML rules ' WHEN 3 THEN 'Foreign Exchange Manual ' ELSE 'Law ' END || n_name"
+_LAWS = f"(SELECT n_nationkey AS k, n_nationkey % 6 AS kind, r_name AS under, {_LAW_TITLE} AS entry, '{HOST}' || {_LAW_KIND} AS page, s_suppkey AS s, s_name FROM nation JOIN region ON r_regionkey = n_regionkey LEFT JOIN supplier ON s_nationkey = n_nationkey)"
+
+
+@query("A7", f"""SELECT DISTINCT under AS category, entry AS title, page AS document_url, NULL::VARCHAR AS reference_no, 'R > Laws & Regulations > ' || under || ' > ' || entry AS path FROM {_LAWS} WHERE kind = 0
+  UNION ALL SELECT 'Regulations', s_name, '{HOST}/f' || s || '.pdf', NULL, 'R > Laws & Regulations > Regulations > ' || CASE kind WHEN 1 THEN 'Prudential Regulations' ELSE 'Anti-Money Laundering, Combating the Financing of Terrorism & Countering Proliferation Financing' END || ' > ' || s_name FROM {_LAWS} WHERE kind IN (1, 2) AND s IS NOT NULL
+  UNION ALL SELECT under, s_name, '{HOST}/Download' || s || CASE kind WHEN 4 THEN '.zip' ELSE '.pdf' END, NULL, 'R > Laws & Regulations > ' || under || ' > ' || entry || ' > ' || s_name FROM {_LAWS} WHERE kind IN (4, 5) AND s IS NOT NULL
+  UNION ALL SELECT under, CASE WHEN s % 3 = 0 THEN 'Chapter ' || s || ': ' ELSE '' END || s_name, '{HOST}/m' || s || '.pdf', CASE s % 3 WHEN 0 THEN 'Chapter ' || s WHEN 1 THEN 'Appendix ' || s END,
+    'R > Laws & Regulations > ' || under || ' > ' || entry || ' > ' || CASE s % 3 WHEN 0 THEN 'Volume II > Chapter ' || s || ': ' WHEN 1 THEN 'Appendices > ' ELSE 'Volume I > ' END || s_name FROM {_LAWS} WHERE kind = 3 AND s IS NOT NULL
+  UNION ALL SELECT under, 'Form ' || s, '{HOST}/form' || s || '.pdf', NULL, 'R > Laws & Regulations > ' || under || ' > ' || entry || ' – Appendix ' || s || ' > Volume I > Form ' || s FROM {_LAWS} WHERE kind = 3 AND s % 3 = 1""")
+def law_documents(t: Tables) -> DataFrame:
+    """An index with sections, entries that are files, pages of downloads, and manuals whose appendices are pages again."""
+    c, lit = F.concat, F.lit
+    kind, k, s = F.col("n_nationkey") % 6, _str("n_nationkey"), _str("s_suppkey")
+    title = c(F.when(kind == 1, "Prudential Regulations ").when(kind == 2, "AML rules ").when(kind == 3, "Foreign Exchange Manual ").otherwise("Law "), F.col("n_name"))
+    address = c(F.when(kind == 3, "/fe_manual").otherwise("/n"), k, F.when(kind == 0, ".pdf").when(kind == 3, ".htm").otherwise(""))
+    nations = t.nation.join(t.region, F.col("r_regionkey") == F.col("n_regionkey"))
+    bullet = "<img src='/i/square-bulit.gif'>"
+    entries = nations.select("r_name", F.col("n_nationkey").alias("at"), c(lit(f"<tr><td>{bullet}<a href='"), address, lit("'>"), title, lit("</a></td></tr>")).alias("x"))
+    heads = nations.select("r_name").distinct().select("r_name", lit(-1).alias("at"), c(lit("<tr><td bgcolor='#ECF5FB'><span class='style34'>"), "r_name", lit(f"</span></td></tr><tr><td>{bullet}<a href='/h.pdf'>Home</a></td></tr><tr><td><a href='/x.pdf'>No bullet</a></td></tr>")).alias("x"))
+    parts = F.transform(F.sort_array(F.collect_list(F.struct("r_name", "at", "x"))), lambda v: v["x"])
+    index = entries.unionByName(heads).agg(c(lit("<table>"), F.array_join(parts, ""), lit("</table>")).alias("html")).select(lit(HOST + "/laws").alias("url"), "html")
+    of = t.supplier.join(t.nation, F.col("n_nationkey") == F.col("s_nationkey"))
+    page = c(lit(HOST), address)
+
+    def gathered(rows: DataFrame, x, before: str, after: str) -> DataFrame:
+        each = F.transform(F.sort_array(F.collect_list(F.struct("s_suppkey", x.alias("x")))), lambda v: v["x"])
+        return rows.groupBy(page.alias("url")).agg(c(lit(before), F.array_join(each, ""), lit(after)).alias("html"))
+
+    listed = c(lit("<tr><td>"), "s_name", lit("</td><td><a href='/f"), s, lit(".pdf'>Download</a></td></tr>"))
+    by_row = c(lit("<tr><td>"), "s_name", lit("</td><td><a href='/Download"), s, lit(".zip'>get</a></td></tr>"))
+    by_link = c(lit("<p><a href='/x'>no file</a><a href='/Download"), s, lit(".pdf'>"), "s_name", lit("</a></p>"))
+    cell = lambda n, href, name: c(lit("<tr><td>"), n, lit("</td><td><a href='"), href, lit("'>"), name, lit("</a></td></tr>"))
+    m = c(lit("/m"), s, lit(".pdf"))
+    at = F.col("s_suppkey") % 3
+    rows = lambda want, x: F.array_join(F.transform(F.sort_array(F.collect_list(F.when(at == want, F.struct("s_suppkey", x.alias("x"))))), lambda v: v["x"]), "")
+    manual = of.where(kind == 3).groupBy(page.alias("url")).agg(
+        c(
+            lit("<table><tr><td valign='top' bgcolor='#F8F8F8'><blockquote><ul>"), rows(2, c(lit("<li><a href='"), m, lit("'>"), "s_name", lit("</a></li>"))),
+            lit("</ul><p><strong>Volume II</strong></p><ul><li><table><tr><td>Chapter</td><td>Subject</td></tr>"), rows(0, cell(s, m, F.col("s_name"))),
+            lit("</table></li></ul></blockquote><ul><li>Appendices<blockquote><table><tr><td>Sr. No.</td><td>Description</td></tr>"),
+            rows(1, c(cell(s, m, F.col("s_name")), cell(s, c(lit("/fe_manual_a"), s, lit(".htm")), F.col("s_name")))), lit("</table></blockquote></li></ul></td></tr></table>"),
+        ).alias("html")
+    )
+    forms = of.where((kind == 3) & (at == 1)).select(c(lit(HOST + "/fe_manual_a"), s, lit(".htm")).alias("url"), c(lit("<table><tr><td valign='top' bgcolor='#F8F8F8'><blockquote><ul><li><a href='/form"), s, lit(".pdf'>Form "), s, lit("</a></li></ul></blockquote></td></tr></table>")).alias("html"))
+    table = "<table><tr><td>Title</td><td>Size</td></tr>", "</table>"
+    site = [index, gathered(of.where(kind.isin(1, 2)), listed, *table), gathered(of.where(kind == 4), by_row, *table), gathered(of.where(kind == 5), by_link, "<div>", "</div>"), manual, forms]
+    docs = frontier.law_documents(reduce(DataFrame.unionByName, site), HOST + "/laws", "R", HOST)
+    return docs.select("category", "title", "document_url", "reference_no", F.array_join("doc_path", " > ").alias("path"))
