@@ -5,8 +5,6 @@ Spans, links and recognised texts come as tables; reading PDFs and recognising i
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,16 +14,49 @@ BOLD, ITALIC = 16, 2
 ADDRESS = r"https?://[^\s<>\"']+"
 
 
+#: The finest cells of the grid in which rectangles meet, in points.
+CELL = 8.0
+
+
+def _cells(rects: DataFrame, side: str, tops: DataFrame, keys: list[str]) -> DataFrame:
+    """Each rectangle with the cells it touches, at its own level of the grid, where they are few, and at all coarser ones of its page."""
+    at = lambda x: F.floor(F.col(f"{side}{x}") / F.col("__size")).cast("long")
+    span = lambda a, b: F.explode(F.sequence(F.least(at(a), at(b)), F.greatest(at(a), at(b))))
+    up = rects.join(tops, keys).withColumn("__at", F.explode(F.sequence("__level", "__top"))).withColumn("__size", F.lit(CELL) * F.pow(F.lit(2.0), "__at"))
+    return up.withColumn("__cx", span("x0", "x1")).withColumn("__cy", span("y0", "y1"))
+
+
+def overlaps(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """Pairs of rectangles (x0, y0, x1, y1) of one page (``keys``) that overlap, each once; their columns have ``l_`` and ``r_`` before their names.
+
+    Rectangles meet in cells of a grid, so the join is by page and cell.  A rectangle's level is that at which it touches at most three cells a side; a pair meets
+    at the higher of its two levels, and counts in the cell where its common part begins.  Rectangles without all four numbers meet none.
+    """
+
+    def named(df: DataFrame, side: str) -> DataFrame:
+        width = F.greatest(F.abs(F.col("x1") - F.col("x0")), F.abs(F.col("y1") - F.col("y0")))
+        level = F.greatest(F.ceil(F.log2(F.greatest(width, F.lit(CELL)) / CELL)), F.lit(0)).cast("int")
+        sound = df.where("x0 is not null and y0 is not null and x1 is not null and y1 is not null")
+        return sound.select(*keys, *(F.col(c).alias(side + c) for c in df.columns if c not in keys), level.alias("__level"))
+
+    a, b = named(left, "l_"), named(right, "r_")
+    tops = a.select(*keys, "__level").unionByName(b.select(*keys, "__level")).groupBy(*keys).agg(F.max("__level").alias("__top"))
+    cell = [*keys, "__at", "__cx", "__cy"]
+    x = _cells(a, "l_", tops, keys).withColumnRenamed("__level", "__own").drop("__top")
+    y = _cells(b, "r_", tops, keys).withColumnRenamed("__level", "__other").drop("__top", "__size")
+    begins = lambda c: F.floor(F.greatest(f"l_{c}", f"r_{c}") / F.col("__size"))
+    over = (F.col("l_x0") < F.col("r_x1")) & (F.col("l_x1") > F.col("r_x0")) & (F.col("l_y0") < F.col("r_y1")) & (F.col("l_y1") > F.col("r_y0"))
+    once = (F.col("__at") == F.greatest("__own", "__other")) & (F.col("__cx") == begins("x0")) & (F.col("__cy") == begins("y0"))
+    return x.join(y, cell).where(once & over).select(*keys, *(c for c in a.columns + b.columns if c[:2] in ("l_", "r_")))
+
+
 def linked_spans(spans: DataFrame, links: DataFrame, keys: list[str]) -> DataFrame:
     """``uri`` of the first link of the page whose rectangle overlaps that of a span, else an address in its text.
 
-    Both have x0, y0, x1, y1 and the page's ``keys``; ``links`` has link_no and uri, ``spans`` a span_no.  The join is by page, with the overlap
-    as its condition.
+    Both have x0, y0, x1, y1 and the page's ``keys``; ``links`` has link_no and uri, ``spans`` a span_no.
     """
-    s, k = spans.alias("s"), links.alias("k")
-    same = reduce(lambda a, b: a & b, (F.col(f"s.{c}") == F.col(f"k.{c}") for c in keys))
-    over = (F.col("s.x0") < F.col("k.x1")) & (F.col("s.x1") > F.col("k.x0")) & (F.col("s.y0") < F.col("k.y1")) & (F.col("s.y1") > F.col("k.y0"))
-    hit = s.join(k, same & over).groupBy(*(F.col(f"s.{c}").alias(c) for c in (*keys, "span_no"))).agg(F.min_by("k.uri", "k.link_no").alias("uri"))
+    met = overlaps(spans.select(*keys, "span_no", "x0", "y0", "x1", "y1"), links.select(*keys, "link_no", "uri", "x0", "y0", "x1", "y1"), keys)
+    hit = met.groupBy(*keys, F.col("l_span_no").alias("span_no")).agg(F.min_by("r_uri", "r_link_no").alias("uri"))
     own = F.nullif(F.regexp_extract("text", ADDRESS, 0), F.lit(""))
     return spans.join(hit, [*keys, "span_no"], "left").withColumn("uri", F.coalesce("uri", own))
 

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from docfold.functions.text import let
 from docfold.operators.relational import first_by
 from docfold.schemas import COVERAGE
+from docfold.scratch import Scratch
 
 
 class Provider(Protocol):
@@ -30,7 +31,10 @@ class Provider(Protocol):
         """(regulation_id, requirement_id, obligation_id, control) of obligations (the first three and obligation_text)."""
 
     def coverage(self, obligations: DataFrame, chunks: DataFrame, within: tuple[str, ...] = ()) -> DataFrame:
-        """(id, chunk_num, coverage_status, evidence_text) of obligations (id, text) against chunks (chunk_num, text), where ``within`` agrees."""
+        """(id, chunk_num, coverage_status) of obligations (id, text) against chunks (chunk_num, text), where ``within`` agrees; missing ones may be left out."""
+
+    def evidence(self, verdicts: DataFrame, chunks: DataFrame, within: tuple[str, ...] = ()) -> DataFrame:
+        """``verdicts`` with evidence_text, from the chunk of each."""
 
     def translate(self, texts: DataFrame) -> DataFrame:
         """(source, target) of (source)."""
@@ -47,23 +51,40 @@ def shingles(text: Column, k: int = 3) -> Column:
     return let(F.transform(words, lambda w: F.xxhash64(w)), hashed)
 
 
-def containment(items: DataFrame, item_id: str, texts: DataFrame, text_id: str, text: str = "text", k: int = 3, within: tuple[str, ...] = ()) -> DataFrame:
+def containment(items: DataFrame, item_id: str, texts: DataFrame, text_id: str, text: str = "text", k: int = 3, within: tuple[str, ...] = (), least: int | None = None) -> DataFrame:
     """(item_id, text_id, n_common, n_items): shared shingles of short items and long texts, by an inverted index.
 
     Both sides have the columns ``within``, which must agree and are returned.
 
     The join is on shingles, never on all pairs.  Where the items are small or their scan is selective, Spark broadcasts
     them or filters the texts' shingles by a Bloom filter at run time, so foreign shingles are not shuffled.
+
+    With ``least``, only pairs that share so many percent of the item are wanted.  A text that shares m of an item's n shingles misses
+    n - m, so it has one of any n - m + 1 of them: only the n - m + 1 that are in fewest texts look for candidates, and a shingle
+    that is in all texts pairs nothing.  Candidates are then counted by all their shingles, found by text and shingle.
     """
     i = items.select(*within, item_id, shingles(F.col(text), k).alias("g"))
     left = i.select(*within, item_id, F.size("g").cast("long").alias("n_items"), F.explode("g").alias("g"))
     right = texts.select(*within, text_id, F.explode(shingles(F.col(text), k)).alias("g"))
-    return left.join(right, [*within, "g"]).groupBy(*within, item_id, text_id).agg(F.count("*").alias("n_common"), F.first("n_items").alias("n_items"))
-
-
-def best_matches(obligations: DataFrame, library: DataFrame, full: int = 90, partial: int = 30) -> DataFrame:
-    """Of each obligation (id, text) the library item with most of its shingles, the smaller id on ties; thresholds in percent."""
-    shared = containment(obligations, "id", library, "item_id")
+    if least is None:
+        return left.join(right, [*within, "g"]).groupBy(*within, item_id, text_id).agg(F.count("*").alias("n_common"), F.first("n_items").alias("n_items"))
+    scratch = Scratch(items.sparkSession, "containment")
+    held = scratch.write(right.join(left.select(*within, "g").distinct(), [*within, "g"], "left_semi"), "held")
+    known = left.join(held.groupBy(*within, "g").agg(F.count("*").alias("n_texts")), [*within, "g"], "left")
+    rarest = F.row_number().over(Window.partitionBy(*within, item_id).orderBy(F.coalesce("n_texts", F.lit(0)), "g"))
+    enough = F.greatest(F.ceil(F.lit(least) * F.col("n_items") / 100), F.lit(1))
+    probes = known.withColumn("place", rarest).where((F.col("place") <= F.col("n_items") - enough + 1) & F.col("n_texts").isNotNull())
+    found = scratch.write(probes.select(*within, item_id, "g").join(held, [*within, "g"]).select(*within, item_id, text_id).distinct(), "candidates")
+    counted = found.join(left, [*within, item_id]).join(held, [*within, text_id, "g"]).groupBy(*within, item_id, text_id)
+    return counted.agg(F.count("*").alias("n_common"), F.first("n_items").alias("n_items")).where(100 * F.col("n_common") >= least * F.col("n_items"))
+
+
+def best_matches(obligations: DataFrame, library: DataFrame, full: int = 90, partial: int = 30, below: bool = False) -> DataFrame:
+    """Of each obligation (id, text) the library item with most of its shingles, the smaller id on ties; thresholds in percent.
+
+    How many shingles a new obligation shares is counted only if ``below`` asks for it, as that holds every item with any of them.
+    """
+    shared = containment(obligations, "id", library, "item_id", least=None if below else partial)
     best = shared.groupBy("id").agg(F.max_by(F.struct("item_id", "n_common", "n_items"), F.struct(F.col("n_common"), -F.col("item_id"))).alias("b"))
     percent = 100 * F.col("b.n_common")
     status = F.when(percent >= full * F.col("b.n_items"), "fully_matched").when(percent >= partial * F.col("b.n_items"), "partially_matched").otherwise("new")
@@ -118,7 +139,8 @@ def link_outcome(found: DataFrame, linked: DataFrame, keys: list[str]) -> DataFr
 def merge_gaps(obligations: DataFrame, verdicts: DataFrame, key: list[str]) -> DataFrame:
     """The best verdict of each obligation over all chunks, the first chunk on ties; ``missing`` without evidence if there is none."""
     rank = F.when(F.col("coverage_status") == COVERAGE[0], 2).when(F.col("coverage_status") == COVERAGE[1], 1).otherwise(0)
-    best = first_by(verdicts.withColumn("__r", rank), key, F.col("__r").desc(), F.col("chunk_num"), F.col("evidence_text").asc_nulls_last()).drop("__r")
+    tie = [F.col("evidence_text").asc_nulls_last()] if "evidence_text" in verdicts.columns else []
+    best = first_by(verdicts.withColumn("__r", rank), key, F.col("__r").desc(), F.col("chunk_num"), *tie).drop("__r")
     return obligations.join(best, key, "left").withColumn("coverage_status", F.coalesce("coverage_status", F.lit("missing")))
 
 
@@ -179,9 +201,12 @@ class LexicalProvider:
         return best_matches(obligations, library)
 
     def coverage(self, obligations: DataFrame, chunks: DataFrame, within: tuple[str, ...] = ()) -> DataFrame:
-        shared = containment(obligations, "id", chunks, "chunk_num", within=within)
-        status = F.when(100 * F.col("n_common") >= 80 * F.col("n_items"), "covered").when(100 * F.col("n_common") >= 30 * F.col("n_items"), "partial").otherwise("missing")
-        return shared.join(chunks, [*within, "chunk_num"]).select(*within, "id", "chunk_num", status.alias("coverage_status"), F.substring("text", 1, 200).alias("evidence_text"))
+        shared = containment(obligations, "id", chunks, "chunk_num", within=within, least=30)
+        status = F.when(100 * F.col("n_common") >= 80 * F.col("n_items"), "covered").otherwise("partial")
+        return shared.select(*within, "id", "chunk_num", status.alias("coverage_status"))
+
+    def evidence(self, verdicts: DataFrame, chunks: DataFrame, within: tuple[str, ...] = ()) -> DataFrame:
+        return verdicts.join(chunks.select(*within, "chunk_num", F.substring("text", 1, 200).alias("evidence_text")), [*within, "chunk_num"], "left")
 
     def translate(self, texts: DataFrame) -> DataFrame:
         return texts.select("source", F.col("source").alias("target")).distinct()

@@ -128,8 +128,9 @@ def gap_analysis(obligations: DataFrame, uploads: DataFrame, provider: Provider,
     chunks = chunking.fixed(read.select(F.struct("upload_id", "regulation_id").alias("key"), "text"), "key", "text", most)
     chunks = chunks.select("key.regulation_id", F.struct("key.upload_id", "chunk_num").alias("chunk_num"), F.col("chunk_text").alias("text"))
     asked = obligations.select("regulation_id", "id").join(read.select("upload_id", "regulation_id"), "regulation_id")
-    verdicts = provider.coverage(obligations, chunks, within=("regulation_id",)).select("id", "chunk_num.*", "coverage_status", "evidence_text")
-    merged = merge_gaps(asked, verdicts, ["upload_id", "id"])
+    found = provider.coverage(obligations, chunks, within=("regulation_id",)).select("regulation_id", "id", "chunk_num", F.col("chunk_num.upload_id").alias("upload_id"), "coverage_status")
+    # texts are fetched for the verdicts that count only
+    merged = provider.evidence(merge_gaps(asked, found.drop("regulation_id"), ["upload_id", "id"]), chunks, ("regulation_id",))
     status = F.col("coverage_status")
     gap = F.when(status == "missing", "Obligation not found in uploaded document.")
     known = merged.select("upload_id", "regulation_id", "id", status, F.when(status != "missing", F.col("evidence_text")).alias("evidence_text"), gap.alias("gap_description"))

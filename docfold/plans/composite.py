@@ -66,7 +66,17 @@ _BENCH, _DOCS = _SHINGLES.format(id="item_id", table="benchmark"), _SHINGLES.for
     CASE WHEN 100 * n_common >= 30 * n_items THEN doc_id END AS matched_id, coalesce(n_common, 0) AS n_common FROM benchmark LEFT JOIN m USING (item_id)""")
 def match_requirements(t: Tables) -> DataFrame:
     library = t.documents.select(F.col("doc_id").alias("item_id"), "text")
-    return X.LexicalProvider().match(t.benchmark.select(F.col("item_id").alias("id"), "text"), library).withColumnRenamed("id", "item_id")
+    return X.best_matches(t.benchmark.select(F.col("item_id").alias("id"), "text"), library, below=True).withColumnRenamed("id", "item_id")
+
+
+@query("D17 O4 U17", f"""WITH b AS (SELECT *, count(*) OVER (PARTITION BY item_id) AS n_items FROM {_BENCH}), p AS (SELECT item_id, doc_id, count(*) AS n_common, any_value(n_items) AS n_items FROM b JOIN {_DOCS} USING (g) GROUP BY 1, 2)
+  SELECT item_id, doc_id, n_common, n_items, CASE WHEN 100 * n_common >= 90 * n_items THEN 'fully_matched' ELSE 'partially_matched' END AS match_status FROM p WHERE 100 * n_common >= 30 * n_items""")
+def matches_over_threshold(t: Tables) -> DataFrame:
+    """All pairs over the partial threshold, looked for by the rarest shingles of each requirement only."""
+    library = t.documents.select("doc_id", "text")
+    found = X.containment(t.benchmark.select("item_id", "text"), "item_id", library, "doc_id", least=30)
+    status = F.when(100 * F.col("n_common") >= 90 * F.col("n_items"), "fully_matched").otherwise("partially_matched")
+    return found.withColumn("match_status", status)
 
 
 @query("D18 E13 O7", """WITH v AS (SELECT l_orderkey AS requirement_id, l_partkey AS part, l_linenumber, CASE l_returnflag WHEN 'A' THEN 2 WHEN 'N' THEN 1 ELSE 0 END AS r, l_suppkey::VARCHAR AS evidence FROM lineitem)
