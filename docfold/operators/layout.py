@@ -5,7 +5,7 @@ Spans, links and recognised texts come as tables; reading PDFs and recognising i
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from docfold.functions import text
@@ -105,3 +105,40 @@ def first_conversion(docs: DataFrame, chain: dict[str, DataFrame], key: str, out
     given = [text.or_else(F.col(f"__{name}")) for name in chain]
     engine = F.coalesce(*(F.when(x.isNotNull(), F.lit(name)) for x, name in zip(given, chain, strict=True)))
     return docs.withColumn(out, F.coalesce(*given)).withColumn("engine", engine).drop(*(f"__{name}" for name in chain))
+
+
+# The least confidence of a recognised word, gaps that break a line and a block, heights of headings, marks of list items.
+CONFIDENCE, LINE_GAP, BLOCK_GAP = 40, 20, 40
+HEADING, SHORT_HEADING, SHORT = 20, 15, 5
+LIST_MARKS = r"^([•*-]|[1-5]\.)"
+
+
+def word_blocks(words: DataFrame, keys: list[str]) -> DataFrame:
+    """(``keys``, block_no, block_type, text, avg_height, n_words) of recognised words (``keys``, word_no, text, conf, top, height).
+
+    Words go by word_no within a page (``keys``).  The gap between a word's top and the bottom of the word before it begins a line if it is over 20 and a
+    block if it is over 40; blank words and those recognised with a confidence under 40 count for nothing.  A block is a heading if its words are high, or few and
+    fairly high; an item of a list if it begins with a mark, which goes unless it is a number; else a paragraph.
+    """
+    kept = words.where((F.length(F.trim("text")) > 0) & (F.col("conf") >= CONFIDENCE))
+    w = Window.partitionBy(*keys).orderBy("word_no")
+    gap = F.col("top") - F.lag(F.col("top") + F.col("height")).over(w)
+    rows = kept.withColumn("__gap", F.coalesce(gap, F.lit(0)))
+    rows = rows.withColumn("block_no", F.sum((F.col("__gap") > BLOCK_GAP).cast("int")).over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    word = F.concat(F.when((F.col("__gap") > LINE_GAP) & (F.col("__gap") <= BLOCK_GAP), "\n ").otherwise(""), F.trim("text"))
+    parts = F.transform(F.sort_array(F.collect_list(F.struct("word_no", word.alias("word")))), lambda x: x["word"])
+    blocks = rows.groupBy(*keys, "block_no").agg(F.regexp_replace(F.array_join(parts, " "), " +", " ").alias("whole"), F.avg("height").alias("avg_height"), F.count("*").alias("n_words"))
+    few = F.size(F.filter(F.split("whole", r"\s+"), lambda x: x != "")) <= SHORT
+    kind = F.when(F.col("avg_height") > HEADING, "heading").when(F.col("whole").rlike(LIST_MARKS), "list_item").when(few & (F.col("avg_height") > SHORT_HEADING), "heading").otherwise("paragraph")
+    text = F.when((kind == "list_item") & F.col("whole").rlike("^[•*-]"), F.trim(F.substring("whole", 2, 1 << 30))).otherwise(F.col("whole"))
+    return blocks.select(*keys, "block_no", kind.alias("block_type"), text.alias("text"), "avg_height", "n_words")
+
+
+def blocks_html(blocks: DataFrame, keys: list[str]) -> DataFrame:
+    """A page's blocks as HTML, one below the other: headings in their size, addresses in paragraphs as links, items with a dot."""
+    body = escaped(F.col("text"))
+    heading = F.concat(F.lit('<p><span class="heading-large" style="font-size: '), (F.col("avg_height") * 1.5).cast("string"), F.lit('px;"><strong>'), body, F.lit("</strong></span></p>"))
+    linked = F.regexp_replace(body, "(https?://[^\\s<>\"')]+)", '<a href="$1">$1</a>')
+    html = F.when(F.col("block_type") == "heading", heading).when(F.col("block_type") == "list_item", F.concat(F.lit("<p>• "), body, F.lit("</p>"))).otherwise(F.concat(F.lit("<p>"), linked, F.lit("</p>")))
+    parts = F.transform(F.sort_array(F.collect_list(F.struct("block_no", html.alias("html")))), lambda x: x["html"])
+    return blocks.groupBy(*keys).agg(F.array_join(parts, "\n").alias("html"), F.count("*").alias("n_blocks"))

@@ -362,3 +362,31 @@ def law_documents(t: Tables) -> DataFrame:
     site = [index, gathered(of.where(kind.isin(1, 2)), listed, *table), gathered(of.where(kind == 4), by_row, *table), gathered(of.where(kind == 5), by_link, "<div>", "</div>"), manual, forms]
     docs = frontier.law_documents(reduce(DataFrame.unionByName, site), HOST + "/laws", "R", HOST)
     return docs.select("category", "title", "document_url", "reference_no", F.array_join("doc_path", " > ").alias("path"))
+
+
+_WORDS = r"""(SELECT event_id // 50 AS page, event_id AS word_no, 12 * k + 60 * (k // 9) + 15 * (k // 4) AS top, CASE event_id // 50 % 4 WHEN 0 THEN 24 WHEN 1 THEN 16 + k % 2 ELSE 10 END AS height, value AS conf,
+  CASE WHEN k % 9 = 0 AND event_id % 7 = 0 THEN '• ' WHEN k % 9 = 0 AND event_id % 7 = 1 THEN '3. ' ELSE '' END || CASE WHEN event_id % 13 = 0 THEN ' ' WHEN event_id % 11 = 0 THEN 'https://h.example/' || event_id || '?a&b' ELSE event_type END AS text FROM (SELECT *, event_id % 50 AS k FROM events))"""
+
+
+_ESCAPED = "replace(replace(text, '&', '&amp;'), '<', '&lt;')"
+
+
+@query("F6 I20 U20 M10", rf"""WITH w AS (SELECT *, coalesce(top - lag(top + height) OVER (PARTITION BY page ORDER BY word_no), 0) AS gap FROM {_WORDS} WHERE trim(text) <> '' AND conf >= 40),
+  b AS (SELECT *, sum(CASE WHEN gap > 40 THEN 1 ELSE 0 END) OVER (PARTITION BY page ORDER BY word_no) AS block_no FROM w),
+  j AS (SELECT page, block_no, regexp_replace(string_agg(CASE WHEN gap > 20 AND gap <= 40 THEN chr(10) || ' ' ELSE '' END || trim(text), ' ' ORDER BY word_no), ' +', ' ', 'g') AS whole, avg(height) AS h FROM b GROUP BY 1, 2),
+  k AS (SELECT *, CASE WHEN h > 20 THEN 'heading' WHEN regexp_matches(whole, '^([•*-]|[1-5]\.)') THEN 'list_item' WHEN len(list_filter(regexp_split_to_array(whole, '\s+'), lambda x: x <> '')) <= 5 AND h > 15 THEN 'heading' ELSE 'paragraph' END AS kind FROM j),
+  t AS (SELECT *, CASE WHEN kind = 'list_item' AND regexp_matches(whole, '^[•*-]') THEN trim(substr(whole, 2)) ELSE whole END AS text FROM k),
+  e AS (SELECT page, block_no, kind, CASE kind WHEN 'heading' THEN '<p><span class="heading-large" style="font-size: ' || (h * 1.5)::VARCHAR || 'px;"><strong>' || {_ESCAPED} || '</strong></span></p>' WHEN 'list_item' THEN '<p>• ' || {_ESCAPED} || '</p>'
+    ELSE '<p>' || regexp_replace({_ESCAPED}, '(https?://[^\s<>"'')]+)', '<a href="\1">\1</a>', 'g') || '</p>' END AS html FROM t)
+  SELECT page, count(*) AS n_blocks, count(*) FILTER (kind = 'heading') AS n_headings, count(*) FILTER (kind = 'list_item') AS n_items, md5(string_agg(html, chr(10) ORDER BY block_no)) AS h FROM e GROUP BY 1""")
+def recognised_blocks(t: Tables) -> DataFrame:
+    """Recognised words to lines, blocks of three kinds, and HTML."""
+    e, k = F.col("event_id"), F.col("event_id") % 50
+    page = F.floor(e / 50)
+    height = F.when(page % 4 == 0, 24).when(page % 4 == 1, 16 + k % 2).otherwise(10)
+    mark = F.when((k % 9 == 0) & (e % 7 == 0), "• ").when((k % 9 == 0) & (e % 7 == 1), "3. ").otherwise("")
+    word = F.when(e % 13 == 0, " ").when(e % 11 == 0, F.concat(F.lit("https://h.example/"), _str("event_id"), F.lit("?a&b"))).otherwise(F.col("event_type"))
+    words = t.events.select(page.alias("page"), e.alias("word_no"), (12 * k + 60 * F.floor(k / 9) + 15 * F.floor(k / 4)).alias("top"), height.alias("height"), F.col("value").alias("conf"), F.concat(mark, word).alias("text"))
+    blocks = layout.word_blocks(words, ["page"])
+    kinds = blocks.groupBy("page").agg(F.count_if(F.col("block_type") == "heading").alias("n_headings"), F.count_if(F.col("block_type") == "list_item").alias("n_items"))
+    return layout.blocks_html(blocks, ["page"]).join(kinds, "page").select("page", "n_blocks", "n_headings", "n_items", F.md5("html").alias("h"))

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docfold.operators import relational as R
+from docfold.operators import trees
 from docfold.operators.matching import new_links
 from docfold.operators.versioning import history
 from docfold.plans.catalog import query
@@ -351,3 +352,15 @@ def events_sessions(t: Tables) -> DataFrame:
     from docfold.streaming.jobs import event_sessions
 
     return event_sessions(t.events).select("user_id", stamp(F.col("session_window.start")).alias("start"), "n")
+
+
+@query("K12 D20", """WITH c AS (SELECT c_nationkey, string_agg('{"id":"c' || c_custkey || '","title":"' || c_name || '","children":[]}', ',' ORDER BY c_name, 'c' || c_custkey) AS x FROM customer GROUP BY 1),
+  n AS (SELECT n_regionkey, string_agg('{"id":"n' || n_nationkey || '","title":"' || n_name || '","children":[' || coalesce(c.x, '') || ']}', ',' ORDER BY n_name, 'n' || n_nationkey) AS x FROM nation LEFT JOIN c ON c_nationkey = n_nationkey GROUP BY 1)
+  SELECT 'r' || r_regionkey AS id, '{"id":"r' || r_regionkey || '","title":"' || r_name || '","children":[' || coalesce(n.x, '') || ']}' AS tree FROM region LEFT JOIN n ON n_regionkey = r_regionkey""")
+def nested_tree(t: Tables) -> DataFrame:
+    """Regions with their nations and customers, one JSON text for each root."""
+    key = lambda letter, c: F.concat(F.lit(letter), F.col(c).cast("string"))
+    nodes = t.region.select(key("r", "r_regionkey").alias("id"), F.lit(None).cast("string").alias("parent_id"), F.col("r_name").alias("title"))
+    nodes = nodes.unionByName(t.nation.select(key("n", "n_nationkey").alias("id"), key("r", "n_regionkey").alias("parent_id"), F.col("n_name").alias("title")))
+    nodes = nodes.unionByName(t.customer.select(key("c", "c_custkey").alias("id"), key("n", "c_nationkey").alias("parent_id"), F.col("c_name").alias("title")))
+    return trees.nested_json(nodes, "id", "parent_id", "title")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docfold.functions import dates, markup, structured, text
-from docfold.operators import chunking
+from docfold.operators import chunking, language
 from docfold.plans.catalog import query
 from docfold.sources.tables import Tables
 
@@ -347,3 +347,23 @@ def string_building(t: Tables) -> DataFrame:
         "page_id", F.concat_ws(" - ", text.url_host(F.col("url")), F.lit(None)).alias("title"), text.clock((p % 24).cast("int"), (p % 60).cast("int")).alias("at"),
         F.concat(F.lit("["), F.array_join(ids.cast("array<string>"), ", "), F.lit("]")).alias("ids"), F.concat(F.lit("page?"), p.cast("string"), F.lit("|en")).alias("cache_key"),
     )
+
+
+_GRAMS = r"(SELECT doc_id, lang, text, unnest(list_transform(range(1, greatest(len(x) - 1, 1)), lambda i: substr(x, i, 3))) AS gram FROM (SELECT *, ' ' || trim(regexp_replace(lower(text), '[^\p{L}]+', ' ', 'g')) || ' ' AS x FROM documents WHERE text IS NOT NULL))"
+_ARABIC = r"length(regexp_replace(regexp_replace(left(text, 500), '\s', '', 'g'), '[^\x{0600}-\x{06FF}]', '', 'g')) / greatest(length(regexp_replace(left(text, 500), '\s', '', 'g')), 1)"
+
+
+@query("M7", f"""WITH g AS {_GRAMS}, c AS (SELECT lang, gram, count(*) AS n FROM g WHERE lang IS NOT NULL AND doc_id % 4 <> 0 AND length(gram) = 3 GROUP BY 1, 2),
+  z AS (SELECT lang, sum(n) AS total, (SELECT count(DISTINCT gram) FROM c) AS kinds FROM c GROUP BY 1),
+  m AS (SELECT lang, gram, round(10000 * ln((n + 0.5::DOUBLE) / (total + 0.5::DOUBLE * kinds)))::BIGINT AS w FROM c JOIN z USING (lang)),
+  b AS (SELECT lang, round(10000 * ln(0.5::DOUBLE / (total + 0.5::DOUBLE * kinds)))::BIGINT AS base FROM z),
+  t AS (SELECT doc_id, gram, count(*) AS n FROM g WHERE gram IN (SELECT gram FROM m) GROUP BY 1, 2),
+  k AS (SELECT doc_id, sum(n) AS known FROM t GROUP BY 1),
+  s AS (SELECT doc_id, lang, sum(n * (w - base)) AS x FROM t JOIN m USING (gram) JOIN b USING (lang) GROUP BY 1, 2),
+  r AS (SELECT doc_id, lang FROM s JOIN b USING (lang) JOIN k USING (doc_id) QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY x + known * base DESC, lang) = 1)
+  SELECT doc_id, doc_id % 4 = 0 AS held_out, CASE WHEN length(trim(coalesce(text, ''))) < 20 THEN 'unknown' WHEN {_ARABIC} > 0.2 THEN 'ar' ELSE coalesce(r.lang, 'unknown') END AS detected FROM documents LEFT JOIN r USING (doc_id)""")
+def learned_languages(t: Tables) -> DataFrame:
+    """Languages by trigrams learned from three quarters of the labelled documents."""
+    docs = t.documents.select("doc_id", "text", "lang")
+    model = language.learned(docs.where("doc_id % 4 <> 0"))
+    return language.detected(docs, model, "doc_id").select("doc_id", (F.col("doc_id") % 4 == 0).alias("held_out"), "detected")
