@@ -10,13 +10,16 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from docfold.functions import dates, structured, text
 from docfold.operators import chunking
 from docfold.operators.matching import Provider, merge_gaps, new_links
-from docfold.operators.mutations import with_keys
-from docfold.operators.relational import rank_of, value_of
+from docfold.operators.mutations import missing_categories, with_keys
+from docfold.operators.relational import first_by, rank_of, value_of
+from docfold.operators.versioning import added_versions
 from docfold.schemas import CRITICALITY, EXECUTION
+from docfold.sources.stored import Batches, Buckets
 
 REQ = ["regulation_id", "requirement_id"]
 
@@ -189,3 +192,58 @@ def upload_pipeline(
     matched = verdicts.groupBy("regulation_id").agg(*counts("match_status", ("fully_matched", "partially_matched", "new")))
     per = documents.select("filename", "regulation_id", "title", "published_date", "year").join(found, "regulation_id", "left").join(matched, "regulation_id", "left")
     return {"documents": documents, "analysis": rows, "verdicts": verdicts, "summary": judged.select("filename", "status").join(per, "filename", "left")}
+
+
+#: Tables that an ingest batch writes.
+STORED = {
+    "documents": "id long, regulator string, category string, source_system string, published_date string, title string, doc_path array<string>, source_page_url string, content_hash string",
+    "categories": "path array<string>, title string, depth int",
+    "versions": "regulation_id long, version_no long, content_text string, content_hash string, status string, change_summary string, created_at timestamp",
+    "log": "regulation_id long, title string, step string, status string, details string",
+}
+
+
+def ingest_batch(store: Batches, batch: int, incoming: DataFrame, versioned: str, at) -> bool:
+    """Ingests crawled documents (the columns of stored ones without id and hash, and content_text): inserts, versions, categories and a log, as one.
+
+    What batches before stored decides what is new, so a batch that was stopped and is run again does the same.  Documents are told apart as in
+    ``ingest``; of several of one batch that are the same document the first by title, address and hash is taken.  A document of the regulator
+    ``versioned`` gets a first version when it is inserted, returns excepted, and a further one when its text changes; the newest version is the active one.
+    """
+
+    def work(store: Batches, batch: int) -> None:
+        old = {name: store.read(name, schema, batch).drop("batch") for name, schema in STORED.items()}
+        newest = old["versions"].groupBy("regulation_id").agg(F.max("version_no").alias("last"), F.max_by("content_hash", "version_no").alias("newest"))
+        known = old["documents"].join(newest, F.col("id") == F.col("regulation_id"), "left").withColumn("stored_hash", F.coalesce("newest", "content_hash"))
+        mine = known.where(F.col("regulator") == versioned).groupBy("source_page_url").agg(F.min(F.struct("id", "stored_hash", "last")).alias("k"))
+        came = incoming.withColumn("content_hash", F.md5(F.coalesce("content_text", F.lit(""))))
+        named = F.concat(F.lit("t:"), F.to_json(F.struct("title", "published_date", "doc_path"), {"ignoreNullFields": "false"}))
+        same = F.coalesce(F.when(F.col("regulator") == versioned, F.concat(F.lit("u:"), "source_page_url")), named)
+        came = first_by(came.withColumn("__same", same), ["regulator", "__same"], F.col("title"), F.col("source_page_url"), F.col("content_hash")).drop("__same")
+        came = came.join(mine, "source_page_url", "left").withColumn("monitoring_status", F.when(F.col("k.stored_hash") == F.col("content_hash"), "unchanged").otherwise("modified"))
+        told = store.put("_actions", batch, ingest(came, old["documents"], versioned))
+        new = told.where("action like 'insert%'")
+        last = old["documents"].agg(F.coalesce(F.max("id"), F.lit(0))).first()[0]
+        columns = [c for c in StructType.fromDDL(STORED["documents"]).names if c != "id"]
+        keyed = with_keys(new.select(*columns, "content_text", "action"), "id", last, F.col("title"), F.col("source_page_url"), F.col("content_hash"))
+        keyed = store.put("_inserted", batch, keyed)
+        store.put("documents", batch, keyed.select("id", *columns))
+        store.put("categories", batch, missing_categories(new, "doc_path", old["categories"]))
+        first = keyed.where("action = 'insert_version'").select(F.col("id").alias("regulation_id"), "content_text", "content_hash", F.lit("new").alias("monitoring_status"))
+        again = told.where("action = 'update_version'").select(F.col("k.id").alias("regulation_id"), "content_text", "content_hash", F.lit("modified").alias("monitoring_status"))
+        store.put("versions", batch, added_versions(first.unionByName(again), newest.select("regulation_id", "last"), at))
+        ids = keyed.select(F.col("id").alias("regulation_id"), "title", "action").unionByName(told.where("action not like 'insert%'").select(F.col("k.id").alias("regulation_id"), "title", "action"))
+        done = F.when(F.col("action") == "skip", "SKIPPED").otherwise("DONE")
+        store.put("log", batch, ids.select("regulation_id", "title", F.lit("ingest").alias("step"), done.alias("status"), F.to_json(F.struct("action")).alias("details")))
+
+    return store.run(batch, work)
+
+
+def analyse_version(table: Buckets, versions: DataFrame, version_no: int, provider: Provider) -> list[int]:
+    """Analyses one version of each document again (regulation_id, version_no, content_text) and replaces that version's rows; others stay as they are.
+
+    ``table`` is kept by regulation_id and version_no.  A version in which nothing is found keeps its rows.
+    """
+    asked = versions.where(F.col("version_no") == version_no).select("regulation_id", "content_text")
+    rows = staged_analysis(asked, provider, text.UPLOAD_MIN).withColumn("version_no", F.lit(version_no).cast("long"))
+    return table.replace(rows.select(*table.kinds.names), ["regulation_id", "version_no"])

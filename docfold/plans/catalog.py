@@ -26,4 +26,4 @@ def query(operators: str, sql: str | None = None):
     return add
 
 
-from docfold.plans import changes, composite, documents, relational, streams, texts, workflows  # noqa: E402, F401
+from docfold.plans import changes, composite, documents, relational, storage, streams, texts, workflows  # noqa: E402, F401
