@@ -269,46 +269,152 @@ def _breadcrumb(page: str) -> list[str]:
     return []
 
 
-def _layout_paragraphs(page: str) -> str:
-    """Tables that only lay out text become paragraphs: one cell is a paragraph, two are label and text, three keep the last two; data tables stay."""
-    root = parse(page)
-    for table in list(root.find("table")):
-        rows = [[c for c in r.children if isinstance(c, Node) and c.name in ("td", "th")] for r in table.find("tr")]
-        layout = len(rows) <= 20 and (any("colspan" in c.attrs for r in rows for c in r) or all(len(r) <= 1 for r in rows))
-        if layout and table.parent:
-            done = []
-            for r in rows:
-                texts = [t for t in (c.text() for c in r) if t][-2 if len(r) >= 3 else 0 :]
-                if texts:
-                    p = Node("p", {})
-                    p.children = [" ".join(texts)]
-                    done.append(p)
-            at = table.parent.children.index(table)
-            table.parent.children[at : at + 1] = done
-    for n in root.walk():
-        n.attrs.pop("style", None)
+def _strings(n: Node) -> Iterator[tuple[str, Node | None]]:
+    """Texts below an element in page order, each with the link that it is in, if any; a link without text is one, too."""
+    left: list[tuple[Node | str, Node | None]] = [(c, None) for c in reversed(n.children)]
+    while left:
+        c, link = left.pop()
+        if isinstance(c, str):
+            yield c, link
+        else:
+            if c.name == "a":
+                link = c
+                yield "", c
+            left += [(x, link) for x in reversed(c.children)]
+
+
+def _bare(n: Node) -> str:
+    """All texts of an element, stripped, without anything between them."""
+    return "".join(t.strip() for t, _ in _strings(n))
+
+
+def _inline(cell: Node, base: str) -> list[Node | str]:
+    """The texts and links of a cell with blanks between them; links in full, all else without tags."""
+    out: list[Node | str] = []
+    done: set[int] = set()
+    for t, link in _strings(cell):
+        if link is None and t.strip():
+            out += [t.strip(), " "]
+        elif link is not None and id(link) not in done:
+            done.add(id(link))
+            href = link.attrs.get("href", "")
+            a = Node("a", {"href": href if not href or href.startswith("http") else base + href})
+            a.children = [_bare(link)]
+            out += [a, " "]
+    return out[:-1]
+
+
+def _rows_of(table: Node) -> list[list[Node]]:
+    return [list(r.find("td", "th")) for r in table.find("tr")]
+
+
+def _outer_tables(root: Node) -> list[Node]:
+    return [t for t in root.find("table") if not any(True for _ in _around(t, root, "table"))]
+
+
+def _put(old: Node, new: Node) -> None:
+    at = old.parent.children.index(old)
+    old.parent.children[at], new.parent = new, old.parent
+
+
+def _inner(root: Node) -> str:
     return "".join(c.html() if isinstance(c, Node) else html.escape(c, quote=False) for c in root.children)
 
 
-def _trimmed_pages(page: str, share: float = 0.08) -> str:
-    """Pages of positioned text without what stands in the top and bottom ``share``, and without blank pages."""
-    root, out = parse(page), []
-    for p in (n for n in root.walk() if n.has_class("page")):
-        height = _points(p, "height") or 842.0
-        for n in list(p.walk()):
-            top = _points(n, "top")
-            if n is not p and n.parent and top is not None and not share * height <= top <= (1 - share) * height:
-                n.parent.children.remove(n)
-        if len(p.text()) > 10 or any(True for _ in p.find("img", "input", "button", "a")):
-            out.append(p.html())
-    return "".join(out)
+def _paragraph(mark: str, body: list[Node | str], attrs: dict[str, str]) -> list[Node]:
+    """A paragraph of a body with its mark in bold before it; none without a body."""
+    p, strong = Node("p", attrs), Node("strong", {})
+    strong.children = [mark]
+    p.children = [strong, " ", *body] if mark else body
+    return [p] if body else []
+
+
+def _article_tables(page: str, base: str) -> str:
+    """Tables as paragraphs: marks of two cells in bold before their text, cells that span as they are, and items of three cells; others stay."""
+    root = parse(page)
+    for table in _outer_tables(root):
+        made: list[Node] = []
+        for cells in _rows_of(table):
+            first = _bare(cells[0]) if cells else ""
+            if len(cells) == 2 and re.fullmatch(r"[0-9]+\.|[a-z][).]", first):
+                made += _paragraph(first, _inline(cells[1], base), {})
+            elif len(cells) == 1 or len(cells) > 1 and cells[0].attrs.get("colspan"):
+                made += _paragraph("", _inline(cells[0], base), {})
+            elif len(cells) == 3 and not first:
+                second = _bare(cells[1])
+                if re.fullmatch(r"[a-z][).]", second):
+                    made += _paragraph(second, _inline(cells[2], base), {"style": "margin-left: 20px;"})
+            elif len(cells) == 3 and re.fullmatch(r"[0-9]+\.", first):
+                made += _paragraph(first, _inline(cells[1], base), {})
+        if made:
+            div = Node("div", {"class": "article-content"})
+            div.children = list(made)
+            _put(table, div)
+    for ul in root.find("ul"):
+        ul.attrs.pop("style", None)
+    return re.sub(r">\s+<", "><", re.sub(r"\s+", " ", _inner(root)))
+
+
+def _clean_tables(page: str) -> str:
+    """Tables of at most 20 rows with a cell that spans become a paragraph for each cell, numbered ones in bold; others are data and lose their looks."""
+    root = parse(page)
+    for table in _outer_tables(root):
+        rows = _rows_of(table)
+        if len(rows) <= 20 and any(c.attrs.get("colspan") for r in rows for c in r):
+            div = Node("div", {"class": "cleaned-content"})
+            for t in (t for r in rows for c in r if (t := _bare(c))):
+                p, inner = Node("p", {}), Node("strong", {})
+                inner.children = [t]
+                p.children = [inner] if re.match(r"[0-9]+\.|[a-z]\)", t) else [t]
+                div.children += ["\n"] * bool(div.children) + [p]
+            _put(table, div)
+        else:
+            for n in table.walk():
+                if n is not table:
+                    n.attrs = {k: v for k, v in n.attrs.items() if k not in ("style", "cellpadding", "cellspacing", "border")}
+                if n.name == "table":
+                    n.attrs["class"] = "data-table"
+    for n in list(root.walk()):
+        if n.name == "ul":
+            n.attrs.pop("style", None)
+        elif n.name in ("div", "span") and len(n.children) == 1 and isinstance(n.children[0], Node) and n.children[0].name == n.name:
+            _put(n, n.children[0])
+    return _inner(root)
+
+
+# The shares of a page's height, from its top and its bottom, in which heads and feet stand, and the class of images that show nothing.
+HEAD_SHARE, FOOT_SHARE, DUMMY = 0.15, 0.10, "dummyimg"
 
 
 def _points(n: Node, what: str) -> float | None:
-    m = re.search(rf"(?:^|;)\s*{what}\s*:\s*([0-9.]+)", n.attrs.get("style", ""))
+    m = re.search(rf"{what}:\s*([\d.]+)px", n.attrs.get("style", ""))
     return float(m[1]) if m else None
 
 
+def _shows_something(page: Node) -> bool:
+    """More than ten characters, an image of a class of its own, something to press or fill in, a link with text, or an annotation."""
+    if len(_bare(page)) > 10 or any(True for _ in page.find("button", "input", "textarea")):
+        return True
+    if any(i.attrs.get("class") and not i.has_class(DUMMY) for i in page.find("img")) or any("href" in a.attrs and _bare(a) for a in page.find("a")):
+        return True
+    notes = (d for d in page.find("div") if d.has_class("annotation"))
+    return any(_bare(d) or any(i.attrs.get("class") != DUMMY for i in d.find("img")) for d in notes)
+
+
+def _trimmed_pages(page: str) -> str:
+    """Pages of positioned text without the spans and blocks in their heads and feet, and without pages that show nothing; a page without a height is not cut."""
+    root = parse(page)
+    for p in [n for n in root.find("div") if n.has_class("page")]:
+        if height := _points(p, "height"):
+            for n in list(p.find("span", "div")):
+                top = _points(n, "top")
+                if top is not None and not HEAD_SHARE * height <= top <= (1 - FOOT_SHARE) * height and n in n.parent.children:
+                    n.parent.children.remove(n)
+        if not _shows_something(p):
+            p.parent.children.remove(p)
+    return _inner(root)
+
+
 def _item(page: str) -> str:
     """The content of list items with block paragraphs unwrapped."""
     own = lambda li: (c for c in li.children if not (isinstance(c, Node) and c.name in ("ul", "ol")))
@@ -442,7 +548,12 @@ def _of_pages(f: Callable, kind: str = "string") -> Callable[[Column], Column]:
     return column
 
 
-layout_paragraphs, trimmed_pages, item_content, page_text, page_body, book_category = map(_of_pages, (_layout_paragraphs, _trimmed_pages, _item, _page_text, _page_body, _book_category))
+clean_tables, trimmed_pages, item_content, page_text, page_body, book_category = map(_of_pages, (_clean_tables, _trimmed_pages, _item, _page_text, _page_body, _book_category))
+
+
+def article_tables(x: Column, base: str) -> Column:
+    """A page's layout tables as paragraphs, links with ``base`` before addresses of the site."""
+    return _of_pages(lambda page: _article_tables(page, base))(x)
 
 
 def breadcrumb(x: Column) -> Column:

@@ -93,7 +93,7 @@ def _read(text: str, at: int = 0, whole: bool = False):
 
 
 def _salvage(reply: str) -> str:
-    """The whole reply if it is JSON, else the object with a list of requirements, else the first object or array that can be read."""
+    """The whole reply if it is JSON, else the object with a list of requirements, else the object that begins at the first brace."""
     bare = re.sub(r"```[a-zA-Z]*", "", reply).strip()
     tidy = re.sub(r",\s*([}\]])", r"\1", bare)
     found = next((v for v in (_read(reply, whole=True), _read(bare, whole=True), _read(tidy, whole=True)) if v is not None), None)
@@ -102,7 +102,7 @@ def _salvage(reply: str) -> str:
         objects = (_read(tidy, at) for at in reversed(opened))
         found = next((v for v in objects if isinstance(v, dict) and "requirements" in v), None)
     if found is None:
-        found = next((v for m in re.finditer(r"[{\[]", tidy) if (v := _read(tidy, m.start())) is not None), None)
+        found = _read(tidy, tidy.index("{")) if "{" in tidy else None
     try:
         return NO_REQUIREMENTS if found is None else json.dumps(found, ensure_ascii=False)
     except RecursionError:

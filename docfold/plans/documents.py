@@ -162,23 +162,48 @@ def page_places(t: Tables) -> DataFrame:
     return t.supplier.select("s_suppkey", F.coalesce(markup.book_category(html), F.lit("none")).alias("book"), F.array_join(markup.breadcrumb(html), " > ").alias("trail"), markup.item_content(item).alias("item"))
 
 
-@query("L4 L5 L8", """SELECT s_suppkey, '<p>' || s_name || '</p><p>a ' || s_suppkey || '</p>' AS layout, true AS data_stays, '<table><tr><td>' || s_name || '</td><td>' || s_suppkey || '</td></tr></table>' AS made FROM supplier""")
-def layout_tables(t: Tables) -> DataFrame:
-    """Tables that lay out text become paragraphs and lose styles, data tables stay; and rows become a table."""
-    k, name = _str("s_suppkey"), F.col("s_name")
-    layout = F.concat(F.lit("<table style='x'><tr><td colspan=2>"), name, F.lit("</td></tr><tr><td>a</td><td>"), k, F.lit("</td></tr></table>"))
-    data = F.concat(F.lit("<table><tr><td>"), k, F.lit("</td><td>2</td></tr><tr><td>3</td><td>4</td></tr></table>"))
-    return t.supplier.select("s_suppkey", markup.layout_paragraphs(layout).alias("layout"), (markup.layout_paragraphs(data) == data).alias("data_stays"), markup.table_html(F.array(F.array(name, k))).alias("made"))
+_ARTICLE = """CASE s_suppkey % 6 WHEN 0 THEN '<div class="article-content"><p><strong>a.</strong> see <a href="https://regulator.example/x">rule ' || s_suppkey || '</a> now</p></div>'
+  WHEN 1 THEN '<div class="article-content"><p>' || s_name || '</p></div>' WHEN 2 THEN '<div class="article-content"><p style="margin-left: 20px;"><strong>b)</strong> ' || s_name || '</p></div>'
+  WHEN 3 THEN '<div class="article-content"><p><strong>7.</strong> ' || s_name || '</p></div>' WHEN 4 THEN '<table><tr><td>' || s_name || '</td><td>x</td></tr></table>' ELSE '<div class="article-content"><p>one</p><p><strong>2.</strong> ' || s_name || '</p></div>' END"""
+_CLEANED = """CASE s_suppkey % 4 WHEN 0 THEN '<div class="cleaned-content"><p><strong>1.</strong></p>' || chr(10) || '<p>' || s_name || '</p></div>' WHEN 1 THEN '<table width="1" class="data-table"><tr><td>' || s_name || '</td></tr></table>'
+  WHEN 2 THEN '<table class="data-table">' || repeat('<tr><td colspan="2">' || s_name || '</td></tr>', 21) || '</table>' ELSE '<ul><li>x</li></ul><div><p>' || s_name || '</p></div>' END"""
 
 
-@query("L6 L7", "SELECT s_suppkey, 2 AS n_pages, 'body of ' || s_name || ' that stays' AS body FROM supplier")
+@query("L4 L5 L8", f"""SELECT s_suppkey, {_ARTICLE} AS article, {_CLEANED} AS cleaned, '<table><tr><td>' || s_name || '</td><td>' || s_suppkey || '</td></tr></table>' AS made FROM supplier""")
+def layout_tables(t: Tables) -> DataFrame:
+    """Every kind of row and table: marks and links of two cells, cells that span, items of three cells, data; and rows that become a table."""
+    k, name = F.col("s_suppkey"), F.col("s_name")
+    c = lambda *parts: F.concat(*(F.lit(x) if isinstance(x, str) else x for x in parts))
+    row = (
+        F.when(k % 6 == 0, c("<tr><td><b> a.</b></td><td>see <br><a href='/x'><i>rule ", _str("s_suppkey"), "</i></a> <span>now</span></td></tr>"))
+        .when(k % 6 == 1, c("<tr><td colspan=2> <b>", name, "</b>&nbsp;</td><td>dropped</td></tr><tr><td>&nbsp;</td></tr>"))
+        .when(k % 6 == 2, c("<tr><td></td><td>b)</td><td>", name, "</td></tr><tr><td></td><td>no mark</td><td>dropped</td></tr>"))
+        .when(k % 6 == 3, c("<tr><td>7.</td><td>", name, "</td><td>dropped</td></tr>"))
+        .when(k % 6 == 4, c("<tr><td>", name, "</td><td>x</td></tr>"))
+        .otherwise(c("<tr><td>one</td></tr><tr><th>2.</th><td>", name, "</td></tr><tr><td>3.</td><td> </td></tr>"))
+    )
+    styled = (
+        F.when(k % 4 == 0, c("<table style='x'><tr><td colspan=2>1.</td></tr><tr><td> </td><td>", name, "</td></tr></table>"))
+        .when(k % 4 == 1, c("<table width=1><tr style='a'><td border=1 cellpadding=2 cellspacing=3>", name, "</td></tr></table>"))
+        .when(k % 4 == 2, c("<table>", F.repeat(c("<tr><td colspan=2>", name, "</td></tr>"), F.lit(21)), "</table>"))
+        .otherwise(c("<ul style='x'><li>x</li></ul><div><div><p>", name, "</p></div></div>"))
+    )
+    made = markup.table_html(F.array(F.array(name, _str("s_suppkey"))))
+    return t.supplier.select("s_suppkey", markup.article_tables(c("<table>", row, "</table>"), HOST).alias("article"), markup.clean_tables(styled).alias("cleaned"), made.alias("made"))
+
+
+@query("L6 L7", """SELECT s_suppkey, (s_suppkey % 8 NOT IN (0, 2, 4))::BIGINT + 1 AS n_pages, CASE WHEN s_suppkey % 2 = 0 THEN 'edge ' ELSE 'edge high low ' END || 'body of ' || s_name || ' that stays' ||
+  CASE s_suppkey % 8 WHEN 1 THEN ' more than ten characters' WHEN 5 THEN ' go' WHEN 7 THEN ' note' ELSE '' END AS body FROM supplier""")
 def trimmed_pages(t: Tables) -> DataFrame:
-    """What stands in the top and bottom of positioned pages goes, as do blank pages; a page with an image alone stays."""
-    page = lambda inner: F.concat(F.lit("<div class=page style='height:100pt'>"), inner, F.lit("</div>"))
-    at = lambda top, body: F.concat(F.lit(f"<p style='top:{top}pt'>"), body, F.lit("</p>"))
-    full = page(F.concat(at(2, F.lit("Head line of the page")), at(50, F.concat(F.lit("body of "), "s_name", F.lit(" that stays"))), at(98, F.lit("page 1 of 3"))))
-    html = markup.trimmed_pages(F.concat(full, page(F.lit("<p> </p>")), page(F.lit("<img src=x>"))))
-    return t.supplier.select("s_suppkey", F.size(F.regexp_extract_all(html, F.lit('class="page"'), F.lit(0))).alias("n_pages"), markup.page_text(html).alias("body"))
+    """Heads and feet of pages with a height in pixels go; pages that show nothing go; every way to show something is tried."""
+    k = F.col("s_suppkey")
+    c = lambda *parts: F.concat(*(F.lit(x) if isinstance(x, str) else x for x in parts))
+    at = lambda top, body: c(f"<span style='left:1px;top:{top}px'>", body, "</span> ")
+    height = F.when(k % 2 == 0, "height:200px").otherwise("height:200pt")
+    full = c("<div class='page' style='", height, "'>", at(30, "edge"), at(29, "high"), at(181, "low"), "<p style='top:0px'>", at(180, c("body of ", F.col("s_name"))), "that stays</p></div>")
+    other = F.get(F.array(*map(F.lit, ("ten chars.", "more than ten characters", "<img src=x>", "<img class=chart>", "<a href=/x><img class=dummyimg></a>", "<a href=/x>go</a>", "<textarea></textarea>", "<div class=annotation>note</div>"))), (k % 8).cast("int"))
+    html = markup.trimmed_pages(c(full, "<div class=page>", other, "</div>"))
+    return t.supplier.select("s_suppkey", F.size(F.regexp_extract_all(html, F.lit('class="page"'), F.lit(0))).cast("long").alias("n_pages"), markup.page_text(html).alias("body"))
 
 
 @query("I5 I7 I10 J8 U14 M8 K10 K11", r"""SELECT event_id, 'AU-' || event_id % 9 || '.1 Scope' AS title, 'my file ' || event_id AS file_title, CASE event_id % 3 WHEN 0 THEN event_id::VARCHAR WHEN 1 THEN 'A' || event_id || '/20' WHEN 2 THEN '4A' END AS reference,

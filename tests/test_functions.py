@@ -56,6 +56,7 @@ def test_json(spark):
     new = one(spark, structured.verdict, '{"match_status":"new","matched_id":7}', '{"match_status":"maybe","matched_id":7}', "junk", '{"match_status":"fully_matched","matched_id":7,"explanation":"e"}')
     assert [tuple(v) for v in new] == [("new", None, ""), ("new", None, "Parsing failed."), ("new", None, "Parsing failed."), ("fully_matched", 7, "e")]
     assert one(spark, structured.salvage_json, 'Sure: ```json\n{"a": [1, 2,],}\n``` bye', "nothing", None) == ['{"a": [1, 2]}', structured.NO_REQUIREMENTS, None]
+    assert one(spark, structured.salvage_json, 'See [1]: {"a": 1} and {"b": 2}', 'See {this} or {"a": 1}', "[1, 2]") == ['{"a": 1}', structured.NO_REQUIREMENTS, "[1, 2]"]
     assert one(spark, structured.salvage_json, 'Note {"a":1}. Answer: {"requirements":[{"t":"x"},]}', "[" * 50_000, '{"a":' * 50_000) == ['{"requirements": [{"t": "x"}]}', structured.NO_REQUIREMENTS, structured.NO_REQUIREMENTS]
     assert one(spark, structured.markdown, '{"report":"# A"}', "# B") == ["# A", "# B"]
     assert one(spark, lambda x: structured.path_with_title(F.array(F.lit("a"), x), F.lit("b")), "b", "c") == [["a", "b"], ["a", "c", "b"]]
@@ -94,9 +95,10 @@ def test_pdf_links(spark):
 
 
 def test_markup_rewrites(spark):
-    assert one(spark, markup.layout_paragraphs, '<table><tr><td colspan=2>a</td></tr><tr><td>b</td><td>c</td></tr></table>', "<table><tr><td>1</td><td>2</td></tr></table>") == ["<p>a</p><p>b c</p>", "<table><tr><td>1</td><td>2</td></tr></table>"]
+    assert one(spark, markup.clean_tables, '<table><tr><td colspan=2>a <b>b</b></td></tr><tr><td>1. x</td><td>c</td></tr></table>', "<table><tr><td>1</td></tr></table>") == ['<div class="cleaned-content"><p>ab</p>\n<p><strong>1. x</strong></p>\n<p>c</p></div>', '<table class="data-table"><tr><td>1</td></tr></table>']
+    assert one(spark, lambda x: markup.article_tables(x, "https://h"), '<table><tr><td>a.</td><td>see <a href="/x">rule</a></td></tr></table>') == ['<div class="article-content"><p><strong>a.</strong> see <a href="https://h/x">rule</a></p></div>']
     assert one(spark, markup.right_to_left, "<i>a</i><p>b</p><p>c</p>") == ['<i>a</i><p dir="rtl">b</p><p>c</p>']
-    page = '<div class="page" style="height:100pt"><p style="top:1pt">head</p><p style="top:50pt">body text that stays</p></div><div class="page"></div>'
+    page = '<div class="page" style="height:100px"><span style="top:12px">head</span><span style="top:50px">body text that stays</span></div><div class="page"><img src=x></div>'
     assert [("head" in x, "body" in x, x.count("page")) for x in one(spark, markup.trimmed_pages, page)] == [(False, True, 1)]
     assert one(spark, markup.item_content, "<ul><li><p>a</p> b<ul><li>c</li></ul></li></ul>") == ["a b\nc"]
     table = spark.range(1).select(markup.table_html(F.array(F.array(F.lit("a"), F.lit("b")))).alias("t")).first().t
