@@ -12,8 +12,8 @@ most frequent words those are sent to executors whose count lies in the highest
 their counts, pre-aggregated per document.  The vocabulary is read on the driver and sent along.
 
 Definitions.  A null or empty text has one token, its end.  A text of any length is scored whole.  Rows that repeat an id
-are scored one by one and alike; a row without id is trained on.  An empty table gives an empty result.  Vocabulary
-pieces of over ``LONGEST`` bytes, all runs of one symbol, are left out.
+are scored one by one and alike; a row without id is trained on.  An empty table gives an empty result.  Pieces of every
+length are in the lattice; the longest cost only the words that are as long.
 """
 
 from __future__ import annotations
@@ -33,7 +33,7 @@ from docfold.scratch import Scratch
 
 #: Where the vocabulary lies: a file of base64 pieces with ranks, one a line.
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
-LONGEST, FREQUENT, SMOOTH = 32, 150_000, 0.1
+FREQUENT, SMOOTH = 150_000, 0.1
 #: Words scored at once; bytes of text worked on at once; bytes of a word up to which words of one length are scored together.
 BLOCK, SLICE, SHORT = 1 << 14, 1 << 23, 64
 
@@ -54,10 +54,11 @@ class Lattice:
     """Forward recursion over the bytes of words; ``scores`` are log10 probabilities by rank of the piece."""
 
     def __init__(self, ranks: dict[bytes, int], scores: np.ndarray):
-        usable = [(p, scores[r]) for p, r in ranks.items() if len(p) <= LONGEST]
+        usable = [(p, scores[r]) for p, r in ranks.items()]
+        self.longest = max(len(p) for p, _ in usable)
         self.values = _table(51, 256)
         base = int(_table(52, 1)[0]) | 1
-        self.powers = np.full(LONGEST, base, np.uint64)
+        self.powers = np.full(self.longest, base, np.uint64)
         self.powers[0] = 1
         self.powers = np.multiply.accumulate(self.powers)
         keys = np.array([int((self.values[np.frombuffer(p, np.uint8)] * self.powers[: len(p)]).sum(dtype=np.uint64)) for p, _ in usable], np.uint64)
@@ -105,7 +106,7 @@ class Lattice:
         for lo in range(0, n, 1 << 16):
             hi = min(n, lo + (1 << 16))
             key, ends, sizes, scores = np.zeros(hi - lo, np.uint64), [], [], []
-            for length in range(1, LONGEST + 1):
+            for length in range(1, self.longest + 1):
                 key = key[: max(0, min(hi, n - length + 1) - lo)]
                 key = key + values[lo + length - 1 : lo + length - 1 + len(key)] * self.powers[length - 1]
                 if length in self.lengths:

@@ -77,7 +77,8 @@ c AS (SELECT f.*, m FROM f JOIN leaves USING (leaf)),
 tok AS (SELECT doc_id, pos, class, leaf, m, i, t[i] AS token FROM (SELECT *, unnest(range(lead + 1, n + 1)) AS i FROM c)),
 common AS (SELECT leaf, i, token FROM tok GROUP BY leaf, i, token, m HAVING count(DISTINCT class) >= {DOCUMENTS} AND {COMMON} * count(DISTINCT class) >= m),
 fixed AS (SELECT doc_id, pos, count(*) AS k, string_agg(i || ':' || token, ' ' ORDER BY i) AS x FROM tok JOIN common USING (leaf, i, token) GROUP BY 1, 2),
-k AS (SELECT doc_id, pos, class, leaf || '#' || coalesce(x, '') AS template FROM c LEFT JOIN fixed USING (doc_id, pos) WHERE 100 * (lead + coalesce(k, 0)) >= {FIXED} * n),
+k AS (SELECT doc_id, pos, class, leaf || '#' || coalesce(x, '') AS template FROM c LEFT JOIN fixed USING (doc_id, pos) WHERE 100 * (lead + coalesce(k, 0)) >= {FIXED} * n
+  UNION ALL SELECT doc_id, pos, class, leaf || '##' || array_to_string(t, ' ') FROM c),
 by_class AS (SELECT template, class, max(n) AS n FROM (SELECT template, class, doc_id, count(*) AS n FROM k GROUP BY 1, 2, 3) GROUP BY 1, 2),
 r AS (SELECT template FROM by_class GROUP BY 1 HAVING count(*) >= {DOCUMENTS} AND {SHARE} * count(*) >= sum(n)),
 g AS (SELECT DISTINCT doc_id, pos FROM k SEMI JOIN r USING (template)),

@@ -4,7 +4,8 @@ Method.  A line with words goes down a tree of fixed depth: its number of words,
 three words two), where a word with a digit is a variable and reads ``<*>``.  Within a leaf a word is constant if it stands at its
 place in at least ``DOCUMENTS`` documents and in one of ``COMMON`` of the leaf's documents at least; any other is a
 variable field, wherever it stands and whatever stands beside it.  The constants in their places are the line's template, if they
-are at least ``FIXED`` hundredths of its words: lines that share less have no template.
+are at least ``FIXED`` hundredths of its words: lines that share less have no template of the leaf.  Beside it every line has one
+template of its own, in which all its words are constant: so a line that recurs as it stands goes however many others share its leaf.
 
 A template recurs if at least ``DOCUMENTS`` different documents hold it, and in one of ``SHARE`` of its lines at least,
 where a class of copies counts the lines of the one that holds most: what a document says again and again is its own.  Documents
@@ -114,9 +115,10 @@ def dropped_lines(docs: DataFrame, scratch: Scratch, key: Column, text_col: str
     constant = (F.col("c") >= DOCUMENTS) & (COMMON * F.col("c") >= F.col("m"))
     common = scratch.write(seen.join(leaves.hint("merge"), "leaf").where(constant).groupBy("leaf").agg(F.collect_set("token").alias("common")), "common")
     fixed = F.array_intersect(rest, F.coalesce("common", F.array().cast("array<bigint>")))
-    held = cand.join(common.hint("merge"), "leaf", "left").select("doc", "class", "rows", "pos", "leaf", _lead(n).alias("lead"), n.alias("n"), fixed.alias("fixed"))
-    held = held.where(100 * (F.col("lead") + F.size("fixed")) >= FIXED * F.col("n"))
-    held = scratch.write(held.select("doc", "class", "rows", "pos", F.xxhash64("leaf", "fixed").alias("template")), "held")
+    held = cand.join(common.hint("merge"), "leaf", "left").select("doc", "class", "rows", "pos", "leaf", _lead(n).alias("lead"), n.alias("n"), fixed.alias("fixed"), rest.alias("rest"))
+    of_leaf = F.when(100 * (F.col("lead") + F.size("fixed")) >= FIXED * F.col("n"), F.xxhash64("leaf", "fixed"))
+    whole = F.when(F.size("fixed") < F.size("rest"), F.xxhash64("leaf", "rest", F.lit("whole")))
+    held = scratch.write(held.select("doc", "class", "rows", "pos", F.explode(F.array_compact(F.array(of_leaf, whole))).alias("template")), "held")
     by_doc = held.groupBy("template", "class", "doc", "rows").agg((F.count("*") / F.col("rows")).alias("n"))
     by_class = by_doc.groupBy("template", "class").agg(F.max("n").alias("n"))
     recurring = by_class.groupBy("template").agg(F.count("*").alias("docs"), F.sum("n").alias("n")).where(f"docs >= {DOCUMENTS} and {SHARE} * docs >= n")

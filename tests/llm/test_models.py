@@ -89,7 +89,7 @@ def test_scores(spark):
         for p in cutter.encode_ordinary(" " + w):
             pieces[p] += c
     below = sum(pieces.values()) + ends + 0.1 * (len(ranks) + 1)
-    score = {p: math.log10((pieces[r] + 0.1) / below) for p, r in ranks.items() if len(p) <= lattice.LONGEST}
+    score = {p: math.log10((pieces[r] + 0.1) / below) for p, r in ranks.items()}
 
     def marginal(word):
         b, a = (" " + word).encode(), [1.0]
@@ -107,6 +107,22 @@ def test_scores(spark):
     assert lattice.score_texts(df.limit(0)).count() == 0
 
 
+def test_long_pieces():
+    """Pieces of up to 128 bytes are in the lattice: runs of one symbol have the probability of all their segmentations."""
+    ranks = lattice.load_ranks(lattice.VOCABULARY)
+    scores = np.log10(np.random.default_rng(3).random(max(ranks.values()) + 1) * 1e-3)
+    model = lattice.Lattice(ranks, scores)
+    assert model.longest == max(map(len, ranks)) > 64 and any(len(p) == 64 for p in ranks)
+    for piece in [p for p in ranks if len(p) >= 32]:
+        for word in (piece, b" " + piece + piece[:7], piece * 2):
+            a = [1.0]
+            for j in range(1, len(word) + 1):
+                a.append(sum(a[i] * 10 ** scores[ranks[word[i:j]]] for i in range(max(0, j - 128), j) if word[i:j] in ranks))
+            rows = np.frombuffer(word, np.uint8)
+            for got in (model.score(rows[None])[0], model.score_long(rows)):
+                assert abs(got - math.log10(a[-1])) < 1e-9 * max(1, -math.log10(a[-1]))
+
+
 def test_long_words():
     """One walk or a table: the same probability; a word of a megabyte takes seconds."""
     ranks = lattice.load_ranks(lattice.VOCABULARY)

@@ -83,6 +83,20 @@ def test_constants_grow_with_the_leaf(spark):
     assert [got[1000 + i] for i in range(10)] == [1] * 10  # five blue coats, and five of any other colour
 
 
+def test_crowded_leaves(spark):
+    """Thirty lines of one leaf, each in eight documents, all go, and documents that crowd the leaf further bring none of them back."""
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    word = lambda i: letters[i // 26] + letters[i % 26]
+    line = lambda k: f"All our pages {word(k)}x {word(k + 7)}y {word(k + 3)}z"
+    rows = [(8 * k + j, f"{own_line(8 * k + j)}\n{line(k)}") for k in range(30) for j in range(8)]
+    crowd = [(1000 + i, f"{own_line(300 + i)}\nAll our pages {word(i)}u {word(i)}v {word(i)}w") for i in range(300)]
+    for extra in ([], crowd):
+        got = templates.without_templates(spark.createDataFrame(rows + extra, "doc_id long, text string")).where("doc_id < 1000")
+        assert [r.n_dropped for r in got.collect()] == [1] * 240
+        left = templates.without_templates(spark.createDataFrame(rows + extra, "doc_id long, text string")).where("doc_id >= 1000 and n_dropped > 0")
+        assert left.count() == 0
+
+
 def test_templates_of_blocks(spark):
     letters = "abcdefghijklmnopqrst"
     own = lambda i, n: " ".join(f"{x}{letters[i]}" for x in letters[:n])
