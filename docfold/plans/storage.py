@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -11,7 +13,7 @@ from docfold.plans.changes import AT
 from docfold.plans.relational import STAMP, stamp
 from docfold.plans.workflows import PROVIDER, _sentences
 from docfold.scratch import Scratch
-from docfold.sources import stored
+from docfold.sources import stored, uploads
 from docfold.sources.tables import Tables
 
 HOST = "https://regulator.example"
@@ -85,3 +87,38 @@ def incremental_days(t: Tables) -> DataFrame:
     root = Scratch(t.spark, "days").path("events")
     stored.write_days(t.events.select("event_id", "ts"), root, "ts")
     return stored.since_mark(t.spark, root, "event_id long, ts timestamp_ntz").select("event_id", stamp("ts").alias("ts"))
+
+
+def _write_uploads(root: str):
+    """Writes a file for each row (filename, kind, text) and gives its name: DOCX, one that is cut off, or plain text."""
+
+    def write(batches):
+        system, folder = fs.FileSystem.from_uri(root)
+        system.create_dir(folder, recursive=True)
+        for batch in batches:
+            for name, kind, text in zip(*(batch[c].to_pylist() for c in ("filename", "kind", "text")), strict=True):
+                content = uploads.docx_bytes(text.split("\n")) if kind != "txt" else text.encode()
+                with system.open_output_stream(f"{folder}/{name}") as f:
+                    f.write(content[: len(content) // 2] if kind == "cut" else content)
+            yield pa.RecordBatch.from_arrays([batch["filename"]], ["filename"])
+
+    return write
+
+
+_PLAIN = r"regexp_replace(coalesce(text, ''), '[\x00-\x09\x0B-\x1F]', ' ', 'g')"
+_ROWS = f"(SELECT doc_id, 'file_' || doc_id || CASE doc_id % 4 WHEN 2 THEN '.txt' WHEN 3 THEN '.bin' ELSE '.DOCX' END AS filename, doc_id % 4 AS kind, {_PLAIN} AS t FROM documents)"
+
+
+@query("A16 O12", f"""SELECT filename, CASE WHEN kind = 3 THEN 'unsupported' WHEN kind = 1 THEN 'failed' ELSE 'read' END AS status, kind = 1 AS has_error,
+  CASE kind WHEN 0 THEN md5(array_to_string(list_filter(string_split(t, chr(10)), lambda x: trim(x) <> ''), chr(10) || chr(10))) WHEN 2 THEN md5(t) END AS content_md5 FROM {_ROWS}""")
+def uploaded_files(t: Tables) -> DataFrame:
+    """Files of several kinds, some of them damaged, read as a data source."""
+    k = F.col("doc_id")
+    kind = F.get(F.array(*map(F.lit, ("docx", "cut", "txt", "txt"))), (k % 4).cast("int"))
+    ending = F.get(F.array(*map(F.lit, (".DOCX", ".DOCX", ".txt", ".bin"))), (k % 4).cast("int"))
+    rows = t.documents.select(F.concat(F.lit("file_"), k.cast("string"), ending).alias("filename"), kind.alias("kind"), F.regexp_replace(F.coalesce("text", F.lit("")), r"[\x00-\x09\x0B-\x1F]", " ").alias("text"))
+    root = Scratch(t.spark, "uploads").path("files")
+    rows.mapInArrow(_write_uploads(root), "filename string").write.format("noop").mode("overwrite").save()
+    uploads.register(t.spark)
+    found = t.spark.read.format("uploads").load(root)
+    return found.select("filename", "status", F.col("error").isNotNull().alias("has_error"), F.md5("content_text").alias("content_md5"))
