@@ -4,7 +4,8 @@ A page is cut into flat blocks of text at block-level tags.  A block is describe
 of words inside links), the same of its neighbours, where it stands (inside an article, inside something that is no
 article, a form, or neither) and whether it is a heading.  A decision tree, trained on the small labelled table below, tells
 main text from the rest.  What is plainly set apart (a menu, a reader's comment, a hidden element) may read like an article,
-so there the place decides; everywhere else words and link densities of the block and its neighbours do.
+so there the place decides; everywhere else words and link densities of the block and its neighbours do.  A class, a role or a container's id sets a
+block apart only if the whole name is made of such words: names of what a text is about, and ids of headings and sections, do not.
 
 Definitions.  A null or empty page has the empty text.  Character references are decoded, white space inside a block is
 one space, blocks are joined in page order by an empty line, and nothing is dropped or capped beside what is classified.
@@ -48,6 +49,17 @@ MARKS = set(
     "related replies reply respond search searchbox searchform share sharebar sharing side sidebar sidebars signup skip skiplink social sponsor sponsored sponsors subscribe subscription "
     "tagcloud tags teaser teasers toc toolbar topbar trending widget widgets".split()
 )
+# Words that only say what kind of a box a mark is on; a name of nothing but marks and these is furniture, any other is about something.
+BOXES = set(
+    "area bar block body bottom box btn button buttons col container content count form head heading icon icons inner item items js left link links list main outer page panel "
+    "post posts right row section site slot story text thread title top unit wrap wrapper".split()
+)
+#: Marks that may be what an article is about: within one, a long text under them that is not mostly links is judged as
+#: if it stood nowhere, by its words and its neighbours, and the rest stays apart.
+MILD = set("copyright search share sharing side social".split())
+DOUBTFUL, LONG = 2, 20
+#: Elements whose id is a mark; that of others, such as headings and sections, is a slug of what they say.
+NAMED = set("div ol span table ul".split())
 
 #: words before, words, words after, link density before, own, after, place (-2 apart, -1 form, 0 neither, 1 article), heading, main text?
 LABELLED = [
@@ -290,8 +302,8 @@ _TOKEN = re.compile(
     re.S | re.I,
 )
 _RAW_END = {name: re.compile(rf"</{name}(?=[\s/>])[^>]*>", re.I) for name in RAW}
-_ATTR = re.compile(r"([a-z-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
-_NAMES = re.compile(r"[^a-z0-9]+")
+_ATTR = re.compile(r"([^\s=>\"'/]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
+_PARTS = re.compile(r"[^a-z0-9]+|(?<=[a-z])(?=[0-9])")
 _CLOSED_BY = {"p": BLOCKS, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "tbody", "tfoot", "thead"}, "td": {"td", "th", "tr"}, "th": {"td", "th", "tr"}, "option": {"option", "optgroup"}}
 
 
@@ -301,27 +313,35 @@ def _place(name: str, attrs: str, inside: int) -> int:
         return -2
     if name == "form":
         inside = -1 if inside == 0 else inside
-    marks = []
-    if attrs:
-        for key, *values in _ATTR.findall(attrs):
-            key, value = key.lower(), next((v for v in values if v), "").lower()
-            if key in ("class", "id", "role"):
-                marks += _NAMES.split(value)
-            elif (key == "aria-hidden" and value == "true") or (key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value)):
-                return -2
-            elif key == "itemprop" and value == "articlebody":
-                return 1
-        if re.search(r"(?:^|\s)hidden(?:\s|$|=)", attrs, re.I):
+    marks: set[str] = set()
+    for key, *values in _ATTR.findall(attrs) if attrs else ():
+        key, value = key.lower(), next((v for v in values if v), "").lower()
+        if key in ("class", "role") or key == "id" and name in NAMED:
+            marks |= _marks(value)
+        elif key == "id" and name == "section":
+            marks |= _marks(value) & {"comment", "comments"}
+        elif key == "hidden" or (key == "aria-hidden" and value == "true") or (key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value)):
             return -2
+        elif key == "itemprop" and value == "articlebody":
+            return 1
     if name in MAIN:
         # An article within comments or a list of teasers stays apart only by its own marks.
-        return -2 if any(m in ("comment", "comments", "teaser", "related") for m in marks) else 1
-    for m in marks:
-        if m in MARKS and not (m == "header" and inside == 1):
-            return -2
-        if m == "main":
-            inside = max(inside, 1)
-    return inside
+        return -2 if marks & {"comment", "comments", "teaser", "related"} else 1
+    if marks & MARKS - (MILD | {"header"} if inside == 1 else set()):
+        return -2
+    if inside == 1 and marks & MILD:
+        return DOUBTFUL
+    return max(inside, 1) if "main" in marks else inside
+
+
+def _marks(value: str) -> set[str]:
+    """The marks in the names of an attribute: of each name that has none but marks, words for boxes and numbers."""
+    out: set[str] = set()
+    for token in value.split():
+        parts = [x for x in _PARTS.split(token) if x]
+        if all(x in MARKS or x in BOXES or x.isdigit() for x in parts):
+            out.update(parts)
+    return out
 
 
 class _Open:
@@ -386,8 +406,11 @@ def blocks(page: str) -> list[tuple[str, int, int, int, int]]:
             text = " ".join("".join(t for t, _ in parts).split())
             if text:
                 n = len(text.split())
-                linked = len("".join(t if a else " " for t, a in parts).split())
-                out.append((text, n, min(100, 100 * linked // n), stack.places[-1] if stack.places else 0, int(stack.any(HEADINGS))))
+                links = min(100, 100 * len("".join(t if a else " " for t, a in parts).split()) // n)
+                place = stack.places[-1] if stack.places else 0
+                if place == DOUBTFUL:
+                    place = 0 if n >= LONG and links < 50 else -2
+                out.append((text, n, links, place, int(stack.any(HEADINGS))))
             parts.clear()
 
     def close(name: str) -> None:

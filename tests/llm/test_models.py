@@ -107,6 +107,24 @@ def test_scores(spark):
     assert lattice.score_texts(df.limit(0)).count() == 0
 
 
+def test_names_of_what_a_text_is_about():
+    """Ids and classes that tell the subject of a heading, section or paragraph drop nothing, nor do words in other attributes."""
+    tree, long = extraction.train(), " ".join(f"word{i}" for i in range(70))
+    for inner in (
+        '<h2 id="related-work">Related work</h2>', '<h2 id="search-and-side-effects">Search and side effects</h2>', f'<section id="discussion"><h2>Discussion</h2><p>{long}</p></section>', f'<p id="footer-design">{long}</p>',
+        f'<section id="advertising-in-the-19th-century"><p>{long}</p></section>', f'<div class="social history"><p>{long}</p></div>', f'<div class="copyright-law"><p>{long}</p></div>', f'<p class="share-of-income">{long}</p>',
+        f'<p title="The hidden cost of war">{long}</p>', f'<section aria-label="a hidden gem"><p>{long}</p></section>', f'<div class="comment-on-the-war">{long}</div>', f'<div data-x="hidden" class="share"><p>{long}</p></div>',
+    ):
+        got = extraction.main_text(f"<article><p>{long} a</p>{inner}<p>{long} z</p></article>", tree)
+        body = extraction.re.sub("<[^>]*>", " ", inner).split()
+        assert got.split() == [*long.split(), "a", *body, *long.split(), "z"], inner
+    for inner in (
+        f'<div class="comment-list"><p>{long}</p></div>', f'<div id="comments"><p>{long}</p></div>', f'<div class="ad-slot-2"><p>{long}</p></div>', f'<p hidden>{long}</p>', f'<p hidden="until-found" title="x">{long}</p>', f'<div class="x cookie-notice">{long}</div>',
+        f'<div role="complementary">{long}</div>', '<div class="share"><a href=x>Share</a> <a href=y>this</a></div>', '<div class="social-links">Follow us</div>', "<div class=copyright>All rights reserved</div>",
+    ):
+        assert extraction.main_text(f"<article><p>{long} a</p>{inner}<p>{long} z</p></article>", tree) == f"{long} a\n\n{long} z", inner
+
+
 def test_long_pieces():
     """Pieces of up to 128 bytes are in the lattice: runs of one symbol have the probability of all their segmentations."""
     ranks = lattice.load_ranks(lattice.VOCABULARY)
