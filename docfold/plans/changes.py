@@ -44,7 +44,7 @@ def active_versions(t: Tables) -> DataFrame:
     return V.latest_active(V.next_versions(changed, _versions(t), AT)).select("regulation_id", "version_no", "content_hash")
 
 
-@query("B6 B17", "SELECT doc_id, CASE WHEN source = 'src1' AND lang = 'en' THEN 'inactive' WHEN lang = 'en' THEN 'active' ELSE 'draft' END AS status FROM documents")
+@query("B6", "SELECT doc_id, CASE WHEN source = 'src1' AND lang = 'en' THEN 'inactive' WHEN lang = 'en' THEN 'active' ELSE 'draft' END AS status FROM documents")
 def deactivate_versions(t: Tables) -> DataFrame:
     rows = t.documents.select("doc_id", "source", F.when(F.col("lang") == "en", "active").otherwise("draft").alias("status"))
     return M.set_status(rows, F.col("source") == "src1", "active", "inactive").select("doc_id", "status")
@@ -62,7 +62,7 @@ def patch_update(t: Tables) -> DataFrame:
     return M.patch(t.documents.select("doc_id", "lang", "source"), changes, "doc_id")
 
 
-@query("B12 B13 P3", """SELECT c_custkey, c_name, 'PENDING' AS status FROM customer WHERE c_mktsegment = 'BUILDING' UNION ALL SELECT c_custkey, c_name, 'DONE' FROM customer WHERE c_mktsegment <> 'BUILDING'
+@query("B12 B13", """SELECT c_custkey, c_name, 'PENDING' AS status FROM customer WHERE c_mktsegment = 'BUILDING' UNION ALL SELECT c_custkey, c_name, 'DONE' FROM customer WHERE c_mktsegment <> 'BUILDING'
   UNION ALL SELECT -1 - s_suppkey, s_name, 'PENDING' FROM supplier""")
 def merge_upsert(t: Tables) -> DataFrame:
     base = t.customer.select("c_custkey", "c_name", F.lit("DONE").alias("status"))
@@ -121,7 +121,7 @@ def dedup_normalized(t: Tables) -> DataFrame:
     return first_by(keyed, ["h"], F.col("doc_id"))
 
 
-@query("B18 Q6", "SELECT user_id, count(*) AS n, count(*) FILTER (value < 50) AS errors, max(event_id) AS last_id FROM events GROUP BY 1")
+@query("Q6", "SELECT user_id, count(*) AS n, count(*) FILTER (value < 50) AS errors, max(event_id) AS last_id FROM events GROUP BY 1")
 def processing_log(t: Tables) -> DataFrame:
     return t.events.groupBy("user_id").agg(F.count("*").alias("n"), F.count_if(F.col("value") < 50).alias("errors"), F.max("event_id").alias("last_id"))
 
@@ -165,7 +165,7 @@ def translate_records(t: Tables) -> DataFrame:
   SELECT event_type AS source, x[2] AS job_id, x[1] < now - INTERVAL 6 HOUR AS missed FROM d, n""")
 def due_jobs(t: Tables) -> DataFrame:
     """The next job of each source that is due and not running, and whether it comes too late."""
-    now = t.events.agg((F.max("ts").cast("timestamp") - F.expr("INTERVAL 12 HOURS")).alias("now")).first()["now"]
+    now = t.events.agg((F.max("ts").cast("timestamp") - F.expr("INTERVAL 12 HOURS")).alias("now"))
     schedule = t.events.select(F.col("event_type").alias("source"), F.col("event_id").alias("job_id"), F.col("ts").cast("timestamp").alias("run_at"), F.when(F.col("value") < 50, "DONE").otherwise("PENDING").alias("status"))
     running = t.events.agg(F.min("event_type").alias("source"))
-    return jobs.due_jobs(schedule, running, F.lit(now).cast("timestamp")).select("source", "job_id", "missed")
+    return jobs.due_jobs(schedule.join(F.broadcast(now)), running, F.col("now")).select("source", "job_id", "missed")  # one row

@@ -82,7 +82,7 @@ def category_tables(t: Tables) -> DataFrame:
     return docs.select("category", "title", "document_url", "published_date", "year")
 
 
-@query("A9 L12 U11 G7", f"""SELECT s_suppkey, CASE WHEN s_suppkey % 4 <> 0 THEN 'N-' || s_suppkey END AS reference_no, CASE WHEN s_suppkey % 4 <> 0 THEN '1447/07/09' END AS date_hijri, CASE WHEN s_suppkey % 4 <> 0 THEN 'In-Force' END AS status,
+@query("A9 L12 U11", f"""SELECT s_suppkey, CASE WHEN s_suppkey % 4 <> 0 THEN 'N-' || s_suppkey END AS reference_no, CASE WHEN s_suppkey % 4 <> 0 THEN '1447/07/09' END AS date_hijri, CASE WHEN s_suppkey % 4 <> 0 THEN 'In-Force' END AS status,
   CASE s_suppkey % 4 WHEN 1 THEN '/a' || s_suppkey || '.pdf' WHEN 2 THEN '/d' || s_suppkey WHEN 3 THEN 'b' || s_suppkey || '.pdf' END AS pdf FROM supplier""")
 def listing_with_details(t: Tables) -> DataFrame:
     """A listing joined to its detail pages: info table, and the pdf by the first pattern that is there."""
@@ -97,7 +97,7 @@ def listing_with_details(t: Tables) -> DataFrame:
     return found.select("s_suppkey", "info.reference_no", "info.date_hijri", "info.status", "pdf")
 
 
-@query("A10 L13", f"""SELECT '{HOST}/' || c_nationkey || '#s' || c_custkey AS document_url, 's' || c_custkey AS section, md5('Appendix ' || c_custkey || ' text of ' || c_name) AS content_hash FROM customer WHERE c_custkey % 5 <> 0""")
+@query("A10", f"""SELECT '{HOST}/' || c_nationkey || '#s' || c_custkey AS document_url, 's' || c_custkey AS section, md5('Appendix ' || c_custkey || ' text of ' || c_name) AS content_hash FROM customer WHERE c_custkey % 5 <> 0""")
 def section_documents(t: Tables) -> DataFrame:
     """One page with many sections, each from its anchor on; empty ones go."""
     k = _str("c_custkey")
@@ -111,7 +111,7 @@ def section_documents(t: Tables) -> DataFrame:
 _NAV = "(SELECT page_id, url, unnest(regexp_extract_all(regexp_extract(html, '(?s)<nav>(.*?)</nav>', 1), '<li><a href=\"[^\"]*\">([^<]*)</a></li>', 1)) AS title, unnest(regexp_extract_all(regexp_extract(html, '(?s)<nav>(.*?)</nav>', 1), '<li><a href=\"([^\"]*)\">[^<]*</a></li>', 1)) AS href FROM pages)"
 
 
-@query("A13 A14 U5 U8 A19", f"SELECT '{HOST}' || href AS document_url, min(url) AS source_page_url, 3 AS depth FROM {_NAV} WHERE href <> '' GROUP BY 1")
+@query("A14 U5 U8", f"SELECT '{HOST}' || href AS document_url, min(url) AS source_page_url, 3 AS depth FROM {_NAV} WHERE href <> '' GROUP BY 1")
 def menu_documents(t: Tables) -> DataFrame:
     """Leaves of the menus of all pages, each address once."""
     docs = pages.tree_documents(t.pages.select("url", "html"), "R", "Menu", HOST)
@@ -280,7 +280,7 @@ def page_spans(t: Tables) -> DataFrame:
     return layout.line_paragraphs(linked, ["page"]).join(counts, ["page", "line_no"]).select("page", "line_no", "n_spans", F.md5("html").alias("h"))
 
 
-@query("M9 M10 M11 U15 U21", """SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN 'recognised' ELSE 'text' END AS by, CASE WHEN doc_id % 4 = 0 THEN 'service' WHEN doc_id % 4 = 1 THEN 'digital' WHEN doc_id % 4 = 2 THEN 'scan' END AS engine,
+@query("M9 M10 M11", """SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN 'recognised' ELSE 'text' END AS by, CASE WHEN doc_id % 4 = 0 THEN 'service' WHEN doc_id % 4 = 1 THEN 'digital' WHEN doc_id % 4 = 2 THEN 'scan' END AS engine,
   CASE doc_id % 4 WHEN 0 THEN 'a' WHEN 1 THEN 'b' WHEN 2 THEN 'c' END AS html FROM documents""")
 def conversions(t: Tables) -> DataFrame:
     """Pages that could not be read get what was recognised; of several converters the first with a result counts."""
@@ -415,3 +415,14 @@ def recognised_blocks(t: Tables) -> DataFrame:
     blocks = layout.word_blocks(words, ["page"])
     kinds = blocks.groupBy("page").agg(F.count_if(F.col("block_type") == "heading").alias("n_headings"), F.count_if(F.col("block_type") == "list_item").alias("n_items"))
     return layout.blocks_html(blocks, ["page"]).join(kinds, "page").select("page", "n_blocks", "n_headings", "n_items", F.md5("html").alias("h"))
+
+
+@query("L13", f"""SELECT '{HOST}/' || s_nationkey AS url, 'Part ' || s_suppkey AS title, CASE WHEN s_suppkey % 4 = 0 THEN '' ELSE s_name || ' item ' || s_suppkey END AS text,
+  md5(CASE WHEN s_suppkey % 4 = 0 THEN 'Part ' || s_suppkey ELSE s_name || ' item ' || s_suppkey END) AS hash FROM supplier""")
+def accordion_sections(t: Tables) -> DataFrame:
+    """Sections of accordions: each heading with what follows it, and a hash of that, or of the heading where nothing does."""
+    k = _str("s_suppkey")
+    body = F.when(F.col("s_suppkey") % 4 != 0, F.concat(F.lit("<div><p>"), F.col("s_name"), F.lit("</p><ul><li>item "), k, F.lit("</li></ul></div>"))).otherwise("<p> </p>")
+    part = F.concat(F.when(F.col("s_suppkey") % 2 == 0, "<h3>").otherwise("<button>"), F.lit("Part "), k, F.when(F.col("s_suppkey") % 2 == 0, "</h3>").otherwise("</button>"), body)
+    html = _page(t.supplier.select("s_nationkey", "s_suppkey", part.alias("part")), "s_nationkey", ["s_suppkey"], "part", "<p>before</p>")
+    return markup.parsed(html, "accordion").select("url", "title", "text", "hash")

@@ -138,7 +138,7 @@ def apply_matches(t: Tables) -> DataFrame:
 _SHINGLED = r"(SELECT DISTINCT {keys}, list_slice(w, i, i + 2) AS g FROM (SELECT {keys}, w, unnest(range(1, CASE WHEN len(w) = 0 THEN 1 ELSE greatest(len(w) - 1, 2) END)) AS i FROM (SELECT {keys}, list_filter(regexp_split_to_array(lower({text}), '[^\p{{L}}\p{{N}}]+'), lambda x: x <> '') AS w FROM {table})))"
 
 
-@query("O7 D18 E13 M4", f"""WITH u AS (SELECT doc_id AS upload_id, doc_id % 10 AS reg, text, CASE WHEN length(text) < 50 THEN 'refused' WHEN length(text) > 2000 THEN 'chunked' ELSE 'single' END AS mode FROM documents WHERE text IS NOT NULL),
+@query("O7 D18 E13", f"""WITH u AS (SELECT doc_id AS upload_id, doc_id % 10 AS reg, text, CASE WHEN length(text) < 50 THEN 'refused' WHEN length(text) > 2000 THEN 'chunked' ELSE 'single' END AS mode FROM documents WHERE text IS NOT NULL),
   c AS (SELECT upload_id, reg, k + 1 AS chunk_num, substr(text, k * 2000 + 1, 2000) AS t FROM (SELECT *, unnest(range(0, greatest(ceil(length(text) / 2000.0), 1)::BIGINT)) AS k FROM u WHERE mode <> 'refused')),
   b AS (SELECT item_id, item_id % 10 AS reg, text FROM benchmark),
   bs AS (SELECT *, count(*) OVER (PARTITION BY item_id) AS n_items FROM {_SHINGLED.format(keys="item_id, reg", text="text", table="b")}),

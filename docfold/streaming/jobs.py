@@ -85,8 +85,8 @@ def current_status(log: DataFrame, keys: list[str], expected: DataFrame) -> Data
 def due_jobs(schedule: DataFrame, running: DataFrame, now: Column, grace: str = "INTERVAL 6 HOURS") -> DataFrame:
     """The earliest pending job of each source that is due, unless the source runs already; ``missed`` if it is later than the grace."""
     due = schedule.where((F.col("status") == "PENDING") & (F.col("run_at") <= now)).join(running.select("source").distinct(), "source", "left_anti")
-    first = due.groupBy("source").agg(F.min(F.struct("run_at", "job_id")).alias("x")).select("source", "x.job_id", "x.run_at")
-    return first.withColumn("missed", F.col("run_at") < now - F.expr(grace))
+    late = F.col("run_at") < now - F.expr(grace)
+    return due.groupBy("source").agg(F.min(F.struct("run_at", "job_id", late.alias("missed"))).alias("x")).select("source", "x.job_id", "x.run_at", "x.missed")
 
 
 def stale_runs(log: DataFrame, now: Column, beat: str = "INTERVAL 15 MINUTES") -> DataFrame:
