@@ -90,14 +90,16 @@ def chunked_requirements(docs: DataFrame, provider: Provider, most: int = chunki
     return first.select("regulation_id", "x.source_chunk", "x.requirement_text")
 
 
-def apply_matches(verdicts: DataFrame, linked: DataFrame, items: DataFrame, last_requirement: int, last_item: int) -> dict[str, DataFrame]:
+def apply_matches(verdicts: DataFrame, linked: DataFrame, items: DataFrame, last_requirement: int, last_item: int, store: Callable[[DataFrame, str], DataFrame] = lambda df, _: df) -> dict[str, DataFrame]:
     """What matching changes, as tables to append and ids to flag.
 
     ``verdicts`` has regulation_id, position, requirement_text, match_status, matched_id and explanation; ``items``, the controls
     (or indicators) judged for them, regulation_id, position, title, description, requirement_id (null if its requirement is new), match_status
     and matched_id; ``linked`` the pairs requirement_id, item_id there are.  New requirements get keys after ``last_requirement``; a new item
-    without requirement hangs on the first new requirement of its document.
+    without requirement hangs on the first new requirement of its document.  ``store`` writes a table under a name and reads it again, so that
+    tables made of one another are made once.
     """
+    verdicts, items = store(verdicts, "judged"), store(items, "judged_items")
     mappings = verdicts.select("regulation_id", "requirement_text", F.when(F.col("match_status") != "new", F.col("matched_id")).alias("matched_requirement_id"), "match_status", "explanation")
     flagged = verdicts.where("match_status = 'partially_matched' and matched_id is not null").select(F.col("matched_id").alias("requirement_id")).distinct()
     number = F.row_number().over(Window.partitionBy("regulation_id").orderBy("position")) - 1
@@ -105,7 +107,7 @@ def apply_matches(verdicts: DataFrame, linked: DataFrame, items: DataFrame, last
     ref = F.concat(F.lit("AUTO-"), F.col("regulation_id").cast("string"), F.lit("-"), F.col("n").cast("string"))
     title = text.truncated(F.col("requirement_text"), 100)
     made = fresh.select("regulation_id", "n", title.alias("title"), F.col("requirement_text").alias("description"), ref.alias("ref_key"), F.concat(F.lit("REG-"), F.col("regulation_id").cast("string")).alias("ref_no"), F.lit(1).alias("is_suggested"))
-    requirements = with_keys(made, "requirement_id", last_requirement, F.col("regulation_id"), F.col("n"))
+    requirements = store(with_keys(made, "requirement_id", last_requirement, F.col("regulation_id"), F.col("n")), "requirements")
     heads = requirements.where("n = 0").select("regulation_id", F.col("requirement_id").alias("first_new"))
 
     known = items.where("match_status <> 'new' and requirement_id is not null").select("regulation_id", "requirement_id", F.col("matched_id").alias("item_id"), "match_status")
@@ -113,7 +115,7 @@ def apply_matches(verdicts: DataFrame, linked: DataFrame, items: DataFrame, last
     links = known.join(new_links(known, linked, pair), pair, "left_semi").groupBy(*pair).agg(F.min(F.struct("regulation_id", "match_status")).alias("x")).select(*pair, "x.*")
     suggested = items.where("match_status = 'new'").select("regulation_id", "position", "title", "description", "requirement_id")
     placed = suggested.join(heads, "regulation_id", "left").withColumn("requirement_id", F.coalesce("requirement_id", "first_new")).drop("first_new")
-    added = with_keys(placed, "item_id", last_item, F.col("regulation_id"), F.col("position"))
+    added = store(with_keys(placed, "item_id", last_item, F.col("regulation_id"), F.col("position")), "items")
     new = added.where("requirement_id is not null").select("regulation_id", "requirement_id", "item_id", F.lit("new").alias("match_status"))
     return {"mappings": mappings, "flagged": flagged, "requirements": requirements.drop("n"), "items": added.drop("requirement_id", "position"), "links": links.select(new.columns).unionByName(new)}
 

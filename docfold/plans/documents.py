@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from docfold.functions import dates, markup, structured, text
 from docfold.operators import chunking, layout
 from docfold.plans.catalog import query
+from docfold.scratch import Scratch
 from docfold.sources import files, frontier, pages
 from docfold.sources.tables import Tables
 
@@ -426,3 +427,27 @@ def accordion_sections(t: Tables) -> DataFrame:
     part = F.concat(F.when(F.col("s_suppkey") % 2 == 0, "<h3>").otherwise("<button>"), F.lit("Part "), k, F.when(F.col("s_suppkey") % 2 == 0, "</h3>").otherwise("</button>"), body)
     html = _page(t.supplier.select("s_nationkey", "s_suppkey", part.alias("part")), "s_nationkey", ["s_suppkey"], "part", "<p>before</p>")
     return markup.parsed(html, "accordion").select("url", "title", "text", "hash")
+
+
+@query("A15 A5", """SELECT kind AS source, CASE kind WHEN 'broken' THEN 'FAILED' ELSE 'DONE' END AS status, CASE kind WHEN 'notices' THEN (SELECT count(*) FROM customer WHERE c_custkey % 3 <> 0) WHEN 'lists' THEN (SELECT count(*) FROM supplier) ELSE 0 END AS n
+  FROM (VALUES ('notices'), ('lists'), ('broken')) AS k(kind)""")
+def isolated_sources(t: Tables) -> DataFrame:
+    """Sources run together: notification rows without a date go, and one source that fails takes no other with it."""
+    k = _str("c_custkey")
+    date = F.when(F.col("c_custkey") % 3 != 0, "12/01/2020").otherwise(" ")
+    row = F.concat(F.lit("<tr><td>N-"), k, F.lit("</td><td>"), date, F.lit("</td><td><a href='/n"), k, F.lit(".pdf'>"), F.col("c_name"), F.lit("</a></td></tr>"))
+    rows = t.customer.select("c_nationkey", F.col("c_custkey").alias("at"), row.alias("row"))
+    html = _page(rows, "c_nationkey", ["at"], "row", "<table><tr><td>Year 2020</td></tr>", "</table>")
+    items = t.supplier.select("s_nationkey", "s_suppkey", F.concat(F.lit("<li><a href='/c"), _str("s_suppkey"), F.lit(".htm'>"), F.col("s_name"), F.lit("</a></li>")).alias("item"))
+    lists = _page(items, "s_nationkey", ["s_suppkey"], "item", "<ul>", "</ul>")
+
+    def broken() -> DataFrame:
+        raise RuntimeError("site is down")
+
+    sources = {
+        "notices": lambda: pages.valid(pages.circulars(html, "R", ("Notifications",), HOST), ("reference_no", "published_date", "document_url")),
+        "lists": lambda: pages.list_circulars(lists, "R", ("Circulars",), HOST, F.lit("2020")),
+        "broken": broken,
+    }
+    docs, runs = pages.isolated(t.spark, sources, Scratch(t.spark, "sources").path("documents"))
+    return runs.join(docs.groupBy("source").agg(F.count("*").alias("n")), "source", "left").select("source", "status", F.coalesce("n", F.lit(0)).cast("long").alias("n"))

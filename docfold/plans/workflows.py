@@ -114,7 +114,7 @@ def apply_matches(t: Tables) -> DataFrame:
         F.when(F.col("s") != "new", F.col("m")).alias("requirement_id"), "match_status", F.col("part").alias("matched_id"),
     )
     linked = lines.where("line = 1").select(F.col("m").alias("requirement_id"), F.col("part").alias("item_id")).distinct()
-    out = W.apply_matches(verdicts, linked, items, 1_000_000, 5_000_000)
+    out = W.apply_matches(verdicts, linked, items, 1_000_000, 5_000_000, Scratch(t.spark, "matches").write)
     text = lambda c: F.col(c).cast("string")
     named = out["requirements"].select("requirement_id", "ref_key")
     links = out["links"].join(named, "requirement_id", "left").select("regulation_id", F.coalesce("ref_key", text("requirement_id")).alias("a"), F.col("match_status").alias("b"))

@@ -6,6 +6,7 @@ Pages come as tables of (url, html); fetching them is no part of this.  Every so
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -181,18 +182,21 @@ def section_links(pages: DataFrame, regulator: str, category: str, base: str, se
     return as_documents(once, regulator, "SECTION-LINKS", category=F.lit(category), document_url=F.col("link"), source_page_url=F.col("page"), content_hash=F.md5("title"), doc_path=F.array(F.lit(regulator), F.lit(category), F.col("title")))
 
 
-def isolated(spark: SparkSession, sources: dict[str, Callable[[], DataFrame]], path: str) -> tuple[DataFrame, DataFrame]:
-    """(documents, runs): each source is written below ``path`` by itself, so one that fails takes no other with it.
+def isolated(spark: SparkSession, sources: dict[str, Callable[[], DataFrame]], path: str, together: int = 4) -> tuple[DataFrame, DataFrame]:
+    """(documents, runs): each source is written below ``path`` by itself, some at a time, so one that fails takes no other with it.
 
     ``runs`` has source, status (DONE or FAILED) and error.
     """
-    runs = []
-    for name, make in sources.items():
+
+    def one(name: str) -> tuple[str, str, str | None]:
         try:
-            make().select([f.name for f in DOCUMENT.fields]).write.mode("overwrite").parquet(f"{path}/source={name}")
-            runs.append((name, "DONE", None))
+            sources[name]().select([f.name for f in DOCUMENT.fields]).write.mode("overwrite").parquet(f"{path}/source={name}")
+            return name, "DONE", None
         except Exception as e:  # noqa: BLE001 - whatever a source does, the others go on
-            runs.append((name, "FAILED", str(e).splitlines()[0][:500] if str(e) else type(e).__name__))
+            return name, "FAILED", str(e).splitlines()[0][:500] if str(e) else type(e).__name__
+
+    with ThreadPoolExecutor(together) as pool:
+        runs = list(pool.map(one, sources))
     done = [f"{path}/source={name}" for name, status, _ in runs if status == "DONE"]
     docs = spark.read.schema(DOCUMENT).option("basePath", path).parquet(*done) if done else spark.createDataFrame([], DOCUMENT)
     return docs, spark.createDataFrame(runs, "source string, status string, error string")
