@@ -67,7 +67,7 @@ def _sketch(text: Column) -> Column:
     shingle = lambda h: lambda i: F.xxhash64(*(F.get(h, i + j) for j in range(SHINGLE)))
     every = lambda h: F.transform(F.sequence(F.lit(0), F.greatest(F.size(h) - SHINGLE, F.lit(0))), shingle(h))
     hashes = let(F.transform(words(text), lambda w: F.xxhash64(w)), lambda h: F.when(F.size(h) < SHINGLE, F.array(F.xxhash64(h))).otherwise(every(h)))
-    return F.slice(F.array_sort(F.array_distinct(hashes)), 1, SKETCH)
+    return F.slice(F.sort_array(F.array_distinct(hashes)), 1, SKETCH)
 
 
 def _classes(docs: DataFrame, scratch: Scratch, key: Column, text_col: str) -> DataFrame:
@@ -82,7 +82,7 @@ def _classes(docs: DataFrame, scratch: Scratch, key: Column, text_col: str) -> D
     met = bands.groupBy("band").agg(F.min("doc").alias("v"), F.count("*").alias("n")).where("n > 1")
     pairs = bands.join(met.hint("merge"), "band").where("doc <> v").select(F.col("doc").alias("u"), "v").distinct()
     side = lambda name: first.select(F.col("doc").alias(name), F.col("sketch").alias(f"{name}_sketch")).hint("merge")
-    least = F.slice(F.array_sort(F.array_union("u_sketch", "v_sketch")), 1, SKETCH)
+    least = F.slice(F.sort_array(F.array_union("u_sketch", "v_sketch")), 1, SKETCH)
     alike = let(least, lambda x: 100 * F.size(F.array_intersect(F.array_intersect("u_sketch", "v_sketch"), x)) >= ALIKE * F.size(x))
     links = pairs.join(side("u"), "u").join(side("v"), "v").where(alike).select("u", "v")
     near = components(links, scratch).select(F.col("id").alias("class"), "component")
