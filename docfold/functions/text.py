@@ -208,6 +208,12 @@ def language_code(name: str | None) -> str:
     return code
 
 
+def language_param(x: Column) -> Column:
+    """A language parameter as a column: ``en`` if none is given, null if it is not supported."""
+    code = F.lower(F.trim(F.when(F.length(x) > 0, x).otherwise("en")))
+    return F.when(code.isin(*LANGUAGES), code)
+
+
 def csv_ids(x: Column) -> Column:
     """The whole numbers in a comma-separated list."""
     return F.filter(F.transform(F.split(x, ","), lambda v: F.trim(v).try_cast("long")), lambda v: v.isNotNull())

@@ -367,3 +367,11 @@ def learned_languages(t: Tables) -> DataFrame:
     docs = t.documents.select("doc_id", "text", "lang")
     model = language.learned(docs.where("doc_id % 4 <> 0"))
     return language.detected(docs, model, "doc_id").select("doc_id", (F.col("doc_id") % 4 == 0).alias("held_out"), "detected")
+
+
+@query("U1", "SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN 'en' WHEN lang IN ('en', 'ar') THEN lang END AS code FROM documents")
+def language_params(t: Tables) -> DataFrame:
+    """Language parameters in any case, with blanks, empty or missing."""
+    k = F.col("doc_id") % 6
+    given = F.when(k == 0, "").when(k == 3, F.lit(None)).when(k < 3, F.concat(F.lit(" "), F.upper("lang"), F.lit(" "))).otherwise(F.col("lang"))
+    return t.documents.select("doc_id", text.language_param(given).alias("code"))
