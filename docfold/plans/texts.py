@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from docfold.functions import dates, markup, structured, text
 from docfold.operators import chunking, language
 from docfold.plans.catalog import query
+from docfold.scratch import Scratch
 from docfold.sources.tables import Tables
 
 HOST = "https://regulator.example"
@@ -365,7 +366,8 @@ _ARABIC = r"length(regexp_replace(regexp_replace(left(text, 500), '\s', '', 'g')
 def learned_languages(t: Tables) -> DataFrame:
     """Languages by trigrams learned from three quarters of the labelled documents."""
     docs = t.documents.select("doc_id", "text", "lang")
-    model = language.learned(docs.where("doc_id % 4 <> 0"))
+    store = Scratch(t.spark, "learned-languages").write
+    model = store(language.learned(docs.where("doc_id % 4 <> 0"), store=store), "model")
     return language.detected(docs, model, "doc_id").select("doc_id", (F.col("doc_id") % 4 == 0).alias("held_out"), "detected")
 
 

@@ -48,3 +48,16 @@ def test_nested_trees(spark):
         at, depth = at["children"][0], depth + 1
     assert depth == 200 and at["id"] == "n199"
     assert trees.nested_json(nodes.limit(0), "id", "parent_id", "title").count() == 0
+
+
+def test_language_weights_sent_or_joined(spark):
+    """No exchange is dealt by the trigrams of texts while all weights are sent; with few or none sent the others are joined, with the same outcome."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text", "lang")
+    odd = spark.createDataFrame([(-1, "𝒜𝒷c 𝒜𝒷c xyz 𝒜𝒷c xyz " * 3, "xx"), (-2, "𝒜𝒷c and more of that " * 2, None)], docs.schema)
+    texts = docs.unionByName(odd).localCheckpoint()
+    model = language.learned(texts.where("doc_id % 4 <> 0")).localCheckpoint()
+    of = lambda **k: sorted(map(tuple, language.detected(texts, model, "doc_id", **k).collect()))
+    assert of() == of(sent=100) == of(sent=0) and dict(r[:2] for r in of())[-1] == "xx"
+    assert "hashpartitioning(gram" not in language.detected(texts, model, "doc_id")._jdf.queryExecution().executedPlan().toString()
+    n = {r.gram: r.weight for r in model.where("lang = 'xx'").collect()}
+    assert {"𝒜𝒷c", "c x", "z 𝒜"} <= set(n) and n["xyz"] < n["𝒜𝒷c"]
