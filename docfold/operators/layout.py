@@ -53,12 +53,15 @@ def overlaps(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
 def linked_spans(spans: DataFrame, links: DataFrame, keys: list[str]) -> DataFrame:
     """``uri`` of the first link of the page whose rectangle overlaps that of a span, else an address in its text.
 
-    Both have x0, y0, x1, y1 and the page's ``keys``; ``links`` has link_no and uri, ``spans`` a span_no.
+    Both have x0, y0, x1, y1 and the page's ``keys``; ``links`` has link_no and uri, ``spans`` a span_no.  Equal rectangles of a page meet once: of links
+    only the first of each rectangle can count, and all spans of one rectangle have the same.
     """
-    met = overlaps(spans.select(*keys, "span_no", "x0", "y0", "x1", "y1"), links.select(*keys, "link_no", "uri", "x0", "y0", "x1", "y1"), keys)
-    hit = met.groupBy(*keys, F.col("l_span_no").alias("span_no")).agg(F.min_by("r_uri", "r_link_no").alias("uri"))
+    rect = [*keys, "x0", "y0", "x1", "y1"]
+    firsts = links.where("link_no is not null").groupBy(*rect).agg(F.min_by("uri", "link_no").alias("uri"), F.min("link_no").alias("link_no"))
+    met = overlaps(spans.select(*rect).distinct(), firsts, keys)
+    hit = met.groupBy(*(F.col(c if c in keys else f"l_{c}").alias(c) for c in rect)).agg(F.min_by("r_uri", "r_link_no").alias("uri"))
     own = F.nullif(F.regexp_extract("text", ADDRESS, 0), F.lit(""))
-    return spans.join(hit, [*keys, "span_no"], "left").withColumn("uri", F.coalesce("uri", own))
+    return spans.join(hit, rect, "left").withColumn("uri", F.coalesce("uri", own))
 
 
 def escaped(x: Column) -> Column:

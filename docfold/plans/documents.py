@@ -277,7 +277,7 @@ def page_spans(t: Tables) -> DataFrame:
     p = F.col("p_partkey")
     links = t.part.select(p.alias("link_no"), (p % 40).alias("page"), F.col("p_size").alias("x0"), (p % 50).alias("y0"), (F.col("p_size") + 6).alias("x1"), (p % 50 + 2).alias("y1"), F.concat(F.lit("u"), _str("p_partkey")).alias("uri"))
     linked = layout.linked_spans(spans, links, ["page"])
-    counts = linked.where(F.length(F.trim("text")) > 0).groupBy("page", "line_no").agg(F.count("*").alias("n_spans"))
+    counts = spans.where(F.length(F.trim("text")) > 0).groupBy("page", "line_no").agg(F.count("*").alias("n_spans"))
     return layout.line_paragraphs(linked, ["page"]).join(counts, ["page", "line_no"]).select("page", "line_no", "n_spans", F.md5("html").alias("h"))
 
 

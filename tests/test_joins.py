@@ -70,3 +70,14 @@ def test_a_page_of_100000_spans(spark):
     spans = spark.range(n).select(F.lit(1).alias("page"), F.col("id").alias("span_no"), x.alias("x0"), y.alias("y0"), (x + 18).alias("x1"), (y + 10).alias("y1"), F.lit("t").alias("text"))
     links = spark.range(n).select(F.lit(1).alias("page"), F.col("id").alias("link_no"), F.col("id").cast("string").alias("uri"), (x + 1).alias("x0"), (y + 1).alias("y0"), (x + 5).alias("x1"), (y + 5).alias("y1"))
     assert layout.linked_spans(spans, links, ["page"]).where("uri = cast(span_no as string)").count() == n
+
+
+def test_equal_rectangles_meet_once(spark, monkeypatch):
+    """3,000 spans and 3,000 links of a few rectangles meet as those few; the first link counts, spans without a rectangle have none."""
+    seen, meet = [], layout.overlaps
+    monkeypatch.setattr(layout, "overlaps", lambda a, b, keys: seen.append((a.count(), b.count())) or meet(a, b, keys))
+    spans = spark.range(3000).selectExpr("1 AS page", "id AS span_no", "'t' AS text", "double(id % 3 * 100) AS x0", "0D AS y0", "CASE WHEN id > 5 THEN double(id % 3 * 100 + 10) END AS x1", "10D AS y1")
+    links = spark.range(3000).selectExpr("1 AS page", "2999 - id AS link_no", "concat('u', 2999 - id) AS uri", "double(id % 2 * 100) AS x0", "0D AS y0", "double(id % 2 * 100 + 10) AS x1", "10D AS y1")
+    got = {(r.span_no % 3 if r.span_no > 5 else -1, r.uri) for r in layout.linked_spans(spans, links, ["page"]).collect()}
+    assert got == {(-1, None), (0, "u1"), (1, "u0"), (2, None)}
+    assert seen[0][0] <= 6 and seen[0][1] == 2
