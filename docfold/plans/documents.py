@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docfold.functions import dates, markup, structured, text
@@ -17,10 +17,20 @@ from docfold.sources.tables import Tables
 HOST = "https://regulator.example"
 
 
-def _page(rows: DataFrame, key: str, order: list[str], body: str, before: str = "", after: str = "") -> DataFrame:
-    """A page (url, html) for each key of the HTML column ``body`` in order."""
-    parts = F.transform(F.sort_array(F.collect_list(F.struct(*order, body))), lambda x: x[body])
-    return rows.groupBy(key).agg(F.concat(F.lit(before), F.array_join(parts, ""), F.lit(after)).alias("html")).select(F.concat(F.lit(HOST + "/"), F.col(key).cast("string")).alias("url"), "html")
+#: Keys of the table in one part of a page.
+PART = 5_000
+
+
+def _part(key: str) -> Column:
+    return F.floor(F.col(key) / PART)
+
+
+def _page(rows: DataFrame, key: str, order: list[str], body: str, before: str = "", after: str = "", part: Column | None = None) -> DataFrame:
+    """A page (url, part, html) for each key of the HTML column ``body`` in order, in parts so that none grows with the table."""
+    entries = F.transform(F.sort_array(F.collect_list(F.struct(*order, body))), lambda x: x[body])
+    html = F.concat(F.lit(before), F.array_join(entries, ""), F.lit(after))
+    of = rows.groupBy(key, (_part(order[-1]) if part is None else part).alias("part")).agg(html.alias("html"))
+    return of.select(F.concat(F.lit(HOST + "/"), F.col(key).cast("string")).alias("url"), "part", "html")
 
 
 def _str(c: str):
@@ -39,9 +49,9 @@ def circular_documents(t: Tables) -> DataFrame:
     annex = link(F.concat(F.lit("annex"), k), F.lit("Annexure A"))
     both = F.when(F.col("c_custkey") % 5 == 0, F.concat(annex, main)).otherwise(F.concat(main, annex))
     cells = F.concat(F.lit("<tr><td>BPRD "), k, F.lit("</td><td>12/01/"), year, F.lit("</td><td>"), both, link(F.concat(F.lit("urdu/"), k), F.lit("Urdu")), F.lit("<a href='/x'>no file</a></td></tr>"))
-    rows = t.customer.select("c_nationkey", year.alias("y"), F.col("c_custkey").alias("at"), cells.alias("row"))
-    heads = rows.select("c_nationkey", "y").distinct().select("c_nationkey", "y", F.lit(-1).cast("long").alias("at"), F.concat(F.lit("<tr><td colspan=3>Year "), "y", F.lit("</td></tr><tr><td>Copyright</td><td>x</td></tr>")).alias("row"))
-    html = _page(rows.unionByName(heads), "c_nationkey", ["y", "at"], "row", "<table><tr><th>No</th><th>Date</th></tr>", "</table>")
+    rows = t.customer.select("c_nationkey", year.alias("y"), (year.cast("long") * (1 << 40) + F.floor(F.col("c_custkey") / (4 * PART))).alias("part"), F.col("c_custkey").alias("at"), cells.alias("row"))
+    heads = rows.select("c_nationkey", "y", "part").distinct().select("c_nationkey", "y", "part", F.lit(-1).cast("long").alias("at"), F.concat(F.lit("<tr><td colspan=3>Year "), "y", F.lit("</td></tr><tr><td>Copyright</td><td>x</td></tr>")).alias("row"))
+    html = _page(rows.unionByName(heads), "c_nationkey", ["y", "at"], "row", "<table><tr><th>No</th><th>Date</th></tr>", "</table>", F.col("part"))
     docs = pages.circulars(html, "R", ("Circulars",), HOST)
     return docs.select("source_page_url", "reference_no", "published_date", "year", "title", "document_url", "category", F.size("extra_meta.annexures").alias("n_annexures"), F.col("extra_meta.urdu_url").alias("urdu_url"), F.size("doc_path").alias("depth"))
 
@@ -123,11 +133,11 @@ def menu_documents(t: Tables) -> DataFrame:
   UNION ALL SELECT '{HOST}/n' || n_nationkey, 'R > Book > ' || n_name, 'F' FROM nation WHERE n_nationkey < 20 AND n_nationkey IN (SELECT c_nationkey FROM customer)""")
 def section_tree(t: Tables) -> DataFrame:
     """Nested lists with folders and leaves, up to a stop marker."""
-    leaf = t.customer.select("c_nationkey", "c_custkey", F.concat(F.lit("<li><a href='/c"), _str("c_custkey"), F.lit("'>"), F.col("c_name"), F.lit("</a></li>")).alias("x"))
-    inner = leaf.groupBy("c_nationkey").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("c_custkey", "x"))), lambda v: v["x"]), "").alias("x"))
+    leaf = t.customer.select("c_nationkey", _part("c_custkey").alias("p"), "c_custkey", F.concat(F.lit("<li><a href='/c"), _str("c_custkey"), F.lit("'>"), F.col("c_name"), F.lit("</a></li>")).alias("x"))
+    inner = leaf.groupBy("c_nationkey", "p").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("c_custkey", "x"))), lambda v: v["x"]), "").alias("x"))
     node = F.concat(F.when(F.col("n_nationkey") == 20, "<li><a href='/end'>The end</a></li>").otherwise(""), F.lit("<li><a href='/n"), _str("n_nationkey"), F.lit("'>"), F.col("n_name"), F.lit("</a><ul>"), F.col("x"), F.lit("</ul></li>"))
-    rows = t.nation.join(inner, F.col("n_nationkey") == F.col("c_nationkey")).select(F.lit(1).alias("one"), "n_nationkey", node.alias("node"))
-    docs = pages.tree_documents(_page(rows, "one", ["n_nationkey"], "node", "<div><ul>", "</ul></div>"), "R", "Book", HOST, leaves_only=False, stop="The end")
+    rows = inner.join(F.broadcast(t.nation), F.col("n_nationkey") == F.col("c_nationkey")).select(F.lit(1).alias("one"), (F.col("n_nationkey").cast("long") * (1 << 40) + F.col("p")).alias("part"), node.alias("node"))
+    docs = pages.tree_documents(_page(rows, "one", ["part"], "node", "<div><ul>", "</ul></div>", F.col("part")), "R", "Book", HOST, leaves_only=False, stop="The end")
     return docs.select("document_url", F.array_join("doc_path", " > ").alias("path"), "type")
 
 
@@ -136,7 +146,7 @@ def year_links(t: Tables) -> DataFrame:
     """Year folders found on a page, the latest first."""
     y = F.year("o_orderdate").cast("string")
     years = t.orders.select(y.alias("y")).distinct().select(F.lit(1).alias("one"), "y", F.concat(F.lit("<a class=x href='/y"), "y", F.lit("'><b>Year "), "y", F.lit("</b></a> <a href='/none'>none</a><a href='/y"), "y", F.lit("'>"), "y", F.lit("</a>")).alias("a"))
-    found = pages.year_links(_page(years, "one", ["y"], "a"), HOST)
+    found = pages.year_links(_page(years, "one", ["y"], "a", part=F.lit(0)), HOST)
     return found.select(F.col("year").cast("long").alias("year"), "link", F.col("rank").cast("long").alias("rank"))
 
 
@@ -302,7 +312,7 @@ def section_links(t: Tables) -> DataFrame:
     title = F.when(F.col("s_suppkey") % 2 == 0, "").otherwise(F.col("s_name"))
     item = F.concat(F.lit("<a href='/f"), k, F.lit(".pdf'>"), title, F.lit("</a><a href='/f"), k, F.lit(".pdf'>again</a><a href='/page'>page</a>"))
     rows = t.supplier.select("s_nationkey", "s_suppkey", item.alias("item"))
-    files_ = rows.groupBy("s_nationkey").agg(F.concat(F.lit("<div class='accordion-item'><h3>Part "), _str("s_nationkey"), F.lit("</h3>"), F.array_join(F.array_sort(F.collect_list("item")), ""), F.lit("</div>")).alias("html"))
+    files_ = rows.groupBy("s_nationkey", _part("s_suppkey")).agg(F.concat(F.lit("<div class='accordion-item'><h3>Part "), _str("s_nationkey"), F.lit("</h3>"), F.array_join(F.array_sort(F.collect_list("item")), ""), F.lit("</div>")).alias("html"))
     files_ = files_.select(F.lit(HOST).alias("url"), "html")
     named = F.concat(F.lit("<a href='#top'>top</a><a href='/c"), k, F.lit(".pdf'>"), F.col("s_name"), F.lit("</a>"))
     law = _page(t.supplier.select("s_nationkey", "s_suppkey", named.alias("x")), "s_nationkey", ["s_suppkey"], "x", "<div id='eofi'><a href='/e'>E</a></div><section id='aml'>", "</section>")

@@ -1,6 +1,8 @@
 """Documents out of pages: listings, lists, trees, anchored sections and detail pages, all to one record.
 
 Pages come as tables of (url, html); fetching them is no part of this.  Every source gives the columns of ``DOCUMENT``.
+A listing or tree that is too long for one row comes as rows of (url, part, html), each a page that stands by itself: its entries are whole, and heads and folders
+that they stand under are in it again.  Parts go in the order of ``part``.
 """
 
 from __future__ import annotations
@@ -46,14 +48,19 @@ def first_rows(docs: DataFrame, n: int | None, *order: Column) -> DataFrame:
     return docs if n is None else docs.orderBy(*order).limit(n)
 
 
+def in_parts(pages: DataFrame) -> DataFrame:
+    """Pages with ``part``, 0 where they come in one row."""
+    return pages if "part" in pages.columns else pages.withColumn("part", F.lit(0).cast("long"))
+
+
 def listing_rows(pages: DataFrame, default_year: Column | None = None) -> DataFrame:
-    """Rows of listing tables under year heads: url, table_no, row_no, year, cells and links; heads, trash and rows before any year go."""
-    rows = markup.parsed(pages, "table_rows")
+    """Rows of listing tables under year heads: url, part, table_no, row_no, year, cells and links; heads, trash and rows before any year go."""
+    rows = markup.parsed(in_parts(pages), "table_rows", keep=("url", "part"))
     whole = F.array_join("cells", " ")
     trash = reduce(lambda a, b: a | b, (F.contains(F.lower(whole), F.lit(t)) for t in TRASH))
     found = F.nullif(F.regexp_extract(whole, YEAR, 0), F.lit(""))
     head = (F.size("cells") == 1) & found.isNotNull()
-    year = carry_forward(found, head, ["url"], F.col("pos"))
+    year = carry_forward(found, head, ["url", "part"], F.col("pos"))
     year = F.coalesce(year, default_year) if default_year is not None else year
     return rows.withColumn("year", year).where(~trash & ~head & ~F.col("header") & F.col("year").isNotNull() & (F.size("cells") >= 2))
 
@@ -63,9 +70,9 @@ def circulars(pages: DataFrame, regulator: str, path: tuple[str, ...], base: str
 
     The title and address are those of the first link that is in the main language, or of the very first if it is no annexure.
     """
-    one = listing_rows(pages, default_year).select("url", "year", "pos", F.get("cells", F.lit(0)).alias("reference_no"), F.get("cells", F.lit(1)).alias("published_date"), F.posexplode("links").alias("at", "link"))
+    one = listing_rows(pages, default_year).select("url", "year", "part", "pos", F.get("cells", F.lit(0)).alias("reference_no"), F.get("cells", F.lit(1)).alias("published_date"), F.posexplode("links").alias("at", "link"))
     link = text.absolute_link(F.col("link.url"), F.lit(base))
-    rows = one.select("url", "year", "reference_no", "published_date", F.struct("pos", "at").alias("place"), text.clean(F.col("link.title")).alias("title"), link.alias("link"))
+    rows = one.select("url", "year", "reference_no", "published_date", F.struct("part", "pos", "at").alias("place"), text.clean(F.col("link.title")).alias("title"), link.alias("link"))
     rows = rows.where(F.lower(text.url_extension(F.col("link"))).isin(*DOC_EXTENSIONS))
     low = F.lower(F.col("title"))
     local = low.contains("urdu") | low.contains("(u)") | F.lower("link").contains("/urdu/")
@@ -138,12 +145,13 @@ def section_documents(pages: DataFrame, regulator: str, category: str) -> DataFr
 
 def tree_documents(pages: DataFrame, regulator: str, category: str, base: str, leaves_only: bool = True, stop: str | None = None) -> DataFrame:
     """Documents of nested lists: folders and leaves with their paths, each address once, up to an entry named ``stop``."""
-    rows = markup.parsed(pages, "list_tree").where(F.col("href") != "")
+    rows = markup.parsed(in_parts(pages), "list_tree", keep=("url", "part")).where(F.col("href") != "")
     if stop:
-        ends = rows.where(F.element_at("path", -1) == stop).groupBy("url").agg(F.min("pos").alias("__end"))
-        rows = rows.join(ends, "url", "left").where("__end is null or pos < __end")
+        place = F.struct("part", "pos")
+        ends = rows.where(F.element_at("path", -1) == stop).groupBy("url").agg(F.min(place).alias("__end"))
+        rows = rows.join(ends, "url", "left").where(F.col("__end").isNull() | (place < F.col("__end")))
     link = text.absolute_link(F.col("href"), F.lit(base))
-    once = rows.withColumn("link", link).groupBy("link").agg(F.min(F.struct("url", "pos", "path", "row_type", "depth")).alias("x")).select("link", "x.*")
+    once = rows.withColumn("link", link).groupBy("link").agg(F.min(F.struct("url", "part", "pos", "path", "row_type", "depth")).alias("x")).select("link", "x.*")
     once = once.where("row_type = 'R'") if leaves_only else once
     return as_documents(once, regulator, "TREE", category=F.lit(category), title=F.element_at("path", -1), document_url=F.col("link"), source_page_url=F.col("url"), type=F.col("row_type"), doc_path=F.concat(F.array(F.lit(regulator), F.lit(category)), F.col("path")))
 
