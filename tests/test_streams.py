@@ -110,3 +110,26 @@ def test_late_beats(spark, folder, tmp_path):
         out = keyed.run_outcomes(folder("beats", new, BEAT), late="1 minute")
         out.writeStream.format("parquet").option("path", path).option("checkpointLocation", check).trigger(availableNow=True).start().awaitTermination()
     assert sorted((x.run, x.beats, x.status) for x in spark.read.parquet(path).collect()) == [(1, 1, "FAILED"), (2, 2, "DONE")]
+
+
+def test_versions_take_rows_not_frames():
+    """Keys are told from rows: a frame a key costs more than all else.  The last seen decides, of several the smallest text; late rows change nothing."""
+    import datetime
+
+    from pyspark.sql import Row
+
+    from docfold.streaming.keyed import Versions
+
+    class Value:
+        kept = None
+        get = lambda self: self.kept
+
+        def update(self, x):
+            self.kept = x
+
+    day = lambda n: datetime.datetime(2024, 1, n)
+    v = Versions()
+    v.active = Value()
+    v.handleInitialState((1,), Row(version_no=2, content_hash="h", created_at=day(1)), None)
+    told = lambda *rows: [(r.version_no, r.content_text) for r in v.handleInputRows((1,), iter([Row(text=t, seen=day(d)) for t, d in rows]), None)]
+    assert told(("a", 2), ("c", 3), ("b", 3)) == [(3, "b")] and told(("b", 4)) == [] and told(("x", 3)) == [] and told(("y", 5)) == [(4, "y")]
