@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Rows that a task nests, sorts and counts at once.
+ROWS_A_TASK = 250_000
+
 
 class Tables:
     """Parquet tables of one folder; reading is lazy, so columns and filters reach the scan."""
@@ -24,6 +27,11 @@ class Tables:
         """The table as a stream of its files; the braces make a pattern of the name, as a stream takes no single file."""
         return self.spark.readStream.schema(self(name).schema).parquet(f"{self.path}/{{{name}}}.parquet")
 
+    def parts(self, *names: str) -> int:
+        """Partitions for the rows of these tables, so many that what a task holds stays the same as they grow; a count reads no columns."""
+        rows = sum(self(name).count() for name in names)
+        return max(self.spark.sparkContext.defaultParallelism, -(-rows // ROWS_A_TASK))
+
     def requirements(self) -> DataFrame:
         """Orders as requirements: criticality from priority, empty where the priority says nothing."""
         level = F.when(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH"), "High").when(F.col("o_orderpriority") == "3-MEDIUM", "Medium").when(F.col("o_orderpriority") == "5-LOW", "Low")
