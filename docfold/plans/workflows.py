@@ -223,8 +223,9 @@ def backfill_version(t: Tables) -> DataFrame:
   SELECT l_orderkey AS requirement_id, l_linenumber AS line, l_partkey AS part, 'Contrôle ' || supp AS control_title, false AS has_internal, count(*) AS n FROM lineitem LEFT JOIN c USING (l_orderkey, l_linenumber) GROUP BY ALL""")
 def struct_merge(t: Tables) -> DataFrame:
     """Each obligation of a nested row gets the control of its number from a map, loses an internal field, and goes through JSON."""
-    nested = t.obligations().groupBy("requirement_id").agg(F.collect_list(F.struct("line", "part", F.lit("x").alias("internal"))).alias("obligations"))
-    last = t.obligations().where("supp % 3 <> 0").groupBy("requirement_id", "line").agg(F.max("supp").alias("supp"))
+    dealt = t.obligations().select("requirement_id", "line", "part", "supp").repartition(t.parts("lineitem"), "requirement_id")
+    nested = dealt.groupBy("requirement_id").agg(F.collect_list(F.struct("line", "part", F.lit("x").alias("internal"))).alias("obligations"))
+    last = dealt.where("supp % 3 <> 0").groupBy("requirement_id", "line").agg(F.max("supp").alias("supp"))
     named = F.struct("line", F.struct(F.concat(F.lit("Contrôle "), F.col("supp").cast("string")).alias("control_title")).alias("control"))
     maps = last.groupBy("requirement_id").agg(F.map_from_entries(F.collect_list(named)).alias("controls"))
     both = nested.join(maps, "requirement_id", "left")
