@@ -140,7 +140,8 @@ def full_mapping(t: Tables) -> DataFrame:
 def full_analysis(t: Tables) -> DataFrame:
     """Per document: its requirements with their obligations matched, rolled up to the worst status and the highest criticality."""
     controls = t.part.select(F.col("p_partkey").alias("part"), "p_brand")
-    per = t.obligations().join(controls, "part", "left").groupBy("requirement_id").agg(
+    named = t.obligations().join(controls, "part", "left").select("requirement_id", "match_status", "p_brand")
+    per = named.repartition(t.parts("orders", "lineitem"), "requirement_id").groupBy("requirement_id").agg(
         F.count("*").alias("n"), *R.counts_of(F.col("match_status"), ("fully_matched", "partially_matched", "new")), F.countDistinct("p_brand").alias("controls"), R.worst_status(F.col("match_status")).alias("status")
     )
     rows = t.requirements().join(per, "requirement_id", "left")
