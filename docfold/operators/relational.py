@@ -57,11 +57,11 @@ def lookup_last(df: DataFrame, right: DataFrame, key: str, position: str) -> Dat
     return df.join(first_by(right, [key], F.col(position).desc()).drop(position), key, "left")
 
 
-def union_first(sources: list[DataFrame], keys: list[str], *order: Column) -> DataFrame:
-    """A union in which, for each key, the row of the earliest source stays."""
+def union_first(sources: list[DataFrame], keys: list[str], *order: Column, deal: tuple = ()) -> DataFrame:
+    """A union in which, for each key, the row of the earliest source stays; ``deal`` is a number of partitions, and the keys that deal rows to them."""
     tagged = [df.withColumn("__source", F.lit(i)) for i, df in enumerate(sources)]
     whole = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tagged)
-    return first_by(whole, keys, F.col("__source"), *order).drop("__source")
+    return first_by(whole.repartition(*deal) if deal else whole, keys, F.col("__source"), *order).drop("__source")
 
 
 def union_sources(sources: dict[str, DataFrame], tag: str = "source_system") -> DataFrame:

@@ -125,9 +125,10 @@ def metadata_normalize(t: Tables) -> DataFrame:
   SELECT o_custkey AS regulation_id, o_orderkey AS requirement_id, s_name AS control_title, source, {LEVEL} AS criticality FROM orders LEFT JOIN l ON l_orderkey = o_orderkey LEFT JOIN supplier ON s_suppkey = l_suppkey""")
 def full_mapping(t: Tables) -> DataFrame:
     """Requirements with their controls, those of the database before those of the model."""
-    side = lambda found, source: t.obligations().where(found).select("requirement_id", "supp", F.lit(source).alias("source")).distinct()
+    parts = t.parts("orders", "lineitem")
+    side = lambda found, source: t.obligations().where(found).select("requirement_id", "supp", F.lit(source).alias("source"))
     known = F.col("match_status") == "fully_matched"
-    links = R.union_first([side(known, "existing_db"), side(~known, "stage3_llm")], ["requirement_id", "supp"], F.col("source"))
+    links = R.union_first([side(known, "existing_db"), side(~known, "stage3_llm")], ["requirement_id", "supp"], F.col("source"), deal=(parts, "requirement_id"))
     named = links.join(t.supplier.select(F.col("s_suppkey").alias("supp"), F.col("s_name").alias("control_title")), "supp", "left")
     return t.requirements().join(named, "requirement_id", "left").select("regulation_id", "requirement_id", "control_title", "source", "criticality")
 

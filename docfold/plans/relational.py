@@ -310,7 +310,7 @@ def union_sources(t: Tables) -> DataFrame:
   SELECT part, supp, CASE s WHEN 0 THEN 'existing_db' ELSE 'stage3' END AS origin, q AS quantity FROM u QUALIFY row_number() OVER (PARTITION BY part, supp ORDER BY s, q) = 1""")
 def links_union_dedupe(t: Tables) -> DataFrame:
     side = lambda flag, origin: t.lineitem.where(F.col("l_returnflag") == flag).select(F.col("l_partkey").alias("part"), F.col("l_suppkey").alias("supp"), F.lit(origin).alias("origin"), F.col("l_quantity").alias("quantity"))
-    return R.union_first([side("A", "existing_db"), side("R", "stage3")], ["part", "supp"], F.col("quantity"))
+    return R.union_first([side("A", "existing_db"), side("R", "stage3")], ["part", "supp"], F.col("quantity"), deal=(t.parts("lineitem"), "part", "supp"))
 
 
 @query("A6 H4", "SELECT DISTINCT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_returnflag, l_linestatus, l_quantity FROM lineitem")

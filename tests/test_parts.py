@@ -11,7 +11,7 @@ from tests.oracle import connect, same
 SF = "/root/testdata/sf0.001"
 
 
-@pytest.mark.parametrize("name", ["explode_obligations", "struct_merge", "full_analysis"])
+@pytest.mark.parametrize("name", ["explode_obligations", "struct_merge", "full_analysis", "full_mapping"])
 def test_partitions_grow_with_rows(spark, monkeypatch, name):
     con = connect(SF)
     rows = con.execute("SELECT count(*) FROM lineitem").fetchone()[0]
